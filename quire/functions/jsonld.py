@@ -47,6 +47,11 @@ def blocks(scripts: Column) -> Column:
     return F.flatten(per_script)
 
 
+def top_objects(scripts: Column) -> Column:
+    """Scripts whose JSON is an object (arrays are not opened), in document order."""
+    return F.filter(F.transform(scripts, lambda s: F.try_parse_json(s)), is_object)
+
+
 def type_is(block: Column, types) -> Column:
     """``block.get("@type") in types`` — only a plain string can match."""
     t = get(block, "@type")

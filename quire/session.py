@@ -33,9 +33,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quire`` importable in Python workers (the HTML step runs there).
+
+    Zips the package next to the driver and registers it with ``addPyFile``, which Spark
+    distributes to every executor. Done once per SparkContext."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="quire-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in base:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def apply_job_conf(spark: SparkSession) -> None:
     """Set the job settings that are safe to set at runtime (session scoped)."""
     for k, v in JOB_CONF.items():
