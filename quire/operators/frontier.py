@@ -21,6 +21,7 @@ from quire import constants as C
 from quire.functions import selectors as S
 from quire.functions.urls import add_resolved_url, add_url_hash, add_url_parts, is_valid_url, host_of
 from quire.operators.extract import add_url_flag
+from quire.operators.dedup import anti_join
 from quire.sources.registry import same_domain
 
 
@@ -73,8 +74,12 @@ def frontier(followed: DataFrame, visited: DataFrame) -> DataFrame:
         F.min_by("source_name", F.struct("page_id", "pos")).alias("source_name"),
         F.count(F.lit(1)).alias("n_links"),
         F.countDistinct("page_id").alias("n_pages"))
-    seen = visited.select("url_hash").distinct()
-    return dedup.join(seen, "url_hash", "left_anti")
+    # Cut lineage here: the candidates (one row per URL) are written once to the shared
+    # checkpoint folder. The join then plans against a small scan instead of the whole
+    # parse/resolve/key lineage (which the optimizer handles badly), and a lost executor
+    # does not re-run the HTML step.
+    dedup = dedup.checkpoint()
+    return anti_join(dedup, visited, "url_hash")
 
 
 def crawl_walk(page_index: DataFrame, seeds: DataFrame, max_depth: int = C.DEPTH_LIMIT) -> DataFrame:
