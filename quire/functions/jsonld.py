@@ -115,6 +115,13 @@ PY_TYPE = {"BIGINT": "int", "INT": "int", "SMALLINT": "int", "TINYINT": "int", "
            "DOUBLE": "float", "FLOAT": "float", "BOOLEAN": "bool", "ARRAY": "list", "OBJECT": "dict"}
 
 
+def not_string_error(v: Column) -> Column:
+    """The message a non-string date value raises in the reference behaviour."""
+    names = F.create_map(*[x for k, t in PY_TYPE.items() for x in (F.lit(k), F.lit(t))])
+    return F.format_string("'%s' object has no attribute 'strip'",
+                           F.coalesce(F.try_element_at(names, vtype(v)), F.lit("object")))
+
+
 def date_field(bs: Column, key: str, parse) -> Column:
     """First block whose ``key`` is truthy and either parses or is not a string.
 

@@ -17,6 +17,11 @@ WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 WS_RUN = WS_CLASS + "+"
 SENTENCE_SPLIT = r"(?<=[.!?])" + WS_RUN
+# The same set as literal characters: the rare non-ASCII ones are mapped to a space first
+# (``translate`` is a per-character lookup), so the hot regex only sees an ASCII class.
+UNICODE_WS = "\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f " + UNICODE_WS
+ASCII_WS_RUN = r"[\t\n\x0B\f\r\x1C-\x20]+"
 
 
 def _col(c) -> Column:
@@ -24,13 +29,14 @@ def _col(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Strip leading and trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), "^" + WS_RUN + "|" + WS_RUN + "$", "")
+    """Strip leading and trailing Unicode whitespace (``btrim`` over the whitespace set)."""
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def normalize_ws(c) -> Column:
     """Collapse whitespace runs to one space, trim; NULL when nothing is left."""
-    return F.nullif(F.trim(F.regexp_replace(_col(c), WS_RUN, " ")), F.lit(""))
+    spaced = F.translate(_col(c), UNICODE_WS, " " * len(UNICODE_WS))
+    return F.nullif(F.trim(F.regexp_replace(spaced, ASCII_WS_RUN, " ")), F.lit(""))
 
 
 def normalize_paragraphs(paragraphs) -> Column:

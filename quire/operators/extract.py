@@ -93,6 +93,41 @@ def add_slots(df: DataFrame) -> DataFrame:
     )
 
 
+def _ld_block(b: Column) -> Column:
+    """Every field the rule sets read from one JSON-LD block, computed once."""
+    def date(key: str) -> Column:
+        return J.let(J.get(b, key), lambda v: F.when(J.truthy(v), F.struct(
+            F.when(J.vtype(v) == "STRING", meta_datetime(J.as_string(v))).alias("ts"),
+            F.when(J.vtype(v) != "STRING", J.not_string_error(v)).alias("err"))))
+    return F.struct(
+        F.when(J.vtype(J.get(b, "@type")) == "STRING", J.as_string(J.get(b, "@type"))).alias("type"),
+        J.clean_value(J.get(b, "headline")).alias("headline"),
+        J.author(b).alias("author"),
+        J.author(b, allow_list=False).alias("author_simple"),
+        J.clean_value(J.get(b, "articleSection")).alias("section"),
+        J.keywords(b).alias("tags"),
+        J.truthy(J.get(b, "articleBody")).alias("has_body"),
+        J.clean_value(J.get(b, "articleBody")).alias("body"),
+        date("datePublished").alias("pub"),
+        date("dateModified").alias("mod"),
+    )
+
+
+def add_ld_fields(df: DataFrame) -> DataFrame:
+    """P4-P7 once per page: ``ldx`` = fields of the Article/NewsArticle blocks, ``ldap`` =
+    fields of the first NewsArticle block; plus parsed meta/time dates (X7)."""
+    ld = F.col("ld")
+    df = df.select(
+        "*",
+        F.when(F.size(ld) > 0, F.transform(F.filter(ld, lambda b: J.type_is(b, C.LD_ARTICLE_TYPES)), _ld_block))
+        .alias("ld_all"),
+        F.when(_truthy(F.col("meta_pub")), meta_datetime(F.col("meta_pub"))).alias("meta_pub_ts"),
+        F.when(_truthy(F.col("time_dt")), meta_datetime(F.col("time_dt"))).alias("time_ts"),
+    )
+    return df.select("*", F.col("ld_all").alias("ldx"),
+                     S.first(F.filter(F.col("ld_all"), lambda x: x["type"] == "NewsArticle")).alias("ldap"))
+
+
 # ----------------------------------------------------------------------- stage 2: page test
 
 
@@ -140,42 +175,32 @@ def _paras_body(first_list: Column, second_list: Column | None) -> tuple[Column,
     return body, ~_nonempty(first_list) & ~_nonempty(second_list)
 
 
-def _ld_date(blocks: Column, key: str) -> Column:
-    return J.date_field(blocks, key, meta_datetime)
-
-
-def _meta_or(value: Column, fallback: Column) -> Column:
-    """``if meta: parse(meta) else fallback`` — a present but unparsable meta blocks the fallback."""
-    return F.when(_truthy(value), meta_datetime(value)).otherwise(fallback)
-
-
 def _site_fields(rs: str) -> dict[str, Column]:
     c = F.col
-    ld = c("ld")
-    arts = J.article_blocks(ld)
-    ap_block = S.first(F.filter(ld, lambda b: J.type_is(b, ["NewsArticle"])))
+    ldx, ap = c("ldx"), c("ldap")
+    first = lambda f: J.first_present(ldx, f)
     h1 = normalize_ws(c("h1"))
     meta_author = F.when(_truthy(c("meta_author")), normalize_ws(c("meta_author")))
     dom_author = F.when(_truthy(c("dom_author")), normalize_ws(c("dom_author")))
-    first_ld = lambda f: J.first_present(arts, f)
-    ld_section = first_ld(lambda b: J.clean_value(J.get(b, "articleSection")))
-    ld_tags = J.first_present(arts, lambda b: F.when(_nonempty(J.keywords(b)), J.keywords(b)))
-    pub_ld, mod_ld = _ld_date(arts, "datePublished"), _ld_date(arts, "dateModified")
-    f: dict[str, Column] = {"ld_any": _nonempty(ld), "ld_body": F.lit(False), "tags": ld_tags,
-                            "section": ld_section, "pub_err": pub_ld["err"], "mod_err": mod_ld["err"],
-                            "modified": mod_ld["ts"]}
+    meta_pub = c("meta_pub_ts")          # NULL when the meta is missing or does not parse
+    meta_present = _truthy(c("meta_pub"))
+    time_ts = c("time_ts")
+    pub = first(lambda x: F.when(x["pub"]["ts"].isNotNull() | x["pub"]["err"].isNotNull(), x["pub"]))
+    mod = first(lambda x: F.when(x["mod"]["ts"].isNotNull() | x["mod"]["err"].isNotNull(), x["mod"]))
+    f: dict[str, Column] = {
+        "ld_any": _nonempty(c("ld")), "ld_body": F.lit(False),
+        "tags": first(lambda x: F.when(_nonempty(x["tags"]), x["tags"])),
+        "section": first(lambda x: x["section"]),
+        "pub_err": pub["err"], "mod_err": mod["err"], "modified": mod["ts"],
+    }
     if rs == "ap":
-        pub_ap, mod_ap = _ld_date(F.array(ap_block), "datePublished"), _ld_date(F.array(ap_block), "dateModified")
         body, nop = _paras_body(c("p_site"), c("p_article"))
         f.update(
-            ld_any=ap_block.isNotNull(),
-            title=F.coalesce(J.clean_value(J.get(ap_block, "headline")), h1),
-            body=body, no_paras=nop,
-            author=F.coalesce(J.author(ap_block), meta_author),
-            published=F.coalesce(pub_ap["ts"], F.when(_truthy(c("meta_pub")), meta_datetime(c("meta_pub")))),
-            modified=mod_ap["ts"], pub_err=pub_ap["err"], mod_err=mod_ap["err"],
-            section=J.clean_value(J.get(ap_block, "articleSection")),
-            tags=J.keywords(ap_block),
+            ld_any=ap.isNotNull(), title=F.coalesce(ap["headline"], h1), body=body, no_paras=nop,
+            author=F.coalesce(ap["author"], meta_author),
+            published=F.coalesce(ap["pub"]["ts"], meta_pub),
+            modified=ap["mod"]["ts"], pub_err=ap["pub"]["err"], mod_err=ap["mod"]["err"],
+            section=ap["section"], tags=ap["tags"],
         )
     elif rs == "bbc":
         body, nop = _paras_body(c("p_article"), c("p_site"))
@@ -183,60 +208,57 @@ def _site_fields(rs: str) -> dict[str, Column]:
             .when(_truthy(c("dom_author")), normalize_ws(c("dom_author")))
         f.update(
             title=F.coalesce(h1, normalize_ws(c("og_title"))), body=body, no_paras=nop,
-            author=F.coalesce(dom, first_ld(lambda b: J.author(b, allow_list=False))),
-            published=F.when(_truthy(c("time_dt")), meta_datetime(c("time_dt")))
-            .otherwise(F.when(_truthy(c("meta_pub")), meta_datetime(c("meta_pub")))),
-            modified=F.lit(None).cast("timestamp"), mod_err=F.lit(None).cast("string"), pub_err=F.lit(None).cast("string"),
-            section=first_ld(lambda b: F.when(J.truthy(J.get(b, "articleSection")), J.clean_value(J.get(b, "articleSection")))),
+            author=F.coalesce(dom, first(lambda x: x["author_simple"])),
+            published=F.when(_truthy(c("time_dt")), time_ts).otherwise(meta_pub),
+            modified=F.lit(None).cast("timestamp"), mod_err=F.lit(None).cast("string"),
+            pub_err=F.lit(None).cast("string"),
         )
     elif rs == "cbs":
-        ld_has_body = F.exists(arts, lambda b: J.truthy(J.get(b, "articleBody")))
-        ld_body = first_ld(lambda b: F.when(J.truthy(J.get(b, "articleBody")), J.clean_value(J.get(b, "articleBody"))))
+        ld_has_body = F.coalesce(F.exists(ldx, lambda x: x["has_body"]), F.lit(False))
         body, nop = _paras_body(c("p_site"), c("p_article"))
         f.update(
-            ld_body=ld_has_body,
-            title=F.coalesce(first_ld(lambda b: J.clean_value(J.get(b, "headline"))), h1),
-            body=F.when(ld_has_body, ld_body).otherwise(body), no_paras=~ld_has_body & nop,
-            author=F.coalesce(first_ld(lambda b: J.author(b)), meta_author),
-            published=F.coalesce(pub_ld["ts"], _meta_or(c("meta_pub"), F.when(_truthy(c("time_dt")), meta_datetime(c("time_dt"))))),
+            ld_body=ld_has_body, title=F.coalesce(first(lambda x: x["headline"]), h1),
+            body=F.when(ld_has_body, first(lambda x: F.when(x["has_body"], x["body"]))).otherwise(body),
+            no_paras=~ld_has_body & nop,
+            author=F.coalesce(first(lambda x: x["author"]), meta_author),
+            published=F.coalesce(pub["ts"], F.when(meta_present, meta_pub).otherwise(time_ts)),
         )
     elif rs == "cnn":
         body, nop = _paras_body(c("p_article"), c("p_all"))
         f.update(
-            title=F.coalesce(first_ld(lambda b: J.clean_value(J.get(b, "headline"))), h1),
-            body=body, no_paras=nop,
-            author=F.coalesce(first_ld(lambda b: J.author(b)), F.when(_truthy(c("dom_author")), dom_author).otherwise(meta_author)),
-            published=F.coalesce(pub_ld["ts"], F.when(_truthy(c("meta_pub")), meta_datetime(c("meta_pub")))),
+            title=F.coalesce(first(lambda x: x["headline"]), h1), body=body, no_paras=nop,
+            author=F.coalesce(first(lambda x: x["author"]),
+                              F.when(_truthy(c("dom_author")), dom_author).otherwise(meta_author)),
+            published=F.coalesce(pub["ts"], meta_pub),
         )
     elif rs == "fox":
         kept = fox_promo_keep(c("p_site"))
         body = F.when(_nonempty(kept), normalize_paragraphs(kept)) \
             .when(_nonempty(c("p_article")), normalize_paragraphs(c("p_article")))
-        ld_author = first_ld(lambda b: J.author(b, allow_list=False))
         f.update(
             title=h1, body=body, no_paras=~_nonempty(kept) & ~_nonempty(c("p_article")),
-            author=F.coalesce(ld_author, F.when(_truthy(c("meta_author")), normalize_ws(c("meta_author")))
+            author=F.coalesce(first(lambda x: x["author_simple"]),
+                              F.when(_truthy(c("meta_author")), normalize_ws(c("meta_author")))
                               .otherwise(F.when(_truthy(c("dom_author")), dom_author))),
-            published=F.coalesce(pub_ld["ts"], _meta_or(c("meta_pub"), F.when(_truthy(c("time_dt")), meta_datetime(c("time_dt"))))),
+            published=F.coalesce(pub["ts"], F.when(meta_present, meta_pub).otherwise(time_ts)),
             tags=F.lit(None).cast("array<string>"),
         )
     elif rs == "guardian":
         body, nop = _paras_body(c("p_site"), c("p_article"))
         f.update(
-            title=F.coalesce(first_ld(lambda b: J.clean_value(J.get(b, "headline"))), h1),
-            body=body, no_paras=nop,
-            author=F.coalesce(first_ld(lambda b: J.author(b)), F.when(_truthy(c("dom_author")), dom_author).otherwise(meta_author)),
-            published=F.coalesce(pub_ld["ts"], F.when(_truthy(c("time_dt")), meta_datetime(c("time_dt")))),
+            title=F.coalesce(first(lambda x: x["headline"]), h1), body=body, no_paras=nop,
+            author=F.coalesce(first(lambda x: x["author"]),
+                              F.when(_truthy(c("dom_author")), dom_author).otherwise(meta_author)),
+            published=F.coalesce(pub["ts"], time_ts),
         )
     elif rs == "nbc":
         kept = nbc_promo_keep(c("p_article"))
         body = F.when(_nonempty(kept), normalize_paragraphs(kept)) \
             .when(_nonempty(c("p_article")), normalize_paragraphs(c("p_article")))
         f.update(
-            title=F.coalesce(first_ld(lambda b: J.clean_value(J.get(b, "headline"))), h1),
-            body=body, no_paras=~_nonempty(c("p_article")),
-            author=F.coalesce(first_ld(lambda b: J.author(b)), meta_author),
-            published=F.coalesce(pub_ld["ts"], F.when(_truthy(c("meta_pub")), meta_datetime(c("meta_pub")))),
+            title=F.coalesce(first(lambda x: x["headline"]), h1), body=body, no_paras=~_nonempty(c("p_article")),
+            author=F.coalesce(first(lambda x: x["author"]), meta_author),
+            published=F.coalesce(pub["ts"], meta_pub),
         )
     return f
 
@@ -390,8 +412,8 @@ def _generic_prepare(df: DataFrame) -> DataFrame:
                    F.when(gen, F.when(_nonempty(c("p_article")), normalize_paragraphs(c("p_article")))
                           .otherwise(normalize_paragraphs(F.coalesce(c("p_all"), F.array().cast("array<string>")))))
                    .alias("g_text_raw"),
-                   F.when(gen, utc_string(F.when(_truthy(c("meta_pub")), meta_datetime(c("meta_pub")))
-                                          .otherwise(meta_datetime(c("time_dt"))))).alias("g_pub"))
+                   F.when(gen, utc_string(F.when(_truthy(c("meta_pub")), c("meta_pub_ts"))
+                                          .otherwise(c("time_ts")))).alias("g_pub"))
     df = df.select("*", content_gate(c("g_title_raw"), c("g_text_raw")).alias("g_gate"),
                    normalize_ws(c("g_title_raw")).alias("g_title"),
                    low_quality_to_null(normalize_ws(c("g_text_raw"))).alias("g_text"),
@@ -455,7 +477,7 @@ def _generic_columns() -> dict[str, Column]:
 def article_rows(df: DataFrame, run_ts: str, extra: tuple[str, ...] = ("source_name", "page_id", "rule_set")) -> DataFrame:
     """ARTICLES rows for classified article pages: one projection, the row's rule set picks
     the site mapping (P18) or the generic one (P21)."""
-    df = _generic_prepare(_site_prepare(add_site_score(add_site_fields(df))))
+    df = _generic_prepare(_site_prepare(add_site_score(add_site_fields(add_ld_fields(df)))))
     site, gen = _site_columns(run_ts), _generic_columns()
     is_gen = F.col("rule_set") == "generic"
     fixed = {"url": F.col("url"), "source": F.col("source"), "scraped_at": F.lit(run_ts),
