@@ -77,7 +77,7 @@ def seeds_df(spark: SparkSession, registry: list[Source], override: str | None =
     df = sources_df(spark, registry)
     urls = F.col("start_urls")
     if override is not None:
-        listed = F.filter(F.transform(F.split(F.lit(override), ","), F.trim), lambda u: u != "")
+        listed = F.filter(F.transform(F.split(F.lit(override), ","), lambda u: F.trim(u)), lambda u: u != "")
         urls = F.when(F.size(listed) > 0, listed).otherwise(urls)
     return df.select("source_name", "domain", "rule_set", F.posexplode(urls).alias("seed_pos", "url"))
 
