@@ -28,6 +28,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body`` (``nullif``/``when`` on a
+    costly expression would otherwise evaluate it twice)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def py_strip(c) -> Column:
     """Strip leading and trailing Unicode whitespace (``btrim`` over the whitespace set)."""
     return F.btrim(_col(c), F.lit(WS_CHARS))
@@ -36,7 +42,7 @@ def py_strip(c) -> Column:
 def normalize_ws(c) -> Column:
     """Collapse whitespace runs to one space, trim; NULL when nothing is left."""
     spaced = F.translate(_col(c), UNICODE_WS, " " * len(UNICODE_WS))
-    return F.nullif(F.trim(F.regexp_replace(spaced, ASCII_WS_RUN, " ")), F.lit(""))
+    return bind(F.trim(F.regexp_replace(spaced, ASCII_WS_RUN, " ")), lambda x: F.nullif(x, F.lit("")))
 
 
 def normalize_paragraphs(paragraphs) -> Column:
@@ -93,8 +99,7 @@ def content_gate(title, text) -> Column:
 
 def low_quality_to_null(text) -> Column:
     """normalized text shorter than 200 chars becomes NULL."""
-    text = _col(text)
-    return F.when(F.length(text) >= C.LOW_QUALITY_TEXT_LENGTH, text)
+    return bind(_col(text), lambda t: F.when(F.length(t) >= C.LOW_QUALITY_TEXT_LENGTH, t))
 
 
 def _is_upper(p: Column) -> Column:
