@@ -28,6 +28,8 @@ SITE_SETS = ["ap", "bbc", "cbs", "cnn", "fox", "guardian", "nbc"]
 
 
 def _case(rule_set: Column, branches: dict, default=None) -> Column:
+    if not branches:
+        return default if default is not None else F.lit(None)
     expr = None
     for rs, val in branches.items():
         cond = rule_set.isin(*rs) if isinstance(rs, tuple) else (rule_set == rs)
@@ -45,30 +47,46 @@ def _nonempty(arr: Column) -> Column:
     return F.coalesce(F.size(arr) > 0, F.lit(False))
 
 
+def _sites(rule_sets) -> list[str]:
+    """The site rule sets a plan needs (all seven unless the registry names fewer)."""
+    return [rs for rs in SITE_SETS if rule_sets is None or rs in rule_sets]
+
+
+def _only(branches: dict, rule_sets) -> dict:
+    keep = set(_sites(rule_sets))
+    out = {}
+    for k, v in branches.items():
+        ks = k if isinstance(k, tuple) else (k,)
+        ks = tuple(x for x in ks if x in keep)
+        if ks:
+            out[ks if len(ks) > 1 else ks[0]] = v
+    return out
+
+
 # ----------------------------------------------------------------------- stage 1: slots
 
 
-def add_slots(df: DataFrame) -> DataFrame:
+def add_slots(df: DataFrame, rule_sets=None) -> DataFrame:
     """Selector results the rule sets read. Requires ``nodes``, ``rule_set``, ``url``."""
     rs = F.col("rule_set")
     art = S.tag_is("article")
-    p_site = _case(rs, {
+    p_site = _case(rs, _only({
         "ap": S.tag_texts("p", S.class_token("RichTextStoryBody")),
         "bbc": S.tag_texts("p", S.both(S.tag_is("div"), S.attr_equals("data-component", "text-block"))),
         "cbs": S.tag_texts("p", S.class_token("content__body")),
         "fox": S.tag_texts("p", S.class_token("article-body")),
         "guardian": S.tag_texts("p", S.both(S.tag_is("div"), S.attr_equals("itemprop", "articleBody"))),
-    })
-    dom_author = _case(rs, {
+    }, rule_sets)).cast("array<string>")
+    dom_author = _case(rs, _only({
         "bbc": S.first(S.texts(S.attr_contains("class", "byline"))),
         "cnn": S.first(S.texts(S.attr_equals("data-testid", "byline"))),
         "fox": S.first(S.texts(S.attr_contains("class", "author"))),
         "guardian": S.first(S.texts(S.both(S.tag_is("a"), S.attr_equals("rel", "author")))),
-    })
-    body_attr = _case(rs, {
+    }, rule_sets)).cast("string")
+    body_attr = _case(rs, _only({
         "cnn": S.first_attr(S.tag_is("body"), "data-page-type"),
         "fox": S.first_attr(S.tag_is("body"), "class"),
-    })
+    }, rule_sets)).cast("string")
     return df.select(
         "*",
         J.blocks(S.ld_scripts()).alias("ld"),
@@ -131,10 +149,10 @@ def add_ld_fields(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------- stage 2: page test
 
 
-def add_url_flag(df: DataFrame, path_col: str = "url_path") -> DataFrame:
+def add_url_flag(df: DataFrame, path_col: str = "url_path", rule_sets=None) -> DataFrame:
     """F3/F4-F10 by the row's rule set. Needs ``url`` and the lower-cased path in ``path_col``."""
     u = F.col("url")
-    flag = _case(F.col("rule_set"), {rs: site_url_rule(u, rs) for rs in SITE_SETS},
+    flag = _case(F.col("rule_set"), {rs: site_url_rule(u, rs) for rs in _sites(rule_sets)},
                  article_path_rule(F.col(path_col)))
     return df.withColumn("url_is_article", F.coalesce(flag, F.lit(False)))
 
@@ -268,11 +286,12 @@ FIELDS = {"title": "string", "body": "string", "author": "string", "published":
           "ld_any": "boolean", "ld_body": "boolean", "pub_err": "string", "mod_err": "string"}
 
 
-def add_site_fields(df: DataFrame) -> DataFrame:
-    """P5-P14 raw fields ``x_*`` for article pages of the seven site rule sets."""
-    per_site = {rs: _site_fields(rs) for rs in SITE_SETS}
+def add_site_fields(df: DataFrame, rule_sets=None) -> DataFrame:
+    """P5-P14 raw fields ``x_*`` for article pages of the site rule sets."""
+    sites = _sites(rule_sets)
+    per_site = {rs: _site_fields(rs) for rs in sites}
     rs = F.col("rule_set")
-    cols = [_case(rs, {s: per_site[s][k].cast(t) for s in SITE_SETS}).alias("x_" + k) for k, t in FIELDS.items()]
+    cols = [_case(rs, {s: per_site[s][k].cast(t) for s in sites}).cast(t).alias("x_" + k) for k, t in FIELDS.items()]
     return df.select("*", *cols)
 
 
@@ -328,11 +347,11 @@ def _errors(rs: str, low: Column) -> Column:
     return F.filter(F.array(*[F.when(cond, F.lit(msg)) for cond, msg in items]), lambda e: e.isNotNull())
 
 
-def add_site_score(df: DataFrame) -> DataFrame:
+def add_site_score(df: DataFrame, rule_sets=None) -> DataFrame:
     """P16/P17 + method; the struct ``x`` is the extracted article (F27: score in [0, 1])."""
     rs = F.col("rule_set")
     conf, method, errors = {}, {}, {}
-    for s in SITE_SETS:
+    for s in _sites(rule_sets):
         cf, low = _ladder(s)
         conf[s], method[s], errors[s] = cf, _method(s), _errors(s, low)
     fail = F.coalesce(F.col("x_pub_err"), F.col("x_mod_err"))
@@ -343,9 +362,9 @@ def add_site_score(df: DataFrame) -> DataFrame:
             F.col("x_published").alias("published_at"), F.col("x_modified").alias("modified_at"),
             F.col("x_section").alias("section"),
             F.coalesce(F.col("x_tags"), F.array().cast("array<string>")).alias("tags"),
-            _case(rs, method).alias("extraction_method"),
+            _case(rs, method).cast("string").alias("extraction_method"),
             _case(rs, conf).cast("double").alias("confidence"),
-            _case(rs, errors).alias("errors"),
+            _case(rs, errors).cast("array<string>").alias("errors"),
             fail.alias("fail"),
         ).alias("x"))
 
@@ -474,10 +493,13 @@ def _generic_columns() -> dict[str, Column]:
     }
 
 
-def article_rows(df: DataFrame, run_ts: str, extra: tuple[str, ...] = ("source_name", "page_id", "rule_set")) -> DataFrame:
+def article_rows(df: DataFrame, run_ts: str, extra: tuple[str, ...] = ("source_name", "page_id", "rule_set"),
+                 rule_sets=None) -> DataFrame:
     """ARTICLES rows for classified article pages: one projection, the row's rule set picks
-    the site mapping (P18) or the generic one (P21)."""
-    df = _generic_prepare(_site_prepare(add_site_score(add_site_fields(add_ld_fields(df)))))
+    the site mapping (P18) or the generic one (P21). ``rule_sets`` limits the plan to the rule
+    sets the registry uses (all by default)."""
+    df = add_site_fields(add_ld_fields(df), rule_sets)
+    df = _generic_prepare(_site_prepare(add_site_score(df, rule_sets)))
     site, gen = _site_columns(run_ts), _generic_columns()
     is_gen = F.col("rule_set") == "generic"
     fixed = {"url": F.col("url"), "source": F.col("source"), "scraped_at": F.lit(run_ts),

@@ -34,20 +34,26 @@ def route_pages(pages: DataFrame, registry: list[Source]) -> DataFrame:
     return add_url_hash(df, "url", "url_hash")
 
 
-def classify_pages(routed: DataFrame) -> DataFrame:
+def rule_sets_of(registry: list[Source]) -> tuple[str, ...]:
+    """Rule sets a plan must carry: the registry's, plus generic for unregistered hosts."""
+    return tuple(sorted({s.rule_set for s in registry} | {"generic"}))
+
+
+def classify_pages(routed: DataFrame, rule_sets=None) -> DataFrame:
     """P3 + F11-F20: node array, selector slots and the article-page verdict."""
     df = add_nodes(routed)
-    df = add_url_flag(add_slots(df))
+    df = add_url_flag(add_slots(df, rule_sets), rule_sets=rule_sets)
     return add_page_flag(df)
 
 
 def classified_pages(spark: SparkSession, sf_dir: str, registry: list[Source] | None = None) -> DataFrame:
     reg = registry if registry is not None else test_registry()
-    return classify_pages(route_pages(tables.pages(spark, sf_dir), reg))
+    return classify_pages(route_pages(tables.pages(spark, sf_dir), reg), rule_sets_of(reg))
 
 
 def articles(spark: SparkSession, sf_dir: str, registry: list[Source] | None = None,
              run_ts: str = RUN_TS) -> DataFrame:
     """The ARTICLES table: one row per article page (failures kept with parse_ok=false)."""
-    df = classified_pages(spark, sf_dir, registry)
-    return article_rows(df.where(F.col("is_article_page")), run_ts)
+    reg = registry if registry is not None else test_registry()
+    df = classified_pages(spark, sf_dir, reg)
+    return article_rows(df.where(F.col("is_article_page")), run_ts, rule_sets=rule_sets_of(reg))

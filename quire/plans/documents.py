@@ -85,7 +85,7 @@ def site_articles(spark: SparkSession, sf_dir: str, rule_set: str, run_ts: str =
         F.array().cast("array<string>").alias("x_tags"), (~nonempty).alias("x_no_paras"),
         F.lit(False).alias("x_ld_any"), F.lit(False).alias("x_ld_body"),
         null_s.alias("x_pub_err"), null_s.alias("x_mod_err"))
-    df = E._site_prepare(E.add_site_score(df))
+    df = E._site_prepare(E.add_site_score(df, (rule_set,)))
     cols = E._site_columns(run_ts)
     fixed = {"url": F.col("url"), "source": F.col("source"), "scraped_at": F.lit(run_ts),
              "url_hash": F.col("url_hash"), "summary_max_chars": F.lit(C.SUMMARY_MAX_CHARS)}
