@@ -19,7 +19,7 @@ from quire import constants as C
 from quire.functions import jsonld as J
 from quire.functions import selectors as S
 from quire.functions.dates import meta_datetime, utc_string
-from quire.functions.text import (content_gate, content_length, fingerprint, fox_promo_keep,
+from quire.functions.text import (bind, content_gate, content_length, fingerprint, fox_promo_keep,
                                   low_quality_to_null, nbc_promo_keep, normalize_paragraphs,
                                   normalize_ws, py_strip, add_summary)
 from quire.functions.urls import article_path_rule, site_url_rule
@@ -193,6 +193,14 @@ def _paras_body(first_list: Column, second_list: Column | None) -> tuple[Column,
     return body, ~_nonempty(first_list) & ~_nonempty(second_list)
 
 
+def _filtered_body(kept: Column, fallback: Column) -> tuple[Column, Column]:
+    """Promo-filtered paragraphs if any survive, else the unfiltered list (evaluated once)."""
+    body = bind(kept, lambda k: F.when(_nonempty(k), normalize_paragraphs(k))
+                .when(_nonempty(fallback), normalize_paragraphs(fallback)))
+    nop = bind(kept, lambda k: ~_nonempty(k) & ~_nonempty(fallback))
+    return body, nop
+
+
 def _site_fields(rs: str) -> dict[str, Column]:
     c = F.col
     ldx, ap = c("ldx"), c("ldap")
@@ -251,10 +259,9 @@ def _site_fields(rs: str) -> dict[str, Column]:
         )
     elif rs == "fox":
         kept = fox_promo_keep(c("p_site"))
-        body = F.when(_nonempty(kept), normalize_paragraphs(kept)) \
-            .when(_nonempty(c("p_article")), normalize_paragraphs(c("p_article")))
+        body, nop = _filtered_body(kept, c("p_article"))
         f.update(
-            title=h1, body=body, no_paras=~_nonempty(kept) & ~_nonempty(c("p_article")),
+            title=h1, body=body, no_paras=nop,
             author=F.coalesce(first(lambda x: x["author_simple"]),
                               F.when(_truthy(c("meta_author")), normalize_ws(c("meta_author")))
                               .otherwise(F.when(_truthy(c("dom_author")), dom_author))),
@@ -270,9 +277,7 @@ def _site_fields(rs: str) -> dict[str, Column]:
             published=F.coalesce(pub["ts"], time_ts),
         )
     elif rs == "nbc":
-        kept = nbc_promo_keep(c("p_article"))
-        body = F.when(_nonempty(kept), normalize_paragraphs(kept)) \
-            .when(_nonempty(c("p_article")), normalize_paragraphs(c("p_article")))
+        body, _ = _filtered_body(nbc_promo_keep(c("p_article")), c("p_article"))
         f.update(
             title=F.coalesce(first(lambda x: x["headline"]), h1), body=body, no_paras=~_nonempty(c("p_article")),
             author=F.coalesce(first(lambda x: x["author"]), meta_author),
@@ -298,9 +303,19 @@ def add_site_fields(df: DataFrame, rule_sets=None) -> DataFrame:
 # ----------------------------------------------------------------------- stage 4: score
 
 
+def check_confidence(rs: str) -> None:
+    """every score a rule set can assign lies in [0, 1] (checked when the plan is built,
+    since the scores are fixed values; a bad ladder fails the job before it runs)."""
+    steps, fallback, cap = C.CONFIDENCE_LADDERS[rs]
+    for score in [s for _, _, s in steps] + [fallback] + ([cap] if cap is not None else []):
+        if not 0.0 <= score <= 1.0:
+            raise ValueError(f"Confidence must be between 0.0 and 1.0, got {score} (rule set {rs})")
+
+
 def _ladder(rs: str) -> tuple[Column, Column]:
     """(confidence, low) for a rule set: first ladder step whose parts are present; the
     fallback score otherwise (low=True), then the cap."""
+    check_confidence(rs)
     c = F.col
     has = {"ld": c("x_ld_any"), "ldbody": c("x_ld_body"), "title": _truthy(c("x_title")),
            "author": _truthy(c("x_author")), "body": _truthy(c("x_body"))}

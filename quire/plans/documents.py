@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import constants as C
-from quire.functions.text import (add_summary, content_gate, content_length, fingerprint, fox_promo_keep,
+from quire.functions.text import (add_summary, bind, content_gate, content_length, fingerprint, fox_promo_keep,
                                   low_quality_to_null, nbc_promo_keep, normalize_paragraphs, normalize_ws,
                                   py_strip)
 from quire.functions.urls import add_url_hash
@@ -74,7 +74,8 @@ def site_articles(spark: SparkSession, sf_dir: str, rule_set: str, run_ts: str =
     nonempty = F.size(paras) > 0
     if rule_set in ("fox", "nbc"):
         kept = fox_promo_keep(paras) if rule_set == "fox" else nbc_promo_keep(paras)
-        body = F.when(F.size(kept) > 0, normalize_paragraphs(kept)).when(nonempty, normalize_paragraphs(paras))
+        body = bind(kept, lambda k: F.when(F.size(k) > 0, normalize_paragraphs(k))
+                    .when(nonempty, normalize_paragraphs(paras)))
     else:
         body = F.when(nonempty, normalize_paragraphs(paras))
     null_s, null_ts = F.lit(None).cast("string"), F.lit(None).cast("timestamp")

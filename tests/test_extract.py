@@ -55,6 +55,20 @@ def test_page_tests(spark):
                    pages[5][0]: True, pages[6][0]: True, pages[7][0]: False, pages[8][0]: True}
 
 
+def test_content_type_reject_and_confidence_check(spark, monkeypatch):
+    url = "https://example.com/news/2026/01/29/test-article"
+    html = '<html><head><meta property="og:type" content="article"></head></html>'
+    df = route_pages(page_df(spark, [(url, html)]).withColumn("content_type", F.lit("application/xhtml+xml")),
+                     default_registry())
+    assert classify_pages(df).first().is_article_page is False
+    from quire import constants as C
+    from quire.operators.extract import check_confidence
+    monkeypatch.setitem(C.CONFIDENCE_LADDERS, "cnn", ([(("body",), None, 1.5)], 0.6, None))
+    import pytest
+    with pytest.raises(ValueError, match="between 0.0 and 1.0"):
+        check_confidence("cnn")
+
+
 def test_site_extractions(spark):
     ap = ("https://apnews.com/article/test-article",
           "<html><head>" + ld([{"@type": "NewsArticle", "headline": " AP  Head ", "author": [{"name": "A One"}, "B Two"],
