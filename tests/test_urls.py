@@ -112,3 +112,34 @@ def test_url_rules(spark):
     got = {r.url: r for r in df.collect()}
     for rs, u, ok in URL_RULES:
         assert got[u][rs] is ok, (rs, u)
+
+
+def _random_urls(n=300, seed=7):
+    import random
+    rnd = random.Random(seed)
+    schemes = ["http", "https", "HTTP", "ftp", "mailto", ""]
+    hosts = ["a.com", "WWW.B.org", "u:p@h.net:8080", "[::1]", "x.y.z.example.com", ""]
+    seg = ["a", "b", "%41", "%zz", "é", "~x", "a*b", "..", ".", "", "c;d", "news", "2026"]
+    keys = ["a", "b", "utm_source", "Ref", "trkInfo", "q", "é", "%41", "x+y", ""]
+    vals = ["1", "", "a b", "a+b", "%zz", "~", "*", "%C3%A9", "x=y"]
+    out = []
+    for _ in range(n):
+        s = rnd.choice(schemes)
+        u = (s + ":" if s else "") + ("//" + rnd.choice(hosts) if rnd.random() < 0.8 else "")
+        u += "/" + "/".join(rnd.choice(seg) for _ in range(rnd.randint(0, 4))) + ("/" if rnd.random() < 0.3 else "")
+        if rnd.random() < 0.7:
+            u += "?" + "&".join(rnd.choice(keys) + ("=" + rnd.choice(vals) if rnd.random() < 0.85 else "")
+                                for _ in range(rnd.randint(0, 4)))
+        if rnd.random() < 0.3:
+            u += "#" + rnd.choice(seg)
+        out.append(u)
+    return out
+
+
+def test_random_urls_against_urllib(spark):
+    urls = _random_urls()
+    df = spark.createDataFrame([(u, "https://base.com/a/b/c?x=1") for u in urls], "u string, b string")
+    df = U.add_resolved_url(U.add_canonical_url(df, "u", "c"), "b", "u", "r")
+    for r in df.collect():
+        assert r.c == py_canonical(r.u), r.u
+        assert r.r == urljoin(r.b, r.u), r.u
