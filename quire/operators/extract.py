@@ -26,6 +26,19 @@ from quire.functions.urls import article_path_rule, site_url_rule
 
 SITE_SETS = ["ap", "bbc", "cbs", "cnn", "fox", "guardian", "nbc"]
 
+_MEMO: dict = {}
+
+
+def _memo(key, build):
+    """Reuse a built Column within one SparkContext: building the large extraction
+    expressions costs seconds of Python-to-JVM calls, and they depend only on ``key``."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    k = (id(sc._jsc) if sc is not None else None, key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
 
 def _case(rule_set: Column, branches: dict, default=None) -> Column:
     if not branches:
@@ -135,10 +148,11 @@ def add_ld_fields(df: DataFrame) -> DataFrame:
     """P4-P7 once per page: ``ldx`` = fields of the Article/NewsArticle blocks, ``ldap`` =
     fields of the first NewsArticle block; plus parsed meta/time dates (X7)."""
     ld = F.col("ld")
+    ld_all = _memo("ld_all", lambda: F.when(
+        F.size(ld) > 0, F.transform(F.filter(ld, lambda b: J.type_is(b, C.LD_ARTICLE_TYPES)), _ld_block)))
     df = df.select(
         "*",
-        F.when(F.size(ld) > 0, F.transform(F.filter(ld, lambda b: J.type_is(b, C.LD_ARTICLE_TYPES)), _ld_block))
-        .alias("ld_all"),
+        ld_all.alias("ld_all"),
         F.when(_truthy(F.col("meta_pub")), meta_datetime(F.col("meta_pub"))).alias("meta_pub_ts"),
         F.when(_truthy(F.col("time_dt")), meta_datetime(F.col("time_dt"))).alias("time_ts"),
     )
@@ -294,7 +308,7 @@ FIELDS = {"title": "string", "body": "string", "author": "string", "published":
 def add_site_fields(df: DataFrame, rule_sets=None) -> DataFrame:
     """P5-P14 raw fields ``x_*`` for article pages of the site rule sets."""
     sites = _sites(rule_sets)
-    per_site = {rs: _site_fields(rs) for rs in sites}
+    per_site = {rs: _memo(("site_fields", rs), lambda rs=rs: _site_fields(rs)) for rs in sites}
     rs = F.col("rule_set")
     cols = [_case(rs, {s: per_site[s][k].cast(t) for s in sites}).cast(t).alias("x_" + k) for k, t in FIELDS.items()]
     return df.select("*", *cols)
