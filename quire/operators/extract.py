@@ -81,6 +81,11 @@ def _only(branches: dict, rule_sets) -> dict:
 
 def add_slots(df: DataFrame, rule_sets=None) -> DataFrame:
     """Selector results the rule sets read. Requires ``nodes``, ``rule_set``, ``url``."""
+    key = tuple(sorted(rule_sets)) if rule_sets is not None else None
+    return df.select("*", *_memo(("slots", key), lambda: _slot_columns(rule_sets)))
+
+
+def _slot_columns(rule_sets) -> list[Column]:
     rs = F.col("rule_set")
     art = S.tag_is("article")
     p_site = _case(rs, _only({
@@ -100,8 +105,7 @@ def add_slots(df: DataFrame, rule_sets=None) -> DataFrame:
         "cnn": S.first_attr(S.tag_is("body"), "data-page-type"),
         "fox": S.first_attr(S.tag_is("body"), "class"),
     }, rule_sets)).cast("string")
-    return df.select(
-        "*",
+    return [
         J.blocks(S.ld_scripts()).alias("ld"),
         S.first(S.tag_texts("h1")).alias("h1"),
         S.meta_content("property", "og:type").alias("og_type"),
@@ -121,7 +125,7 @@ def add_slots(df: DataFrame, rule_sets=None) -> DataFrame:
             | F.coalesce(S.attr(e, "itemtype").contains("Article"), F.lit(False)))).alias("has_body_class"),
         F.when(rs == "generic", S.meta_content("property", "article:author")).alias("meta_article_author"),
         F.when(rs == "generic", S.meta_content("name", "byl")).alias("meta_byl"),
-    )
+    ]
 
 
 def _ld_block(b: Column) -> Column:
