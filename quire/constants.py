@@ -176,6 +176,14 @@ CONFIDENCE_LADDERS = {
              (("body", "title"), None, 0.70)], 0.60, None),
 }
 
+# Output labels (FIXED VALUES): extraction method of the generic path and of a failed
+# extractor; author provenance values.
+METHOD_GENERIC = "newspaper3k"
+METHOD_FAILED = "extractor"
+AUTHOR_FEED = "feed"
+AUTHOR_META = "meta"
+AUTHOR_MISSING = "missing"
+
 # Error strings (FIXED VALUES).
 ERR_NO_PARAGRAPHS = "No article body paragraphs found"
 ERR_LOW_CONFIDENCE = "Low confidence: missing critical content"

@@ -446,11 +446,11 @@ def _site_columns(run_ts: str) -> dict[str, Column]:
         "published_at": F.when(failed, null_s).otherwise(c("a_pub")),
         "fingerprint": F.when(failed, fingerprint(null_s, null_s, null_s, c("source")))
         .otherwise(fingerprint(c("a_title"), c("a_text"), c("a_pub"), c("source"))),
-        "author_source": F.when(failed | ~_truthy(x["author"]), F.lit("missing")).otherwise(x["extraction_method"]),
+        "author_source": F.when(failed | ~_truthy(x["author"]), F.lit(C.AUTHOR_MISSING)).otherwise(x["extraction_method"]),
         "summary_truncated": F.when(failed, F.lit(False)).otherwise(c("a_trunc")),
         "parse_ok": F.when(failed, F.lit(False)).otherwise(ok),
         "parse_error": F.when(failed, fail_msg).otherwise(err),
-        "extraction_method": F.when(failed, F.lit("extractor")).otherwise(x["extraction_method"]),
+        "extraction_method": F.when(failed, F.lit(C.METHOD_FAILED)).otherwise(x["extraction_method"]),
         "content_length_chars": F.when(failed, F.lit(0)).otherwise(content_length(c("a_text"))),
     }
 
@@ -497,12 +497,12 @@ def _generic_columns() -> dict[str, Column]:
     byl = F.when(F.lower(byl).startswith("by "), F.substring(byl, 4, 1 << 30)).otherwise(byl)
     pair = lambda a, s: F.struct(a.alias("a"), F.lit(s).alias("s"))
     chain = F.coalesce(
-        F.when(_truthy(py_strip(c("feed_author"))), pair(py_strip(c("feed_author")), "feed")),
-        F.when(strip_ok(c("meta_author")).isNotNull(), pair(strip_ok(c("meta_author")), "meta")),
-        F.when(strip_ok(c("meta_article_author")).isNotNull(), pair(strip_ok(c("meta_article_author")), "meta")),
-        F.when(byl.isNotNull(), pair(byl, "meta")),
-        F.when(c("g_ld_author").isNotNull(), pair(c("g_ld_author"), "meta")),
-        pair(F.lit(None).cast("string"), "missing"),
+        F.when(_truthy(py_strip(c("feed_author"))), pair(py_strip(c("feed_author")), C.AUTHOR_FEED)),
+        F.when(strip_ok(c("meta_author")).isNotNull(), pair(strip_ok(c("meta_author")), C.AUTHOR_META)),
+        F.when(strip_ok(c("meta_article_author")).isNotNull(), pair(strip_ok(c("meta_article_author")), C.AUTHOR_META)),
+        F.when(byl.isNotNull(), pair(byl, C.AUTHOR_META)),
+        F.when(c("g_ld_author").isNotNull(), pair(c("g_ld_author"), C.AUTHOR_META)),
+        pair(F.lit(None).cast("string"), C.AUTHOR_MISSING),
     )
     failed = c("parse_error").isNotNull()
     bad = failed | ~c("g_gate")
@@ -516,12 +516,12 @@ def _generic_columns() -> dict[str, Column]:
         "fingerprint": F.when(failed, fingerprint(null_s, null_s, null_s, c("source")))
         .when(~c("g_gate"), fingerprint(c("g_title"), null_s, c("g_pub"), c("source")))
         .otherwise(fingerprint(c("g_title"), c("g_text"), c("g_pub"), c("source"))),
-        "author_source": F.when(bad, F.lit("missing")).otherwise(chain["s"]),
+        "author_source": F.when(bad, F.lit(C.AUTHOR_MISSING)).otherwise(chain["s"]),
         "summary_truncated": F.when(bad, F.lit(False)).otherwise(c("g_trunc")),
         "parse_ok": F.when(bad, F.lit(False)).otherwise(F.lit(True)),
         "parse_error": F.when(failed, F.concat(F.lit(C.PARSE_FAILED), F.substring(c("parse_error"), 1, 200)))
         .when(~c("g_gate"), F.lit(C.GENERIC_GATE_FAILED)),
-        "extraction_method": F.lit("newspaper3k"),
+        "extraction_method": F.lit(C.METHOD_GENERIC),
         "content_length_chars": F.when(bad, F.lit(0)).otherwise(content_length(c("g_text"))),
     }
 

@@ -53,12 +53,12 @@ def generic_articles(spark: SparkSession, sf_dir: str, run_ts: str = RUN_TS) ->
         "url", "source", null_s.alias("published_at"), F.lit(run_ts).alias("scraped_at"), "url_hash",
         F.when(gate, fingerprint(F.col("n_title"), F.col("n_text"), null_s, F.col("source")))
         .otherwise(fingerprint(F.col("n_title"), null_s, null_s, F.col("source"))).alias("fingerprint"),
-        F.lit("missing").alias("author_source"),
+        F.lit(C.AUTHOR_MISSING).alias("author_source"),
         F.lit(C.SUMMARY_MAX_CHARS).alias("summary_max_chars"),
         F.when(gate, F.col("n_trunc")).otherwise(F.lit(False)).alias("summary_truncated"),
         gate.alias("parse_ok"),
         F.when(~gate, F.lit(C.GENERIC_GATE_FAILED)).alias("parse_error"),
-        F.lit("newspaper3k").alias("extraction_method"),
+        F.lit(C.METHOD_GENERIC).alias("extraction_method"),
         F.when(gate, content_length(F.col("n_text"))).otherwise(F.lit(0)).alias("content_length_chars"),
         "doc_id",
     )

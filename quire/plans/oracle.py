@@ -291,10 +291,10 @@ def doc_generic() -> str:
     return (f"SELECT n_title AS title, NULL::VARCHAR AS author, CASE WHEN g THEN n_text END AS text, "
             f"CASE WHEN g THEN {summ} END AS summary, url, source, NULL::VARCHAR AS published_at, "
             f"{q(RUN_TS)} AS scraped_at, url_hash, CASE WHEN g THEN {fingerprint('n_title', 'n_text', 'NULL', 'source')} "
-            f"ELSE {fingerprint('n_title', 'NULL', 'NULL', 'source')} END AS fingerprint, 'missing' AS author_source, "
+            f"ELSE {fingerprint('n_title', 'NULL', 'NULL', 'source')} END AS fingerprint, {q(C.AUTHOR_MISSING)} AS author_source, "
             f"{C.SUMMARY_MAX_CHARS} AS summary_max_chars, CASE WHEN g THEN {trunc} ELSE false END AS summary_truncated, "
             f"g AS parse_ok, CASE WHEN NOT g THEN {q(C.GENERIC_GATE_FAILED)} END AS parse_error, "
-            f"'newspaper3k' AS extraction_method, CAST(CASE WHEN g THEN coalesce(length(n_text), 0) ELSE 0 END AS INTEGER) "
+            f"{q(C.METHOD_GENERIC)} AS extraction_method, CAST(CASE WHEN g THEN coalesce(length(n_text), 0) ELSE 0 END AS INTEGER) "
             f"AS content_length_chars, doc_id FROM ({s1})")
 
 
@@ -351,7 +351,7 @@ def doc_site(rs: str) -> str:
           f"{C.MIN_ARTICLE_TEXT_LENGTH} OR confidence < {C.LOW_CONFIDENCE})")
     return (f"SELECT x_title AS title, NULL::VARCHAR AS author, a_text AS text, a_summary AS summary, url, source, "
             f"NULL::VARCHAR AS published_at, {q(RUN_TS)} AS scraped_at, url_hash, "
-            f"{fingerprint('x_title', 'a_text', 'NULL', 'source')} AS fingerprint, 'missing' AS author_source, "
+            f"{fingerprint('x_title', 'a_text', 'NULL', 'source')} AS fingerprint, {q(C.AUTHOR_MISSING)} AS author_source, "
             f"{C.SUMMARY_MAX_CHARS} AS summary_max_chars, a_trunc AS summary_truncated, {ok} AS parse_ok, "
             f"{err} AS parse_error, {method} AS extraction_method, CAST({n} AS INTEGER) AS content_length_chars, "
             f"doc_id, confidence FROM ({s3})")
