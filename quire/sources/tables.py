@@ -18,6 +18,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy steps (HTML parse, text regexes) at least one task per core.
+
+    A scan yields one partition per file split; a small table stored as a single row group is
+    one task, so the per-row work would run on one core. Only then is the input round-robined
+    to ``defaultParallelism`` partitions. A large input already has many more splits than cores,
+    so the check is false and no shuffle is added."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def pages(spark: SparkSession, sf_dir: str, with_html: bool = True) -> DataFrame:
     """PAGES: page_id, url, html, content_type, feed_author, fetched_at."""
     df = read_table(spark, sf_dir, "pages")
@@ -25,11 +38,12 @@ def pages(spark: SparkSession, sf_dir: str, with_html: bool = True) -> DataFrame
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast(t))
     cols = ["page_id", "url"] + (["html"] if with_html else []) + list(PAGE_OPTIONAL)
-    return df.select(*cols)
+    df = df.select(*cols)
+    return spread(df) if with_html else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return spread(read_table(spark, sf_dir, "documents"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
