@@ -56,3 +56,14 @@ def test_keep_first_and_insert_if_absent(spark):
 def test_duplicate_groups(spark):
     df = spark.createDataFrame([("k", "b"), ("k", "a"), ("j", "c")], "key string, url string")
     assert [(r.key, r.n_rows, r.first_url) for r in dedup.duplicate_groups(df, "key", "url").collect()] == [("k", 2, "a")]
+
+
+def test_frontier_skips_stored_pages(spark):
+    from quire.functions.urls import add_url_hash
+    html = ('<html><body><a href="/news/2026/01/29/stored-story?utm_source=x">1</a>'
+            '<a href="/news/2026/01/29/new-story">2</a></body></html>')
+    c = classify_pages(route_pages(page_df(spark, [("https://example.com/section/page", html)]), REG))
+    fl = FR.followed_links(FR.resolve_links(FR.page_hrefs(c)))
+    stored = add_url_hash(spark.createDataFrame([("https://example.com/news/2026/01/29/stored-story",)], "url string"),
+                          "url", "url_hash")
+    assert [r.url for r in FR.frontier(fl, stored).collect()] == ["https://example.com/news/2026/01/29/new-story"]

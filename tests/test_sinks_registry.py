@@ -63,3 +63,23 @@ def test_registry_consistency_and_selection(spark):
     assert [r.url for r in seeds.orderBy("seed_pos").collect()] == ["https://x.com/a", "https://x.com/b"]
     blank = seeds_df(spark, select_sources(reg, "bbc"), override=" , ")
     assert blank.count() == 5
+
+
+def test_routing_longest_suffix_and_generic(spark):
+    from pyspark.sql import functions as F
+
+    from quire.sources.registry import Source, route
+    reg = [Source("broad", "example.com", ("example.com",), (), "guardian"),
+           Source("narrow", "news.example.com", ("news.example.com",), (), "bbc")]
+    df = spark.createDataFrame([("news.example.com",), ("a.news.example.com",), ("example.com",), ("xexample.com",),
+                                ("other.org",)], "host string")
+    got = {r.host: (r.s.source_name if r.s else None) for r in df.select("host", route(F.col("host"), reg).alias("s")).collect()}
+    assert got == {"news.example.com": "narrow", "a.news.example.com": "narrow", "example.com": "broad",
+                   "xexample.com": None, "other.org": None}
+
+
+def test_registry_size_is_checked(spark, monkeypatch):
+    from quire.sources import registry as R
+    monkeypatch.setattr(R, "MAX_REGISTRY", 3)
+    with pytest.raises(ValueError, match="cannot be embedded"):
+        R.registry_from_df(R.sources_df(spark))
