@@ -127,3 +127,22 @@ def test_generic_path(spark):
     r = articles(spark, [(url, html), (short, "<html><body><article><h1>T</h1><p>tiny</p></article></body></html>")])
     assert (r[url].author, r[url].author_source, r[url].extraction_method, r[url].parse_ok) == ("Jane Doe", "meta", "newspaper3k", True)
     assert r[short].parse_error == "Content validation failed (too short or invalid)" and r[short].text is None
+
+
+def test_jsonld_blocks(spark):
+    from quire.functions import jsonld as J
+    from quire.functions import selectors as S
+    from quire.operators.html_nodes import add_nodes
+    html = ("<html><head>"
+            '<script type="application/ld+json">[{"@type": "Article", "headline": "A"}, 5, "x", {"@type": "Person"}]</script>'
+            '<script type="application/ld+json">{broken</script>'
+            '<script type="application/ld+json">{"@graph": [{"@type": "NewsArticle"}]}</script>'
+            '<script type="application/ld+json">{"@type": ["NewsArticle"], "headline": "L"}</script>'
+            '<script type="text/javascript">{"@type": "NewsArticle"}</script>'
+            "</head></html>")
+    df = add_nodes(page_df(spark, [("https://x.com/a", html)]).select("page_id", "url", "html"))
+    bs = J.blocks(S.ld_scripts())
+    r = df.select(F.size(S.ld_scripts()).alias("scripts"), F.size(bs).alias("blocks"),
+                  F.size(J.article_blocks(bs)).alias("articles")).first()
+    # 4 ld+json scripts; blocks: 2 objects of the array + the @graph object + the list-typed one
+    assert (r.scripts, r.blocks, r.articles) == (4, 4, 1)
