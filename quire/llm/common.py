@@ -77,6 +77,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, rows: int, rows_a_task: int) -> DataFrame:
+    """Small rows that a step turns into many are dealt to enough tasks for that."""
+    return df.repartition(max(1, rows // rows_a_task))
+
+
 def prefix_sum(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
                piece: str, pieces: int = PREFIX_PIECES) -> DataFrame:
     """``out``: the sum of ``value`` over the rows of the same group that come before, in the order
@@ -107,7 +112,8 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     Large-star and small-star rounds: each points every node at the smallest neighbour it knows,
     until nothing changes, after a number of rounds logarithmic in the size of a component. A
     round is two group minima, pre-aggregated in the map tasks, and two joins with them; a
-    hub's edges are one side of a join on a unique key, which adaptive execution splits. Each
+    hub's edges are one side of a join on a unique key, which adaptive execution splits. (Joins are
+    by merging: the sizes that Spark would estimate here are those before steps that add rows.) Each
     round is stored in the shared folder, so a lost executor costs one round."""
     e = stored(edges.where("u <> v")
                .select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct())
@@ -121,10 +127,10 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(least, "u").where("v > u")
+        large = (both.join(least.hint("merge"), "u").where("v > u")
                  .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
         small = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        e = stored(large.join(small, "hi")
+        e = stored(large.join(small.hint("merge"), "hi")
                    .select(F.explode(F.array(F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
                                              F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("x"))
                    .select("x.hi", "x.lo").where("hi <> lo").distinct())

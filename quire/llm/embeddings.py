@@ -157,13 +157,13 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     graph = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     able = F.when(comparable(), F.xxhash64("label", "embedding"))
     ids = stored(rows.select("vec_id", able.alias("node")))
-    known = (n.select("node", "copies").join(counts, "node", "left").join(graph, "node", "left")
+    known = (n.select("node", "copies").join(counts.hint("merge"), "node", "left").join(graph.hint("merge"), "node", "left")
              .select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")))
     first = (ids.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("first")))
-    known = stored(known.join(first, "node"))
+    known = stored(known.join(first.hint("merge"), "node"))
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = known.join(least, "root").select("node", "n_links", "component_id")
-    out = ids.where("node is not null").join(known, "node").select("vec_id", "n_links", "component_id")
+    known = known.join(least.hint("merge"), "root").select("node", "n_links", "component_id")
+    out = ids.where("node is not null").join(known.hint("merge"), "node").select("vec_id", "n_links", "component_id")
     alone = ids.where("node is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id",
                                          F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

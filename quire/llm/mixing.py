@@ -40,25 +40,37 @@ PRIME = 2147483647
 MASKS, FACTORS = (715827882, 1431655765), (1103515245, 1812433253)
 #: A table of up to so many sources (about 60 bytes each) is sent to all tasks; a larger one is joined.
 SOURCES_TO_SEND = 100_000
+#: Slots that one task fills.
+SLOTS_A_TASK = 100_000
+
+
+def stirred(x: Column) -> Column:
+    """``x`` with its bits mixed once more."""
+    for mask, factor in zip(MASKS, FACTORS):
+        x = (x.bitwiseXOR(F.lit(mask).cast("long")) * F.lit(factor)) % F.lit(PRIME)
+    return x
 
 
 def scatter(*keys: Column) -> Column:
     """A pseudorandom number 0 .. PRIME - 1 of whole numbers; products stay below 2^63."""
     y = F.lit(SEED % PRIME).cast("long")
     for k in keys:
-        y = (y + (k.cast("long") % F.lit(PRIME)) * F.lit(FACTORS[0])) % F.lit(PRIME)
-        for mask, factor in zip(MASKS, FACTORS):
-            y = (y.bitwiseXOR(F.lit(mask).cast("long")) * F.lit(factor)) % F.lit(PRIME)
+        y = stirred((y + (k.cast("long") % F.lit(PRIME)) * F.lit(FACTORS[0])) % F.lit(PRIME))
     return y
 
 
-def permuted(x: Column, n: Column, *keys: Column) -> Column:
-    """The place of ``x`` in a permutation of 0 .. n - 1 chosen by ``keys``."""
-    def swap(state, r):
-        mirror = F.pmod(scatter(*keys, r) % n - state, n)
-        bit = F.shiftright(scatter(*keys, r, F.greatest(state, mirror)), 10).bitwiseAND(F.lit(1).cast("long"))
+def round_keys(*keys: Column) -> Column:
+    """The keys of the rounds of one permutation."""
+    return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda r: scatter(*keys, r))
+
+
+def permuted(x: Column, n: Column, keys: Column) -> Column:
+    """The place of ``x`` in the permutation of 0 .. n - 1 that belongs to the round keys."""
+    def swap(state, key):
+        mirror = F.pmod(key % n - state, n)
+        bit = F.shiftright(stirred((F.greatest(state, mirror) + key) % F.lit(PRIME)), 10).bitwiseAND(F.lit(1).cast("long"))
         return F.when(bit == 1, mirror).otherwise(state)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x.cast("long"), swap)
+    return F.aggregate(keys, x.cast("long"), swap)
 
 
 def sources(rows: DataFrame) -> DataFrame:
@@ -106,14 +118,15 @@ def draws(s: DataFrame) -> DataFrame:
     return prefix_sum(many, ["rank"], ["shard"], "n_drawn", "first", "piece").where("n_drawn > 0")
 
 
-def slots(drawn: DataFrame) -> DataFrame:
-    """(source, shard, k, block): which block of its source fills a slot; k numbers the source's slots."""
-    rows = drawn.select("source", "rank", "n_blocks", "shard", F.explode(
-        F.sequence(F.col("first"), F.col("first") + F.col("n_drawn") - 1)).alias("k"))
-    rows = rows.where(F.col("k") < F.col("n_blocks") * MOST_TIMES)
-    times = F.floor(F.col("k") / F.col("n_blocks")).cast("long")
-    block = permuted(F.col("k") % F.col("n_blocks"), F.col("n_blocks"), F.lit(2), F.col("rank"), times)
-    return rows.select("source", "shard", "k", block.alias("block"))
+def slots(drawn: DataFrame, n_slots: int) -> DataFrame:
+    """(source, shard, k, block): which block of its source fills a slot; k numbers the source's slots.
+    The drawn rows are few but long, so they are dealt out by the number of slots."""
+    n, end = F.col("n_blocks"), F.least(F.col("first") + F.col("n_drawn"), F.col("n_blocks") * MOST_TIMES)
+    rows = drawn.repartition(max(1, n_slots // SLOTS_A_TASK), "source", "shard").where(F.col("first") < end)
+    rows = rows.withColumn("end", end).withColumn("time", F.explode(F.sequence(F.floor(F.col("first") / n), F.floor((F.col("end") - 1) / n))))
+    rows = rows.select("source", "shard", "n_blocks", round_keys(F.lit(2), F.col("rank"), F.col("time")).alias("keys"),
+                       F.explode(F.sequence(F.greatest("first", F.col("time") * n), F.least("end", (F.col("time") + 1) * n) - 1)).alias("k"))
+    return rows.select("source", "shard", "k", permuted(F.col("k") % n, n, F.col("keys")).alias("block"))
 
 
 def packed(rows: DataFrame) -> DataFrame:
@@ -145,9 +158,11 @@ def mix(rows: DataFrame, carry: list[str] | None = None) -> DataFrame:
     carry = carry or []
     rows = stored(rows)
     s = stored(sources(rows))
-    used = slots(draws(s)).groupBy("source", "block").agg(F.count("*").alias("times"))
+    used = slots(draws(s), s.agg(F.max("n_slots")).first()[0] or 0).groupBy("source", "block").agg(F.count("*").alias("times"))
     used = used.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "times")
     place = spans(packed(rows))
+    # its size is not known before it runs, so it is never broadcast on an estimate
+    used = used.hint("merge")
     on = place["source"].eqNullSafe(used["u_source"]) & (place["block"] == used["u_block"])
     key = ["source", "piece", "at", "doc_id", "size", *carry]
     taken = (place.join(used, on, "left").groupBy(*key)
@@ -184,12 +199,16 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return joined.select(*old, *[v.alias(k) for k, v in new.items()])
 
 
+def _sql_stirred(y: str) -> str:
+    for mask, factor in zip(MASKS, FACTORS):
+        y = f"((xor(CAST({y} AS BIGINT), CAST({mask} AS BIGINT)) * {factor}) % {PRIME})"
+    return y
+
+
 def _sql_scatter(*keys: str) -> str:
     y = str(SEED % PRIME)
     for k in keys:
-        y = f"({y} + (CAST({k} AS BIGINT) % {PRIME}) * {FACTORS[0]}) % {PRIME}"
-        for mask, factor in zip(MASKS, FACTORS):
-            y = f"((xor(CAST({y} AS BIGINT), CAST({mask} AS BIGINT)) * {factor}) % {PRIME})"
+        y = _sql_stirred(f"({y} + (CAST({k} AS BIGINT) % {PRIME}) * {FACTORS[0]}) % {PRIME}")
     return y
 
 
@@ -198,9 +217,9 @@ def _oracle() -> str:
     mirror image, the next one the swap."""
     inner = f"SELECT source, rank, n_blocks, k % n_blocks AS x, k // n_blocks AS times FROM s3 WHERE k < n_blocks * {MOST_TIMES}"
     for r in range(1, ROUNDS + 1):
-        centre = _sql_scatter("2", "rank", "times", str(r))
-        inner = f"SELECT *, ((({centre}) % n_blocks - x) % n_blocks + n_blocks) % n_blocks AS y FROM ({inner})"
-        bit = _sql_scatter("2", "rank", "times", str(r), "greatest(x, y)")
+        key = _sql_scatter("2", "rank", "times", str(r))
+        inner = f"SELECT *, ((key % n_blocks - x) % n_blocks + n_blocks) % n_blocks AS y FROM (SELECT *, {key} AS key FROM ({inner}))"
+        bit = _sql_stirred(f"(greatest(x, y) + key) % {PRIME}")
         inner = f"SELECT source, rank, n_blocks, times, CASE WHEN (({bit}) >> 10) & 1 = 1 THEN y ELSE x END AS x FROM ({inner})"
     u = _sql_scatter("1", "shard")
     return f"""

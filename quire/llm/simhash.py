@@ -29,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import as_bytes, components, fresh, map_column, only, stored
+from quire.llm.common import as_bytes, components, dealt, fresh, map_column, only, stored
 
 SHINGLE_WORDS, MOST_BITS, SEED = 3, 2, 42
 #: Segments of the index; a ball is enumerated within each.
 SEGMENTS = 4
 #: Shingles hashed before their bits are counted: bounds the memory a long text takes.
 PIECE = 1 << 16
+#: Fingerprints whose index entries one task makes.
+PRINTS_A_TASK = 20_000
 
 
 def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
@@ -99,10 +101,11 @@ def links(prints: DataFrame, bits: int = MOST_BITS, segments: int = SEGMENTS) ->
 def groups(rows: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     """From rows (doc_id, fp): (fp, root, component_id) of every different fingerprint."""
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    found = components(links(nodes.select("fp"), bits)).withColumnRenamed("node", "fp")
-    rooted = stored(nodes.join(found, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    spread = dealt(nodes.select("fp"), nodes.count(), PRINTS_A_TASK)
+    found = components(links(spread, bits)).withColumnRenamed("node", "fp")
+    rooted = stored(nodes.join(found.hint("merge"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "root", "component_id")
+    return rooted.join(least.hint("merge"), "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -111,7 +114,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the text."""
     rows = with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "fp", words=words)
     rows = stored(rows.select("doc_id", F.xxhash64("text").alias("same"), "fp"))
-    return rows.join(groups(rows, bits), "fp")
+    return rows.join(groups(rows, bits).hint("merge"), "fp")
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -128,5 +131,5 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = found.groupBy("root").agg(F.min("same").alias("same"), F.min("doc_id").alias("id"))
     same = fresh(docs, "__same")
     rows = docs.withColumn(same, F.xxhash64("text"))
-    kept = rows.join(keep, rows["doc_id"].eqNullSafe(keep["id"]) & (rows[same] == keep["same"]), "left_semi")
+    kept = rows.join(keep.hint("merge"), rows["doc_id"].eqNullSafe(keep["id"]) & (rows[same] == keep["same"]), "left_semi")
     return only(kept.dropDuplicates(["doc_id", same]), docs.columns)
