@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import decontam, embeddings, langid, linkgraph, mixing, pii, simhash
+from quire.llm import decontam, embeddings, langid, linkgraph, mixing, pii, simhash, templates, toxicity
 from quire.llm.common import table
 
 QUERIES = {
@@ -10,14 +10,17 @@ QUERIES = {
     "op2_embedding_dedup": lambda spark, d: embeddings.near_duplicates(table(spark, d, "embeddings")),
     "op3_mixing": lambda spark, d: mixing.query(table(spark, d, "documents")),
     "op5_decontamination": lambda spark, d: decontam.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op6_site_templates": lambda spark, d: templates.query(table(spark, d, "pages")),
     "op7_link_graph": lambda spark, d: linkgraph.query(table(spark, d, "pages")),
     "op8_language_id": lambda spark, d: langid.query(table(spark, d, "documents")),
     "op9_simhash": lambda spark, d: simhash.query(table(spark, d, "documents")),
+    "op10_toxicity": lambda spark, d: toxicity.query(table(spark, d, "documents"), table(spark, d, "labels")),
 }
 
 ORACLE_SQL = {
     "op2_embedding_dedup": embeddings.ORACLE_SQL,
     "op3_mixing": mixing.ORACLE_SQL,
     "op5_decontamination": decontam.ORACLE_SQL,
+    "op6_site_templates": lambda spark, d: templates.query(table(spark, d, "pages")),
     "op7_link_graph": linkgraph.ORACLE_SQL,
 }
