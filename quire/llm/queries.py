@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import decontam, embeddings, langid, linkgraph, mixing, pii, simhash, templates, toxicity
+from quire.llm import decontam, embeddings, langid, linkgraph, mixing, ngramlm, pii, simhash, templates, toxicity
 from quire.llm.common import table
 
 QUERIES = {
     "op1_pii_feistel": lambda spark, d: pii.query(table(spark, d, "documents")),
     "op2_embedding_dedup": lambda spark, d: embeddings.near_duplicates(table(spark, d, "embeddings")),
     "op3_mixing": lambda spark, d: mixing.query(table(spark, d, "documents")),
+    "op4_ngram_trie": lambda spark, d: ngramlm.query(table(spark, d, "documents")),
     "op5_decontamination": lambda spark, d: decontam.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op6_site_templates": lambda spark, d: templates.query(table(spark, d, "pages")),
     "op7_link_graph": lambda spark, d: linkgraph.query(table(spark, d, "pages")),

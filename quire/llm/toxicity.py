@@ -33,13 +33,13 @@ TRAIN_ROWS, MOST_FEATURES = 20_000, 4096
 #: Label tables of up to so many rows are sent to all tasks, larger ones are joined.
 LABELS_TO_SEND = 2_000_000
 #: Lengths of word beginnings that are features.
-STARTS = (4, 5)
+STARTS = (4, 5, 6, 7)
 #: A feature's share among toxic texts exceeds that among the others by so many standard errors.
 LEAST_Z = 4.0
 #: Features counted in a task before they are passed on.
 FLUSH = 400_000
 #: Strength of the penalties on weights and on counterfactual changes; steps of the fit.
-RIDGE, COUNTERFACTUAL, STEPS = 1.0, 10.0, 400
+RIDGE, COUNTERFACTUAL, STEPS = 0.3, 10.0, 400
 
 # Terms that name groups of people, by kind.
 IDENTITY_TERMS = {
