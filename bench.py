@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quire.plans.catalog import QUERIES  # noqa: E402
 from quire.session import local_session  # noqa: E402
+from quire.sources.tables import SCAN_PARTITIONS  # noqa: E402
 
 HEADLINE = [
     "page_articles",     # HTML step + classification + extraction (the article table)
@@ -35,6 +36,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="quire-bench")
+    # the bench tables are one row group each: deal them to the cores
+    spark.conf.set(SCAN_PARTITIONS, cpus if cpus.isdigit() else "8")
     # warm-up: start the JVM-side machinery and the Python workers once
     QUERIES["html_nodes"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

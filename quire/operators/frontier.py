@@ -22,6 +22,7 @@ from quire.functions import selectors as S
 from quire.functions.urls import add_resolved_url, add_url_hash, add_url_parts, is_valid_url, host_of
 from quire.operators.extract import add_url_flag
 from quire.operators.dedup import anti_join
+from quire.session import ensure_checkpoint_dir
 from quire.sources.registry import same_domain
 
 
@@ -78,6 +79,7 @@ def frontier(followed: DataFrame, visited: DataFrame) -> DataFrame:
     # checkpoint folder. The join then plans against a small scan instead of the whole
     # parse/resolve/key lineage (which the optimizer handles badly), and a lost executor
     # does not re-run the HTML step.
+    ensure_checkpoint_dir(dedup.sparkSession)
     dedup = dedup.checkpoint()
     return anti_join(dedup, visited, "url_hash")
 
@@ -91,6 +93,7 @@ def crawl_walk(page_index: DataFrame, seeds: DataFrame, max_depth: int = C.DEPTH
     then an equi join to the index; lineage is cut with ``checkpoint()`` (the shared folder
     in ``spark.checkpoint.dir``) so a lost executor recomputes one hop, not the walk.
     """
+    ensure_checkpoint_dir(page_index.sparkSession)
     idx = page_index.select("url_hash", "page_id", "is_article_page", "links")
     level = seeds.select("url_hash").distinct().join(idx, "url_hash").withColumn("depth", F.lit(0))
     reached = level.select("url_hash", "page_id", "depth").checkpoint()

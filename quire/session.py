@@ -40,23 +40,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``quire`` importable in Python workers (the HTML step runs there).
 
     Zips the package next to the driver and registers it with ``addPyFile``, which Spark
-    distributes to every executor. Done once per SparkContext."""
+    distributes to every executor. Done once per application."""
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
-    if key in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    fd, path = tempfile.mkstemp(prefix="quire-", suffix=".zip")
+    # Spark's own folder for files of the session, which it deletes at the end
+    fd, path = tempfile.mkstemp(prefix="quire-", suffix=".zip", dir=getattr(sc, "_temp_dir", None))
     os.close(fd)
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
         for base, _dirs, files in os.walk(pkg_dir):
@@ -67,20 +67,22 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
-    _SHIPPED.add(key)
+    _SHIPPED.add(sc.applicationId)
 
 
 def apply_job_conf(spark: SparkSession) -> None:
-    """Set the job settings that are safe to set at runtime (session scoped)."""
-    for k, v in JOB_CONF.items():
-        spark.conf.set(k, v)
+    """Set what the results and the HTML step's memory depend on (session scoped): the time zone
+    and the Arrow batch. Everything else is left as the user has it."""
+    for k in ("spark.sql.session.timeZone", "spark.sql.execution.arrow.maxRecordsPerBatch"):
+        spark.conf.set(k, JOB_CONF[k])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the platform sets it to shared storage and we only read it. Only when it
-    is unset (local tests) do we pick a private scratch folder.
+    Called only where a job checkpoints or stores an intermediate table. On a cluster the
+    platform sets it to shared storage and we only read it. Only when it is unset (tests) do
+    we pick a private scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -88,8 +90,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -18,17 +18,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+#: Setting by which a caller may ask for a table's rows to be dealt to so many tasks before the
+#: CPU-heavy steps. It is for small tables written as one row group, which Spark reads as one task.
+#: Unset, nothing is shuffled, whatever the size of the table.
+SCAN_PARTITIONS = "quire.scan.partitions"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy steps (HTML parse, text regexes) at least one task per core.
-
-    A scan yields one partition per file split; a small table stored as a single row group is
-    one task, so the per-row work would run on one core. Only then is the input round-robined
-    to ``defaultParallelism`` partitions. A large input already has many more splits than cores,
-    so the check is false and no shuffle is added."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    """As the caller's setting says; see SCAN_PARTITIONS."""
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def pages(spark: SparkSession, sf_dir: str, with_html: bool = True) -> DataFrame:
