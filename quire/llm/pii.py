@@ -269,7 +269,7 @@ def finds(text: str, p) -> list[tuple[int, int, str, str]]:
     for m in SECRET.finditer(text):
         found.append((m.start(1), m.end(1), "secret", secret(p, m[1])))
     runs = list(RUN.finditer(text))
-    if runs:
+    if runs or "AKIA" in text:
         for m in KEYS.finditer(text):
             found.append((m.start(), m.end(), "secret", secret(p, m[0])))
         for m in WRITTEN.finditer(text):
