@@ -198,3 +198,14 @@ VERDICT_LOW_CONF = "Low extraction confidence: {c}"
 GENERIC_GATE_FAILED = "Content validation failed (too short or invalid)"
 EXTRACTOR_FAILED = "Extractor failed: "
 PARSE_FAILED = "Parse failed: "
+
+# FIXED VALUES: elements whose paragraphs are an article's text, as (tag or any, attribute, value);
+# "class" means one of the class names, other attributes are compared whole.
+ANCESTOR_RULES = {
+    "article": ("article", None, None),
+    "ap_body": (None, "class", "RichTextStoryBody"),
+    "bbc_body": ("div", "data-component", "text-block"),
+    "cbs_body": (None, "class", "content__body"),
+    "fox_body": (None, "class", "article-body"),
+    "guardian_body": ("div", "itemprop", "articleBody"),
+}

@@ -121,18 +121,3 @@ def not_string_error(v: Column) -> Column:
     return F.format_string("'%s' object has no attribute 'strip'",
                            F.coalesce(F.try_element_at(names, vtype(v)), F.lit("object")))
 
-
-def date_field(bs: Column, key: str, parse) -> Column:
-    """First block whose ``key`` is truthy and either parses or is not a string.
-
-    Returns struct(ts, err): ``err`` carries the message a non-string value raises, which
-    turns the page into a failure row (P20)."""
-    def item(b: Column) -> Column:
-        return let(get(b, key), lambda v: F.when(truthy(v), F.struct(
-            F.when(vtype(v) == "STRING", parse(as_string(v))).alias("ts"),
-            F.when(vtype(v) != "STRING", F.format_string(
-                "'%s' object has no attribute 'strip'",
-                F.coalesce(F.create_map(*[x for k, t in PY_TYPE.items() for x in (F.lit(k), F.lit(t))])[vtype(v)],
-                           F.lit("object")))).alias("err"))))
-    hits = F.filter(F.transform(bs, item), lambda s: s.isNotNull() & (s["ts"].isNotNull() | s["err"].isNotNull()))
-    return F.try_element_at(hits, F.lit(1))

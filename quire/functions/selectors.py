@@ -1,8 +1,8 @@
 """CSS/XPath-style selectors as Catalyst higher-order functions over the ``nodes`` column.
 
 ``nodes`` comes from the HTML step (``quire.operators.html_nodes``). A text node's ``tag`` is
-its parent's tag and its ``path`` ends with the parent's position, so ``X p::text`` is "text
-nodes whose parent is a ``p`` that has an ``X`` ancestor". ``.get()`` is the first match in
+its parent's tag, and its ``above`` says which ancestor rules match further up, so ``X p::text``
+is "text nodes whose parent is a ``p`` that has an ``X`` ancestor", one test of two fields. ``.get()`` is the first match in
 document order, ``.getall()`` the list. Missing attributes are NULL, as in XPath.
 """
 
@@ -13,6 +13,8 @@ from typing import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quire import constants as C
+
 NODES = "nodes"
 Pred = Callable[[Column], Column]
 
@@ -31,13 +33,12 @@ def attr(n: Column, name: str) -> Column:
 
 
 def parent(n: Column) -> Column:
-    return at(F.try_element_at(n["path"], F.lit(-1)))
+    return at(F.nullif(n["parent"], F.lit(0)))
 
 
-def has_ancestor_of_parent(n: Column, pred: Pred) -> Column:
-    """For a text node: does its parent element have an ancestor matching ``pred``?"""
-    above = F.slice(n["path"], 1, F.greatest(F.size(n["path"]) - 1, F.lit(0)))
-    return F.exists(above, lambda i: F.coalesce(pred(at(i)), F.lit(False)))
+def has_ancestor_of_parent(n: Column, rule: str) -> Column:
+    """For a text node: does its parent element have an ancestor matching the ancestor rule?"""
+    return n["above"].bitwiseAND(F.lit(1 << list(C.ANCESTOR_RULES).index(rule))) != 0
 
 
 # ---- element predicates ---------------------------------------------------------
@@ -68,23 +69,23 @@ def both(a: Pred, b: Pred) -> Pred:
 # ---- selectors --------------------------------------------------------------------
 
 
-def texts(parent_pred: Pred, ancestor_pred: Pred | None = None) -> Column:
+def texts(parent_pred: Pred, ancestor: str | None = None) -> Column:
     """All direct text nodes of elements matching ``parent_pred`` (optionally below an
-    element matching ``ancestor_pred``), in document order."""
+    element of an ancestor rule), in document order."""
     def keep(n: Column) -> Column:
         cond = n["t"] & F.coalesce(parent_pred(parent(n)), F.lit(False))
-        if ancestor_pred is not None:
-            cond = cond & has_ancestor_of_parent(n, ancestor_pred)
+        if ancestor is not None:
+            cond = cond & has_ancestor_of_parent(n, ancestor)
         return cond
     return F.transform(F.filter(_nodes(), keep), lambda n: n["text"])
 
 
-def tag_texts(tag: str, ancestor_pred: Pred | None = None) -> Column:
+def tag_texts(tag: str, ancestor: str | None = None) -> Column:
     """Faster form of ``texts`` when the parent test is only its tag (``h1::text``, ``p::text``)."""
     def keep(n: Column) -> Column:
         cond = n["t"] & (n["tag"] == tag)
-        if ancestor_pred is not None:
-            cond = cond & has_ancestor_of_parent(n, ancestor_pred)
+        if ancestor is not None:
+            cond = cond & has_ancestor_of_parent(n, ancestor)
         return cond
     return F.transform(F.filter(_nodes(), keep), lambda n: n["text"])
 

@@ -65,6 +65,14 @@ def fingerprint(title, text, published_at, source) -> Column:
     return F.sha2(F.when(F.length(text) > 0, with_text).otherwise(without), 256)
 
 
+def truncated_summary(n: Column, max_chars: int = C.SUMMARY_MAX_CHARS) -> Column:
+    """A normalized summary, cut at the last space inside the limit if it is longer, trailing
+    ``.,!?;:`` removed and "..." added."""
+    cut = F.regexp_replace(F.substring(n, 1, max_chars), " [^ ]*$", "")
+    cut = F.concat(F.regexp_replace(cut, "[.,!?;:]+$", ""), F.lit("..."))
+    return F.when(F.length(n) > max_chars, cut).otherwise(n)
+
+
 def add_summary(df: DataFrame, src: str, out: str = "summary", flag: str = "summary_truncated",
                 max_chars: int = C.SUMMARY_MAX_CHARS) -> DataFrame:
     """First five sentences, whitespace-normalized; above ``max_chars`` cut at the
@@ -73,11 +81,8 @@ def add_summary(df: DataFrame, src: str, out: str = "summary", flag: str = "summ
     first = F.array_join(F.slice(F.split(F.col(src), SENTENCE_SPLIT), 1, C.SUMMARY_SENTENCES), " ")
     df = df.withColumn(norm, F.when(F.length(F.col(src)) > 0, normalize_ws(first)))
     n = F.col(norm)
-    cut = F.regexp_replace(F.substring(n, 1, max_chars), " [^ ]*$", "")
-    cut = F.concat(F.regexp_replace(cut, "[.,!?;:]+$", ""), F.lit("..."))
-    long_ = F.length(n) > max_chars
-    df = df.withColumn(out, F.when(long_, cut).otherwise(n)) \
-           .withColumn(flag, F.coalesce(long_, F.lit(False)))
+    df = df.withColumn(out, truncated_summary(n, max_chars)) \
+           .withColumn(flag, F.coalesce(F.length(n) > max_chars, F.lit(False)))
     return df.drop(norm)
 
 

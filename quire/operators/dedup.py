@@ -3,7 +3,8 @@
 Keep-first per key is an aggregate, not a window: ``min_by(row, order)`` runs a partial
 (map-side) aggregate before the shuffle, so a key holding a third of all rows arrives at its
 reducer as one row per map task instead of as one giant window partition. The winner is the
-smallest ``order`` (e.g. scraped_at, then page_id), so the result is deterministic.
+smallest ``order`` (e.g. scraped_at, then page_id), so the result is deterministic. Only the
+columns asked for travel with it.
 """
 
 from __future__ import annotations
@@ -12,22 +13,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per ``key``: the row with the smallest ``order`` tuple."""
-    payload = [c for c in df.columns if c != key]
+def keep_first(df: DataFrame, key: str, order: list[str], columns: list[str] | None = None) -> DataFrame:
+    """One row per ``key``: the row with the smallest ``order`` tuple. ``columns``: what the
+    result needs (all columns by default); other columns are dropped before the shuffle."""
+    columns = columns or df.columns
+    payload = [c for c in columns if c != key]
+    slim = df.select(*dict.fromkeys([key, *order, *payload]))
     winner = F.min_by(F.struct(*payload), F.struct(*order)).alias("_w")
-    return df.groupBy(key).agg(winner).select(key, *[F.col("_w." + c).alias(c) for c in payload]) \
-        .select(*df.columns)
+    return slim.groupBy(key).agg(winner).select(*[F.col(key) if c == key else F.col("_w." + c).alias(c) for c in columns])
 
 
-def dedup_by_url(articles: DataFrame, order: list[str] | None = None) -> DataFrame:
+def dedup_by_url(articles: DataFrame, order: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """Same canonical URL (``url_hash``) = same article."""
-    return keep_first(articles, "url_hash", order or ["scraped_at", "url"])
+    return keep_first(articles, "url_hash", order or ["scraped_at", "url"], columns)
 
 
-def dedup_by_content(articles: DataFrame, order: list[str] | None = None) -> DataFrame:
+def dedup_by_content(articles: DataFrame, order: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """Same content fingerprint across URLs = same article."""
-    return keep_first(articles, "fingerprint", order or ["scraped_at", "url"])
+    return keep_first(articles, "fingerprint", order or ["scraped_at", "url"], columns)
 
 
 def duplicate_groups(df: DataFrame, key: str, first: str) -> DataFrame:
@@ -40,10 +43,9 @@ def duplicate_groups(df: DataFrame, key: str, first: str) -> DataFrame:
 def insert_if_absent(target: DataFrame, batch: DataFrame, key: str = "url",
                      order: list[str] | None = None) -> DataFrame:
     """Rows of ``batch`` to append to ``target`` so that ``key`` stays unique and the
-    first write wins: the batch is reduced to one row per key (first by ``order``), then keys
-    already in the target are removed (anti join on unique keys: no skew)."""
-    first = keep_first(batch, key, order or [key])
-    return anti_join(first, target, key)
+    first write wins: keys already in the target are removed first (the target's side of the join
+    is its distinct keys), then the rest is reduced to one row per key (first by ``order``)."""
+    return keep_first(anti_join(batch, target, key), key, order or [key])
 
 
 def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -21,7 +21,7 @@ from quire.functions import selectors as S
 from quire.functions.dates import meta_datetime, utc_string
 from quire.functions.text import (bind, content_gate, content_length, fingerprint, fox_promo_keep,
                                   low_quality_to_null, nbc_promo_keep, normalize_paragraphs,
-                                  normalize_ws, py_strip, add_summary)
+                                  normalize_ws, py_strip, add_summary, truncated_summary)
 from quire.functions.urls import article_path_rule, site_url_rule
 
 SITE_SETS = ["ap", "bbc", "cbs", "cnn", "fox", "guardian", "nbc"]
@@ -34,7 +34,7 @@ def _memo(key, build):
     expressions costs seconds of Python-to-JVM calls, and they depend only on ``key``."""
     from pyspark import SparkContext
     sc = SparkContext._active_spark_context
-    k = (id(sc._jsc) if sc is not None else None, key)
+    k = (sc.applicationId if sc is not None else None, key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
@@ -89,11 +89,11 @@ def _slot_columns(rule_sets) -> list[Column]:
     rs = F.col("rule_set")
     art = S.tag_is("article")
     p_site = _case(rs, _only({
-        "ap": S.tag_texts("p", S.class_token("RichTextStoryBody")),
-        "bbc": S.tag_texts("p", S.both(S.tag_is("div"), S.attr_equals("data-component", "text-block"))),
-        "cbs": S.tag_texts("p", S.class_token("content__body")),
-        "fox": S.tag_texts("p", S.class_token("article-body")),
-        "guardian": S.tag_texts("p", S.both(S.tag_is("div"), S.attr_equals("itemprop", "articleBody"))),
+        "ap": S.tag_texts("p", "ap_body"),
+        "bbc": S.tag_texts("p", "bbc_body"),
+        "cbs": S.tag_texts("p", "cbs_body"),
+        "fox": S.tag_texts("p", "fox_body"),
+        "guardian": S.tag_texts("p", "guardian_body"),
     }, rule_sets)).cast("array<string>")
     dom_author = _case(rs, _only({
         "bbc": S.first(S.texts(S.attr_contains("class", "byline"))),
@@ -114,7 +114,7 @@ def _slot_columns(rule_sets) -> list[Column]:
         S.meta_content("property", "article:published_time").alias("meta_pub"),
         S.first_attr(S.tag_is("time"), "datetime").alias("time_dt"),
         S.exists_element(art).alias("has_article"),
-        S.tag_texts("p", art).alias("p_article"),
+        S.tag_texts("p", "article").alias("p_article"),
         F.when(rs.isin("cnn", "generic"), S.tag_texts("p")).alias("p_all"),
         p_site.alias("p_site"),
         dom_author.alias("dom_author"),
@@ -195,7 +195,8 @@ def add_page_flag(df: DataFrame, path_col: str = "url_path") -> DataFrame:
         .when(path.rlike(r"/[0-9]{4}/[0-9]{2}/[0-9]{2}/.+"), True)
         .otherwise(False)
     )
-    return df.withColumn("is_article_page", F.when(F.col("nodes").isNull(), F.lit(False))
+    # a page that cannot be parsed is an article page if its URL is one's: its failure row is kept
+    return df.withColumn("is_article_page", F.when(F.col("nodes").isNull(), F.col("url_is_article"))
                          .otherwise(site | generic))
 
 
@@ -470,7 +471,14 @@ def _generic_prepare(df: DataFrame) -> DataFrame:
                    normalize_ws(c("g_title_raw")).alias("g_title"),
                    low_quality_to_null(normalize_ws(c("g_text_raw"))).alias("g_text"),
                    F.when(gen, J.first_present(J.top_objects(S.ld_scripts()), _generic_ld_author)).alias("g_ld_author"))
-    return add_summary(df.withColumn("g_sum_src", py_strip(c("g_text_raw"))), "g_sum_src", "g_summary", "g_trunc")
+    # A summary that came with the page counts if it is long enough, and is not cut to sentences
+    given = F.when(gen, py_strip(c("feed_summary"))) if "feed_summary" in df.columns else F.lit(None).cast("string")
+    given = F.when(F.length(given) >= C.SUMMARY_FALLBACK_MIN, normalize_ws(given))
+    df = df.withColumn("g_sum_src", py_strip(c("g_text_raw"))).withColumn("g_given", given)
+    df = add_summary(df, "g_sum_src", "g_text_summary", "g_text_trunc")
+    cut, long = truncated_summary(c("g_given")), F.length(c("g_given")) > C.SUMMARY_MAX_CHARS
+    return df.select("*", F.coalesce(cut, c("g_text_summary")).alias("g_summary"),
+                     F.coalesce(long, c("g_text_trunc")).alias("g_trunc"))
 
 
 def _generic_ld_author(b: Column) -> Column:

@@ -1,11 +1,12 @@
 """HTML → node array, the one Python step.
 
-Each page becomes ``nodes ARRAY<STRUCT<t, tag, attrs, text, path>>`` in document order:
+Each page becomes ``nodes ARRAY<STRUCT<t, tag, attrs, text, parent, above>>`` in document order:
 elements (``t`` false, their tag and the attributes selectors read) and text nodes (``t`` true,
-the parent's tag and the raw text). ``path`` holds the 1-based positions of the enclosing
-elements (for a text node it ends with its parent). Every selector is then a Catalyst
-higher-order function over this array (``quire.functions.selectors``); nothing else runs in
-Python.
+the parent's tag and the raw text). ``parent`` is the 1-based position of the enclosing element
+(0 at the top). ``above`` has one bit for each rule of ``constants.ANCESTOR_RULES``: set on an
+element (and on its text) if an element further up matches the rule. So a page's nodes take
+memory in proportion to the page, however deep it nests. Every selector is a Catalyst
+higher-order function over this array (``quire.functions.selectors``); nothing else runs in Python.
 
 The step is narrow (``mapInArrow``, no shuffle), works on Arrow batches, and drops the HTML
 column, so the large text never reaches a shuffle. A page that fails to parse keeps its row
@@ -13,25 +14,35 @@ with ``nodes`` NULL and the message in ``parse_error``.
 
 Tree repair (stdlib ``html.parser`` only tokenizes): void elements never open; a new ``p``
 or a block start closes an open ``p``; ``li``/``dt``/``dd``/``tr``/``td``/``th``/``option``
-close their open sibling; an end tag closes up to its open element and is ignored when
-none is open; script/style content is raw text; end of input closes everything.
+close their open siblings within their own list or table; an end tag closes up to its open
+element and is ignored when none is open; script/style content is raw text; text that the
+tokenizer delivers in pieces is one node (a comment between pieces splits it); an unknown
+marked section is a comment; end of input closes everything.
+
+JSON-LD scripts that JSON readers differ on (a repeated key, ``NaN``) are rewritten here: the last
+value of a key counts, and such a number becomes its name as a string.
 """
 
 from __future__ import annotations
 
+import json
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from quire.constants import ANCESTOR_RULES
+
 VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
 P_CLOSERS = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+# a start tag closes these open elements, up to the container that bounds them
 SIBLING_CLOSERS = {
-    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
-    "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
+    "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
+    "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
+    "option": (("option",), ("select",)),
 }
 # attributes any selector of the rule sets reads
 KEEP_ATTRS = frozenset(
@@ -44,7 +55,8 @@ NODE_TYPE = T.StructType([
     T.StructField("tag", T.StringType()),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType()),
-    T.StructField("path", T.ArrayType(T.IntegerType())),
+    T.StructField("parent", T.IntegerType()),
+    T.StructField("above", T.IntegerType()),
 ])
 NODES_TYPE = T.ArrayType(NODE_TYPE)
 
@@ -53,16 +65,61 @@ _ARROW_NODE = pa.struct([
     pa.field("tag", pa.string()),
     pa.field("attrs", pa.map_(pa.string(), pa.string())),
     pa.field("text", pa.string()),
-    pa.field("path", pa.list_(pa.int32())),
+    pa.field("parent", pa.int32()),
+    pa.field("above", pa.int32()),
 ])
 _ARROW_NODES = pa.list_(_ARROW_NODE)
 
+# nodes of a batch that are turned into Arrow at once
+BATCH_NODES = 50_000
+
+
+def _rule_bits(tag: str, attrs: dict[str, str]) -> int:
+    """One bit for each ancestor rule that the element matches."""
+    bits = 0
+    for i, (want_tag, key, value) in enumerate(ANCESTOR_RULES.values()):
+        if want_tag is not None and tag != want_tag:
+            continue
+        if key == "class":
+            ok = value in (attrs.get("class") or "").split()
+        else:
+            ok = key is None or attrs.get(key) == value
+        bits |= ok << i
+    return bits
+
+
+def plain_json(text: str) -> str:
+    """The script's JSON with one value for a key and without ``NaN``; as it is if that is so."""
+    odd = False
+
+    def pairs(items):
+        nonlocal odd
+        out = dict(items)
+        odd |= len(out) < len(items)
+        return out
+
+    def constant(name):
+        nonlocal odd
+        odd = True
+        return {"NaN": "nan", "Infinity": "inf", "-Infinity": "-inf"}[name]
+
+    try:
+        value = json.loads(text, object_pairs_hook=pairs, parse_constant=constant)
+    except (ValueError, RecursionError):
+        return text
+    return json.dumps(value, ensure_ascii=False) if odd else text
+
 
 class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
-        self.stack: list[tuple[str, int, dict]] = []
+        # (tag, position, attributes, rules matched above, rules matched above or by itself)
+        self.stack: list[tuple[str, int, dict, int, int]] = []
+        self.text_node: dict | None = None
+
+    def parse_marked_section(self, i, report=1):
+        return self.parse_bogus_comment(i)
 
     def _pop_to(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -70,20 +127,31 @@ class _TreeBuilder(HTMLParser):
                 del self.stack[i:]
                 return
 
+    def _close_siblings(self, closes, bounds) -> None:
+        """Close the outermost open element that the new one ends, within its own container."""
+        cut = None
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] in closes:
+                cut = i
+            elif self.stack[i][0] in bounds:
+                break
+        if cut is not None:
+            del self.stack[cut:]
+
     def _open(self, tag: str, attrs, push: bool) -> None:
+        self.text_node = None
         if tag in P_CLOSERS and any(s[0] == "p" for s in self.stack):
             self._pop_to("p")
-        closes = SIBLING_CLOSERS.get(tag)
-        if closes and self.stack and self.stack[-1][0] in closes:
-            self.stack.pop()
+        if tag in SIBLING_CLOSERS:
+            self._close_siblings(*SIBLING_CLOSERS[tag])
         kept: dict[str, str] = {}
         for k, v in attrs:
             if k in KEEP_ATTRS and k not in kept:
                 kept[k] = "" if v is None else v
-        self.nodes.append({"t": False, "tag": tag, "attrs": kept, "text": None,
-                           "path": [s[1] for s in self.stack]})
+        parent, above = (self.stack[-1][1], self.stack[-1][4]) if self.stack else (0, 0)
+        self.nodes.append({"t": False, "tag": tag, "attrs": list(kept.items()), "text": None, "parent": parent, "above": above})
         if push and tag not in VOID:
-            self.stack.append((tag, len(self.nodes), kept))
+            self.stack.append((tag, len(self.nodes), kept, above, above | _rule_bits(tag, kept)))
 
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs, True)
@@ -94,17 +162,20 @@ class _TreeBuilder(HTMLParser):
         self._open(tag, attrs, tag not in ("script", "style"))
 
     def handle_endtag(self, tag):
+        self.text_node = None
         self._pop_to(tag)
 
+    def handle_comment(self, data):
+        self.text_node = None
+
     def handle_data(self, data):
-        parent = self.stack[-1] if self.stack else None
-        ptag = parent[0] if parent else None
-        if ptag == "style":
-            return
-        if ptag == "script" and parent[2].get("type") != LD_TYPE:
+        tag, parent, attrs, above, _ = self.stack[-1] if self.stack else (None, 0, {}, 0, 0)
+        if tag == "style" or tag == "script" and attrs.get("type") != LD_TYPE:
             return
-        self.nodes.append({"t": True, "tag": ptag, "attrs": None, "text": data,
-                           "path": [s[1] for s in self.stack]})
+        if self.text_node is None:
+            self.text_node = {"t": True, "tag": tag, "attrs": None, "text": [], "parent": parent, "above": above}
+            self.nodes.append(self.text_node)
+        self.text_node["text"].append(data)
 
 
 def parse_nodes(html: str | None) -> tuple[list[dict] | None, str | None]:
@@ -115,24 +186,36 @@ def parse_nodes(html: str | None) -> tuple[list[dict] | None, str | None]:
         b = _TreeBuilder()
         b.feed(html)
         b.close()
+        for n in b.nodes:
+            if n["t"]:
+                n["text"] = "".join(n["text"])
+                if n["tag"] == "script":
+                    n["text"] = plain_json(n["text"])
         return b.nodes, None
     except Exception as e:  # a broken page keeps its row
         return None, str(e)[:200]
 
 
 def _arrow_batches(batches, keep: list[str]):
+    """Rows with their nodes; a batch whose pages hold many nodes is passed on in parts."""
     for batch in batches:
-        htmls = batch.column("html").to_pylist()
-        nodes, errors = [], []
-        for h in htmls:
-            n, e = parse_nodes(h)
-            nodes.append(None if n is None else [dict(x, attrs=None if x["attrs"] is None else list(x["attrs"].items()))
-                                                 for x in n])
+        columns = [batch.column(k) for k in keep]
+
+        def part(start: int, nodes: list, errors: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [c.slice(start, len(nodes)) for c in columns] + [pa.array(nodes, type=_ARROW_NODES), pa.array(errors, type=pa.string())],
+                names=keep + ["nodes", "parse_error"])
+
+        start, held, nodes, errors = 0, 0, [], []
+        for h in batch.column("html"):
+            n, e = parse_nodes(h.as_py())
+            nodes.append(n)
             errors.append(e)
-        cols = [batch.column(k) for k in keep]
-        yield pa.RecordBatch.from_arrays(
-            cols + [pa.array(nodes, type=_ARROW_NODES), pa.array(errors, type=pa.string())],
-            names=keep + ["nodes", "parse_error"])
+            held += len(n or ())
+            if held >= BATCH_NODES:
+                yield part(start, nodes, errors)
+                start, held, nodes, errors = start + len(nodes), 0, [], []
+        yield part(start, nodes, errors)
 
 
 def add_nodes(pages: DataFrame, html_col: str = "html") -> DataFrame:

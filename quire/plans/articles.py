@@ -13,17 +13,17 @@ from quire.functions.urls import add_url_hash, add_url_parts, host_of
 from quire.operators.extract import add_page_flag, add_slots, add_url_flag, article_rows
 from quire.operators.html_nodes import add_nodes
 from quire.sources import tables
-from quire.sources.registry import Source, route, test_registry
-
-RUN_TS = "2026-01-01T00:00:00Z"  # fixed run timestamp of the registered queries (scraped_at)
-
+from quire.sources.registry import EMBED_DOMAINS, Source, default_registry, route, route_by_join
 
 def route_pages(pages: DataFrame, registry: list[Source]) -> DataFrame:
     """X10 + J1/J2 + X2: host, source, rule set and URL key of each page (narrow)."""
     df = add_url_parts(pages, "url", "_p_")
     df = df.select("*", host_of(F.col("_p_netloc")).alias("host"), F.lower(F.col("_p_path")).alias("url_path"))
     df = df.drop(*[f"_p_{p}" for p in ("scheme", "netloc", "path", "params", "query", "fragment")])
-    df = df.withColumn("_src", route(F.col("host"), registry))
+    if sum(len(s.allowed_domains) for s in registry) <= EMBED_DOMAINS:
+        df = df.withColumn("_src", route(F.col("host"), registry))
+    else:
+        df = route_by_join(df, registry)
     df = df.select(
         "*",
         F.coalesce(F.col("_src.source_name"), F.col("host")).alias("source_name"),
@@ -47,13 +47,13 @@ def classify_pages(routed: DataFrame, rule_sets=None) -> DataFrame:
 
 
 def classified_pages(spark: SparkSession, sf_dir: str, registry: list[Source] | None = None) -> DataFrame:
-    reg = registry if registry is not None else test_registry()
+    reg = registry if registry is not None else default_registry()
     return classify_pages(route_pages(tables.pages(spark, sf_dir), reg), rule_sets_of(reg))
 
 
-def articles(spark: SparkSession, sf_dir: str, registry: list[Source] | None = None,
-             run_ts: str = RUN_TS) -> DataFrame:
-    """The ARTICLES table: one row per article page (failures kept with parse_ok=false)."""
-    reg = registry if registry is not None else test_registry()
+def articles(spark: SparkSession, sf_dir: str, run_ts: str, registry: list[Source] | None = None) -> DataFrame:
+    """The ARTICLES table: one row per article page (failures kept with parse_ok=false).
+    ``run_ts`` is the time of this run (scraped_at)."""
+    reg = registry if registry is not None else default_registry()
     df = classified_pages(spark, sf_dir, reg)
     return article_rows(df.where(F.col("is_article_page")), run_ts, rule_sets=rule_sets_of(reg))

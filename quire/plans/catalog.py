@@ -24,10 +24,12 @@ from quire.operators.extract import SITE_SETS
 from quire.operators.html_nodes import add_nodes
 from quire.plans import articles as A
 from quire.plans import documents as D
+from quire.plans import page_sites as PS
 from quire.sources import tables
 from quire.sources.registry import test_registry
 from quire.sources.sinks import kafka_messages
 
+RUN_TS = D.RUN_TS  # fixed run time of the registered queries (scraped_at)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -68,18 +70,18 @@ def page_links(spark, sf):
 
 def page_classification(spark, sf):
     """F11-F20 (F3 + site page tests) with the test registry."""
-    return A.classified_pages(spark, sf).select("page_id", "rule_set", "is_article_page")
+    return A.classified_pages(spark, sf, test_registry()).select("page_id", "rule_set", "is_article_page")
 
 
 def followed_links(spark, sf):
     """W1 after F1, F2, F3: links followed from discovery pages."""
-    links = FR.resolve_links(FR.page_hrefs(A.classified_pages(spark, sf)))
+    links = FR.resolve_links(FR.page_hrefs(A.classified_pages(spark, sf, test_registry())))
     return FR.followed_links(links).select("page_id", "pos", "link_url", "follow_rank")
 
 
 def frontier(spark, sf):
     """Followed URLs not yet stored, one row per url_hash."""
-    links = FR.resolve_links(FR.page_hrefs(A.classified_pages(spark, sf)))
+    links = FR.resolve_links(FR.page_hrefs(A.classified_pages(spark, sf, test_registry())))
     visited = add_url_hash(tables.pages(spark, sf, with_html=False).select("url"), "url", "url_hash")
     return FR.frontier(FR.followed_links(links), visited)
 
@@ -169,7 +171,7 @@ def _site(rs):
 
 def content_dedup(spark, sf):
     """One row per content fingerprint."""
-    return dedup.dedup_by_content(D.generic_articles(spark, sf)).select("fingerprint", "url", "doc_id")
+    return dedup.dedup_by_content(D.generic_articles(spark, sf), columns=["fingerprint", "url", "doc_id"])
 
 
 def dup_groups(spark, sf):
@@ -229,8 +231,8 @@ def insert_if_absent(spark, sf):
     g = D.generic_articles(spark, sf)
     n = D.site_articles(spark, sf, "nbc").drop("confidence")
     target = g.where(F.col("parse_ok"))
-    new = dedup.insert_if_absent(target, g.unionByName(n), "url", ["extraction_method", "fingerprint"])
-    return new.select("url", "extraction_method", "parse_ok", "fingerprint")
+    cols = ["url", "extraction_method", "parse_ok", "fingerprint"]
+    return dedup.insert_if_absent(target, g.select(*cols).unionByName(n.select(*cols)), "url", ["extraction_method", "fingerprint"])
 
 
 def kafka_payload(spark, sf):
@@ -303,12 +305,12 @@ def meta_dates(spark, sf):
 
 def page_articles(spark, sf):
     """The article table of the stored pages (test registry)."""
-    return A.articles(spark, sf)
+    return A.articles(spark, sf, RUN_TS, test_registry())
 
 
 def page_quality(spark, sf):
     """A1 per source over the page article table."""
-    return reports.quality(A.articles(spark, sf), ["source"])
+    return reports.quality(A.articles(spark, sf, RUN_TS, test_registry()), ["source"])
 
 
 def html_nodes(spark, sf):
@@ -327,6 +329,11 @@ def jsonld_blocks(spark, sf):
                      F.size(J.blocks(S.ld_scripts())).alias("n_blocks"))
 
 
+def _page_site(rs):
+    """P3-P20 and the page tests of a site rule set, on pages made from every document."""
+    return lambda spark, sf: PS.site_page_articles(spark, sf, rs, RUN_TS)
+
+
 QUERIES: dict[str, Query] = {
     "page_scan": page_scan,
     "url_keys": url_keys,
@@ -366,4 +373,5 @@ QUERIES: dict[str, Query] = {
     "page_quality": page_quality,
     "html_nodes": html_nodes,
     "jsonld_blocks": jsonld_blocks,
+    **{f"page_site_{rs}": _page_site(rs) for rs in SITE_SETS},
 }

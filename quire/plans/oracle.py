@@ -298,9 +298,9 @@ def doc_generic() -> str:
             f"AS content_length_chars, doc_id FROM ({s1})")
 
 
-def _ladder_sql(rs: str) -> tuple[str, str]:
-    has = {"ld": "false", "ldbody": "false", "title": "coalesce(length(x_title) > 0, false)",
-           "author": "false", "body": "coalesce(length(x_body) > 0, false)"}
+def _ladder_sql(rs: str, ld: str = "false", author: str = "false") -> tuple[str, str]:
+    has = {"ld": ld, "ldbody": "false", "title": "coalesce(length(x_title) > 0, false)",
+           "author": author, "body": "coalesce(length(x_body) > 0, false)"}
     steps, fallback, cap = C.CONFIDENCE_LADDERS[rs]
     whens, conds = [], []
     for needs, gt, score in steps:
@@ -314,31 +314,35 @@ def _ladder_sql(rs: str) -> tuple[str, str]:
     return conf, low
 
 
-def doc_site(rs: str) -> str:
+def doc_site(rs: str, page: bool = False) -> str:
+    """Article rows of a site rule set. ``page``: of the pages that page_sites makes, where an empty
+    line is no paragraph, and an author and a JSON-LD block come by doc_id modulo 3."""
+    ld, author = ("doc_id % 3 = 2", "doc_id % 3 > 0 AND length(source) > 0") if page else ("false", "false")
     url = "'https://' || source || '.example/doc/' || CAST(doc_id AS VARCHAR)"
     base = (f"SELECT doc_id, source, text, {url} AS url, string_split(text, chr(10)) AS lines FROM documents")
     keyed = f"SELECT *, sha256(canon) AS url_hash FROM ({canonical_cte(f'({base})', 'url', 'canon')})"
-    s1 = f"SELECT *, lines[1] AS title_raw, lines[2:] AS paras FROM ({keyed})"
+    paras = "list_filter(lines[2:], lambda l: l <> '')" if page else "lines[2:]"
+    s1 = f"SELECT *, lines[1] AS title_raw, {paras} AS paras FROM ({keyed})"
     if rs in ("fox", "nbc"):
         kept = fox_keep("paras") if rs == "fox" else nbc_keep("paras")
         body = f"CASE WHEN len({kept}) > 0 THEN {paragraphs(kept)} WHEN len(paras) > 0 THEN {paragraphs('paras')} END"
     else:
         body = f"CASE WHEN len(paras) > 0 THEN {paragraphs('paras')} END"
     s2 = f"SELECT *, {norm('title_raw')} AS x_title, {body} AS x_body, len(paras) = 0 AS no_paras FROM ({s1})"
-    conf, low = _ladder_sql(rs)
+    conf, low = _ladder_sql(rs, ld, author)
     no_title = "NOT coalesce(length(x_title) > 0, false)"
     errs = {
         "ap": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), (no_title, C.ERR_AP_NO_TITLE)],
         "bbc": [(no_title, C.ERR_NO_TITLE), ("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE)],
-        "cbs": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), ("true", C.ERR_CBS_NO_LD)],
-        "cnn": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), ("true", C.ERR_CNN_NO_LD)],
+        "cbs": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), (f"NOT ({ld})", C.ERR_CBS_NO_LD)],
+        "cnn": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), (f"NOT ({ld})", C.ERR_CNN_NO_LD)],
         "fox": [(no_title, C.ERR_NO_TITLE), ("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE)],
-        "guardian": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), ("true", C.ERR_GUARDIAN_NO_LD)],
+        "guardian": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), (f"NOT ({ld})", C.ERR_GUARDIAN_NO_LD)],
         "nbc": [("no_paras", C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE)],
     }[rs]
     errors = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN {q(m)} END" for c, m in errs) + "], lambda e: e IS NOT NULL)"
-    method = {"ap": "'dom'", "bbc": "'dom'", "fox": "'dom'", "nbc": "'hybrid'", "cbs": "'dom'", "cnn": "'dom'",
-              "guardian": "'dom'"}[rs]
+    with_ld = {"ap": "CASE WHEN length(x_body) > 0 THEN 'hybrid' ELSE 'dom' END", "cbs": "'json-ld'", "cnn": "'hybrid'", "guardian": "'json-ld'"}
+    method = f"CASE WHEN {ld} THEN {with_ld.get(rs, repr('dom'))} ELSE 'dom' END" if rs != "nbc" else "'hybrid'"
     s3 = (f"SELECT *, {conf} AS confidence, {errors} AS errors, {norm('x_body')} AS a_text, "
           f"{summary_exprs('x_body')[0]} AS a_summary, {summary_exprs('x_body')[1]} AS a_trunc FROM ({s2})")
     n = "coalesce(length(a_text), 0)"
@@ -349,12 +353,14 @@ def doc_site(rs: str) -> str:
            f"WHEN len(errors) > 0 THEN array_to_string(errors[1:{C.MAX_ERRORS_IN_VERDICT}], '; ') END")
     ok = (f"NOT (NOT coalesce(length(x_title) > 0, false) OR a_text IS NULL OR length(a_text) < "
           f"{C.MIN_ARTICLE_TEXT_LENGTH} OR confidence < {C.LOW_CONFIDENCE})")
-    return (f"SELECT x_title AS title, NULL::VARCHAR AS author, a_text AS text, a_summary AS summary, url, source, "
+    who = f"CASE WHEN {author} THEN source END"
+    whence = f"CASE WHEN {author} THEN {method} ELSE {q(C.AUTHOR_MISSING)} END"
+    return (f"SELECT x_title AS title, CAST({who} AS VARCHAR) AS author, a_text AS text, a_summary AS summary, url, source, "
             f"NULL::VARCHAR AS published_at, {q(RUN_TS)} AS scraped_at, url_hash, "
-            f"{fingerprint('x_title', 'a_text', 'NULL', 'source')} AS fingerprint, {q(C.AUTHOR_MISSING)} AS author_source, "
+            f"{fingerprint('x_title', 'a_text', 'NULL', 'source')} AS fingerprint, {whence} AS author_source, "
             f"{C.SUMMARY_MAX_CHARS} AS summary_max_chars, a_trunc AS summary_truncated, {ok} AS parse_ok, "
             f"{err} AS parse_error, {method} AS extraction_method, CAST({n} AS INTEGER) AS content_length_chars, "
-            f"doc_id, confidence FROM ({s3})")
+            f"doc_id{'' if page else ', confidence'} FROM ({s3})")
 
 
 def quality_sql(src: str, by: str | None) -> str:
@@ -487,6 +493,7 @@ def build() -> dict[str, str]:
         "site_url_rules": (f"SELECT event_id, url, " + ", ".join(f"{site_expr('url', rs)} AS {rs}" for rs in SITE_SETS)
                            + f", coalesce({f3_expr('lower(p_path)')}, false) AS generic FROM "
                            f"({split_cte(f'({event_urls()})', 'url', 'p_')})"),
+        **{f"page_site_{rs}": doc_site(rs, page=True) for rs in SITE_SETS},
         "parse_dates": f"SELECT event_id, raw, {X5_SQL} AS iso_utc FROM ({event_dates()})",
         "meta_dates": f"SELECT event_id, raw, {X7_SQL} AS iso_utc FROM ({event_dates()})",
     }

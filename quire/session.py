@@ -15,9 +15,6 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-    # The URL and extraction steps stage many aliased columns; inferring constraints through
-    # them is the documented expensive case of constraint propagation (plans took minutes).
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

@@ -3,8 +3,8 @@
 The registry is a handful of rows (one per outlet). Routing a page or link to its source is a
 host-suffix lookup: the host's dot-suffixes are probed against a literal map built from the
 registry, longest suffix first. That is the equi-join of J1 without a join operator: no
-shuffle, no nested-loop join, and the map's size is checked (``MAX_REGISTRY``) before it is
-embedded in the plan.
+shuffle, no nested-loop join. A registry of more than ``EMBED_DOMAINS`` domains is joined with the
+distinct hosts instead.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from quire import constants as C
 from quire.functions.urls import host_suffixes
 
-MAX_REGISTRY = 10_000  # domains embedded in one plan; beyond this use a broadcast-free join
+EMBED_DOMAINS = 1_000  # up to so many domains are embedded in the plan; more are joined
 
 SOURCE_SCHEMA = T.StructType([
     T.StructField("source_name", T.StringType(), False),
@@ -83,18 +83,13 @@ def seeds_df(spark: SparkSession, registry: list[Source], override: str | None =
 
 
 def registry_from_df(df: DataFrame) -> list[Source]:
-    """Bring a registry table to the driver after checking its size (it is embedded in plans)."""
-    n = df.count()
-    if n > MAX_REGISTRY:
-        raise ValueError(f"registry has {n} rows; more than {MAX_REGISTRY} cannot be embedded in a plan")
+    """A registry table (one row per outlet) as a list."""
     return [Source(r.source_name, r.domain, tuple(r.allowed_domains), tuple(r.start_urls), r.rule_set)
             for r in df.collect()]
 
 
 def _domain_map(registry: list[Source]) -> Column:
     """domain → struct(source_name, source, rule_set, allowed_domains); first source wins a domain."""
-    if sum(len(s.allowed_domains) for s in registry) > MAX_REGISTRY:
-        raise ValueError("registry too large to embed")
     seen: dict[str, Source] = {}
     for s in registry:
         for d in s.allowed_domains:
@@ -117,6 +112,20 @@ def route(host: Column, registry: list[Source]) -> Column:
                                      lambda x: x.isNotNull()), F.lit(1))
 
 
+def route_by_join(df: DataFrame, registry: list[Source]) -> DataFrame:
+    """J1/J2 for large registries: ``df`` with ``_src``. The distinct hosts' suffixes meet the domains
+    in an equi-join; a host keeps its longest one. Rows join their host, which is unique there."""
+    rows = [(d.lower(), k, s.source_name, s.domain, s.rule_set, list(s.allowed_domains)) for k, s in enumerate(registry) for d in s.allowed_domains]
+    domains = df.sparkSession.createDataFrame(
+        rows, "suffix string, k int, source_name string, source string, rule_set string, allowed_domains array<string>")
+    src = F.struct("source_name", "source", "rule_set", "allowed_domains")
+    domains = domains.groupBy("suffix").agg(F.min_by(src, "k").alias("_src"))
+    hosts = df.select(F.col("host").alias("_host")).where("host is not null").distinct()
+    hosts = hosts.select("_host", F.posexplode(host_suffixes(F.col("_host"))).alias("_pos", "suffix")).join(domains, "suffix")
+    hosts = hosts.groupBy("_host").agg(F.min_by("_src", "_pos").alias("_src"))
+    return df.join(hosts, df["host"] == hosts["_host"], "left").drop("_host")
+
+
 def same_domain(host: Column, allowed_domains: Column) -> Column:
     """host equals an allowed domain or ends with "." + one of them."""
     return F.coalesce(F.arrays_overlap(host_suffixes(host), allowed_domains), F.lit(False))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.dedup import insert_if_absent
+from quire.session import ensure_checkpoint_dir
 
 
 def kafka_messages(articles: DataFrame) -> DataFrame:
@@ -22,8 +23,9 @@ def kafka_messages(articles: DataFrame) -> DataFrame:
 
 def write_jsonl_per_source(articles: DataFrame, path: str, by: str = "source_name") -> None:
     """K1: JSON lines, one directory per source, overwriting only the sources written
-    (dynamic partition overwrite), UTF-8 unescaped, nulls kept."""
-    (articles.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (dynamic partition overwrite), UTF-8 unescaped, nulls kept. Rows are regrouped by source
+    first, so a small source is one file and a large one is split by size."""
+    (articles.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy(by).json(path))
 
 
@@ -35,12 +37,15 @@ def write_kafka(articles: DataFrame, bootstrap_servers: str, topic: str = "raw_n
 
 def write_insert_if_absent(articles: DataFrame, path: str, key: str = "url", order: list[str] | None = None) -> DataFrame:
     """Append rows whose key is not yet in the Parquet table at ``path`` (first write
-    wins); returns what was appended. A missing table is created."""
+    wins); returns what was appended. A missing table is created; any other trouble with the
+    table fails the write. Writers of the same table must take turns."""
     spark = articles.sparkSession
-    try:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         target = spark.read.parquet(path)
-    except Exception:  # no table yet
+    else:
         target = articles.limit(0)
+    ensure_checkpoint_dir(spark)
     new = insert_if_absent(target, articles, key, order).checkpoint()
     new.write.mode("append").parquet(path)
     return new

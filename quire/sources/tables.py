@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAGE_OPTIONAL = {"content_type": "string", "feed_author": "string", "fetched_at": "timestamp"}
+PAGE_OPTIONAL = {"content_type": "string", "feed_author": "string", "feed_summary": "string", "fetched_at": "timestamp"}
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -31,7 +31,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str, with_html: bool = True) -> DataFrame:
-    """PAGES: page_id, url, html, content_type, feed_author, fetched_at."""
+    """PAGES: page_id, url, html, content_type, feed_author, feed_summary, fetched_at."""
     df = read_table(spark, sf_dir, "pages")
     for c, t in PAGE_OPTIONAL.items():
         if c not in df.columns:

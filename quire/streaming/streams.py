@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.operators.extract import article_rows
-from quire.plans.articles import RUN_TS, classify_pages, route_pages
+from quire.plans.articles import classify_pages, route_pages
 from quire.session import scratch_path
-from quire.sources.registry import Source, test_registry
+from quire.sources.registry import Source, default_registry
 
 PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -26,6 +26,7 @@ PAGES_SCHEMA = T.StructType([
     T.StructField("html", T.StringType()),
     T.StructField("content_type", T.StringType()),
     T.StructField("feed_author", T.StringType()),
+    T.StructField("feed_summary", T.StringType()),
     T.StructField("fetched_at", T.TimestampType()),
 ])
 
@@ -35,9 +36,9 @@ def page_stream(spark: SparkSession, path: str, max_files: int = 100) -> DataFra
     return spark.readStream.schema(PAGES_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def article_stream(pages: DataFrame, registry: list[Source] | None = None, run_ts: str = RUN_TS) -> DataFrame:
+def article_stream(pages: DataFrame, run_ts: str, registry: list[Source] | None = None) -> DataFrame:
     """Articles of a page stream (same map-only plan as the batch job), with fetched_at."""
-    reg = registry if registry is not None else test_registry()
+    reg = registry if registry is not None else default_registry()
     classified = classify_pages(route_pages(pages, reg))
     return article_rows(classified.where(F.col("is_article_page")), run_ts, extra=("source_name", "page_id", "fetched_at"))
 

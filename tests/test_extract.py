@@ -12,9 +12,9 @@ BODY = " ".join(["This is a sentence of real article text that keeps going."] *
 
 
 def page_df(spark, pages):
-    rows = [(i, u, h, None, None, None) for i, (u, h) in enumerate(pages)]
+    rows = [(i, u, h, None, None, None, None) for i, (u, h) in enumerate(pages)]
     return spark.createDataFrame(rows, "page_id long, url string, html string, content_type string, "
-                                       "feed_author string, fetched_at timestamp")
+                                       "feed_author string, feed_summary string, fetched_at timestamp")
 
 
 def classify(spark, pages, registry=None):
