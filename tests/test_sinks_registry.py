@@ -78,8 +78,11 @@ def test_routing_longest_suffix_and_generic(spark):
                    "xexample.com": None, "other.org": None}
 
 
-def test_registry_size_is_checked(spark, monkeypatch):
-    from quire.sources import registry as R
-    monkeypatch.setattr(R, "MAX_REGISTRY", 3)
-    with pytest.raises(ValueError, match="cannot be embedded"):
-        R.registry_from_df(R.sources_df(spark))
+def test_insert_if_absent_fails_on_a_broken_table(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "part-0.parquet").write_bytes(b"not parquet")
+    rows = spark.createDataFrame([("u", 1)], "url string, n int")
+    with pytest.raises(Exception):
+        sinks.write_insert_if_absent(rows, str(path))
+    assert [f.name for f in path.iterdir()] == ["part-0.parquet"]
