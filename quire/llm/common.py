@@ -17,6 +17,9 @@ from quire.sources.tables import read_table
 #: Rows per Arrow batch. Texts reach 100 KB and more, so the default of 10,000 rows could hold a GB.
 ARROW_ROWS = 512
 
+#: Parts that a node's edges are cut into where they are joined.
+HUB_PARTS = 128
+
 #: Pieces that a group's running sum is cut into, so that no group is one task's work.
 PREFIX_PIECES = 1024
 
@@ -103,6 +106,18 @@ def prefix_sum(df: DataFrame, group: list[str], order: list[str], value: str, ou
             .drop(start, *[f"__k{i}" for i in range(len(keys))]))
 
 
+def beside_least(edges: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """``edges`` with ``out``, the smallest ``value`` of the row's ``key``.
+
+    A key's rows are cut into HUB_PARTS parts by a hash of the value: minima by part, then by key, then
+    dealt back to the parts the key has. So the join's key is (key, part), and a hub that holds a
+    third of all edges is spread over many tasks. The table of minima has at most a row for each edge."""
+    rows = edges.withColumn("part", F.pmod(F.xxhash64(value), F.lit(HUB_PARTS)).cast("int"))
+    by_part = rows.groupBy(key, "part").agg(F.min(value).alias(out))
+    by_key = by_part.groupBy(key).agg(F.min(out).alias(out), F.collect_list("part").alias("parts"))
+    return rows.join(by_key.select(key, out, F.explode("parts").alias("part")).hint("merge"), [key, "part"]).drop("part")
+
+
 def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """Connected components of the undirected graph with edges (u long, v long).
 
@@ -111,10 +126,10 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
 
     Large-star and small-star rounds: each points every node at the smallest neighbour it knows,
     until nothing changes, after a number of rounds logarithmic in the size of a component. A
-    round is two group minima, pre-aggregated in the map tasks, and two joins with them; a
-    hub's edges are one side of a join on a unique key, which adaptive execution splits. (Joins are
-    by merging: the sizes that Spark would estimate here are those before steps that add rows.) Each
-    round is stored in the shared folder, so a lost executor costs one round."""
+    round is two group minima, pre-aggregated in the map tasks, and two joins with them, in which a
+    hub's edges are cut into parts. (Joins are by merging: the sizes that Spark would estimate here
+    are those before steps that add rows.) Each round is stored in the shared folder, so a lost
+    executor costs one round."""
     e = stored(edges.where("u <> v")
                .select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct())
     seen = None
@@ -126,11 +141,9 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         seen = said
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(least.hint("merge"), "u").where("v > u")
-                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
-        small = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        e = stored(large.join(small.hint("merge"), "hi")
+        large = (beside_least(both, "u", "v", "m").where("v > u")
+                 .select(F.col("v").alias("hi"), F.least("u", "m").alias("lo")).distinct())
+        e = stored(beside_least(large, "hi", "lo", "m")
                    .select(F.explode(F.array(F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
                                              F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("x"))
                    .select("x.hi", "x.lo").where("hi <> lo").distinct())
