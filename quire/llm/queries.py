@@ -22,6 +22,5 @@ ORACLE_SQL = {
     "op2_embedding_dedup": embeddings.ORACLE_SQL,
     "op3_mixing": mixing.ORACLE_SQL,
     "op5_decontamination": decontam.ORACLE_SQL,
-    "op6_site_templates": lambda spark, d: templates.query(table(spark, d, "pages")),
     "op7_link_graph": linkgraph.ORACLE_SQL,
 }

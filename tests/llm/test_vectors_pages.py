@@ -212,3 +212,9 @@ def test_pipeline_against_its_operators(llm, sf, tmp_path):
     # pseudonyms keep the number of words
     assert {r["doc_id"]: r["taken"] for r in found} == mixed
     assert 0 < len(found) < len(rows) and all(r["lang"] == rows[r["doc_id"]]["lang"] for r in found)
+
+
+def test_oracle_sql_is_text_for_registered_queries():
+    from quire.llm import queries
+    assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    assert all(isinstance(sql, str) for sql in queries.ORACLE_SQL.values())
