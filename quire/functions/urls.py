@@ -42,11 +42,29 @@ def _in(c: Column, values) -> Column:
     return c.isin(*[F.lit(v) for v in values])
 
 
-def _drop(df: DataFrame, cols) -> DataFrame:
-    return df.drop(*cols)
+# ------------------------------------------------------------------ parts
 
 
-# ------------------------------------------------------------------ parts
+PARTS = ("scheme", "netloc", "path", "params", "query", "fragment")
+
+
+def _cleaned(u: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(u, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+
+def _raw_parts(s: Column, default_scheme: Column | None) -> dict[str, Column]:
+    """Parts of a cleaned URL; ``fp`` is the path with its params."""
+    scheme = F.lower(F.regexp_extract(s, _URL_RE, 1))
+    if default_scheme is not None:
+        scheme = F.when(scheme == "", default_scheme).otherwise(scheme)
+    return {"scheme": scheme, "netloc": F.regexp_extract(s, _URL_RE, 2), "fp": F.regexp_extract(s, _URL_RE, 3),
+            "query": F.regexp_extract(s, _URL_RE, 4), "fragment": F.regexp_extract(s, _URL_RE, 5)}
+
+
+def _path_params(scheme: Column, fp: Column) -> dict[str, Column]:
+    split = _in(scheme, USES_PARAMS) & fp.contains(";")
+    return {"path": F.when(split, F.regexp_extract(fp, _PARAMS_RE, 1)).otherwise(fp),
+            "params": F.when(split, F.regexp_extract(fp, _PARAMS_RE, 2)).otherwise(F.lit(""))}
 
 
 def add_url_parts(df: DataFrame, src: str, prefix: str, default_scheme: str | None = None) -> DataFrame:
@@ -56,25 +74,59 @@ def add_url_parts(df: DataFrame, src: str, prefix: str, default_scheme: str | No
     part after the first ``;`` of the last path segment. ``default_scheme`` names a column
     used when the URL has no scheme (as for a relative link).
     """
-    s = _tmp("s")
-    df = df.withColumn(s, F.regexp_replace(F.regexp_replace(F.col(src), r"^[\x00-\x20]+", ""), r"[\t\r\n]", ""))
-    fp = _tmp("fp")
-    scheme = F.lower(F.regexp_extract(F.col(s), _URL_RE, 1))
-    if default_scheme is not None:
-        scheme = F.when(scheme == "", F.col(default_scheme)).otherwise(scheme)
-    df = df.select("*",
-                   scheme.alias(prefix + "scheme"),
-                   F.regexp_extract(F.col(s), _URL_RE, 2).alias(prefix + "netloc"),
-                   F.regexp_extract(F.col(s), _URL_RE, 3).alias(fp),
-                   F.regexp_extract(F.col(s), _URL_RE, 4).alias(prefix + "query"),
-                   F.regexp_extract(F.col(s), _URL_RE, 5).alias(prefix + "fragment"))
-    split = _in(F.col(prefix + "scheme"), USES_PARAMS) & F.col(fp).contains(";")
-    df = df.select("*",
-                   F.when(split, F.regexp_extract(F.col(fp), _PARAMS_RE, 1)).otherwise(F.col(fp)).alias(prefix + "path"),
-                   F.when(split, F.regexp_extract(F.col(fp), _PARAMS_RE, 2)).otherwise(F.lit("")).alias(prefix + "params"))
+    s, fp = _tmp("s"), _tmp("fp")
+    df = df.withColumn(s, _cleaned(F.col(src)))
+    raw = _raw_parts(F.col(s), F.col(default_scheme) if default_scheme is not None else None)
+    df = df.select("*", *[c.alias(fp if n == "fp" else prefix + n) for n, c in raw.items()])
+    df = df.select("*", *[c.alias(prefix + n) for n, c in _path_params(F.col(prefix + "scheme"), F.col(fp)).items()])
     return df.drop(s, fp)
 
 
+class Elements:
+    """The structs of an array column, widened stage by stage without exploding them: each ``add``
+    is one ``transform``, whose fields the next stage reads as often as it likes."""
+
+    def __init__(self, df: DataFrame, array: str, fields: list[str]):
+        self.df, self.array, self.fields = df, array, fields
+
+    def add(self, make) -> Elements:
+        """New fields from ``make(element)``, a dict of columns; fields of the same name are replaced."""
+        new: list[str] = []
+
+        def one(x):
+            made = make(x)
+            new[:] = made
+            return F.struct(*[x[k].alias(k) for k in self.fields if k not in made], *[c.alias(k) for k, c in made.items()])
+
+        df = self.df.withColumn(self.array, F.transform(F.col(self.array), one))
+        return Elements(df, self.array, [k for k in self.fields if k not in new] + new)
+
+    def keep(self, *fields: str) -> Elements:
+        df = self.df.withColumn(self.array, F.transform(F.col(self.array), lambda x: F.struct(*[x[k].alias(k) for k in fields])))
+        return Elements(df, self.array, list(fields))
+
+    def add_url_parts(self, src: str, prefix: str, default_scheme: Column | None = None) -> Elements:
+        named = lambda parts: {prefix + n: c for n, c in parts.items()}
+        return (self.add(lambda x: {prefix + "s": _cleaned(x[src])})
+                .add(lambda x: named(_raw_parts(x[prefix + "s"], default_scheme)))
+                .add(lambda x: named(_path_params(x[prefix + "scheme"], x[prefix + "fp"]))))
+
+    def add_resolved_url(self, base: str, base_prefix: str, href: str, out: str) -> Elements:
+        """P2 for each element's ``href`` against the row's ``base``, whose parts are columns."""
+        b = lambda n: F.col(base_prefix + n)
+        return (self.add_url_parts(href, "r_", b("scheme"))
+                .add(lambda x: {"segs": _segments(b, lambda n: x["r_" + n])})
+                .add(lambda x: {"jp": _joined(x["segs"]), "net": _authority(b, lambda n: x["r_" + n])})
+                .add(lambda x: {out: _resolved(F.col(base), x[href], b, lambda n: x["r_" + n], x["jp"], x["net"])}))
+
+    def add_url_hash(self, src: str, out: str) -> Elements:
+        """X2 of each element's URL."""
+        part = lambda x: lambda n: x["c_" + n]
+        return (self.add_url_parts(src, "c_")
+                .add(lambda x: dict(zip(("cq", "pp", "net"), _canonical_parts(part(x), True))))
+                .add(lambda x: {out: F.sha2(_canonical(x[src], part(x), x["cq"], x["pp"], x["net"]), 256)}))
+
+
 def unsplit(scheme: Column, netloc: Column, path_params: Column, query: Column, fragment: Column) -> Column:
     """Reassemble parts as ``urlunsplit`` does; ``path_params`` is path plus ``;params``.
 
@@ -138,6 +190,17 @@ def clean_query(query: Column, fix_case: bool = True) -> Column:
 # ------------------------------------------------------------------ X1 / X2 / X10
 
 
+def _canonical_parts(c, fix_case: bool) -> tuple[Column, Column, Column]:
+    """(query, path with params, authority) of the canonical URL; ``c(name)`` is a part."""
+    path = F.when(c("path") == "/", F.lit("/")).otherwise(F.regexp_replace(c("path"), "/+$", ""))
+    return clean_query(c("query"), fix_case), with_params(path, c("params")), F.lower(c("netloc"))
+
+
+def _canonical(u: Column, c, cq: Column, pp: Column, net: Column) -> Column:
+    bad = (c("netloc").contains("[") & ~c("netloc").contains("]")) | (c("netloc").contains("]") & ~c("netloc").contains("["))
+    return F.when(u.isNull(), F.lit(None)).when(bad, u).otherwise(unsplit(c("scheme"), net, pp, cq, F.lit("")))
+
+
 def add_canonical_url(df: DataFrame, src: str = "url", out: str = "canonical_url",
                       fix_case: bool = True) -> DataFrame:
     """Canonical URL — fragment dropped, scheme and authority lower-cased, trailing
@@ -146,14 +209,10 @@ def add_canonical_url(df: DataFrame, src: str = "url", out: str = "canonical_url
     p = _tmp("p")
     df = add_url_parts(df, src, p)
     c = lambda n: F.col(p + n)
-    path = F.when(c("path") == "/", F.lit("/")).otherwise(F.regexp_replace(c("path"), "/+$", ""))
-    cq, pp, net = _tmp("cq"), _tmp("pp"), _tmp("net")
-    df = df.select("*", clean_query(c("query"), fix_case).alias(cq),
-                   with_params(path, c("params")).alias(pp), F.lower(c("netloc")).alias(net))
-    bad = (c("netloc").contains("[") & ~c("netloc").contains("]")) | (c("netloc").contains("]") & ~c("netloc").contains("["))
-    canon = unsplit(c("scheme"), F.col(net), F.col(pp), F.col(cq), F.lit(""))
-    df = df.withColumn(out, F.when(F.col(src).isNull(), F.lit(None)).when(bad, F.col(src)).otherwise(canon))
-    return df.drop(*[p + n for n in ("scheme", "netloc", "path", "params", "query", "fragment")], cq, pp, net)
+    names = [_tmp("cq"), _tmp("pp"), _tmp("net")]
+    df = df.select("*", *[x.alias(n) for x, n in zip(_canonical_parts(c, fix_case), names)])
+    df = df.withColumn(out, _canonical(F.col(src), c, *[F.col(n) for n in names]))
+    return df.drop(*[p + n for n in PARTS], *names)
 
 
 def add_url_hash(df: DataFrame, src: str = "url", out: str = "url_hash", fix_case: bool = True,
@@ -190,46 +249,57 @@ def host_suffixes(h: Column) -> Column:
 # ------------------------------------------------------------------ P2
 
 
-def add_resolved_url(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
-    """Absolute URL of ``href`` against ``base`` (``urljoin`` rules, dot segments folded)."""
-    b, r = _tmp("b"), _tmp("r")
-    df = add_url_parts(df, base, b)
-    df = add_url_parts(df, href, r, default_scheme=b + "scheme")
-    bc = lambda n: F.col(b + n)
-    rc = lambda n: F.col(r + n)
+def _segments(bc, rc) -> Column:
+    """Path segments of a reference put behind the base's folder; ``bc`` and ``rc`` give parts."""
     base_parts = F.split(bc("path"), "/")
     base_dir = F.when(F.element_at(base_parts, -1) != "", F.slice(base_parts, 1, F.size(base_parts) - 1)) \
         .otherwise(base_parts)
     rel = F.concat(base_dir, F.split(rc("path"), "/"))
-    segs = _tmp("segs")
-    df = df.withColumn(segs, F.when(rc("path").startswith("/"), F.split(rc("path"), "/")).otherwise(
-        F.filter(rel, lambda s, i: (i == 0) | (i == F.size(rel) - 1) | (s != ""))))
+    return F.when(rc("path").startswith("/"), F.split(rc("path"), "/")).otherwise(
+        F.filter(rel, lambda s, i: (i == 0) | (i == F.size(rel) - 1) | (s != "")))
+
+
+def _joined(segs: Column) -> Column:
+    """The path of the segments, dot segments folded."""
     folded = F.aggregate(
-        F.col(segs), F.array().cast("array<string>"),
+        segs, F.array().cast("array<string>"),
         lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
         .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
-    folded = F.when(_in(F.element_at(F.col(segs), -1), [".", ".."]), F.concat(folded, F.array(F.lit("")))) \
-        .otherwise(folded)
-    jp, net = _tmp("jp"), _tmp("net")
-    df = df.select("*", F.array_join(folded, "/").alias(jp),
-                   F.when(_in(rc("scheme"), USES_NETLOC), bc("netloc")).otherwise(rc("netloc")).alias(net))
-    merged = unsplit(rc("scheme"), F.col(net),
-                     with_params(F.when(F.col(jp) == "", F.lit("/")).otherwise(F.col(jp)), rc("params")),
+    folded = F.when(_in(F.element_at(segs, -1), [".", ".."]), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    return F.array_join(folded, "/")
+
+
+def _authority(bc, rc) -> Column:
+    return F.when(_in(rc("scheme"), USES_NETLOC), bc("netloc")).otherwise(rc("netloc"))
+
+
+def _resolved(base: Column, href: Column, bc, rc, jp: Column, net: Column) -> Column:
+    merged = unsplit(rc("scheme"), net, with_params(F.when(jp == "", F.lit("/")).otherwise(jp), rc("params")),
                      rc("query"), rc("fragment"))
-    inherit = unsplit(rc("scheme"), F.col(net), with_params(bc("path"), bc("params")),
+    inherit = unsplit(rc("scheme"), net, with_params(bc("path"), bc("params")),
                       F.when(rc("query") == "", bc("query")).otherwise(rc("query")), rc("fragment"))
     own = unsplit(rc("scheme"), rc("netloc"), with_params(rc("path"), rc("params")), rc("query"), rc("fragment"))
     same = (rc("scheme") == bc("scheme")) & _in(rc("scheme"), USES_RELATIVE)
-    bcol, hcol = F.col(base), F.col(href)
-    df = df.withColumn(out, (
-        F.when(bcol.isNull() | (bcol == ""), hcol)
-        .when(hcol.isNull() | (hcol == ""), bcol)
-        .when(~same, hcol)
-        .when(_in(rc("scheme"), USES_NETLOC) & (rc("netloc") != ""), own)
-        .when((rc("path") == "") & (rc("params") == ""), inherit)
-        .otherwise(merged)))
-    parts = ("scheme", "netloc", "path", "params", "query", "fragment")
-    return df.drop(*[b + n for n in parts], *[r + n for n in parts], segs, jp, net)
+    return (F.when(base.isNull() | (base == ""), href)
+            .when(href.isNull() | (href == ""), base)
+            .when(~same, href)
+            .when(_in(rc("scheme"), USES_NETLOC) & (rc("netloc") != ""), own)
+            .when((rc("path") == "") & (rc("params") == ""), inherit)
+            .otherwise(merged))
+
+
+def add_resolved_url(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
+    """Absolute URL of ``href`` against ``base`` (``urljoin`` rules, dot segments folded)."""
+    b, r = _tmp("b"), _tmp("r")
+    df = add_url_parts(df, base, b)
+    df = add_url_parts(df, href, r, default_scheme=b + "scheme")
+    bc = lambda n: F.col(b + n)
+    rc = lambda n: F.col(r + n)
+    segs, jp, net = _tmp("segs"), _tmp("jp"), _tmp("net")
+    df = df.withColumn(segs, _segments(bc, rc))
+    df = df.select("*", _joined(F.col(segs)).alias(jp), _authority(bc, rc).alias(net))
+    df = df.withColumn(out, _resolved(F.col(base), F.col(href), bc, rc, F.col(jp), F.col(net)))
+    return df.drop(*[b + n for n in PARTS], *[r + n for n in PARTS], segs, jp, net)
 
 
 # ------------------------------------------------------------------ URL predicates

@@ -53,7 +53,9 @@ def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     Written as a left outer join on the distinct right keys plus an IS NULL filter: a
     ``left_anti`` join gets pushed below aggregates and projections of the left side, which
-    re-inlines every staged key expression there (planning blows up); the outer join is not."""
-    seen = right.select(F.col(key).alias("_seen_key")).distinct()
-    joined = left.join(seen, left[key] == seen["_seen_key"], "left")
-    return joined.where(F.col("_seen_key").isNull()).drop("_seen_key")
+    re-inlines every staged key expression there (planning blows up); the outer join is not. The
+    null-safe comparison spares the right side an inferred filter, for the same reason. A NULL
+    key is in no table."""
+    seen = right.select(F.col(key).alias("_seen_key")).distinct().withColumn("_seen", F.lit(True))
+    joined = left.join(seen, left[key].eqNullSafe(seen["_seen_key"]), "left")
+    return joined.where(F.col("_seen").isNull() | F.col(key).isNull()).drop("_seen_key", "_seen")

@@ -169,10 +169,13 @@ def add_ld_fields(df: DataFrame) -> DataFrame:
 
 def add_url_flag(df: DataFrame, path_col: str = "url_path", rule_sets=None) -> DataFrame:
     """F3/F4-F10 by the row's rule set. Needs ``url`` and the lower-cased path in ``path_col``."""
-    u = F.col("url")
-    flag = _case(F.col("rule_set"), {rs: site_url_rule(u, rs) for rs in _sites(rule_sets)},
-                 article_path_rule(F.col(path_col)))
-    return df.withColumn("url_is_article", F.coalesce(flag, F.lit(False)))
+    return df.withColumn("url_is_article", url_flag(F.col("url"), F.col(path_col), rule_sets))
+
+
+def url_flag(u: Column, path: Column, rule_sets=None) -> Column:
+    """F3-F10 of a URL and its lower-cased path by the row's rule set."""
+    flag = _case(F.col("rule_set"), {rs: site_url_rule(u, rs) for rs in _sites(rule_sets)}, article_path_rule(path))
+    return F.coalesce(flag, F.lit(False))
 
 
 def add_page_flag(df: DataFrame, path_col: str = "url_path") -> DataFrame:

@@ -6,62 +6,67 @@ non-feed URL, on one of the page source's allowed domains, and article-like by t
 URL rule; the first 100 accepted per page are followed (duplicates count). The frontier is the
 set of followed URLs, keyed by ``url_hash``, minus pages already stored.
 
-Shuffles: W1 partitions the slim link rows (ids, position, URL, flag; no HTML) by
-``page_id`` — a page's links are bounded by its size, so no group grows with the data; the frontier dedup
-aggregates by ``url_hash`` with a map-side partial aggregate, so a URL linked from every
-page collapses before the shuffle; the anti join then meets unique keys on both sides.
+Shuffles: none up to W1. A page's links are one array in the page's row; they are resolved, tested
+and cut to the first 100 accepted ones there, and only those become rows. The frontier
+aggregates by ``url_hash`` with a map-side partial aggregate, so a URL linked from every page
+collapses before the one shuffle; the anti join then meets unique keys on both sides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire import constants as C
 from quire.functions import selectors as S
-from quire.functions.urls import add_resolved_url, add_url_hash, add_url_parts, is_valid_url, host_of
-from quire.operators.extract import add_url_flag
+from quire.functions.text import bind
+from quire.functions.urls import Elements, add_resolved_url, add_url_parts, is_valid_url, host_of
 from quire.operators.dedup import anti_join
+from quire.operators.extract import url_flag
 from quire.session import ensure_checkpoint_dir
 from quire.sources.registry import same_domain
 
 
 def page_hrefs(classified: DataFrame) -> DataFrame:
-    """(page_id, pos, href) for discovery pages, plus what link tests need."""
+    """One row per discovery page with ``hrefs`` (array, document order) and what link tests need."""
     base = S.first_attr(S.tag_is("base"), "href")
     df = classified.where(~F.col("is_article_page") & F.col("nodes").isNotNull()).select(
         "page_id", "url", "source_name", "source", "rule_set", "allowed_domains",
-        base.alias("base_href"), F.posexplode(S.hrefs()).alias("pos", "href"))
+        base.alias("base_href"), S.hrefs().alias("hrefs"))
     # the page's <base href> (itself resolved against the page URL) replaces the page URL
     df = add_resolved_url(df, "url", "base_href", "base_url")
     return df.withColumn("base_url", F.when(F.col("base_href").isNull(), F.col("url")).otherwise(F.col("base_url")))
 
 
 def resolve_links(hrefs: DataFrame) -> DataFrame:
-    """P2 + F1 + F2 + F3-F10: absolute link URL and whether it is followed."""
-    df = add_resolved_url(hrefs, "base_url", "href", "link_url")
-    df = add_url_parts(df, "link_url", "_l_")
-    df = df.select("*", host_of(F.col("_l_netloc")).alias("link_host"), F.lower(F.col("_l_path")).alias("link_path"))
-    df = df.drop(*[f"_l_{p}" for p in ("scheme", "netloc", "path", "params", "query", "fragment")])
-    df = df.withColumn("valid", is_valid_url(F.col("link_url"))) \
-           .withColumn("same_domain", same_domain(F.col("link_host"), F.col("allowed_domains")))
+    """P2 + F1 + F2 + F3-F10: ``links``, an array of (pos, link_url, valid, same_domain, accepted)."""
+    df = add_url_parts(hrefs, "base_url", "b_")
+    df = df.withColumn("links", F.transform("hrefs", lambda h, i: F.struct(i.alias("pos"), h.alias("href"))))
+    e = Elements(df, "links", ["pos", "href"]).add_resolved_url("base_url", "b_", "href", "link_url").keep("pos", "link_url")
+    e = e.add_url_parts("link_url", "l_").add(lambda x: {"host": host_of(x["l_netloc"]), "path": F.lower(x["l_path"])})
     # the page's URL rule set decides whether a link looks like an article
-    flagged = add_url_flag(df.withColumnRenamed("url", "page_url").withColumnRenamed("link_url", "url"),
-                           path_col="link_path")
-    flagged = flagged.withColumnRenamed("url", "link_url").withColumnRenamed("page_url", "url")
-    return flagged.withColumn("accepted", F.col("valid") & F.col("same_domain") & F.col("url_is_article"))
+    e = e.add(lambda x: {"valid": is_valid_url(x["link_url"]), "same_domain": same_domain(x["host"], F.col("allowed_domains")),
+                         "article": url_flag(x["link_url"], x["path"])})
+    e = e.add(lambda x: {"accepted": x["valid"] & x["same_domain"] & x["article"]}).keep(
+        "pos", "link_url", "valid", "same_domain", "accepted")
+    return e.df.select("page_id", "url", "source_name", "links")
 
 
 def followed_links(links: DataFrame, limit: int = C.MAX_FOLLOW_PER_PAGE) -> DataFrame:
-    """The first ``limit`` accepted links per page in document order.
-
-    A running count of accepted links over the page's links in position order; the filter
-    sits above the window. (Filtering on ``accepted`` first would make the optimizer push
-    the predicate down through every staged URL projection, re-inlining each stage.)"""
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slim = links.select("page_id", "pos", "link_url", "source_name", "accepted")
-    ranked = slim.withColumn("follow_rank", F.sum(F.col("accepted").cast("int")).over(w))
-    return ranked.where(F.col("accepted") & (F.col("follow_rank") <= limit)).drop("accepted")
+    """The first ``limit`` accepted links per page in document order: page_id, pos, link_url,
+    source_name, follow_rank, url_hash, first_on_page (no earlier link of the page has the key).
+
+    Cut within the page's array, so there is no shuffle. The outer explode keeps the optimizer from
+    pushing a test of the array's size down through every staged URL projection."""
+    kept = F.slice(F.filter("links", lambda x: F.coalesce(x["accepted"], F.lit(False))), 1, limit)
+    df = links.select("page_id", "source_name", kept.alias("kept"))
+    df = Elements(df, "kept", ["pos", "link_url"]).add_url_hash("link_url", "url_hash").keep("pos", "link_url", "url_hash").df
+    marked = bind(F.transform("kept", lambda x: x["url_hash"]), lambda keys: F.transform("kept", lambda x, i: F.struct(
+        x["pos"].alias("pos"), x["link_url"].alias("link_url"), x["url_hash"].alias("url_hash"),
+        (F.array_position(keys, x["url_hash"]) == i + 1).alias("first_on_page"))))
+    rows = df.select("page_id", "source_name", F.posexplode_outer(marked).alias("at", "x")).where(F.col("x").isNotNull())
+    return rows.select("page_id", "x.pos", "x.link_url", "source_name", (F.col("at") + 1).cast("long").alias("follow_rank"),
+                       "x.url_hash", "x.first_on_page")
 
 
 def frontier(followed: DataFrame, visited: DataFrame) -> DataFrame:
@@ -69,18 +74,12 @@ def frontier(followed: DataFrame, visited: DataFrame) -> DataFrame:
 
     ``visited`` needs a ``url_hash`` column. The kept URL of a key is the first one seen
     (lowest page_id, then position)."""
-    keyed = add_url_hash(followed, "link_url", "url_hash")
-    dedup = keyed.groupBy("url_hash").agg(
-        F.min_by("link_url", F.struct("page_id", "pos")).alias("url"),
-        F.min_by("source_name", F.struct("page_id", "pos")).alias("source_name"),
+    order = F.struct("page_id", "pos")
+    dedup = followed.groupBy("url_hash").agg(
+        F.min_by("link_url", order).alias("url"),
+        F.min_by("source_name", order).alias("source_name"),
         F.count(F.lit(1)).alias("n_links"),
-        F.countDistinct("page_id").alias("n_pages"))
-    # Cut lineage here: the candidates (one row per URL) are written once to the shared
-    # checkpoint folder. The join then plans against a small scan instead of the whole
-    # parse/resolve/key lineage (which the optimizer handles badly), and a lost executor
-    # does not re-run the HTML step.
-    ensure_checkpoint_dir(dedup.sparkSession)
-    dedup = dedup.checkpoint()
+        F.count_if("first_on_page").alias("n_pages"))
     return anti_join(dedup, visited, "url_hash")
 
 
@@ -89,23 +88,26 @@ def crawl_walk(page_index: DataFrame, seeds: DataFrame, max_depth: int = C.DEPTH
 
     ``page_index``: url_hash, page_id, is_article_page, links (array of followed link
     url_hash, already capped per page). ``seeds``: url_hash. Returns (url_hash, page_id,
-    depth) of every reached stored page. Each hop is an anti join against what is reached,
-    then an equi join to the index; lineage is cut with ``checkpoint()`` (the shared folder
-    in ``spark.checkpoint.dir``) so a lost executor recomputes one hop, not the walk.
+    depth) of every reached stored page. The slim index is written once, then each hop writes
+    its own level only (``checkpoint()``, to the shared folder in ``spark.checkpoint.dir``), so a
+    lost executor recomputes one hop. A hop is an anti join against the levels so far, then an
+    equi join to the index; the result is the union of the levels.
     """
     ensure_checkpoint_dir(page_index.sparkSession)
-    idx = page_index.select("url_hash", "page_id", "is_article_page", "links")
-    level = seeds.select("url_hash").distinct().join(idx, "url_hash").withColumn("depth", F.lit(0))
-    reached = level.select("url_hash", "page_id", "depth").checkpoint()
-    level = level.checkpoint()
+    idx = page_index.select("url_hash", "page_id", F.when(~F.col("is_article_page"), F.col("links")).alias("links")).checkpoint()
+    levels = [seeds.select("url_hash").distinct().join(idx, "url_hash").withColumn("depth", F.lit(0)).checkpoint()]
     for depth in range(1, max_depth + 1):
-        nxt = (level.where(~F.col("is_article_page"))
-               .select(F.explode("links").alias("url_hash")).distinct()
-               .join(reached.select("url_hash"), "url_hash", "left_anti")
-               .join(idx, "url_hash"))
-        nxt = nxt.withColumn("depth", F.lit(depth)).checkpoint()
+        reached = _union(levels, "url_hash")
+        nxt = (levels[-1].select(F.explode("links").alias("url_hash")).distinct()
+               .join(reached, "url_hash", "left_anti").join(idx, "url_hash").withColumn("depth", F.lit(depth)).checkpoint())
         if nxt.isEmpty():
             break
-        reached = reached.unionByName(nxt.select("url_hash", "page_id", "depth")).checkpoint()
-        level = nxt
-    return reached
+        levels.append(nxt)
+    return _union(levels, "url_hash", "page_id", "depth")
+
+
+def _union(levels: list[DataFrame], *columns: str) -> DataFrame:
+    out = levels[0].select(*columns)
+    for level in levels[1:]:
+        out = out.unionByName(level.select(*columns))
+    return out

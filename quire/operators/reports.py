@@ -66,22 +66,22 @@ def error_counts(articles: DataFrame) -> DataFrame:
             .groupBy("source", "parse_error").agg(F.count(F.lit(1)).alias("n")))
 
 
-def run_counters(frontier_requests: DataFrame, pages: DataFrame, articles: DataFrame) -> DataFrame:
-    """A3/A4: requests (followed URLs), responses (stored pages), items, item errors and the
-    run's scraped_at span, as one row: a tagged union of the three inputs and one aggregate."""
+def run_counters(requests: DataFrame, classified: DataFrame, articles: DataFrame) -> DataFrame:
+    """A3/A4 of one run, as one row. ``requests`` (url_hash): seeds and followed URLs, a URL counts once;
+    responses: the stored pages; items: article rows, among them items_failed, whose failure was
+    handled (parse_ok false); errors: pages that could not be parsed and gave no item; the span of
+    scraped_at. A tagged union of the three inputs and one aggregate."""
     none_b, none_s = F.lit(None).cast("boolean"), F.lit(None).cast("string")
-    tagged = (frontier_requests.select(F.lit("req").alias("kind"), none_b.alias("ok"), none_s.alias("ts"))
-              .unionByName(pages.select(F.lit("resp").alias("kind"), none_b.alias("ok"), none_s.alias("ts")))
-              .unionByName(articles.select(F.lit("item").alias("kind"), F.col("parse_ok").alias("ok"),
+    lost = F.col("parse_error").isNotNull() & ~F.col("is_article_page")
+    tagged = (requests.select("url_hash").distinct().select(F.lit("req").alias("kind"), none_b.alias("bad"), none_s.alias("ts"))
+              .unionByName(classified.select(F.lit("resp").alias("kind"), lost.alias("bad"), none_s.alias("ts")))
+              .unionByName(articles.select(F.lit("item").alias("kind"), (~F.col("parse_ok")).alias("bad"),
                                            F.col("scraped_at").alias("ts"))))
+    of = lambda kind, cond=F.lit(True): F.count_if((F.col("kind") == kind) & cond)
     return tagged.agg(
-        F.count_if(F.col("kind") == "req").alias("requests"),
-        F.count_if(F.col("kind") == "resp").alias("responses"),
-        F.count_if(F.col("kind") == "item").alias("items"),
-        F.count_if((F.col("kind") == "item") & ~F.col("ok")).alias("errors"),
-        F.min("ts").alias("first_scraped_at"),
-        F.max("ts").alias("last_scraped_at"),
-    )
+        of("req").alias("requests"), of("resp").alias("responses"), of("item").alias("items"),
+        of("item", F.col("bad")).alias("items_failed"), of("resp", F.col("bad")).alias("errors"),
+        F.min("ts").alias("first_scraped_at"), F.max("ts").alias("last_scraped_at"))
 
 
 def sample(articles: DataFrame, n: int = C.QUALITY_SAMPLE) -> DataFrame:

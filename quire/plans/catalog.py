@@ -24,6 +24,7 @@ from quire.operators.extract import SITE_SETS
 from quire.operators.html_nodes import add_nodes
 from quire.plans import articles as A
 from quire.plans import documents as D
+from quire.plans import event_site as ES
 from quire.plans import page_sites as PS
 from quire.sources import tables
 from quire.sources.registry import test_registry
@@ -209,9 +210,8 @@ def error_counts(spark, sf):
 
 
 def run_counters(spark, sf):
-    """A3/A4: requests (frontier), responses (pages), items and errors (document articles)."""
-    fr = frontier(spark, sf)
-    return reports.run_counters(fr, tables.pages(spark, sf, with_html=False), D.generic_articles(spark, sf))
+    """A3/A4: one run over the site made from the events."""
+    return ES.site_run(spark, sf, RUN_TS)
 
 
 def quality_sample(spark, sf):
@@ -362,6 +362,9 @@ QUERIES: dict[str, Query] = {
     "failure_by_source": failure_by_source,
     "error_counts": error_counts,
     "run_counters": run_counters,
+    "site_links": ES.site_links,
+    "site_frontier": ES.site_frontier,
+    "site_walk": ES.site_walk,
     "quality_sample": quality_sample,
     "gate_vs_labels": gate_vs_labels,
     "insert_if_absent": insert_if_absent,

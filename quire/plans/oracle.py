@@ -271,6 +271,16 @@ def frontier_sql() -> str:
     return f"SELECT d.* FROM ({dedup}) d ANTI JOIN ({visited}) v USING (url_hash)"
 
 
+# the site made from the events, written out: which links count, which pages are what
+SITE = "https://walk.example.org"
+SITE_PAGES = (f"SELECT DISTINCT event_id // 130 AS page_id, '{SITE}' || (CASE WHEN event_id // 130 % 10 = 1 THEN '/tag/page-' "
+              f"ELSE '/news/page-number-' END) || (event_id // 130) AS url FROM events")
+SITE_FOLLOWED = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS follow_rank FROM (SELECT "
+                 f"event_id // 130 AS page_id, row_number() OVER (PARTITION BY event_id // 130 ORDER BY event_id) - 1 AS pos, "
+                 f"event_id, '{SITE}/news/page-number-' || (3 * (event_id // 130) + event_id % 4) AS link_url FROM events) "
+                 f"WHERE event_id % 10 <> 0 AND page_id % 10 NOT IN (3, 8)) WHERE follow_rank <= 100")
+
+
 def pages_with_copies() -> str:
     both = ("SELECT page_id, url, 0 AS copy FROM pages UNION ALL SELECT page_id, url || (CASE WHEN contains(url, '?') "
             "THEN '&' ELSE '?' END) || 'utm_source=copy', 1 FROM pages")
@@ -470,9 +480,18 @@ def build() -> dict[str, str]:
                               f"count_if(parse_error IS NOT NULL) AS n_with_error FROM ({G}) GROUP BY source"),
         "error_counts": (f"SELECT source, parse_error, count(*) AS n FROM ({doc_site('cnn')}) WHERE parse_error IS NOT NULL "
                          f"GROUP BY source, parse_error"),
-        "run_counters": (f"SELECT (SELECT count(*) FROM ({frontier_sql()})) AS requests, (SELECT count(*) FROM pages) AS "
-                         f"responses, count(*) AS items, count_if(NOT parse_ok) AS errors, min(scraped_at) AS "
-                         f"first_scraped_at, max(scraped_at) AS last_scraped_at FROM ({G})"),
+        "site_links": f"SELECT page_id, pos, link_url, follow_rank FROM ({SITE_FOLLOWED})",
+        "site_frontier": (f"SELECT sha256(link_url) AS url_hash, link_url AS url, 'walk' AS source_name, count(*) AS n_links, "
+                          f"count(DISTINCT page_id) AS n_pages FROM ({SITE_FOLLOWED}) WHERE link_url NOT IN "
+                          f"(SELECT url FROM ({SITE_PAGES})) GROUP BY link_url"),
+        "site_walk": (f"WITH RECURSIVE l AS MATERIALIZED (SELECT DISTINCT f.page_id AS a, p.page_id AS b FROM ({SITE_FOLLOWED}) f "
+                      f"JOIN ({SITE_PAGES}) p ON p.url = f.link_url), r(page_id, depth) AS (SELECT page_id, 0 FROM ({SITE_PAGES}) "
+                      f"WHERE url = '{SITE}/news/page-number-0' UNION SELECT l.b, r.depth + 1 FROM r JOIN l ON l.a = r.page_id "
+                      f"WHERE r.depth < 50) SELECT page_id, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY page_id"),
+        "run_counters": (f"SELECT (SELECT count(DISTINCT u) FROM (SELECT link_url AS u FROM ({SITE_FOLLOWED}) UNION ALL SELECT "
+                         f"'{SITE}/news/page-number-0')) AS requests, count(*) AS responses, count_if(page_id % 10 IN (3, 8)) "
+                         f"AS items, count_if(page_id % 10 = 8) AS items_failed, 0::BIGINT AS errors, "
+                         f"{q(RUN_TS)} AS first_scraped_at, {q(RUN_TS)} AS last_scraped_at FROM ({SITE_PAGES})"),
         "quality_sample": (f"SELECT url, title, parse_ok, content_length_chars FROM ({G}) ORDER BY scraped_at, url "
                            f"LIMIT {C.QUALITY_SAMPLE}"),
         "gate_vs_labels": (f"SELECT l.quality, a.parse_ok, count(*) AS n FROM ({G}) a JOIN labels l USING (doc_id) "
