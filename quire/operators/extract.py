@@ -553,3 +553,13 @@ def article_rows(df: DataFrame, run_ts: str, extra: tuple[str, ...] = ("source_n
         col = fixed[name] if name in fixed else F.when(is_gen, gen[name]).otherwise(site[name])
         cols.append(col.alias(name))
     return df.select(*cols, *[c for c in extra if c in df.columns])
+
+
+def extracted_rows(df: DataFrame, extra: tuple[str, ...] = (), rule_sets=None) -> DataFrame:
+    """EXTRACTED: what a site rule set read from each classified article page, before it is mapped to
+    an article row: section, tags, confidence and errors are kept here."""
+    df = add_site_score(add_site_fields(add_ld_fields(df.where(F.col("rule_set") != "generic")), rule_sets), rule_sets)
+    x = F.col("x")
+    as_is = ("title", "body", "author", "section", "tags", "extraction_method", "confidence", "errors", "fail")
+    return df.select(*extra, "url", "url_hash", *[x[c].alias(c) for c in as_is],
+                     utc_string(x["published_at"]).alias("published_at"), utc_string(x["modified_at"]).alias("modified_at"))

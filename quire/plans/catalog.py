@@ -334,6 +334,11 @@ def _page_site(rs):
     return lambda spark, sf: PS.site_page_articles(spark, sf, rs, RUN_TS)
 
 
+def page_extracted(spark, sf):
+    """EXTRACTED table: all fields of a rule set, section, tags, confidence and errors included."""
+    return PS.site_page_extracted(spark, sf, "ap")
+
+
 QUERIES: dict[str, Query] = {
     "page_scan": page_scan,
     "url_keys": url_keys,
@@ -376,5 +381,6 @@ QUERIES: dict[str, Query] = {
     "page_quality": page_quality,
     "html_nodes": html_nodes,
     "jsonld_blocks": jsonld_blocks,
+    "page_extracted": page_extracted,
     **{f"page_site_{rs}": _page_site(rs) for rs in SITE_SETS},
 }

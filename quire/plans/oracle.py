@@ -324,8 +324,8 @@ def _ladder_sql(rs: str, ld: str = "false", author: str = "false") -> tuple[str,
     return conf, low
 
 
-def doc_site(rs: str, page: bool = False) -> str:
-    """Article rows of a site rule set. ``page``: of the pages that page_sites makes, where an empty
+def doc_site(rs: str, page: bool = False, extracted: bool = False) -> str:
+    """Article rows of a site rule set (``extracted``: EXTRACTED rows). ``page``: of the pages that page_sites makes, where an empty
     line is no paragraph, and an author and a JSON-LD block come by doc_id modulo 3."""
     ld, author = ("doc_id % 3 = 2", "doc_id % 3 > 0 AND length(source) > 0") if page else ("false", "false")
     url = "'https://' || source || '.example/doc/' || CAST(doc_id AS VARCHAR)"
@@ -365,6 +365,12 @@ def doc_site(rs: str, page: bool = False) -> str:
           f"{C.MIN_ARTICLE_TEXT_LENGTH} OR confidence < {C.LOW_CONFIDENCE})")
     who = f"CASE WHEN {author} THEN source END"
     whence = f"CASE WHEN {author} THEN {method} ELSE {q(C.AUTHOR_MISSING)} END"
+    if extracted:
+        named = "doc_id % 3 = 2 AND length(source) > 0"
+        return (f"SELECT doc_id, url, url_hash, x_title AS title, x_body AS body, CAST({who} AS VARCHAR) AS author, "
+                f"CASE WHEN {named} THEN source END AS section, CASE WHEN {named} THEN [source, 'page'] ELSE [] END AS tags, "
+                f"{method} AS extraction_method, confidence, errors, NULL::VARCHAR AS fail, NULL::VARCHAR AS published_at, "
+                f"NULL::VARCHAR AS modified_at FROM ({s3})")
     return (f"SELECT x_title AS title, CAST({who} AS VARCHAR) AS author, a_text AS text, a_summary AS summary, url, source, "
             f"NULL::VARCHAR AS published_at, {q(RUN_TS)} AS scraped_at, url_hash, "
             f"{fingerprint('x_title', 'a_text', 'NULL', 'source')} AS fingerprint, {whence} AS author_source, "
@@ -512,6 +518,7 @@ def build() -> dict[str, str]:
         "site_url_rules": (f"SELECT event_id, url, " + ", ".join(f"{site_expr('url', rs)} AS {rs}" for rs in SITE_SETS)
                            + f", coalesce({f3_expr('lower(p_path)')}, false) AS generic FROM "
                            f"({split_cte(f'({event_urls()})', 'url', 'p_')})"),
+        "page_extracted": doc_site("ap", page=True, extracted=True),
         **{f"page_site_{rs}": doc_site(rs, page=True) for rs in SITE_SETS},
         "parse_dates": f"SELECT event_id, raw, {X5_SQL} AS iso_utc FROM ({event_dates()})",
         "meta_dates": f"SELECT event_id, raw, {X7_SQL} AS iso_utc FROM ({event_dates()})",

@@ -2,7 +2,7 @@
 
 The first line is the ``h1``, every other line a ``p`` in the element where the rule set looks for
 its text. By ``doc_id`` modulo 3 a page has no author, a meta author, or a JSON-LD block (with a
-repeated key, of which the last counts) that names headline and author.
+repeated key, of which the last counts) that names headline, author, section and keywords.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.extract import ARTICLE_COLUMNS, article_rows
+from quire.operators.extract import ARTICLE_COLUMNS, article_rows, extracted_rows
 from quire.plans.articles import classify_pages, route_pages
 from quire.plans.documents import doc_pages
 from quire.sources.registry import Source
@@ -34,7 +34,8 @@ def site_pages(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
     lines = F.split(F.col("text"), "\n")
     title = F.element_at(lines, 1)
     paras = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda p: F.concat(F.lit("<p>"), _escaped(p), F.lit("</p>")))
-    block = F.to_json(F.struct(F.lit("NewsArticle").alias("@type"), title.alias("headline"), F.struct(F.col("source").alias("name")).alias("author")))
+    block = F.to_json(F.struct(F.lit("NewsArticle").alias("@type"), title.alias("headline"), F.struct(F.col("source").alias("name")).alias("author"),
+                               F.col("source").alias("articleSection"), F.concat("source", F.lit(", page")).alias("keywords")))
     block = F.concat(F.lit('<script type="application/ld+json">{"headline":"an earlier one",'),
                      F.replace(F.substring(block, 2, 1 << 30), F.lit("</"), F.lit("<\\/")), F.lit("</script>"))
     kind = F.col("doc_id") % 3
@@ -49,9 +50,19 @@ def site_pages(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
     return route_pages(pages, [Source("example", "example", ("example",), (), rule_set)])
 
 
+def _article_pages(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
+    routed = site_pages(spark, sf_dir, rule_set).withColumn("source", F.col("doc_source"))
+    return classify_pages(routed, (rule_set, "generic")).where(F.col("is_article_page"))
+
+
 def site_page_articles(spark: SparkSession, sf_dir: str, rule_set: str, run_ts: str) -> DataFrame:
     """The article rows of these pages."""
-    routed = site_pages(spark, sf_dir, rule_set).withColumn("source", F.col("doc_source"))
-    pages = classify_pages(routed, (rule_set, "generic")).where(F.col("is_article_page"))
+    pages = _article_pages(spark, sf_dir, rule_set)
     rows = article_rows(pages, run_ts, extra=("page_id",), rule_sets=(rule_set, "generic"))
     return rows.select(*ARTICLE_COLUMNS, F.col("page_id").alias("doc_id"))
+
+
+def site_page_extracted(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
+    """The EXTRACTED rows of these pages."""
+    rows = extracted_rows(_article_pages(spark, sf_dir, rule_set), ("page_id",), (rule_set,))
+    return rows.withColumnRenamed("page_id", "doc_id")
