@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import components, stored
+from quire.llm.common import beside_least, components, stored
 
 LEAST_COSINE = 0.98
 TABLES, BITS, SEED = 20, 14, 7
@@ -161,8 +161,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
              .select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")))
     first = (ids.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("first")))
     known = stored(known.join(first.hint("merge"), "node"))
-    least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = known.join(least.hint("merge"), "root").select("node", "n_links", "component_id")
+    known = beside_least(known, "root", "first", "component_id").select("node", "n_links", "component_id")
     out = ids.where("node is not null").join(known.hint("merge"), "node").select("vec_id", "n_links", "component_id")
     alone = ids.where("node is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id",

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import as_bytes, components, dealt, fresh, map_column, only, stored
+from quire.llm.common import as_bytes, beside_least, components, dealt, fresh, map_column, only, stored
 
 SHINGLE_WORDS, MOST_BITS, SEED = 3, 2, 42
 #: Segments of the index; a ball is enumerated within each.
@@ -104,8 +104,7 @@ def groups(rows: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     spread = dealt(nodes.select("fp"), nodes.count(), PRINTS_A_TASK)
     found = components(links(spread, bits)).withColumnRenamed("node", "fp")
     rooted = stored(nodes.join(found.hint("merge"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(least.hint("merge"), "root").select("fp", "root", "component_id")
+    return beside_least(rooted, "root", "first", "component_id").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
