@@ -18,6 +18,24 @@ from quire import constants as C
 NODES = "nodes"
 Pred = Callable[[Column], Column]
 
+#: Ancestor rules by name, in the order of their bits; attributes that the HTML step keeps. Rule sets
+#: that are registered add theirs.
+ANCESTORS: dict[str, tuple] = dict(C.ANCESTOR_RULES)
+KEPT_ATTRS: set[str] = set(
+    "class id href content name property itemprop itemtype data-component data-testid "
+    "data-page-type rel type datetime".split())
+
+
+def add_ancestor(name: str, rule: tuple) -> None:
+    """An ancestor rule (tag or None, attribute or None, value); 63 at most, a bit each."""
+    if ANCESTORS.get(name, rule) != rule:
+        raise ValueError(f"another ancestor rule has the name {name}")
+    if name not in ANCESTORS and len(ANCESTORS) >= 63:
+        raise ValueError("there are 63 ancestor rules already")
+    ANCESTORS[name] = rule
+    if rule[1]:
+        KEPT_ATTRS.add(rule[1])
+
 
 def _nodes() -> Column:
     return F.col(NODES)
@@ -29,6 +47,8 @@ def at(i: Column) -> Column:
 
 
 def attr(n: Column, name: str) -> Column:
+    if name not in KEPT_ATTRS:
+        raise ValueError(f"the HTML step does not keep the attribute {name}; list it in the rule set's attrs")
     return F.try_element_at(n["attrs"], F.lit(name))
 
 
@@ -38,7 +58,7 @@ def parent(n: Column) -> Column:
 
 def has_ancestor_of_parent(n: Column, rule: str) -> Column:
     """For a text node: does its parent element have an ancestor matching the ancestor rule?"""
-    return n["above"].bitwiseAND(F.lit(1 << list(C.ANCESTOR_RULES).index(rule))) != 0
+    return n["above"].bitwiseAND(F.lit(1 << list(ANCESTORS).index(rule)).cast("long")) != 0
 
 
 # ---- element predicates ---------------------------------------------------------

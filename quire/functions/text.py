@@ -65,16 +65,16 @@ def fingerprint(title, text, published_at, source) -> Column:
     return F.sha2(F.when(F.length(text) > 0, with_text).otherwise(without), 256)
 
 
-def truncated_summary(n: Column, max_chars: int = C.SUMMARY_MAX_CHARS) -> Column:
+def truncated_summary(n: Column, max_chars: Column | int = C.SUMMARY_MAX_CHARS) -> Column:
     """A normalized summary, cut at the last space inside the limit if it is longer, trailing
     ``.,!?;:`` removed and "..." added."""
-    cut = F.regexp_replace(F.substring(n, 1, max_chars), " [^ ]*$", "")
+    cut = F.regexp_replace(F.substring(n, 1, F.lit(max_chars)), " [^ ]*$", "")
     cut = F.concat(F.regexp_replace(cut, "[.,!?;:]+$", ""), F.lit("..."))
     return F.when(F.length(n) > max_chars, cut).otherwise(n)
 
 
 def add_summary(df: DataFrame, src: str, out: str = "summary", flag: str = "summary_truncated",
-                max_chars: int = C.SUMMARY_MAX_CHARS) -> DataFrame:
+                max_chars: Column | int = C.SUMMARY_MAX_CHARS) -> DataFrame:
     """First five sentences, whitespace-normalized; above ``max_chars`` cut at the
     last space inside the limit, trailing ``.,!?;:`` removed and "..." added (flag set)."""
     norm = f"__sum_norm_{out}"

@@ -12,6 +12,8 @@ would duplicate a costly expression), and expression trees stay small.
 from __future__ import annotations
 
 import itertools
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -339,16 +341,15 @@ def site_url_regexes(rule_set: str) -> tuple[list[str], list[str]]:
     return [_pattern(*p) for p in reject], [_pattern(*p) for p in accept]
 
 
+def url_rule(u: Column, reject: list, accept: list) -> Column:
+    """A site's reject list, then its accept list, on the whole URL."""
+    hit = lambda patterns: reduce(or_, [u.rlike(_pattern(*p)) for p in patterns], F.lit(False))
+    return ~hit(reject) & hit(accept)
+
+
 def site_url_rule(u: Column, rule_set: str) -> Column:
-    """A site's reject list, then its accept list, on the whole URL."""
-    reject, accept = site_url_regexes(rule_set)
-    rejected = F.lit(False)
-    for r in reject:
-        rejected = rejected | u.rlike(r)
-    accepted = F.lit(False)
-    for a in accept:
-        accepted = accepted | u.rlike(a)
-    return ~rejected & accepted
+    """The URL rule of a built-in rule set."""
+    return url_rule(u, *C.SITE_URL_RULES[rule_set])
 
 
 def add_article_url_flag(df: DataFrame, src: str, out: str, rule_set: str | Column = "generic") -> DataFrame:

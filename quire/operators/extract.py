@@ -5,9 +5,7 @@ end (no shuffle): stage 1 computes the selector slots a page's rule set reads (a
 rule sets need is not evaluated: ``CASE`` branches are lazy), stage 2 the page verdict,
 stage 3 the extracted fields, stage 4 score/method/errors, stage 5 the article row.
 
-The seven site rule sets are data: which paragraph list comes first, which author/date
-fallbacks apply, which confidence ladder and error strings. Their fallback steps trigger on
-*raw absence* (an empty selector result), not on failed cleaning.
+What differs between outlets is registered data (``quire.operators.rule_sets``).
 """
 
 from __future__ import annotations
@@ -19,12 +17,10 @@ from quire import constants as C
 from quire.functions import jsonld as J
 from quire.functions import selectors as S
 from quire.functions.dates import meta_datetime, utc_string
-from quire.functions.text import (bind, content_gate, content_length, fingerprint, fox_promo_keep,
-                                  low_quality_to_null, nbc_promo_keep, normalize_paragraphs,
+from quire.functions.text import (content_gate, content_length, fingerprint, low_quality_to_null, normalize_paragraphs,
                                   normalize_ws, py_strip, add_summary, truncated_summary)
-from quire.functions.urls import article_path_rule, site_url_rule
-
-SITE_SETS = ["ap", "bbc", "cbs", "cnn", "fox", "guardian", "nbc"]
+from quire.functions.urls import article_path_rule, url_rule
+from quire.operators.rule_sets import SITE_SETS, RuleSet, common_fields, named, nonempty as _nonempty, truthy as _truthy  # noqa: F401
 
 _MEMO: dict = {}
 
@@ -40,40 +36,27 @@ def _memo(key, build):
     return _MEMO[k]
 
 
-def _case(rule_set: Column, branches: dict, default=None) -> Column:
-    if not branches:
-        return default if default is not None else F.lit(None)
+def _case(rules: list[RuleSet], build, default=None) -> Column:
+    """``build(rule)`` of the row's rule set; rules for which it gives the same callable or value
+    share a branch, those for which it gives None have none."""
+    branches: dict = {}
+    for r in rules:
+        if (value := build(r)) is not None:
+            branches.setdefault(id(value), (value, []))[1].append(r.name)
     expr = None
-    for rs, val in branches.items():
-        cond = rule_set.isin(*rs) if isinstance(rs, tuple) else (rule_set == rs)
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    if default is not None:
-        expr = expr.otherwise(default)
-    return expr
-
-
-def _truthy(s: Column) -> Column:
-    return F.coalesce(F.length(s) > 0, F.lit(False))
-
-
-def _nonempty(arr: Column) -> Column:
-    return F.coalesce(F.size(arr) > 0, F.lit(False))
-
-
-def _sites(rule_sets) -> list[str]:
-    """The site rule sets a plan needs (all seven unless the registry names fewer)."""
-    return [rs for rs in SITE_SETS if rule_sets is None or rs in rule_sets]
+    for value, names in branches.values():
+        cond = F.col("rule_set").isin(*names) if len(names) > 1 else F.col("rule_set") == names[0]
+        value = value if isinstance(value, Column) else value()
+        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
+    if expr is None:
+        return default if default is not None else F.lit(None)
+    return expr if default is None else expr.otherwise(default)
 
 
-def _only(branches: dict, rule_sets) -> dict:
-    keep = set(_sites(rule_sets))
-    out = {}
-    for k, v in branches.items():
-        ks = k if isinstance(k, tuple) else (k,)
-        ks = tuple(x for x in ks if x in keep)
-        if ks:
-            out[ks if len(ks) > 1 else ks[0]] = v
-    return out
+def _limit(rules: list[RuleSet], name: str, default: int) -> Column | int:
+    """A limit by the row's rule set; a plain number where all agree."""
+    other = [r for r in rules if getattr(r, name) != default]
+    return _case(other, lambda r: F.lit(getattr(r, name)), F.lit(default)) if other else default
 
 
 # ----------------------------------------------------------------------- stage 1: slots
@@ -81,30 +64,16 @@ def _only(branches: dict, rule_sets) -> dict:
 
 def add_slots(df: DataFrame, rule_sets=None) -> DataFrame:
     """Selector results the rule sets read. Requires ``nodes``, ``rule_set``, ``url``."""
-    key = tuple(sorted(rule_sets)) if rule_sets is not None else None
-    return df.select("*", *_memo(("slots", key), lambda: _slot_columns(rule_sets)))
+    rules = named(rule_sets)
+    return df.select("*", *_memo(("slots", *rules), lambda: _slot_columns(rules)))
 
 
-def _slot_columns(rule_sets) -> list[Column]:
+def _slot_columns(rules: list[RuleSet]) -> list[Column]:
     rs = F.col("rule_set")
     art = S.tag_is("article")
-    p_site = _case(rs, _only({
-        "ap": S.tag_texts("p", "ap_body"),
-        "bbc": S.tag_texts("p", "bbc_body"),
-        "cbs": S.tag_texts("p", "cbs_body"),
-        "fox": S.tag_texts("p", "fox_body"),
-        "guardian": S.tag_texts("p", "guardian_body"),
-    }, rule_sets)).cast("array<string>")
-    dom_author = _case(rs, _only({
-        "bbc": S.first(S.texts(S.attr_contains("class", "byline"))),
-        "cnn": S.first(S.texts(S.attr_equals("data-testid", "byline"))),
-        "fox": S.first(S.texts(S.attr_contains("class", "author"))),
-        "guardian": S.first(S.texts(S.both(S.tag_is("a"), S.attr_equals("rel", "author")))),
-    }, rule_sets)).cast("string")
-    body_attr = _case(rs, _only({
-        "cnn": S.first_attr(S.tag_is("body"), "data-page-type"),
-        "fox": S.first_attr(S.tag_is("body"), "class"),
-    }, rule_sets)).cast("string")
+    p_site = _case(rules, lambda r: r.paragraphs).cast("array<string>")
+    dom_author = _case(rules, lambda r: r.author).cast("string")
+    body_attr = _case(rules, lambda r: r.body_attr and S.first_attr(S.tag_is("body"), r.body_attr)).cast("string")
     return [
         J.blocks(S.ld_scripts()).alias("ld"),
         S.first(S.tag_texts("h1")).alias("h1"),
@@ -115,7 +84,7 @@ def _slot_columns(rule_sets) -> list[Column]:
         S.first_attr(S.tag_is("time"), "datetime").alias("time_dt"),
         S.exists_element(art).alias("has_article"),
         S.tag_texts("p", "article").alias("p_article"),
-        F.when(rs.isin("cnn", "generic"), S.tag_texts("p")).alias("p_all"),
+        F.when(~rs.isin(*[s for s in SITE_SETS if s != "cnn"]), S.tag_texts("p")).alias("p_all"),
         p_site.alias("p_site"),
         dom_author.alias("dom_author"),
         body_attr.alias("body_attr"),
@@ -174,21 +143,21 @@ def add_url_flag(df: DataFrame, path_col: str = "url_path", rule_sets=None) -> D
 
 def url_flag(u: Column, path: Column, rule_sets=None) -> Column:
     """F3-F10 of a URL and its lower-cased path by the row's rule set."""
-    flag = _case(F.col("rule_set"), {rs: site_url_rule(u, rs) for rs in _sites(rule_sets)}, article_path_rule(path))
+    flag = _case(named(rule_sets), lambda r: url_rule(u, *r.urls), article_path_rule(path))
     return F.coalesce(flag, F.lit(False))
 
 
-def add_page_flag(df: DataFrame, path_col: str = "url_path") -> DataFrame:
+def follow_limit() -> Column | int:
+    """How many accepted links of a page are followed, by the row's rule set."""
+    return _limit(named(), "links_a_page", C.MAX_FOLLOW_PER_PAGE)
+
+
+def add_page_flag(df: DataFrame, path_col: str = "url_path", rule_sets=None) -> DataFrame:
     """Is this an article page? Site tests first, then the generic test F12."""
-    rs, url, path = F.col("rule_set"), F.col("url"), F.col(path_col)
+    path = F.col(path_col)
     og_article = F.coalesce(F.col("og_type") == "article", F.lit(False))
     ld_article = F.exists(F.col("ld"), lambda b: J.type_is(b, C.LD_ARTICLE_TYPES))
-    site = _case(rs, {
-        "ap": og_article | url.contains("/article/"),
-        ("bbc", "cbs", "guardian", "nbc"): og_article | F.col("has_article"),
-        "cnn": F.coalesce(F.col("body_attr").contains("article"), F.lit(False)),
-        "fox": F.coalesce(F.col("body_attr").contains("fn article-single"), F.lit(False)),
-    }, F.lit(False))
+    site = _case(named(rule_sets), lambda r: r.page_test, F.lit(False))
     feed_type = F.coalesce(F.lower(F.col("content_type")).rlike("xml|json"), F.lit(False))
     generic = (
         F.when(feed_type, False)
@@ -206,108 +175,6 @@ def add_page_flag(df: DataFrame, path_col: str = "url_path") -> DataFrame:
 # ----------------------------------------------------------------------- stage 3: fields
 
 
-def _paras_body(first_list: Column, second_list: Column | None) -> tuple[Column, Column]:
-    """(body, no_paragraphs): first non-empty selector list wins; blanks only give ""."""
-    if second_list is None:
-        return F.when(_nonempty(first_list), normalize_paragraphs(first_list)), ~_nonempty(first_list)
-    body = F.when(_nonempty(first_list), normalize_paragraphs(first_list)) \
-        .when(_nonempty(second_list), normalize_paragraphs(second_list))
-    return body, ~_nonempty(first_list) & ~_nonempty(second_list)
-
-
-def _filtered_body(kept: Column, fallback: Column) -> tuple[Column, Column]:
-    """Promo-filtered paragraphs if any survive, else the unfiltered list (evaluated once)."""
-    body = bind(kept, lambda k: F.when(_nonempty(k), normalize_paragraphs(k))
-                .when(_nonempty(fallback), normalize_paragraphs(fallback)))
-    nop = bind(kept, lambda k: ~_nonempty(k) & ~_nonempty(fallback))
-    return body, nop
-
-
-def _site_fields(rs: str) -> dict[str, Column]:
-    c = F.col
-    ldx, ap = c("ldx"), c("ldap")
-    first = lambda f: J.first_present(ldx, f)
-    h1 = normalize_ws(c("h1"))
-    meta_author = F.when(_truthy(c("meta_author")), normalize_ws(c("meta_author")))
-    dom_author = F.when(_truthy(c("dom_author")), normalize_ws(c("dom_author")))
-    meta_pub = c("meta_pub_ts")          # NULL when the meta is missing or does not parse
-    meta_present = _truthy(c("meta_pub"))
-    time_ts = c("time_ts")
-    pub = first(lambda x: F.when(x["pub"]["ts"].isNotNull() | x["pub"]["err"].isNotNull(), x["pub"]))
-    mod = first(lambda x: F.when(x["mod"]["ts"].isNotNull() | x["mod"]["err"].isNotNull(), x["mod"]))
-    f: dict[str, Column] = {
-        "ld_any": _nonempty(c("ld")), "ld_body": F.lit(False),
-        "tags": first(lambda x: F.when(_nonempty(x["tags"]), x["tags"])),
-        "section": first(lambda x: x["section"]),
-        "pub_err": pub["err"], "mod_err": mod["err"], "modified": mod["ts"],
-    }
-    if rs == "ap":
-        body, nop = _paras_body(c("p_site"), c("p_article"))
-        f.update(
-            ld_any=ap.isNotNull(), title=F.coalesce(ap["headline"], h1), body=body, no_paras=nop,
-            author=F.coalesce(ap["author"], meta_author),
-            published=F.coalesce(ap["pub"]["ts"], meta_pub),
-            modified=ap["mod"]["ts"], pub_err=ap["pub"]["err"], mod_err=ap["mod"]["err"],
-            section=ap["section"], tags=ap["tags"],
-        )
-    elif rs == "bbc":
-        body, nop = _paras_body(c("p_article"), c("p_site"))
-        dom = F.when(_truthy(c("meta_author")), normalize_ws(c("meta_author"))) \
-            .when(_truthy(c("dom_author")), normalize_ws(c("dom_author")))
-        f.update(
-            title=F.coalesce(h1, normalize_ws(c("og_title"))), body=body, no_paras=nop,
-            author=F.coalesce(dom, first(lambda x: x["author_simple"])),
-            published=F.when(_truthy(c("time_dt")), time_ts).otherwise(meta_pub),
-            modified=F.lit(None).cast("timestamp"), mod_err=F.lit(None).cast("string"),
-            pub_err=F.lit(None).cast("string"),
-        )
-    elif rs == "cbs":
-        ld_has_body = F.coalesce(F.exists(ldx, lambda x: x["has_body"]), F.lit(False))
-        body, nop = _paras_body(c("p_site"), c("p_article"))
-        f.update(
-            ld_body=ld_has_body, title=F.coalesce(first(lambda x: x["headline"]), h1),
-            body=F.when(ld_has_body, first(lambda x: F.when(x["has_body"], x["body"]))).otherwise(body),
-            no_paras=~ld_has_body & nop,
-            author=F.coalesce(first(lambda x: x["author"]), meta_author),
-            published=F.coalesce(pub["ts"], F.when(meta_present, meta_pub).otherwise(time_ts)),
-        )
-    elif rs == "cnn":
-        body, nop = _paras_body(c("p_article"), c("p_all"))
-        f.update(
-            title=F.coalesce(first(lambda x: x["headline"]), h1), body=body, no_paras=nop,
-            author=F.coalesce(first(lambda x: x["author"]),
-                              F.when(_truthy(c("dom_author")), dom_author).otherwise(meta_author)),
-            published=F.coalesce(pub["ts"], meta_pub),
-        )
-    elif rs == "fox":
-        kept = fox_promo_keep(c("p_site"))
-        body, nop = _filtered_body(kept, c("p_article"))
-        f.update(
-            title=h1, body=body, no_paras=nop,
-            author=F.coalesce(first(lambda x: x["author_simple"]),
-                              F.when(_truthy(c("meta_author")), normalize_ws(c("meta_author")))
-                              .otherwise(F.when(_truthy(c("dom_author")), dom_author))),
-            published=F.coalesce(pub["ts"], F.when(meta_present, meta_pub).otherwise(time_ts)),
-            tags=F.lit(None).cast("array<string>"),
-        )
-    elif rs == "guardian":
-        body, nop = _paras_body(c("p_site"), c("p_article"))
-        f.update(
-            title=F.coalesce(first(lambda x: x["headline"]), h1), body=body, no_paras=nop,
-            author=F.coalesce(first(lambda x: x["author"]),
-                              F.when(_truthy(c("dom_author")), dom_author).otherwise(meta_author)),
-            published=F.coalesce(pub["ts"], time_ts),
-        )
-    elif rs == "nbc":
-        body, _ = _filtered_body(nbc_promo_keep(c("p_article")), c("p_article"))
-        f.update(
-            title=F.coalesce(first(lambda x: x["headline"]), h1), body=body, no_paras=~_nonempty(c("p_article")),
-            author=F.coalesce(first(lambda x: x["author"]), meta_author),
-            published=F.coalesce(pub["ts"], meta_pub),
-        )
-    return f
-
-
 FIELDS = {"title": "string", "body": "string", "author": "string", "published": "timestamp",
           "modified": "timestamp", "section": "string", "tags": "array<string>", "no_paras": "boolean",
           "ld_any": "boolean", "ld_body": "boolean", "pub_err": "string", "mod_err": "string"}
@@ -315,33 +182,21 @@ FIELDS = {"title": "string", "body": "string", "author": "string", "published":
 
 def add_site_fields(df: DataFrame, rule_sets=None) -> DataFrame:
     """P5-P14 raw fields ``x_*`` for article pages of the site rule sets."""
-    sites = _sites(rule_sets)
-    per_site = {rs: _memo(("site_fields", rs), lambda rs=rs: _site_fields(rs)) for rs in sites}
-    rs = F.col("rule_set")
-    cols = [_case(rs, {s: per_site[s][k].cast(t) for s in sites}).cast(t).alias("x_" + k) for k, t in FIELDS.items()]
-    return df.select("*", *cols)
+    rules = named(rule_sets)
+    fields = {r: _memo(("site_fields", r), lambda r=r: {**common_fields(), **r.fields()}) for r in rules}
+    return df.select("*", *[_case(rules, lambda r: fields[r][k].cast(t)).cast(t).alias("x_" + k) for k, t in FIELDS.items()])
 
 
 # ----------------------------------------------------------------------- stage 4: score
 
 
-def check_confidence(rs: str) -> None:
-    """every score a rule set can assign lies in [0, 1] (checked when the plan is built,
-    since the scores are fixed values; a bad ladder fails the job before it runs)."""
-    steps, fallback, cap = C.CONFIDENCE_LADDERS[rs]
-    for score in [s for _, _, s in steps] + [fallback] + ([cap] if cap is not None else []):
-        if not 0.0 <= score <= 1.0:
-            raise ValueError(f"Confidence must be between 0.0 and 1.0, got {score} (rule set {rs})")
-
-
-def _ladder(rs: str) -> tuple[Column, Column]:
+def _ladder(r: RuleSet) -> tuple[Column, Column]:
     """(confidence, low) for a rule set: first ladder step whose parts are present; the
     fallback score otherwise (low=True), then the cap."""
-    check_confidence(rs)
     c = F.col
     has = {"ld": c("x_ld_any"), "ldbody": c("x_ld_body"), "title": _truthy(c("x_title")),
            "author": _truthy(c("x_author")), "body": _truthy(c("x_body"))}
-    steps, fallback, cap = C.CONFIDENCE_LADDERS[rs]
+    steps, fallback, cap = r.ladder
     expr = None
     for needs, gt, score in steps:
         cond = F.lit(True)
@@ -356,41 +211,16 @@ def _ladder(rs: str) -> tuple[Column, Column]:
     return conf, expr.isNull()
 
 
-def _method(rs: str) -> Column:
-    c = F.col
-    body_gt = _truthy(c("x_body"))
-    return {
-        "ap": F.when(c("x_ld_any") & body_gt, F.lit("hybrid")).otherwise(F.lit("dom")),
-        "bbc": F.lit("dom"), "fox": F.lit("dom"), "nbc": F.lit("hybrid"),
-        "cbs": F.when(~c("x_ld_any"), F.lit("dom")).when(c("x_ld_body"), F.lit("jsonld_full")).otherwise(F.lit("json-ld")),
-        "cnn": F.when(~c("x_ld_any"), F.lit("dom")).otherwise(F.lit("hybrid")),
-        "guardian": F.when(~c("x_ld_any"), F.lit("dom")).otherwise(F.lit("json-ld")),
-    }[rs]
-
-
-def _errors(rs: str, low: Column) -> Column:
-    c = F.col
-    no_title = ~_truthy(c("x_title"))
-    items = {
-        "ap": [(c("x_no_paras"), C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), (no_title, C.ERR_AP_NO_TITLE)],
-        "bbc": [(no_title, C.ERR_NO_TITLE), (c("x_no_paras"), C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE)],
-        "cbs": [(c("x_no_paras"), C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), (~c("x_ld_any"), C.ERR_CBS_NO_LD)],
-        "cnn": [(c("x_no_paras"), C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE), (~c("x_ld_any"), C.ERR_CNN_NO_LD)],
-        "fox": [(no_title, C.ERR_NO_TITLE), (c("x_no_paras"), C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE)],
-        "guardian": [(c("x_no_paras"), C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE),
-                     (~c("x_ld_any"), C.ERR_GUARDIAN_NO_LD)],
-        "nbc": [(c("x_no_paras"), C.ERR_NO_PARAGRAPHS), (low, C.ERR_LOW_CONFIDENCE)],
-    }[rs]
-    return F.filter(F.array(*[F.when(cond, F.lit(msg)) for cond, msg in items]), lambda e: e.isNotNull())
+def _errors(r: RuleSet, low: Column) -> Column:
+    tests = {"no_paras": F.col("x_no_paras"), "low": low, "no_title": ~_truthy(F.col("x_title")), "no_ld": ~F.col("x_ld_any")}
+    said = [F.when(tests[test], F.lit(message)) for test, message in r.errors]
+    return F.filter(F.array(*said).cast("array<string>"), lambda e: e.isNotNull())
 
 
 def add_site_score(df: DataFrame, rule_sets=None) -> DataFrame:
     """P16/P17 + method; the struct ``x`` is the extracted article (F27: score in [0, 1])."""
-    rs = F.col("rule_set")
-    conf, method, errors = {}, {}, {}
-    for s in _sites(rule_sets):
-        cf, low = _ladder(s)
-        conf[s], method[s], errors[s] = cf, _method(s), _errors(s, low)
+    rules = named(rule_sets)
+    ladders = {r: _ladder(r) for r in rules}
     fail = F.coalesce(F.col("x_pub_err"), F.col("x_mod_err"))
     return df.select(
         "*",
@@ -399,9 +229,9 @@ def add_site_score(df: DataFrame, rule_sets=None) -> DataFrame:
             F.col("x_published").alias("published_at"), F.col("x_modified").alias("modified_at"),
             F.col("x_section").alias("section"),
             F.coalesce(F.col("x_tags"), F.array().cast("array<string>")).alias("tags"),
-            _case(rs, method).cast("string").alias("extraction_method"),
-            _case(rs, conf).cast("double").alias("confidence"),
-            _case(rs, errors).cast("array<string>").alias("errors"),
+            _case(rules, lambda r: r.method).cast("string").alias("extraction_method"),
+            _case(rules, lambda r: ladders[r][0]).cast("double").alias("confidence"),
+            _case(rules, lambda r: _errors(r, ladders[r][1])).cast("array<string>").alias("errors"),
             fail.alias("fail"),
         ).alias("x"))
 
@@ -413,34 +243,35 @@ ARTICLE_COLUMNS = ["title", "author", "text", "summary", "url", "source", "publi
                    "parse_ok", "parse_error", "extraction_method", "content_length_chars"]
 
 
-def _verdict(title: Column, text: Column, n: Column, conf: Column, errors: Column) -> tuple[Column, Column]:
+def _verdict(title: Column, text: Column, n: Column, conf: Column, errors: Column, least: Column) -> tuple[Column, Column]:
     """(parse_ok, parse_error)."""
     short = F.format_string(C.VERDICT_TEXT_SHORT.replace("{n}", "%d").replace("{min}", "%d"), n,
-                            F.lit(C.MIN_ARTICLE_TEXT_LENGTH))
+                            least)
     err = (F.when(~_truthy(title), F.lit(C.VERDICT_NO_TITLE))
-           .when(text.isNull() | (F.length(text) < C.MIN_ARTICLE_TEXT_LENGTH), short)
+           .when(text.isNull() | (F.length(text) < least), short)
            .when(conf < C.LOW_CONFIDENCE, F.format_string(C.VERDICT_LOW_CONF.replace("{c}", "%.2f"), conf))
            .when(F.size(errors) > 0, F.array_join(F.slice(errors, 1, C.MAX_ERRORS_IN_VERDICT), "; ")))
-    ok = ~_truthy(title) | text.isNull() | (F.length(text) < C.MIN_ARTICLE_TEXT_LENGTH) | (conf < C.LOW_CONFIDENCE)
+    ok = ~_truthy(title) | text.isNull() | (F.length(text) < least) | (conf < C.LOW_CONFIDENCE)
     return ~ok, err
 
 
-def _site_prepare(df: DataFrame) -> DataFrame:
+def _site_prepare(df: DataFrame, rules: list[RuleSet]) -> DataFrame:
     x = F.col("x")
     site = F.col("rule_set") != "generic"
     df = df.select("*", F.when(site, normalize_ws(x["title"])).alias("a_title"),
                    F.when(site, normalize_ws(x["body"])).alias("a_text"),
                    F.when(site, utc_string(x["published_at"])).alias("a_pub"),
                    F.when(site, x["body"]).alias("a_body"))
-    return add_summary(df, "a_body", "a_summary", "a_trunc")
+    return add_summary(df, "a_body", "a_summary", "a_trunc", _limit(rules, "summary_chars", C.SUMMARY_MAX_CHARS))
 
 
-def _site_columns(run_ts: str) -> dict[str, Column]:
+def _site_columns(rules: list[RuleSet]) -> dict[str, Column]:
     """Article columns for pages of a site rule set."""
     x, c = F.col("x"), F.col
     failed = c("parse_error").isNotNull() | x["fail"].isNotNull()
     fail_msg = F.concat(F.lit(C.EXTRACTOR_FAILED), F.substring(F.coalesce(c("parse_error"), x["fail"]), 1, 200))
-    ok, err = _verdict(c("a_title"), c("a_text"), content_length(c("a_text")), x["confidence"], x["errors"])
+    ok, err = _verdict(c("a_title"), c("a_text"), content_length(c("a_text")), x["confidence"], x["errors"],
+                       F.lit(_limit(rules, "min_text", C.MIN_ARTICLE_TEXT_LENGTH)))
     null_s = F.lit(None).cast("string")
     return {
         "title": F.when(failed, null_s).otherwise(c("a_title")),
@@ -543,11 +374,12 @@ def article_rows(df: DataFrame, run_ts: str, extra: tuple[str, ...] = ("source_n
     the site mapping (P18) or the generic one (P21). ``rule_sets`` limits the plan to the rule
     sets the registry uses (all by default)."""
     df = add_site_fields(add_ld_fields(df), rule_sets)
-    df = _generic_prepare(_site_prepare(add_site_score(df, rule_sets)))
-    site, gen = _site_columns(run_ts), _generic_columns()
+    rules = named(rule_sets)
+    df = _generic_prepare(_site_prepare(add_site_score(df, rule_sets), rules))
+    site, gen = _site_columns(rules), _generic_columns()
     is_gen = F.col("rule_set") == "generic"
     fixed = {"url": F.col("url"), "source": F.col("source"), "scraped_at": F.lit(run_ts),
-             "url_hash": F.col("url_hash"), "summary_max_chars": F.lit(C.SUMMARY_MAX_CHARS)}
+             "url_hash": F.col("url_hash"), "summary_max_chars": F.lit(_limit(rules, "summary_chars", C.SUMMARY_MAX_CHARS))}
     cols = []
     for name in ARTICLE_COLUMNS:
         col = fixed[name] if name in fixed else F.when(is_gen, gen[name]).otherwise(site[name])

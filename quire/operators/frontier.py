@@ -22,7 +22,7 @@ from quire.functions import selectors as S
 from quire.functions.text import bind
 from quire.functions.urls import Elements, add_resolved_url, add_url_parts, is_valid_url, host_of
 from quire.operators.dedup import anti_join
-from quire.operators.extract import url_flag
+from quire.operators.extract import follow_limit, url_flag
 from quire.session import ensure_checkpoint_dir
 from quire.sources.registry import same_domain
 
@@ -49,16 +49,16 @@ def resolve_links(hrefs: DataFrame) -> DataFrame:
                          "article": url_flag(x["link_url"], x["path"])})
     e = e.add(lambda x: {"accepted": x["valid"] & x["same_domain"] & x["article"]}).keep(
         "pos", "link_url", "valid", "same_domain", "accepted")
-    return e.df.select("page_id", "url", "source_name", "links")
+    return e.df.select("page_id", "url", "source_name", "rule_set", "links")
 
 
-def followed_links(links: DataFrame, limit: int = C.MAX_FOLLOW_PER_PAGE) -> DataFrame:
-    """The first ``limit`` accepted links per page in document order: page_id, pos, link_url,
+def followed_links(links: DataFrame, limit: int | None = None) -> DataFrame:
+    """The first ``limit`` accepted links (by default, the limit of the page's rule set) per page in document order: page_id, pos, link_url,
     source_name, follow_rank, url_hash, first_on_page (no earlier link of the page has the key).
 
     Cut within the page's array, so there is no shuffle. The outer explode keeps the optimizer from
     pushing a test of the array's size down through every staged URL projection."""
-    kept = F.slice(F.filter("links", lambda x: F.coalesce(x["accepted"], F.lit(False))), 1, limit)
+    kept = F.slice(F.filter("links", lambda x: F.coalesce(x["accepted"], F.lit(False))), 1, follow_limit() if limit is None else limit)
     df = links.select("page_id", "source_name", kept.alias("kept"))
     df = Elements(df, "kept", ["pos", "link_url"]).add_url_hash("link_url", "url_hash").keep("pos", "link_url", "url_hash").df
     marked = bind(F.transform("kept", lambda x: x["url_hash"]), lambda keys: F.transform("kept", lambda x, i: F.struct(

@@ -3,7 +3,7 @@
 Each page becomes ``nodes ARRAY<STRUCT<t, tag, attrs, text, parent, above>>`` in document order:
 elements (``t`` false, their tag and the attributes selectors read) and text nodes (``t`` true,
 the parent's tag and the raw text). ``parent`` is the 1-based position of the enclosing element
-(0 at the top). ``above`` has one bit for each rule of ``constants.ANCESTOR_RULES``: set on an
+(0 at the top). ``above`` has one bit for each rule of ``selectors.ANCESTORS``: set on an
 element (and on its text) if an element further up matches the rule. So a page's nodes take
 memory in proportion to the page, however deep it nests. Every selector is a Catalyst
 higher-order function over this array (``quire.functions.selectors``); nothing else runs in Python.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quire.constants import ANCESTOR_RULES
+from quire.functions.selectors import ANCESTORS, KEPT_ATTRS
 
 VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
 P_CLOSERS = frozenset(
@@ -44,10 +44,6 @@ SIBLING_CLOSERS = {
     "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)),
 }
-# attributes any selector of the rule sets reads
-KEEP_ATTRS = frozenset(
-    "class id href content name property itemprop itemtype data-component data-testid "
-    "data-page-type rel type datetime".split())
 LD_TYPE = "application/ld+json"
 
 NODE_TYPE = T.StructType([
@@ -56,7 +52,7 @@ NODE_TYPE = T.StructType([
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType()),
     T.StructField("parent", T.IntegerType()),
-    T.StructField("above", T.IntegerType()),
+    T.StructField("above", T.LongType()),
 ])
 NODES_TYPE = T.ArrayType(NODE_TYPE)
 
@@ -66,7 +62,7 @@ _ARROW_NODE = pa.struct([
     pa.field("attrs", pa.map_(pa.string(), pa.string())),
     pa.field("text", pa.string()),
     pa.field("parent", pa.int32()),
-    pa.field("above", pa.int32()),
+    pa.field("above", pa.int64()),
 ])
 _ARROW_NODES = pa.list_(_ARROW_NODE)
 
@@ -74,10 +70,10 @@ _ARROW_NODES = pa.list_(_ARROW_NODE)
 BATCH_NODES = 50_000
 
 
-def _rule_bits(tag: str, attrs: dict[str, str]) -> int:
+def _rule_bits(tag: str, attrs: dict[str, str], rules: list[tuple]) -> int:
     """One bit for each ancestor rule that the element matches."""
     bits = 0
-    for i, (want_tag, key, value) in enumerate(ANCESTOR_RULES.values()):
+    for i, (want_tag, key, value) in enumerate(rules):
         if want_tag is not None and tag != want_tag:
             continue
         if key == "class":
@@ -111,8 +107,9 @@ def plain_json(text: str) -> str:
 
 
 class _TreeBuilder(HTMLParser):
-    def __init__(self):
+    def __init__(self, rules: list[tuple], attrs: frozenset[str]):
         super().__init__(convert_charrefs=True)
+        self.rules, self.kept_attrs = rules, attrs
         self.nodes: list[dict] = []
         # (tag, position, attributes, rules matched above, rules matched above or by itself)
         self.stack: list[tuple[str, int, dict, int, int]] = []
@@ -146,12 +143,12 @@ class _TreeBuilder(HTMLParser):
             self._close_siblings(*SIBLING_CLOSERS[tag])
         kept: dict[str, str] = {}
         for k, v in attrs:
-            if k in KEEP_ATTRS and k not in kept:
+            if k in self.kept_attrs and k not in kept:
                 kept[k] = "" if v is None else v
         parent, above = (self.stack[-1][1], self.stack[-1][4]) if self.stack else (0, 0)
         self.nodes.append({"t": False, "tag": tag, "attrs": list(kept.items()), "text": None, "parent": parent, "above": above})
         if push and tag not in VOID:
-            self.stack.append((tag, len(self.nodes), kept, above, above | _rule_bits(tag, kept)))
+            self.stack.append((tag, len(self.nodes), kept, above, above | _rule_bits(tag, kept, self.rules)))
 
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs, True)
@@ -178,12 +175,13 @@ class _TreeBuilder(HTMLParser):
         self.text_node["text"].append(data)
 
 
-def parse_nodes(html: str | None) -> tuple[list[dict] | None, str | None]:
+def parse_nodes(html: str | None, rules: list[tuple] | None = None,
+                attrs: frozenset[str] | None = None) -> tuple[list[dict] | None, str | None]:
     """One page → (nodes, error)."""
     if html is None:
         return [], None
     try:
-        b = _TreeBuilder()
+        b = _TreeBuilder(list(ANCESTORS.values()) if rules is None else rules, KEPT_ATTRS if attrs is None else attrs)
         b.feed(html)
         b.close()
         for n in b.nodes:
@@ -196,7 +194,7 @@ def parse_nodes(html: str | None) -> tuple[list[dict] | None, str | None]:
         return None, str(e)[:200]
 
 
-def _arrow_batches(batches, keep: list[str]):
+def _arrow_batches(batches, keep: list[str], rules: list[tuple], attrs: frozenset[str]):
     """Rows with their nodes; a batch whose pages hold many nodes is passed on in parts."""
     for batch in batches:
         columns = [batch.column(k) for k in keep]
@@ -208,7 +206,7 @@ def _arrow_batches(batches, keep: list[str]):
 
         start, held, nodes, errors = 0, 0, [], []
         for h in batch.column("html"):
-            n, e = parse_nodes(h.as_py())
+            n, e = parse_nodes(h.as_py(), rules, attrs)
             nodes.append(n)
             errors.append(e)
             held += len(n or ())
@@ -224,4 +222,5 @@ def add_nodes(pages: DataFrame, html_col: str = "html") -> DataFrame:
     src = pages.withColumnRenamed(html_col, "html") if html_col != "html" else pages
     schema = T.StructType([f for f in src.schema.fields if f.name != "html"]
                           + [T.StructField("nodes", NODES_TYPE), T.StructField("parse_error", T.StringType())])
-    return src.mapInArrow(lambda it: _arrow_batches(it, keep), schema)
+    rules, attrs = list(ANCESTORS.values()), frozenset(KEPT_ATTRS)  # as registered here, on the driver
+    return src.mapInArrow(lambda it: _arrow_batches(it, keep, rules, attrs), schema)

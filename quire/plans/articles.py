@@ -43,7 +43,7 @@ def classify_pages(routed: DataFrame, rule_sets=None) -> DataFrame:
     """P3 + F11-F20: node array, selector slots and the article-page verdict."""
     df = add_nodes(routed)
     df = add_url_flag(add_slots(df, rule_sets), rule_sets=rule_sets)
-    return add_page_flag(df)
+    return add_page_flag(df, rule_sets=rule_sets)
 
 
 def classified_pages(spark: SparkSession, sf_dir: str, registry: list[Source] | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import constants as C
+from quire.operators.rule_sets import named
 from quire.functions.text import (add_summary, bind, content_gate, content_length, fingerprint, fox_promo_keep,
                                   low_quality_to_null, nbc_promo_keep, normalize_paragraphs, normalize_ws,
                                   py_strip)
@@ -86,8 +87,9 @@ def site_articles(spark: SparkSession, sf_dir: str, rule_set: str, run_ts: str =
         F.array().cast("array<string>").alias("x_tags"), (~nonempty).alias("x_no_paras"),
         F.lit(False).alias("x_ld_any"), F.lit(False).alias("x_ld_body"),
         null_s.alias("x_pub_err"), null_s.alias("x_mod_err"))
-    df = E._site_prepare(E.add_site_score(df, (rule_set,)))
-    cols = E._site_columns(run_ts)
+    rules = named((rule_set,))
+    df = E._site_prepare(E.add_site_score(df, (rule_set,)), rules)
+    cols = E._site_columns(rules)
     fixed = {"url": F.col("url"), "source": F.col("source"), "scraped_at": F.lit(run_ts),
              "url_hash": F.col("url_hash"), "summary_max_chars": F.lit(C.SUMMARY_MAX_CHARS)}
     out = [(fixed[n] if n in fixed else cols[n]).alias(n) for n in E.ARTICLE_COLUMNS]

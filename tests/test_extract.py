@@ -61,12 +61,12 @@ def test_content_type_reject_and_confidence_check(spark, monkeypatch):
     df = route_pages(page_df(spark, [(url, html)]).withColumn("content_type", F.lit("application/xhtml+xml")),
                      default_registry())
     assert classify_pages(df).first().is_article_page is False
-    from quire import constants as C
-    from quire.operators.extract import check_confidence
-    monkeypatch.setitem(C.CONFIDENCE_LADDERS, "cnn", ([(("body",), None, 1.5)], 0.6, None))
+    from dataclasses import replace
     import pytest
+    from quire.operators.rule_sets import RULE_SETS, register
     with pytest.raises(ValueError, match="between 0.0 and 1.0"):
-        check_confidence("cnn")
+        register(replace(RULE_SETS["cnn"], ladder=([(("body",), None, 1.5)], 0.6, None)))
+    assert RULE_SETS["cnn"].ladder[1] == 0.6
 
 
 def test_site_extractions(spark):
