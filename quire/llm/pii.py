@@ -250,6 +250,8 @@ NUMBERS = [(kind, re.compile(r"(?<![0-9A-Za-z])" + x + r"(?![0-9A-Za-z])"), f) f
 WRITTEN = re.compile(rf"\b(?:{_MONTH}\.? +\d{{1,2}}(?:st|nd|rd|th)?,? +\d{{4}}|\d{{1,2}}(?:st|nd|rd|th|\.)? +{_MONTH}\.?,? +\d{{4}})\b", re.I | re.A)
 IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")
 SECRET = re.compile(r"(?i)\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?([0-9a-z_\-./+]{8,256})", re.A)
+#: A time of day right after a date, as in 2024-05-06T07:08.
+CLOCK = re.compile(r"T[0-2][0-9]:[0-5][0-9]")
 KEYS = re.compile(r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|[0-9a-f]{40}|[0-9a-f]{64})(?![0-9A-Za-z])")
 MAIL_LOCAL = re.compile(r"[0-9A-Za-z_%+\-](?:[0-9A-Za-z._%+\-]{0,62}[0-9A-Za-z_%+\-])?$")
 MAIL_HOST = re.compile(r"[0-9A-Za-z](?:[0-9A-Za-z\-]{0,62})(?:\.[0-9A-Za-z\-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![0-9A-Za-z])")
@@ -288,7 +290,7 @@ def finds(text: str, p) -> list[tuple[int, int, str, str]]:
         for kind, pattern, f in NUMBERS:
             for m in pattern.finditer(text, a, b):
                 x, y = m.span()
-                if y == b and text[y:y + 1].isalnum() or any(x < v and u < y for u, v in taken):
+                if y == b and text[y:y + 1].isalnum() and not (kind == "date" and CLOCK.match(text, y)) or any(x < v and u < y for u, v in taken):
                     continue
                 if new := f(p, m[0]):
                     found.append((x, y, kind, new))
