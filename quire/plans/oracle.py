@@ -433,6 +433,11 @@ X7_SQL = parse_sql("trim(raw)",
                    ["%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S.%fZ"])
 
 
+#: Pages with comments emptied, and scripts and styles without their content.
+MARKUP = (r"SELECT page_id, coalesce(html, '') AS html, regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->', '<!---->', 'g'), "
+          r"'(?is)(<(script|style)\b[^>]*>).*?</(?:script|style)\s*>', '\1</\2>', 'g') AS m FROM pages")
+
+
 def build() -> dict[str, str]:
     G = doc_generic()
     d_lines = "string_split(text, chr(10))"
@@ -518,6 +523,10 @@ def build() -> dict[str, str]:
         "site_url_rules": (f"SELECT event_id, url, " + ", ".join(f"{site_expr('url', rs)} AS {rs}" for rs in SITE_SETS)
                            + f", coalesce({f3_expr('lower(p_path)')}, false) AS generic FROM "
                            f"({split_cte(f'({event_urls()})', 'url', 'p_')})"),
+        # elements are start tags, texts what stands between two tags
+        "html_nodes": (f"SELECT page_id, n_text + n_elements AS n_nodes, n_text, n_elements, CAST(NULL AS VARCHAR) AS parse_error "
+                       f"FROM (SELECT page_id, CAST(len(regexp_extract_all(m, '>[^<]+')) AS INTEGER) AS n_text, "
+                       f"CAST(len(regexp_extract_all(m, '<[a-zA-Z]')) AS INTEGER) AS n_elements FROM ({MARKUP}))"),
         "page_extracted": doc_site("ap", page=True, extracted=True),
         **{f"page_site_{rs}": doc_site(rs, page=True) for rs in SITE_SETS},
         "parse_dates": f"SELECT event_id, raw, {X5_SQL} AS iso_utc FROM ({event_dates()})",
