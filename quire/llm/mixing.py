@@ -7,6 +7,12 @@ multinomial one by systematic sampling: one random number a shard, so a source's
 right mean and differs from it by less than 1. A source's slots are numbered over all shards, and
 a pseudorandom permutation of the source's block numbers (another one for every time through
 the source) says which block fills a slot. Blocks and slots are joined by source and number.
+Another permutation, of a shard's slots, deals its sources' slots out over the shard.
+
+``mixed`` makes the mix itself: for every slot the words of its block, cut out of the documents that
+they stand in, with the places they were cut from. ``taken`` is added up from these places, as they
+were written. Only numbers are joined to find them; a text moves to its cuts, and its words to
+their shard, once each.
 
 The permutation is the swap-or-not shuffle: in every round, a number and its mirror image about a
 keyed centre change places or not, by a keyed bit that is the same for both. It is a permutation
@@ -23,11 +29,14 @@ null ids come first in the order of their source. An empty table gives an empty
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.llm.common import PREFIX_PIECES, fresh, prefix_sum, stored
+from quire.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words of a block, slots of an output shard (a million words).
@@ -42,6 +51,12 @@ MASKS, FACTORS = (715827882, 1431655765), (1103515245, 1812433253)
 SOURCES_TO_SEND = 100_000
 #: Slots that one task fills.
 SLOTS_A_TASK = 100_000
+#: Neighbouring slots of a shard that are written by one task, in order.
+RUN_SLOTS = 256
+#: What tells texts apart: doc_id (0 and true for null), and a hash of text and source.
+TEXT_KEY = ["id", "no_id", "same"]
+#: Folder for the mix of the pipeline; without it, one in the scratch folder.
+MIX_PATH = "quire.mix.path"
 
 
 def stirred(x: Column) -> Column:
@@ -107,32 +122,36 @@ def sources(rows: DataFrame) -> DataFrame:
 
 def draws(s: DataFrame) -> DataFrame:
     """One row for every shard and source that it draws: ``n_drawn`` slots, numbered from ``first``
-    among the source's slots. Shard numbers are made in two steps, so no array is long."""
+    among the source's slots, after ``offset`` slots of other sources in the shard. Shard numbers are made in two steps, so no array is long."""
     n_shards = F.ceil(F.col("n_slots") / SHARD_SLOTS)
     many = s.where("n_slots > 0 and n_blocks > 0").withColumn("hi", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_shards - 1) / 1024))))
     many = many.withColumn("shard", F.explode(F.sequence(F.col("hi") * 1024, F.least(F.col("hi") * 1024 + 1023, n_shards - 1))))
     slots = F.least(F.lit(SHARD_SLOTS).cast("long"), F.col("n_slots") - F.col("shard") * SHARD_SLOTS)
     u = scatter(F.lit(1), F.col("shard")).cast("double") / F.lit(float(PRIME))
     drawn = (F.floor(slots.cast("double") * F.col("share_to") + u) - F.floor(slots.cast("double") * F.col("share_from") + u)).cast("long")
-    many = many.select("source", "rank", "n_blocks", "shard", drawn.alias("n_drawn"), (F.col("shard") % PREFIX_PIECES).alias("piece"))
+    offset = F.floor(slots.cast("double") * F.col("share_from") + u).cast("long")
+    many = many.select("source", "rank", "n_blocks", "shard", slots.alias("shard_slots"), offset.alias("offset"), drawn.alias("n_drawn"), (F.col("shard") % PREFIX_PIECES).alias("piece"))
     return prefix_sum(many, ["rank"], ["shard"], "n_drawn", "first", "piece").where("n_drawn > 0")
 
 
 def slots(drawn: DataFrame, n_slots: int) -> DataFrame:
-    """(source, shard, k, block): which block of its source fills a slot; k numbers the source's slots.
+    """(source, shard, k, block, slot): which block of its source fills a slot; k numbers the source's
+    slots, ``slot`` is the place in the shard.
     The drawn rows are few but long, so they are dealt out by the number of slots."""
     n, end = F.col("n_blocks"), F.least(F.col("first") + F.col("n_drawn"), F.col("n_blocks") * MOST_TIMES)
     rows = drawn.repartition(max(1, n_slots // SLOTS_A_TASK), "source", "shard").where(F.col("first") < end)
     rows = rows.withColumn("end", end).withColumn("time", F.explode(F.sequence(F.floor(F.col("first") / n), F.floor((F.col("end") - 1) / n))))
-    rows = rows.select("source", "shard", "n_blocks", round_keys(F.lit(2), F.col("rank"), F.col("time")).alias("keys"),
+    rows = rows.select("source", "shard", "n_blocks", "shard_slots", (F.col("offset") - F.col("first")).alias("lead"),
+                       round_keys(F.lit(2), F.col("rank"), F.col("time")).alias("keys"), round_keys(F.lit(3), F.col("shard")).alias("slot_keys"),
                        F.explode(F.sequence(F.greatest("first", F.col("time") * n), F.least("end", (F.col("time") + 1) * n) - 1)).alias("k"))
-    return rows.select("source", "shard", "k", permuted(F.col("k") % n, n, F.col("keys")).alias("block"))
+    return rows.select("source", "shard", "k", permuted(F.col("k") % n, n, F.col("keys")).alias("block"),
+                       permuted(F.col("lead") + F.col("k"), F.col("shard_slots"), F.col("slot_keys")).alias("slot"))
 
 
 def packed(rows: DataFrame) -> DataFrame:
     """Rows with their place in their source's stream: ``piece``, ``at`` (number within the piece) and
     ``start`` (the words before)."""
-    order = [F.asc_nulls_first("doc_id"), F.asc("size")]
+    order = [F.asc_nulls_first("doc_id"), F.asc("size"), F.asc("same")]
     rows = rows.withColumn("piece", F.coalesce(F.pmod(F.col("doc_id").cast("long"), F.lit(PREFIX_PIECES)), F.lit(0)))
     rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("source", "piece").orderBy(*order)))
     return prefix_sum(rows, ["source"], ["at"], "size", "start", "piece")
@@ -148,51 +167,96 @@ def spans(placed: DataFrame) -> DataFrame:
     return rows.withColumn("from_word", a - first).withColumn("words", F.when(F.col("block") < 0, F.lit(0)).otherwise(b - a).cast("long"))
 
 
-def sized(docs: DataFrame, carry: list[Column] | None = None) -> DataFrame:
-    """doc_id, source, size and further columns of every document."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *(carry or []))
+def text_key() -> list[Column]:
+    """TEXT_KEY of a document."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("no_id"),
+            F.xxhash64("text", "source").alias("same")]
 
 
-def mix(rows: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """From rows (doc_id, source, size, further columns): every row with source_size, target, taken."""
-    carry = carry or []
-    rows = stored(rows)
-    s = stored(sources(rows))
-    used = slots(draws(s), s.agg(F.max("n_slots")).first()[0] or 0).groupBy("source", "block").agg(F.count("*").alias("times"))
-    used = used.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "times")
-    place = spans(packed(rows))
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and TEXT_KEY of every document."""
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *text_key())
+
+
+def cuts(rows: DataFrame, s: DataFrame) -> DataFrame:
+    """One row for each slot and document that has words in the slot's block: ``words`` of them from
+    ``from_word`` on; ``begin`` is their place in the block."""
+    used = slots(draws(s), s.agg(F.max("n_slots")).first()[0] or 0)
+    used = used.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "shard", "slot")
+    place = spans(packed(rows)).where("block >= 0")
     # its size is not known before it runs, so it is never broadcast on an estimate
     used = used.hint("merge")
     on = place["source"].eqNullSafe(used["u_source"]) & (place["block"] == used["u_block"])
-    key = ["source", "piece", "at", "doc_id", "size", *carry]
-    taken = (place.join(used, on, "left").groupBy(*key)
-             .agg(F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).cast("long").alias("taken")))
+    begin = F.col("start") + F.col("from_word") - F.col("block") * BLOCK
+    return place.join(used, on).select(*TEXT_KEY, "source", "doc_id", "at", "shard", "slot", "block", begin.alias("begin"), "from_word", "words")
+
+
+def blocks(docs: DataFrame, cut: DataFrame) -> DataFrame:
+    """The mix: (shard, slot, source, block, text, spans), the words of a slot and where they were cut
+    from. Neighbouring slots are in order in a task. Documents alike in id, source and text have one text;
+    ``at`` tells rows of the same source and id apart."""
+    lists = cut.repartition(*TEXT_KEY).groupBy(*TEXT_KEY, "source", "doc_id", "at").agg(F.collect_list(F.struct("shard", "slot", "block", "begin", "from_word", "words")).alias("cuts"))
+    texts = docs.select(*text_key(), "text").groupBy(*TEXT_KEY).agg(F.first("text").alias("text"))
+
+    def sliced(words: Column) -> Column:
+        return F.transform("cuts", lambda c: F.struct(
+            c["shard"].alias("shard"), c["slot"].alias("slot"), c["block"].alias("block"), c["begin"].alias("begin"), c["from_word"].alias("from_word"),
+            c["words"].alias("words"), F.array_join(F.slice(words, (c["from_word"] + 1).cast("int"), c["words"].cast("int")), " ").alias("text")))
+
+    # the array around the words has them split once for all cuts
+    found = F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), sliced)[0]
+    rows = lists.join(texts.hint("merge"), TEXT_KEY).select("source", "doc_id", "at", F.explode(found).alias("c")).select("source", "doc_id", "at", "c.*")
+    rows = rows.withColumn("run", F.floor(F.col("slot") / RUN_SLOTS)).repartition("shard", "run")
+    part = F.struct("begin", "doc_id", "at", "from_word", "words", "text")
+    rows = rows.groupBy("shard", "run", "slot").agg(F.first("source").alias("source"), F.first("block").alias("block"),
+                                                    F.sort_array(F.collect_list(part)).alias("parts"))
+    span = lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "at", "from_word", "words")])
+    return (rows.sortWithinPartitions("shard", "slot")
+            .select("shard", "slot", "source", "block", F.array_join(F.transform("parts", lambda x: x["text"]), " ").alias("text"),
+                    F.transform("parts", span).alias("spans")))
+
+
+def mixed(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Writes the mix, the ``blocks`` of all shards, as Parquet to ``path`` (or the scratch folder).
+    Returns it, and every row of ``sized`` with source_size, target and taken."""
+    spark = docs.sparkSession
+    rows = stored(sized(docs))
+    s = stored(sources(rows))
+    path = path or scratch_path(spark, f"mix-{uuid.uuid4().hex}")
+    out = blocks(docs, cuts(rows, s))
+    out.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(out.schema).parquet(path)
+    took = (out.select(F.col("source").alias("t_source"), F.explode("spans").alias("x"))
+            .groupBy("t_source", F.col("x.doc_id").alias("t_id"), F.col("x.at").alias("t_at")).agg(F.sum("x.words").alias("taken")))
+    found = packed(rows)
+    on = found["source"].eqNullSafe(took["t_source"]) & found["doc_id"].eqNullSafe(took["t_id"]) & (found["at"] == took["t_at"])
+    found = found.join(took.hint("merge"), on, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     facts = s.select(F.col("source").alias("s_source"), "source_size", "target")
     if s.count() <= SOURCES_TO_SEND:
         facts = F.broadcast(facts)
-    return (taken.join(facts, taken["source"].eqNullSafe(facts["s_source"]))
-            .select("doc_id", "source", "size", "source_size", "target", "taken", *carry))
+    found = found.join(facts, found["source"].eqNullSafe(facts["s_source"]))
+    return out, found.select("doc_id", "source", "size", "source_size", "target", "taken", *TEXT_KEY)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document."""
-    return mix(sized(docs)).select("doc_id", "size", "source_size", "target", "taken")
+    """doc_id, size, source_size, target, taken of every document, from the mix as it was written."""
+    return mixed(docs)[1].select("doc_id", "size", "source_size", "target", "taken")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with size, source_size, target and taken (how many of their words the mix takes,
-    repeats counted). Texts move once: rows that are alike in id, source and text share their
-    numbers out among themselves."""
-    same = F.xxhash64("text", "source")
-    rows = sized(docs, [same.alias("same")])
-    found = (mix(rows, ["same"]).groupBy("doc_id", "same")
+    """Writes the mix (to the folder of the setting MIX_PATH, if there is one). Returns the documents with
+    size, source_size, target and taken (how many of their words the mix takes, repeats counted).
+    Rows that are alike in id, source and text share their numbers out among themselves."""
+    _, rows = mixed(docs, spark.conf.get(MIX_PATH, None))
+    keys = [fresh(docs, f"__{k}") for k in TEXT_KEY]
+    found = (rows.groupBy(*TEXT_KEY)
              .agg(F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-                  F.sort_array(F.collect_list("taken")).alias("takens"))
-             .withColumnRenamed("doc_id", "m_id").withColumnRenamed("same", "m_same"))
-    at, key = fresh(docs, "__at"), fresh(docs, "__same")
-    own = docs.withColumn(key, same)
-    own = own.withColumn(at, F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(0))))
-    joined = own.join(found, own["doc_id"].eqNullSafe(found["m_id"]) & (own[key] == found["m_same"]))
+                  F.sort_array(F.collect_list("taken")).alias("takens")))
+    at = fresh(docs, "__at")
+    own = docs.select("*", *[v.alias(k) for k, v in zip(keys, text_key())])
+    own = own.withColumn(at, F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+    on = [own[k] == found[c] for k, c in zip(keys, TEXT_KEY)]
+    joined = own.join(found, on)
     new = {"size": found["size"], "source_size": found["source_size"], "target": found["target"],
            "taken": F.element_at(found["takens"], own[at])}
     old = [own["`" + c.replace("`", "``") + "`"] for c in docs.columns if c.lower() not in new]

@@ -190,6 +190,35 @@ def test_mixing_edges(edges, empty, llm):
     assert out.count() == len(EDGES) and out.columns.count("taken") == 1
 
 
+def test_mix_holds_the_words_of_its_spans(documents, tmp_path):
+    rng = random.Random(2)
+    rows = [(k if k % 5 else 5, " ".join(f"{k}.{j}" for j in range(rng.randrange(0, 300))), "en", "abc"[k % 3] if k % 7 else None) for k in range(60)]
+    rows += [(7, rows[7][1], "en", "b"), (None, "x\ty  z", "en", "a"), (9, None, "en", "a")]
+    mix, found = mixing.mixed(documents(rows), str(tmp_path / "mix"))
+    out = sorted(mix.collect(), key=lambda r: (r["shard"], r["slot"]))
+    assert len({(r["shard"], r["slot"]) for r in out}) == len(out) > 0 and all(0 <= r["slot"] < mixing.SHARD_SLOTS for r in out)
+    texts, want = defaultdict(set), defaultdict(int)
+    for i, t, _, s in rows:
+        texts[i, s].add(tuple((t or "").split()))
+    for r in found.collect():
+        want[r["doc_id"], r["source"]] += r["taken"]
+    taken, fills, times = defaultdict(int), {}, defaultdict(int)
+    for r in out:
+        left = r["text"].split(" ")
+        assert 0 < len(left) <= mixing.BLOCK and len(left) == sum(x["words"] for x in r["spans"])
+        for x in r["spans"]:
+            a, cut, left = x["from_word"], tuple(left[:x["words"]]), left[x["words"]:]
+            assert any(t[a:a + x["words"]] == cut for t in texts[x["doc_id"], r["source"]])
+            taken[x["doc_id"], r["source"]] += x["words"]
+        # a block has the same words in every slot, and fills no more than three
+        assert fills.setdefault((r["source"], r["block"]), r["text"]) == r["text"]
+        times[r["source"], r["block"]] += 1
+    assert max(times.values()) <= mixing.MOST_TIMES
+    assert {k: v for k, v in want.items() if v} == dict(taken)
+    # sources are dealt out over the shard, not one after another
+    assert sum(a["source"] != b["source"] for a, b in zip(out, out[1:])) > len(out) / 4
+
+
 # 4 language model ----------------------------------------------------------------------------------
 
 
