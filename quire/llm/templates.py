@@ -5,7 +5,8 @@ for each host, on how many pages a subtree occurs; subtrees that recur on many p
 host (LEAST_PAGES, and LEAST_SHARE of its pages) are the site's template and are deleted.
 
 Two things the count alone cannot tell are told by the markup. Elements that say what they are (nav,
-footer, form, class="ad", role="navigation", ...) are deleted on a host's only page too. And
+footer, form, class="ad", role="navigation", ...) are deleted on a host's only page too; a class or id
+says so by a whole word, and not of an article, of what holds one, or of most of the page's text. And
 paragraphs, headings, lists and tables of the article are never template, however many pages
 carry the same article: within an article only other boxes (div, section, ...) can be.
 
@@ -33,6 +34,8 @@ from quire.llm.linkgraph import host_of
 
 #: A subtree is template from so many pages of its host on, if they are this share of its pages.
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
+#: An element holds most of the text from this share of its characters on.
+MOST_SHARE = 0.7
 #: Template hashes (8 bytes each) sent to the tasks at once; more are sent in parts, by host.
 TEMPLATES_TO_SEND = 1_000_000
 
@@ -42,9 +45,10 @@ DROP_TAGS = frozenset(
     "option textarea input label dialog menu head title audio video map".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 DROP_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|nav|navbar|navigation|menu"
+    r"(?:^|\s)(?:ads?|adverts?|advertisements?|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|nav|navbar|navigation|menu"
     r"|breadcrumbs?|sidebar|side-bar|footer|masthead|site-header|page-header|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe"
-    r"|subscription|signup|sign-up|login|comments?|comment-list|disqus|replies|respond|social|share|sharing|related|recommended)(?:$|[\s_-])", re.I)
+    r"|subscription|signup|sign-up|login|comments?|comment-list|disqus|replies|respond|social|share|sharing|related|recommended)(?:$|\s)", re.I)
+MAINS = ("article", "main")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noframes noembed xmp".split())
 BLOCKS = frozenset(
@@ -66,13 +70,14 @@ RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_c
 
 
 class Element:
-    """``parts``: strings and elements in page order; ``hash`` is known once it is closed."""
+    """``parts``: strings and elements in page order. Known once it is closed: ``hash``, ``filled`` (has
+    text), ``chars`` (characters of text that is not in a dropped tag or role), ``holds`` (an article)."""
 
-    __slots__ = ("tag", "names", "drop", "parts", "hash", "filled")
+    __slots__ = ("tag", "names", "drop", "named", "parts", "hash", "filled", "chars", "holds")
 
     def __init__(self, tag: str, attrs: str):
         self.tag, self.names, self.parts, self.hash, self.filled = tag, "", [], 0, False
-        self.drop = tag in DROP_TAGS
+        self.drop, self.named, self.chars, self.holds = tag in DROP_TAGS, False, 0, False
         if attrs and not self.drop and "=" in attrs:
             for m in ATTR.finditer(attrs):
                 value = m[2] or m[3] or m[4] or ""
@@ -80,7 +85,7 @@ class Element:
                 if m[1].lower() == "role":
                     self.drop |= value.strip().lower() in DROP_ROLES
                 else:
-                    self.drop |= bool(DROP_NAMES.search(value))
+                    self.named |= bool(DROP_NAMES.search(value))
 
     def close(self) -> None:
         h = xxhash.xxh64(f"{self.tag}|{self.names}".encode("utf-8", "replace"))
@@ -88,15 +93,20 @@ class Element:
             if isinstance(x, Element):
                 h.update(x.hash.to_bytes(8, "little"))
                 self.filled |= x.filled
+                if not x.drop:
+                    self.chars += x.chars
+                    self.holds |= x.holds or x.tag in MAINS and x.filled
             elif x := " ".join(x.split()):
                 h.update(x.encode("utf-8", "replace"))
                 self.filled = True
+                self.chars += len(x) - x.count(" ")
         self.hash = h.intdigest()
 
 
 def parse(html: str) -> Element:
     root = Element("html", "")
     stack = [root]
+    named: list[Element] = []
     at = 0
     end = len(html)
 
@@ -138,6 +148,8 @@ def parse(html: str) -> Element:
             continue
         element = Element(tag, m[3])
         stack[-1].parts.append(element)
+        if element.named:
+            named.append(element)
         if tag in VOID:
             element.close()
             continue
@@ -151,9 +163,16 @@ def parse(html: str) -> Element:
         stack.append(element)
     text(at, end)
     pop(0)
+    for e in named:
+        e.drop |= e.tag not in MAINS and not e.holds and not most(e, root)
     return root
 
 
+def most(e: Element, whole: Element) -> bool:
+    return e.chars > MOST_SHARE * whole.chars
+
+
+
 def elements(root: Element, skip):
     """All elements below ``root`` that are not in a subtree for which ``skip`` holds, with whether
     they are in an article. In page order; without recursion, so depth does not matter."""

@@ -129,6 +129,14 @@ def test_recurring_subtrees_go(llm):
     assert templates.query(df.where("page_id = 999")).count() == 0
 
 
+@pytest.mark.parametrize("names", ["content has-sidebar", "layout-no-sidebar", "article-body with-related", "post comments-open",
+                                   "post type-post category-social hentry", "social"])
+def test_names_do_not_delete_the_main_text(names):
+    assert templates.main_text(page(f'<article class="{names}"><p>The text</p></article>'), ()) == "The text"
+    assert templates.main_text(page(f'<div id="x" class="{names}"><main><p>The text</p></main></div><p>more</p>'), ()) == "The text"
+    assert templates.main_text(page(f'<p>a</p><div class="{names}"><p>Most of the text</p><div class="big social">no</div></div>'), ()) == "a Most of the text"
+
+
 def test_pages_of_the_table(sf):
     rows = got(templates.query(sf("pages")))
     assert len(rows) == sf("pages").count() and all(r["n_chars"] == len(r["text"]) > 0 for r in rows)
