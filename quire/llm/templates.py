@@ -1,22 +1,24 @@
 """Main text of web pages by site template removal.
 
 Every page is parsed into elements. A subtree's hash covers its tags, classes and text. Spark counts,
-for each host, on how many pages a subtree occurs; subtrees that recur on many pages of the
-host (LEAST_PAGES, and LEAST_SHARE of its pages) are the site's template and are deleted.
+for each host, in how many different contents a subtree occurs; subtrees that recur in many of the
+host's (LEAST_PAGES, and LEAST_SHARE of them) are the site's template and are deleted. For a subtree of
+an article, the content is the article; for others, the page. So copies of an article, or of a page,
+count once, whatever stands around them.
 
 Two things the count alone cannot tell are told by the markup. Elements that say what they are (nav,
 footer, form, class="ad", role="navigation", ...) are deleted on a host's only page too; a class or id
 says so by a whole word, and not of an article, of what holds one, or of most of the page's text. And
-paragraphs, headings, lists and tables of the article are never template, however many pages
-carry the same article: within an article only other boxes (div, section, ...) can be.
+paragraphs, headings and lists of the article are never template: within an article only boxes (div,
+section, table, ...) can be, but not one that holds most of its text.
 
-If a page has an article or main element, the text is taken from there; else from the body.
+If a page has an article or main element, the text is taken from there; else from the body. There, the
+innermost element that holds most of the text is treated as the article.
 
 Defined results. Null and empty html give an empty text. Unclosed elements end with their parent; a
 new block ends an open paragraph; end tags without a start are ignored; a ``<`` that starts no
 tag is text; an unclosed comment or script runs to the end of the page. A page without a host
-belongs to the host "". Repeated rows count as pages of their own. An empty table gives an empty
-table. Pages are parsed one at a time, whole."""
+belongs to the host "". Repeated rows count once. An empty table gives an empty table. Pages are parsed one at a time, whole."""
 
 from __future__ import annotations
 
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 from quire.llm.common import map_column, stored
 from quire.llm.linkgraph import host_of
 
-#: A subtree is template from so many pages of its host on, if they are this share of its pages.
+#: A subtree is template from so many contents of its host on, if they are this share of its contents.
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
 #: An element holds most of the text from this share of its characters on.
 MOST_SHARE = 0.7
@@ -66,6 +68,9 @@ BOXES = frozenset("div section table figure details center fieldset address asid
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>""", re.S)
 ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
+CONTENTS = T.ArrayType(T.StructType([T.StructField("inside", T.BooleanType()), T.StructField("content", T.LongType()),
+                                     T.StructField("hashes", T.ArrayType(T.LongType()))]))
+_ARROW_CONTENTS = pa.list_(pa.struct([("inside", pa.bool_()), ("content", pa.int64()), ("hashes", pa.list_(pa.int64()))]))
 RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
 
@@ -172,66 +177,96 @@ def most(e: Element, whole: Element) -> bool:
     return e.chars > MOST_SHARE * whole.chars
 
 
+def container(root: Element) -> Element | None:
+    """What stands for the article on a page without one: the innermost element with most of the text."""
+    e = root
+    while inner := next((x for x in e.parts if isinstance(x, Element) and not x.drop and most(x, root)), None):
+        e = inner
+    return None if e is root else e
 
-def elements(root: Element, skip):
-    """All elements below ``root`` that are not in a subtree for which ``skip`` holds, with whether
-    they are in an article. In page order; without recursion, so depth does not matter."""
-    todo = [(root, False)]
+
+def can_recur(e: Element, whole: Element | None, root: Element) -> bool:
+    """Whether an element may be template; ``whole`` is the article that it is in."""
+    return e.tag in BLOCKS and e.tag not in ("html", *MAINS) and (whole is None or e.tag in BOXES) and not most(e, whole or root)
+
+
+def elements(root: Element, skip, main: Element | None = None):
+    """All elements below ``root`` that are not in a subtree for which ``skip`` holds, with the outermost
+    article (or ``main``) that they are in. In page order; without recursion, so depth does not matter."""
+    todo: list = [(root, None)]
     while todo:
-        e, inside = todo.pop()
+        e, whole = todo.pop()
         if skip(e):
             continue
-        yield e, inside
-        inside = inside or e.tag in ("article", "main")
-        todo += [(x, inside) for x in reversed(e.parts) if isinstance(x, Element)]
+        yield e, whole
+        whole = whole or (e if e.tag in MAINS or e is main else None)
+        todo += [(x, whole) for x in reversed(e.parts) if isinstance(x, Element)]
 
 
-def candidates(html: str) -> set[int]:
-    """Hashes of the page's subtrees that may be template: blocks with text."""
-    return {e.hash for e, inside in elements(parse(html), lambda e: False)
-            if e.filled and e.tag in BLOCKS and e.tag not in ("html", "article", "main") and (not inside or e.tag in BOXES)}
+def articles(root: Element) -> list[Element]:
+    return [e for e, _ in elements(root, lambda e: e.drop) if e.tag in MAINS and e.filled]
+
+
+def candidates(html: str) -> list[tuple[bool, int, set[int]]]:
+    """(inside, content, hashes) of the page and of each of its articles: hashes of the subtrees that may
+    be template, blocks with text, and of the content that they are in."""
+    root = parse(html)
+    found: dict = {None: set()}
+    for e, whole in elements(root, lambda e: False, None if articles(root) else container(root)):
+        hashes = found.setdefault(whole and whole.hash, set())
+        if e.filled and can_recur(e, whole, root):
+            hashes.add(e.hash)
+    return [(k is not None, root.hash if k is None else k, x) for k, x in found.items()]
 
 
 def main_text(html: str, template) -> str:
     """Text of a page without the subtrees whose hash is in ``template``."""
     root = parse(html)
 
-    def goes(e: Element, inside: bool) -> bool:
-        return e.drop or e.hash in template and e.tag in BLOCKS and e.tag not in ("html", "article", "main") and (not inside or e.tag in BOXES)
+    def goes(e: Element, whole: Element | None) -> bool:
+        return e.drop or e.hash in template and can_recur(e, whole, root)
 
-    found = [e for e, _ in elements(root, lambda e: e.drop) if e.tag in ("article", "main") and e.filled]
-    todo: list = [(root, False)]
+    found = articles(root)
+    main = None if found else container(root)
+    todo: list = [(root, None)]
     if found:
         # an article within an article or main is part of it
         inner = {id(y) for e in found for y, _ in elements(e, lambda x: False) if y is not e}
-        todo = [(e, True) for e in reversed(found) if id(e) not in inner]
+        todo = [(e, None) for e in reversed(found) if id(e) not in inner]
     out: list[str] = []
     while todo:
-        x, inside = todo.pop()
+        x, whole = todo.pop()
         if not isinstance(x, Element):
             out.append(x)
-        elif not goes(x, inside):
+        elif not goes(x, whole):
             if x.tag in BLOCKS:
                 out.append(" ")
-                todo.append((" ", inside))
-            inside = inside or x.tag in ("article", "main")
-            todo += [(y, inside) for y in reversed(x.parts)]
+                todo.append((" ", whole))
+            whole = whole or (x if x.tag in MAINS or x is main else None)
+            todo += [(y, whole) for y in reversed(x.parts)]
     return " ".join("".join(out).split())
 
 
 def templates(pages: DataFrame, html: str = "html") -> DataFrame:
     """(host, hash): the template of every host."""
+    def signed(h: int) -> int:
+        return h - (1 << 64) if h >> 63 else h
+
     def make():
         def f(column):
-            return pa.array([[h - (1 << 64) if h >> 63 else h for h in candidates(x or "")] for x in column.to_pylist()], pa.list_(pa.int64()))
+            return pa.array([[{"inside": inside, "content": signed(c), "hashes": [signed(h) for h in hashes]} for inside, c, hashes in candidates(x or "")]
+                             for x in column.to_pylist()], _ARROW_CONTENTS)
         return f
 
-    rows = map_column(pages.select("host", html), html, "hashes", T.ArrayType(T.LongType()), make).select("host", "hashes")
-    # a row without a hash for every page, so that one pass counts the pages too
-    counted = rows.select("host", F.explode(F.concat(F.array(F.lit(None).cast("long")), "hashes")).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    rows = map_column(pages.select("host", html), html, "contents", CONTENTS, make).select("host", F.explode("contents").alias("c")).select("host", "c.*")
+    rows = rows.groupBy("host", "inside", "content").agg(F.first("hashes").alias("hashes"))
+    # a row without a hash for every content, so that one pass counts the contents too
+    counted = (rows.select("host", "inside", F.explode(F.concat(F.array(F.lit(None).cast("long")), "hashes")).alias("hash"))
+               .groupBy("host", "inside", "hash").agg(F.count("*").alias("n")))
     counted = stored(counted.where(F.col("hash").isNull() | (F.col("n") >= LEAST_PAGES)))
-    pages_of = counted.where("hash is null").select("host", F.col("n").alias("pages"))
-    return counted.where("hash is not null").join(pages_of, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
+    contents_of = counted.where("hash is null").select("host", "inside", F.col("n").alias("contents"))
+    return (counted.where("hash is not null").join(contents_of, ["host", "inside"]).where(F.col("n") >= LEAST_SHARE * F.col("contents"))
+            .select("host", "hash").distinct())
 
 
 def extract(pages: DataFrame, out: str, at_once: int = TEMPLATES_TO_SEND) -> DataFrame:

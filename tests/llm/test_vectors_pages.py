@@ -129,6 +129,24 @@ def test_recurring_subtrees_go(llm):
     assert templates.query(df.where("page_id = 999")).count() == 0
 
 
+def test_copies_of_an_article_keep_its_text(llm):
+    body = "".join(f"<p>Sentence {j} of the one article that everybody copies.</p>" for j in range(8))
+    parts = "".join(f'<div class="part"><h2>Part {j}</h2><p>What is said in part {j}.</p></div>' for j in range(4))
+    rows = []
+    for k in range(20):
+        around = f"<div class='menu-of-all'>Home News</div><p>Page {k}</p>"
+        rows.append((k, f"http://a.example/{k}", page(f'{around}<article><div class="article-body">{body}</div><div class="y">Follow us</div><p>By {k}</p></article>')))
+        rows.append((100 + k, f"http://b.example/{k}", page(f"{around}<article>{parts}</article>")))
+        rows.append((200 + k, f"http://c.example/{k}", page(f'<div>{around}<div class="content">{body}</div></div>')))
+        rows.append((300 + k, f"http://d.example/{k}", page(f"<div>{parts}</div>")))
+    df = llm.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in templates.query(df).collect()}
+    text, several = templates.main_text(page(body), ()), templates.main_text(page(parts), ())
+    for k in range(20):
+        assert found[k] == f"{text} By {k}" and found[100 + k] == several
+        assert found[200 + k] == f"Page {k} {text}" and found[300 + k] == several
+
+
 @pytest.mark.parametrize("names", ["content has-sidebar", "layout-no-sidebar", "article-body with-related", "post comments-open",
                                    "post type-post category-social hentry", "social"])
 def test_names_do_not_delete_the_main_text(names):
