@@ -9,12 +9,14 @@ digits count, not the signs between them) get equal pseudonyms, so documents sta
 The permutation is P^-1(P(x) + s mod n): P is a Feistel network on two parts of the range of n
 values, repeated until it lands in the range; s is a keyed step between 1 and n - 1. It is a
 permutation under which no value stays as it is. Letters and digits of mail addresses and secrets
-are permuted in the same way, letter for letter and digit for digit.
+are permuted in the same way, letter for letter and digit for digit; a value of more than
+AT_ONCE signs in parts, each under a permutation that depends on all before it.
 
 Everything else in a text is left as it is, byte for byte.
 
 Defined results. A null text stays null, with no spans; an empty text is empty. Values that fail
-validation are left alone. Overlapping finds: the first, then the longest. Texts are read whole;
+validation are left alone. Mail addresses and secrets reach to their end, however long. Overlapping
+finds: the first, then the longest. Texts are read whole;
 finds are local, so a long text takes memory in proportion to its own length only."""
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from quire.llm.common import fresh, map_column
 #: The key of the test tables. A job passes its own.
 DEMO_KEY = b"a key for the test tables only"
 ROUNDS = 10
+#: Signs that are permuted together: half of their range stays well below the 512 bits of a round's word.
+AT_ONCE = 128
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 MONTHS = "January February March April May June July August September October November December".split()
 
@@ -104,6 +108,17 @@ def refill(shape: str, chars: str) -> str:
 
 def by_class(p, format: str, value: str, classes) -> str:
     """Permute a string within the strings whose characters are of the same classes."""
+    if len(value) <= AT_ONCE:
+        return _by_class(p, format, value, classes)
+    seen, out = hashlib.blake2b(b"%d|" % len(value), digest_size=16), []
+    for a in range(0, len(value), AT_ONCE):
+        part = value[a:a + AT_ONCE]
+        out.append(_by_class(p, f"{format} {seen.hexdigest()}", part, classes))
+        seen.update(part.encode())
+    return "".join(out)
+
+
+def _by_class(p, format: str, value: str, classes) -> str:
     sets = [next((s for s in classes if c in s), None) for c in value]
     n, x = 1, 0
     for c, s in zip(value, sets):
@@ -249,12 +264,12 @@ NUMBERS = [
 NUMBERS = [(kind, re.compile(r"(?<![0-9A-Za-z])" + x + r"(?![0-9A-Za-z])"), f) for kind, x, f in NUMBERS]
 WRITTEN = re.compile(rf"\b(?:{_MONTH}\.? +\d{{1,2}}(?:st|nd|rd|th)?,? +\d{{4}}|\d{{1,2}}(?:st|nd|rd|th|\.)? +{_MONTH}\.?,? +\d{{4}})\b", re.I | re.A)
 IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")
-SECRET = re.compile(r"(?i)\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?([0-9a-z_\-./+]{8,256})", re.A)
+SECRET = re.compile(r"(?i)\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?([0-9a-z_\-./+]{8,})", re.A)
 #: A time of day right after a date, as in 2024-05-06T07:08.
 CLOCK = re.compile(r"T[0-2][0-9]:[0-5][0-9]")
 KEYS = re.compile(r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|[0-9a-f]{40}|[0-9a-f]{64})(?![0-9A-Za-z])")
-MAIL_LOCAL = re.compile(r"[0-9A-Za-z_%+\-](?:[0-9A-Za-z._%+\-]{0,62}[0-9A-Za-z_%+\-])?$")
-MAIL_HOST = re.compile(r"[0-9A-Za-z](?:[0-9A-Za-z\-]{0,62})(?:\.[0-9A-Za-z\-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![0-9A-Za-z])")
+MAIL_LOCAL = frozenset(DIGITS + LOWER + UPPER + "._%+-")
+MAIL_HOST = re.compile(r"[0-9A-Za-z][0-9A-Za-z\-]*(?:\.[0-9A-Za-z\-]+)*\.[A-Za-z]{2,}(?![0-9A-Za-z])")
 
 
 def finds(text: str, p) -> list[tuple[int, int, str, str]]:
@@ -263,10 +278,14 @@ def finds(text: str, p) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         at = text.find("@")
         while at >= 0:
-            host, local = MAIL_HOST.match(text, at + 1), MAIL_LOCAL.search(text[max(0, at - 64):at])
-            if host and local:
-                a, b = at - len(local[0]), host.end()
-                found.append((a, b, "email", email(p, text[a:b])))
+            a, host = at, MAIL_HOST.match(text, at + 1)
+            if host:
+                while a and text[a - 1] in MAIL_LOCAL:
+                    a -= 1
+                while text[a] == ".":
+                    a += 1
+            if a < at and text[at - 1] != ".":
+                found.append((a, host.end(), "email", email(p, text[a:host.end()])))
             at = text.find("@", at + 1)
     for m in SECRET.finditer(text):
         found.append((m.start(1), m.end(1), "secret", secret(p, m[1])))

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -132,6 +133,24 @@ def test_pii_query(edges, empty, sf):
             assert r["text"] == t
 
 
+@pytest.mark.parametrize("n", [90, 300, 5000])
+def test_long_values_are_replaced_to_their_end(n):
+    rng = random.Random(n)
+    p = pii.permutations(b"k")
+    some = lambda n, chars=string.ascii_letters + string.digits: "".join(rng.choice(chars) for _ in range(n))
+    value, local, host = some(n), some(n, string.ascii_lowercase), ".".join(some(n // 20, string.ascii_lowercase) for _ in range(20)) + ".com"
+    text = f"token={value} a {local}@{host}, b {local}@x.org end ..{local}@x.org"
+    new, spans = pii.pseudonymise(text, p)
+    assert [text[s["first"]:s["last"]] for s in spans] == [value, f"{local}@{host}", f"{local}@x.org", f"{local}@x.org"]
+    parts = re.fullmatch(r"token=(\w+) a ([a-z]+)@([a-z.]+)\.com, b ([a-z]+)@([a-z]+)\.org end \.\.\4@\5\.org", new)
+    assert parts and len(new) == len(text) and parts[2] == parts[4]
+    # nothing longer than chance is left in its place, at any part of the value
+    for old, now in ((value, parts[1]), (local, parts[2]), (host[:-4], parts[3])):
+        assert len(old) == len(now) and all(old[k:k + 8] != now[k:k + 8] for k in range(0, len(old) - 7, 4))
+    # values that differ in their last sign only stay different
+    assert pii.secret(p, value + "a") != pii.secret(p, value + "b")
+
+
 # 3 mixing ------------------------------------------------------------------------------------------
 
 
