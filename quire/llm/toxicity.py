@@ -85,7 +85,10 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, m: int
     chosen = stored(known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     if chosen.count() <= LABELS_TO_SEND:
         chosen = F.broadcast(chosen)
-    return docs.select("doc_id", "text").join(chosen, "doc_id")
+    # of rows with the same id one text counts: there are no more rows than ids
+    order = F.struct(F.col("text").isNull(), F.xxhash64("text"), F.col("text"))
+    return (docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id")
+            .agg(F.min_by("text", order).alias("text"), F.first("toxic").alias("toxic")))
 
 
 def counts(rows: DataFrame) -> DataFrame:

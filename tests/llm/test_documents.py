@@ -517,6 +517,15 @@ def test_counterfactuals_take_the_blame_off_groups(documents, llm):
     assert fair.score("one scumbag") > 0.5
 
 
+def test_a_repeated_id_counts_as_one_row(documents, llm):
+    docs = documents([(1, f"text {k}", "en", "a") for k in range(200)] + [(2, None, "en", "a"), (2, "two", "en", "a"), (3, None, "en", "a")])
+    labels = llm.createDataFrame([(1, 0, 1), (2, 0, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    rows = toxicity.labelled(docs, labels, m=1_000_003).collect()
+    found = {r["doc_id"]: (r["text"], r["toxic"]) for r in rows}
+    assert len(rows) == 3 and found[1][0].startswith("text ") and found[1][1] == 1 and found[2] == ("two", 0) and found[3] == (None, 1)
+    assert sorted(toxicity.labelled(docs.orderBy(F.desc("text")), labels, m=1_000_003).collect()) == sorted(rows)
+
+
 def test_toxicity_on_held_out(sf, edges, empty, llm):
     labels = {r["doc_id"]: r["toxic"] for r in sf("labels").collect()}
     rows = [r for r in toxicity.query(sf("documents"), sf("labels")).collect() if r["doc_id"] in labels and r["held_out"]]
