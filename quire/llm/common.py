@@ -70,6 +70,21 @@ def map_column(df: DataFrame, source: str, name: str, dtype: T.DataType,
     return df.mapInArrow(run, schema)
 
 
+def map_columns(df: DataFrame, sources: list[str], fields: list[T.StructField],
+                make: Callable[[], Callable[..., list[pa.Array]]]) -> DataFrame:
+    """As ``map_column``, from several columns to several new ones."""
+    at = [df.columns.index(c) for c in sources]
+    schema = T.StructType([*df.schema.fields, *fields])
+    names = [f.name for f in schema.fields]
+
+    def run(batches):
+        f = make()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, *f(*[b.column(k) for k in at])], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column's values; NULL is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import decontam, embeddings, langid, linkgraph, mixing, ngramlm, pii, simhash, templates, toxicity
+from quire.llm import decontam, embeddings, fim, langid, linkgraph, mixing, ngramlm, pii, piecebpe, simhash, templates, tokenalign, toxicity
 from quire.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_language_id": lambda spark, d: langid.query(table(spark, d, "documents")),
     "op9_simhash": lambda spark, d: simhash.query(table(spark, d, "documents")),
     "op10_toxicity": lambda spark, d: toxicity.query(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op11_fill_in_middle": lambda spark, d: fim.query(table(spark, d, "documents")),
+    "op12_piece_bpe": lambda spark, d: piecebpe.query(table(spark, d, "documents")),
+    "op13_token_alignment": lambda spark, d: tokenalign.query(table(spark, d, "documents")),
 }
 
 ORACLE_SQL = {
@@ -23,4 +26,5 @@ ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op5_decontamination": decontam.ORACLE_SQL,
     "op7_link_graph": linkgraph.ORACLE_SQL,
+    "op11_fill_in_middle": fim.ORACLE_SQL,
 }
