@@ -6,20 +6,23 @@ of its slots each source gets, with the sources' shares as probabilities. The dr
 multinomial one by systematic sampling: one random number a shard, so a source's count has the
 right mean and differs from it by less than 1. A source's slots are numbered over all shards, and
 a pseudorandom permutation of the source's block numbers (another one for every time through
-the source) says which block fills a slot. Blocks and slots are joined by source and number.
+the source) says which block fills a slot. Blocks and draws are joined by source and slot number.
 Another permutation, of a shard's slots, deals its sources' slots out over the shard.
 
-``mixed`` makes the mix itself: for every slot the words of its block, cut out of the documents that
-they stand in, with the places they were cut from. ``taken`` is added up from these places, as they
-were written. Only numbers are joined to find them; a text moves to its cuts, and its words to
-their shard, once each.
-
 The permutation is the swap-or-not shuffle: in every round, a number and its mirror image about a
 keyed centre change places or not, by a keyed bit that is the same for both. It is a permutation
-of 0 .. n - 1 for any n, without walks or rejects.
+of 0 .. n - 1 for any n, without walks or rejects, and its rounds backwards are its inverse: a block's
+row finds the (at most MOST_TIMES) slots that the block fills, and no slot is listed to find its block.
+Rounds are columns of their own, so that they are compiled.
+
+``mixed`` makes the mix itself: for every slot the words of its block, cut out of the documents that
+they stand in, with the places they were cut from. ``taken`` is added up from these places, as they
+were written. A text moves once to its cuts, and cut words once to their shard.
 
-A source's stream is numbered piece by piece (``prefix_sum``), so that a source with a third of
-all words is spread over many tasks. All arithmetic is on whole numbers or on sums over sources
+A source's stream is numbered piece by piece, an id's documents by size, and documents of one id and size
+in parts; equal rows are one row with a number of copies until they are cut, and their text
+moves once for COPIES of them. So neither a source, an id (or null) nor a repeated row with a third of all
+rows is one task's work. All arithmetic is on whole numbers or on sums over sources
 in a fixed order, so reruns agree.
 
 Defined results. A null or empty text has size 0 and is never taken. A null source is a source, the
@@ -49,48 +52,60 @@ PRIME = 2147483647
 MASKS, FACTORS = (715827882, 1431655765), (1103515245, 1812433253)
 #: A table of up to so many sources (about 60 bytes each) is sent to all tasks; a larger one is joined.
 SOURCES_TO_SEND = 100_000
-#: Slots that one task fills.
-SLOTS_A_TASK = 100_000
+#: A table of up to so many draws (about 100 bytes each) is sent to all tasks; a larger one is joined.
+DRAWS_TO_SEND = 200_000
+#: Equal rows that share a move of their text.
+COPIES = 64
 #: Neighbouring slots of a shard that are written by one task, in order.
 RUN_SLOTS = 256
 #: What tells texts apart: doc_id (0 and true for null), and a hash of text and source.
 TEXT_KEY = ["id", "no_id", "same"]
 #: Folder for the mix of the pipeline; without it, one in the scratch folder.
 MIX_PATH = "quire.mix.path"
+#: How hard the mix is compressed (zstd).
+MIX_LEVEL = 6
 
 
-def stirred(x: Column) -> Column:
-    """``x`` with its bits mixed once more."""
+def stirred(x: str) -> str:
+    """``x`` with its bits mixed once more, as an expression in text: many columns are made of it, and
+    text is parsed faster than Columns are put together."""
     for mask, factor in zip(MASKS, FACTORS):
-        x = (x.bitwiseXOR(F.lit(mask).cast("long")) * F.lit(factor)) % F.lit(PRIME)
+        x = f"((({x}) ^ {mask}L) * {factor}) % {PRIME}"
     return x
 
 
-def scatter(*keys: Column) -> Column:
+def scattered(*keys: str) -> str:
     """A pseudorandom number 0 .. PRIME - 1 of whole numbers; products stay below 2^63."""
-    y = F.lit(SEED % PRIME).cast("long")
+    y = f"{SEED % PRIME}L"
     for k in keys:
-        y = stirred((y + (k.cast("long") % F.lit(PRIME)) * F.lit(FACTORS[0])) % F.lit(PRIME))
+        y = stirred(f"({y} + (CAST({k} AS BIGINT) % {PRIME}) * {FACTORS[0]}) % {PRIME}")
     return y
 
 
-def round_keys(*keys: Column) -> Column:
+def round_keys(*keys: str) -> Column:
     """The keys of the rounds of one permutation."""
-    return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda r: scatter(*keys, r))
+    return F.expr("array(" + ", ".join(scattered(*keys, str(r)) for r in range(1, ROUNDS + 1)) + ")")
+
+
+def swapped(x: str, n: str, key: str) -> str:
+    """A round: ``x`` or its mirror image, by a bit that is the same for both."""
+    mirror = f"pmod({key} % {n} - {x}, {n})"
+    bit = f"shiftright({stirred(f'(greatest({x}, {mirror}) + {key}) % {PRIME}')}, 10) & 1L"
+    return f"CASE WHEN ({bit}) = 1 THEN {mirror} ELSE {x} END"
 
 
-def permuted(x: Column, n: Column, keys: Column) -> Column:
-    """The place of ``x`` in the permutation of 0 .. n - 1 that belongs to the round keys."""
-    def swap(state, key):
-        mirror = F.pmod(key % n - state, n)
-        bit = F.shiftright(stirred((F.greatest(state, mirror) + key) % F.lit(PRIME)), 10).bitwiseAND(F.lit(1).cast("long"))
-        return F.when(bit == 1, mirror).otherwise(state)
-    return F.aggregate(keys, x.cast("long"), swap)
+def with_permuted(df: DataFrame, x: str, n: str, keys: str, inverse: bool = False) -> DataFrame:
+    """``x`` replaced by its place in the permutation of 0 .. n - 1, or by what has it as its place. A
+    round is a column, used several times by the next, so they are not put into one expression; the explode
+    at the end keeps a filter on ``x`` from being pushed down through them, which would do that."""
+    for r in reversed(range(ROUNDS)) if inverse else range(ROUNDS):
+        df = df.withColumn(x, F.expr(swapped(x, n, f"{keys}[{r}]")))
+    return df.withColumn(x, F.explode(F.array(F.col(x))))
 
 
 def sources(rows: DataFrame) -> DataFrame:
-    """One row a source: its number (rank) in code point order, words, target in words, blocks, and the
-    shares before and up to it of all ``n_slots`` slots. Targets fill up by weight; the sources
+    """One row a source: its number (rank) in code point order, words, target in words, blocks, the
+    shares before and up to it of all ``n_slots`` slots, and its usual draw in a shard (``width``). Targets fill up by weight; the sources
     that are full are those whose 3 sizes are reached first, in the order of size by weight."""
     every = Window.partitionBy()
     up_to = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -115,9 +130,11 @@ def sources(rows: DataFrame) -> DataFrame:
     s = s.withColumn("wanted", wanted).withColumn("to", F.sum("wanted").over(up_to(in_order)))
     s = s.withColumn("from", F.coalesce(F.lag("to").over(in_order), F.lit(0.0))).withColumn("all", F.max("to").over(every))
     s = s.withColumn("n_slots", F.floor(F.col("all") + 0.5).cast("long"))
-    return s.select("source", "rank", "source_size", "target", "n_blocks", "n_slots",
-                    F.when(F.col("all") > 0, F.col("from") / F.col("all")).otherwise(0.0).alias("share_from"),
-                    F.when(F.col("all") > 0, F.col("to") / F.col("all")).otherwise(0.0).alias("share_to"))
+    s = s.select("source", "rank", "source_size", "target", "n_blocks", "n_slots",
+                 F.when(F.col("all") > 0, F.col("from") / F.col("all")).otherwise(0.0).alias("share_from"),
+                 F.when(F.col("all") > 0, F.col("to") / F.col("all")).otherwise(0.0).alias("share_to"))
+    usual = F.greatest(F.lit(1), F.floor(SHARD_SLOTS * (F.col("share_to") - F.col("share_from")))).cast("long")
+    return s.withColumn("width", usual)
 
 
 def draws(s: DataFrame) -> DataFrame:
@@ -127,34 +144,72 @@ def draws(s: DataFrame) -> DataFrame:
     many = s.where("n_slots > 0 and n_blocks > 0").withColumn("hi", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_shards - 1) / 1024))))
     many = many.withColumn("shard", F.explode(F.sequence(F.col("hi") * 1024, F.least(F.col("hi") * 1024 + 1023, n_shards - 1))))
     slots = F.least(F.lit(SHARD_SLOTS).cast("long"), F.col("n_slots") - F.col("shard") * SHARD_SLOTS)
-    u = scatter(F.lit(1), F.col("shard")).cast("double") / F.lit(float(PRIME))
+    u = F.expr(scattered("1", "shard")).cast("double") / F.lit(float(PRIME))
     drawn = (F.floor(slots.cast("double") * F.col("share_to") + u) - F.floor(slots.cast("double") * F.col("share_from") + u)).cast("long")
     offset = F.floor(slots.cast("double") * F.col("share_from") + u).cast("long")
-    many = many.select("source", "rank", "n_blocks", "shard", slots.alias("shard_slots"), offset.alias("offset"), drawn.alias("n_drawn"), (F.col("shard") % PREFIX_PIECES).alias("piece"))
+    many = many.select("source", "rank", "n_blocks", "width", "shard", slots.alias("shard_slots"), offset.alias("offset"), drawn.alias("n_drawn"), (F.col("shard") % PREFIX_PIECES).alias("piece"))
     return prefix_sum(many, ["rank"], ["shard"], "n_drawn", "first", "piece").where("n_drawn > 0")
 
 
-def slots(drawn: DataFrame, n_slots: int) -> DataFrame:
-    """(source, shard, k, block, slot): which block of its source fills a slot; k numbers the source's
-    slots, ``slot`` is the place in the shard.
-    The drawn rows are few but long, so they are dealt out by the number of slots."""
-    n, end = F.col("n_blocks"), F.least(F.col("first") + F.col("n_drawn"), F.col("n_blocks") * MOST_TIMES)
-    rows = drawn.repartition(max(1, n_slots // SLOTS_A_TASK), "source", "shard").where(F.col("first") < end)
-    rows = rows.withColumn("end", end).withColumn("time", F.explode(F.sequence(F.floor(F.col("first") / n), F.floor((F.col("end") - 1) / n))))
-    rows = rows.select("source", "shard", "n_blocks", "shard_slots", (F.col("offset") - F.col("first")).alias("lead"),
-                       round_keys(F.lit(2), F.col("rank"), F.col("time")).alias("keys"), round_keys(F.lit(3), F.col("shard")).alias("slot_keys"),
-                       F.explode(F.sequence(F.greatest("first", F.col("time") * n), F.least("end", (F.col("time") + 1) * n) - 1)).alias("k"))
-    return rows.select("source", "shard", "k", permuted(F.col("k") % n, n, F.col("keys")).alias("block"),
-                       permuted(F.col("lead") + F.col("k"), F.col("shard_slots"), F.col("slot_keys")).alias("slot"))
+def sent(table: DataFrame, rows: int, most: int) -> DataFrame:
+    """``table`` of so many rows for a join: to all tasks up to ``most`` rows, else by merging."""
+    return F.broadcast(table) if rows <= most else table.hint("merge")
+
+
+def numbered(groups: DataFrame) -> DataFrame:
+    """From groups of equal rows (source, doc_id, size, same, copies) of ids with several rows, beside
+    ``start``, where the id begins: ``start`` of each group. An id's rows go by size, and those of a size
+    part by part, by their hash."""
+    key, size_key = ["source", "doc_id"], ["source", "doc_id", "size"]
+
+    def beside(left: DataFrame, right: DataFrame, on: list[str], column: str) -> DataFrame:
+        right = right.select(*[F.col(c).alias(f"__{c}") for c in on], column).hint("merge")
+        match = [left[c].eqNullSafe(right[f"__{c}"]) for c in on]
+        return left.join(right, match).drop(*[f"__{c}" for c in on])
+
+    rows = groups.withColumn("part", F.pmod("same", F.lit(PREFIX_PIECES)).cast("int"))
+    parts = rows.groupBy(*size_key, "part").agg(F.sum("copies").alias("n"))
+    sizes = parts.groupBy(*size_key).agg((F.sum("n") * F.col("size")).alias("words"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("earlier", F.coalesce(F.sum("words").over(before(Window.partitionBy(*key).orderBy("size"))), F.lit(0)))
+    parts = parts.withColumn("ahead", F.coalesce(F.sum("n").over(before(Window.partitionBy(*size_key).orderBy("part"))), F.lit(0)) * F.col("size"))
+    parts = beside(parts, sizes, size_key, "earlier").withColumn("offset", F.col("earlier") + F.col("ahead"))
+    rows = rows.withColumn("own", F.coalesce(F.sum("copies").over(before(Window.partitionBy(*size_key, "part").orderBy("same"))), F.lit(0)) * F.col("size"))
+    rows = beside(rows, parts, [*size_key, "part"], "offset")
+    return rows.withColumn("start", F.col("start") + F.col("offset") + F.col("own")).drop("part", "offset", "own")
 
 
 def packed(rows: DataFrame) -> DataFrame:
-    """Rows with their place in their source's stream: ``piece``, ``at`` (number within the piece) and
-    ``start`` (the words before)."""
-    order = [F.asc_nulls_first("doc_id"), F.asc("size"), F.asc("same")]
-    rows = rows.withColumn("piece", F.coalesce(F.pmod(F.col("doc_id").cast("long"), F.lit(PREFIX_PIECES)), F.lit(0)))
-    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("source", "piece").orderBy(*order)))
-    return prefix_sum(rows, ["source"], ["at"], "size", "start", "piece")
+    """(source, doc_id, size, same, copies, start): equal rows of ``sized`` as one, with the words of their
+    source before the first of them. A source goes piece by piece, by doc_id and size."""
+    groups = rows.groupBy("source", "doc_id", "size", "same").agg(F.count("*").alias("copies"))
+    ids = groups.groupBy("source", "doc_id").agg(F.count("*").alias("kinds"), F.sum(F.col("size") * F.col("copies")).alias("words"), F.min("size").alias("size"),
+                                                 F.min("same").alias("same"), F.min("copies").alias("copies"))
+    ids = ids.withColumn("piece", F.coalesce(F.pmod(F.col("doc_id").cast("long"), F.lit(PREFIX_PIECES)), F.lit(0)))
+    ids = stored(prefix_sum(ids, ["source"], [F.asc_nulls_first("doc_id")], "words", "start", "piece"))
+    columns = ["source", "doc_id", "size", "same", "copies", "start"]
+    one = ids.where("kinds = 1").select(*columns)
+    # the rows of an id are dealt to parts before they meet its start, so that no id is one task's work
+    part = F.pmod("same", F.lit(PREFIX_PIECES)).cast("int")
+    many = ids.where("kinds > 1").select(F.col("source").alias("m_source"), F.col("doc_id").alias("m_id"), "start")
+    having = groups.select("source", "doc_id", part.alias("part")).distinct()
+    having = having.join(many.hint("merge"), having["source"].eqNullSafe(many["m_source"]) & having["doc_id"].eqNullSafe(many["m_id"]))
+    having = having.select("m_source", "m_id", F.col("part").alias("m_part"), "start")
+    groups = groups.withColumn("part", part)
+    on = groups["source"].eqNullSafe(having["m_source"]) & groups["doc_id"].eqNullSafe(having["m_id"]) & (groups["part"] == having["m_part"])
+    several = numbered(groups.join(having.hint("merge"), on).drop("m_source", "m_id", "m_part", "part"))
+    return one.unionByName(several.select(*columns))
+
+
+def copied(groups: DataFrame) -> DataFrame:
+    """One row for each row of the table: ``copy`` numbers equal rows, ``part`` is copy / COPIES. Groups
+    with many copies are dealt out before they become rows."""
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES)))
+    few = groups.where(F.col("copies") <= COPIES).withColumn("part", F.lit(0).cast("long"))
+    many = groups.where(F.col("copies") > COPIES).withColumn("part", parts).repartition("same", "part")
+    last = F.least(F.col("copies"), (F.col("part") + 1) * COPIES) - 1
+    rows = few.unionByName(many).withColumn("copy", F.explode(F.sequence(F.col("part") * COPIES, last)))
+    return rows.withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
 
 
 def spans(placed: DataFrame) -> DataFrame:
@@ -167,50 +222,77 @@ def spans(placed: DataFrame) -> DataFrame:
     return rows.withColumn("from_word", a - first).withColumn("words", F.when(F.col("block") < 0, F.lit(0)).otherwise(b - a).cast("long"))
 
 
+def text_hash() -> Column:
+    return F.xxhash64("text", "source").alias("same")
+
+
 def text_key() -> list[Column]:
     """TEXT_KEY of a document."""
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("no_id"),
-            F.xxhash64("text", "source").alias("same")]
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("no_id"), text_hash()]
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and TEXT_KEY of every document."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *text_key())
+    """doc_id, source, size and hash of every document."""
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), text_hash())
+
+
+def slot_numbers(place: DataFrame, s: DataFrame, n_sources: int) -> DataFrame:
+    """``place`` with rank, n_blocks, width and ``k``, the number of a slot that the block would fill among
+    all of its source: one for each time through the source."""
+    passes = s.where("n_blocks > 0").withColumn("time", F.explode(F.array(*[F.lit(t).cast("long") for t in range(MOST_TIMES)])))
+    passes = passes.select(F.col("source").alias("p_source"), "rank", "n_blocks", "time", "width",
+                           round_keys("2", "rank", "time").alias("keys"))
+    rows = place.join(sent(passes, n_sources, SOURCES_TO_SEND), place["source"].eqNullSafe(passes["p_source"])).withColumn("k", F.col("block"))
+    rows = with_permuted(rows, "k", "n_blocks", "keys", inverse=True)
+    return rows.withColumn("k", F.col("time") * F.col("n_blocks") + F.col("k")).drop("p_source", "time", "keys", "n_blocks")
 
 
-def cuts(rows: DataFrame, s: DataFrame) -> DataFrame:
+def cuts(packs: DataFrame, s: DataFrame) -> DataFrame:
     """One row for each slot and document that has words in the slot's block: ``words`` of them from
-    ``from_word`` on; ``begin`` is their place in the block."""
-    used = slots(draws(s), s.agg(F.max("n_slots")).first()[0] or 0)
-    used = used.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "shard", "slot")
-    place = spans(packed(rows)).where("block >= 0")
-    # its size is not known before it runs, so it is never broadcast on an estimate
-    used = used.hint("merge")
-    on = place["source"].eqNullSafe(used["u_source"]) & (place["block"] == used["u_block"])
+    ``from_word`` on; ``begin`` is their place in the block.
+
+    A source's slot numbers are cut into buckets of its usual draw in a shard, so a bucket meets few
+    draws, and a draw few buckets."""
+    n_sources = s.count()
+    drawn = draws(s)
+    drawn = stored(drawn.select(F.col("rank").alias("d_rank"), "shard", "shard_slots", "first", (F.col("first") + F.col("n_drawn")).alias("end"),
+                                (F.col("offset") - F.col("first")).alias("lead"),
+                                F.explode(F.sequence(F.floor(F.col("first") / F.col("width")), F.floor((F.col("first") + F.col("n_drawn") - 1) / F.col("width")))).alias("d_bucket")))
+    place = slot_numbers(spans(copied(packs)).where("block >= 0"), s, n_sources)
+    place = place.withColumn("bucket", F.floor(F.col("k") / F.col("width")))
+    index = sent(drawn, drawn.count(), DRAWS_TO_SEND)
+    rows = place.join(index, (place["rank"] == drawn["d_rank"]) & (place["bucket"] == drawn["d_bucket"]) & (F.col("k") >= F.col("first")) & (F.col("k") < F.col("end")))
     begin = F.col("start") + F.col("from_word") - F.col("block") * BLOCK
-    return place.join(used, on).select(*TEXT_KEY, "source", "doc_id", "at", "shard", "slot", "block", begin.alias("begin"), "from_word", "words")
+    rows = rows.select("source", "doc_id", "same", "part", "copy", "shard", "shard_slots", "block", begin.alias("begin"), "from_word", "words",
+                       (F.col("lead") + F.col("k")).alias("slot"), round_keys("3", "shard").alias("keys"))
+    return with_permuted(rows, "slot", "shard_slots", "keys").drop("keys", "shard_slots")
 
 
 def blocks(docs: DataFrame, cut: DataFrame) -> DataFrame:
     """The mix: (shard, slot, source, block, text, spans), the words of a slot and where they were cut
     from. Neighbouring slots are in order in a task. Documents alike in id, source and text have one text;
-    ``at`` tells rows of the same source and id apart."""
-    lists = cut.repartition(*TEXT_KEY).groupBy(*TEXT_KEY, "source", "doc_id", "at").agg(F.collect_list(F.struct("shard", "slot", "block", "begin", "from_word", "words")).alias("cuts"))
-    texts = docs.select(*text_key(), "text").groupBy(*TEXT_KEY).agg(F.first("text").alias("text"))
+    ``copy`` tells them apart, ``same`` (a hash of text and source) those of one id."""
+    # a document's cuts are made by one task, so they are one row before they are shuffled
+    each = F.struct("copy", "shard", F.col("slot").cast("int").alias("slot"), "block", F.col("begin").cast("int").alias("begin"), "from_word", F.col("words").cast("int").alias("words"))
+    lists = cut.groupBy("doc_id", "same", "part", "source").agg(F.collect_list(each).alias("cuts"))
+    texts = docs.select("doc_id", text_hash(), "text").groupBy("doc_id", "same").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    texts = texts.select(F.col("doc_id").alias("t_id"), F.col("same").alias("t_same"), "text",
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))).alias("t_part"))
 
     def sliced(words: Column) -> Column:
         return F.transform("cuts", lambda c: F.struct(
-            c["shard"].alias("shard"), c["slot"].alias("slot"), c["block"].alias("block"), c["begin"].alias("begin"), c["from_word"].alias("from_word"),
-            c["words"].alias("words"), F.array_join(F.slice(words, (c["from_word"] + 1).cast("int"), c["words"].cast("int")), " ").alias("text")))
+            *[c[x].alias(x) for x in ("copy", "shard", "slot", "block", "begin", "from_word", "words")],
+            F.array_join(F.slice(words, (c["from_word"] + 1).cast("int"), c["words"]), " ").alias("text")))
 
     # the array around the words has them split once for all cuts
     found = F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), sliced)[0]
-    rows = lists.join(texts.hint("merge"), TEXT_KEY).select("source", "doc_id", "at", F.explode(found).alias("c")).select("source", "doc_id", "at", "c.*")
-    rows = rows.withColumn("run", F.floor(F.col("slot") / RUN_SLOTS)).repartition("shard", "run")
-    part = F.struct("begin", "doc_id", "at", "from_word", "words", "text")
+    on = lists["doc_id"].eqNullSafe(texts["t_id"]) & (lists["same"] == texts["t_same"]) & (lists["part"] == texts["t_part"])
+    rows = lists.join(texts.hint("merge"), on).select("source", "doc_id", "same", F.explode(found).alias("c")).select("source", "doc_id", "same", "c.*")
+    rows = rows.withColumn("run", F.floor(F.col("slot") / RUN_SLOTS).cast("int")).repartition("shard", "run")
+    part = F.struct("begin", "doc_id", "same", "copy", "from_word", "words", "text")
     rows = rows.groupBy("shard", "run", "slot").agg(F.first("source").alias("source"), F.first("block").alias("block"),
                                                     F.sort_array(F.collect_list(part)).alias("parts"))
-    span = lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "at", "from_word", "words")])
+    span = lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "same", "copy", "from_word", "words")])
     return (rows.sortWithinPartitions("shard", "slot")
             .select("shard", "slot", "source", "block", F.array_join(F.transform("parts", lambda x: x["text"]), " ").alias("text"),
                     F.transform("parts", span).alias("spans")))
@@ -222,20 +304,20 @@ def mixed(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFram
     spark = docs.sparkSession
     rows = stored(sized(docs))
     s = stored(sources(rows))
+    packs = stored(packed(rows))
     path = path or scratch_path(spark, f"mix-{uuid.uuid4().hex}")
-    out = blocks(docs, cuts(rows, s))
-    out.write.option("compression", "zstd").parquet(path)
+    out = blocks(docs, cuts(packs, s))
+    out.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", MIX_LEVEL).parquet(path)
     out = spark.read.schema(out.schema).parquet(path)
-    took = (out.select(F.col("source").alias("t_source"), F.explode("spans").alias("x"))
-            .groupBy("t_source", F.col("x.doc_id").alias("t_id"), F.col("x.at").alias("t_at")).agg(F.sum("x.words").alias("taken")))
-    found = packed(rows)
-    on = found["source"].eqNullSafe(took["t_source"]) & found["doc_id"].eqNullSafe(took["t_id"]) & (found["at"] == took["t_at"])
+    took = (out.select(F.explode("spans").alias("x"))
+            .groupBy(F.col("x.doc_id").alias("t_id"), F.col("x.same").alias("t_same"), F.col("x.copy").alias("t_copy")).agg(F.sum("x.words").alias("taken")))
+    found = copied(packs)
+    on = found["doc_id"].eqNullSafe(took["t_id"]) & (found["same"] == took["t_same"]) & (found["copy"] == took["t_copy"])
     found = found.join(took.hint("merge"), on, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
-    facts = s.select(F.col("source").alias("s_source"), "source_size", "target")
-    if s.count() <= SOURCES_TO_SEND:
-        facts = F.broadcast(facts)
+    facts = sent(s.select(F.col("source").alias("s_source"), "source_size", "target"), s.count(), SOURCES_TO_SEND)
     found = found.join(facts, found["source"].eqNullSafe(facts["s_source"]))
-    return out, found.select("doc_id", "source", "size", "source_size", "target", "taken", *TEXT_KEY)
+    keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+    return out, found.select("doc_id", "source", "size", "source_size", "target", "taken", *keys, "same")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -156,8 +156,8 @@ def test_long_values_are_replaced_to_their_end(n):
 
 def test_permuted_is_a_permutation(llm):
     for n in (1, 2, 3, 10, 97, 1000):
-        rows = llm.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), mixing.round_keys(F.lit(2), F.lit(1), F.lit(0))).alias("y"))
-        ys = [r["y"] for r in rows.collect()]
+        rows = llm.range(n).select(F.col("id").alias("y"), F.lit(n).cast("long").alias("n"), mixing.round_keys("2", "1", "0").alias("keys"))
+        ys = [r["y"] for r in mixing.with_permuted(rows, "y", "n", "keys").collect()]
         assert sorted(ys) == list(range(n))
     assert ys != list(range(n))
 
@@ -238,6 +238,41 @@ def test_mix_holds_the_words_of_its_spans(documents, tmp_path):
     assert sum(a["source"] != b["source"] for a, b in zip(out, out[1:])) > len(out) / 4
 
 
+def test_rounds_backwards_are_the_inverse(llm):
+    for n in (1, 2, 3, 64, 1001):
+        rows = llm.range(n).select("id", F.col("id").alias("x"), F.lit(n).cast("long").alias("n"), mixing.round_keys("2", "1", "0").alias("keys"))
+        there = mixing.with_permuted(rows, "x", "n", "keys")
+        assert mixing.with_permuted(there, "x", "n", "keys", inverse=True).where("x <> id").count() == 0
+
+
+def test_numbering_of_null_ids_and_repeated_rows(documents, llm):
+    """A third of the rows repeat one row, a third have no id, some ids have several texts."""
+    rng = random.Random(12)
+    rows = [(77, "the same row again and again", "en", "a")] * 400
+    rows += [(None, " ".join("w" * rng.randrange(0, 40)), "en", "ab"[k % 2]) for k in range(400)]
+    rows += [(k // 2 * 1024 if k % 3 else k, " ".join(f"x{j}" for j in range(rng.randrange(0, 9))), "en", "a") for k in range(400)]
+    placed = mixing.copied(mixing.packed(mixing.sized(documents(rows)))).collect()
+    assert len(placed) == len(rows)
+    by_source = defaultdict(list)
+    for r in placed:
+        by_source[r["source"]].append(r)
+    for found in by_source.values():
+        # the words of a source, one document after another, in the order that the SQL has
+        found.sort(key=lambda r: (r["start"], r["size"] > 0))
+        at = 0
+        for r in found:
+            assert r["start"] == at
+            at += r["size"]
+        order = [((r["doc_id"] or 0) % 1024, r["doc_id"] is not None, r["doc_id"] or 0, r["size"]) for r in found if r["size"]]
+        assert order == sorted(order)
+    rows += [(k + 5000, "one two three four five", "en", f"s{k % 4}") for k in range(300)]
+    mix, found = mixing.mixed(documents(rows))
+    assert found.count() == len(rows)
+    words = mix.select(F.size(F.split("text", " ")).alias("n")).agg(F.sum("n")).first()[0]
+    assert words == found.agg(F.sum("taken")).first()[0] > 0
+    assert found.where("taken > 3 * size").count() == 0
+
+
 # 4 language model ----------------------------------------------------------------------------------
 
 
