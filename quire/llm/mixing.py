@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import PREFIX_PIECES, fresh, prefix_sum, stored
+from quire.llm.common import PREFIX_PIECES, dealt, fresh, prefix_sum, stored
 from quire.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +56,8 @@ SOURCES_TO_SEND = 100_000
 DRAWS_TO_SEND = 200_000
 #: Equal rows that share a move of their text.
 COPIES = 64
+#: Words of the documents that one task numbers; rounds that are compiled into one piece of code.
+WORDS_A_TASK, ROUNDS_A_STEP = 2_000_000, 4
 #: Neighbouring slots of a shard that are written by one task, in order.
 RUN_SLOTS = 256
 #: What tells texts apart: doc_id (0 and true for null), and a hash of text and source.
@@ -87,20 +89,22 @@ def round_keys(*keys: str) -> Column:
     return F.expr("array(" + ", ".join(scattered(*keys, str(r)) for r in range(1, ROUNDS + 1)) + ")")
 
 
-def swapped(x: str, n: str, key: str) -> str:
-    """A round: ``x`` or its mirror image, by a bit that is the same for both."""
-    mirror = f"pmod({key} % {n} - {x}, {n})"
-    bit = f"shiftright({stirred(f'(greatest({x}, {mirror}) + {key}) % {PRIME}')}, 10) & 1L"
-    return f"CASE WHEN ({bit}) = 1 THEN {mirror} ELSE {x} END"
-
-
 def with_permuted(df: DataFrame, x: str, n: str, keys: str, inverse: bool = False) -> DataFrame:
-    """``x`` replaced by its place in the permutation of 0 .. n - 1, or by what has it as its place. A
-    round is a column, used several times by the next, so they are not put into one expression; the explode
-    at the end keeps a filter on ``x`` from being pushed down through them, which would do that."""
-    for r in reversed(range(ROUNDS)) if inverse else range(ROUNDS):
-        df = df.withColumn(x, F.expr(swapped(x, n, f"{keys}[{r}]")))
-    return df.withColumn(x, F.explode(F.array(F.col(x))))
+    """``x`` replaced by its place in the permutation of 0 .. n - 1, or by what has it as its place. In
+    a round ``x`` becomes its mirror image or not, by a bit that is the same for both.
+
+    A round's columns are used several times by the next, so they are not put into one expression; the explode
+    at the end keeps a filter on ``x`` from being pushed down through them, which would do that. After a few
+    rounds a lambda, which is not compiled, ends a piece of code: the JVM only interprets long ones."""
+    rounds = list(reversed(range(ROUNDS)) if inverse else range(ROUNDS))
+    for k, r in enumerate(rounds, 1):
+        key = f"{keys}[{r}]"
+        df = df.withColumn("__mirror", F.expr(f"pmod({key} % {n} - {x}, {n})"))
+        bit = f"shiftright({stirred(f'(greatest({x}, __mirror) + {key}) % {PRIME}')}, 10) & 1L"
+        df = df.withColumn(x, F.expr(f"CASE WHEN ({bit}) = 1 THEN __mirror ELSE {x} END"))
+        if k % ROUNDS_A_STEP == 0:
+            df = df.withColumn(x, F.transform(F.array(x), lambda y: y)[0])
+    return df.drop("__mirror").withColumn(x, F.explode(F.array(F.col(x))))
 
 
 def sources(rows: DataFrame) -> DataFrame:
@@ -226,9 +230,14 @@ def text_hash() -> Column:
     return F.xxhash64("text", "source").alias("same")
 
 
+def id_key() -> list[Column]:
+    """doc_id without nulls, so that groups and joins are dealt out alike."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+
+
 def text_key() -> list[Column]:
     """TEXT_KEY of a document."""
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("no_id"), text_hash()]
+    return [*id_key(), text_hash()]
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -236,10 +245,12 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), text_hash())
 
 
-def slot_numbers(place: DataFrame, s: DataFrame, n_sources: int) -> DataFrame:
+def slot_numbers(place: DataFrame, s: DataFrame, drawn: DataFrame, n_sources: int) -> DataFrame:
     """``place`` with rank, n_blocks, width and ``k``, the number of a slot that the block would fill among
-    all of its source: one for each time through the source."""
-    passes = s.where("n_blocks > 0").withColumn("time", F.explode(F.array(*[F.lit(t).cast("long") for t in range(MOST_TIMES)])))
+    all of its source: one for each time through the source that its draws begin."""
+    ends = drawn.groupBy(F.col("d_rank").alias("rank")).agg(F.max("end").alias("end"))
+    passes = s.where("n_blocks > 0").join(ends, "rank").withColumn("time", F.explode(F.array(*[F.lit(t).cast("long") for t in range(MOST_TIMES)])))
+    passes = passes.where(F.col("time") * F.col("n_blocks") < F.col("end"))
     passes = passes.select(F.col("source").alias("p_source"), "rank", "n_blocks", "time", "width",
                            round_keys("2", "rank", "time").alias("keys"))
     rows = place.join(sent(passes, n_sources, SOURCES_TO_SEND), place["source"].eqNullSafe(passes["p_source"])).withColumn("k", F.col("block"))
@@ -258,12 +269,13 @@ def cuts(packs: DataFrame, s: DataFrame) -> DataFrame:
     drawn = stored(drawn.select(F.col("rank").alias("d_rank"), "shard", "shard_slots", "first", (F.col("first") + F.col("n_drawn")).alias("end"),
                                 (F.col("offset") - F.col("first")).alias("lead"),
                                 F.explode(F.sequence(F.floor(F.col("first") / F.col("width")), F.floor((F.col("first") + F.col("n_drawn") - 1) / F.col("width")))).alias("d_bucket")))
-    place = slot_numbers(spans(copied(packs)).where("block >= 0"), s, n_sources)
+    packs = dealt(packs, s.agg(F.sum("source_size")).first()[0] or 0, WORDS_A_TASK)
+    place = slot_numbers(spans(copied(packs)).where("block >= 0"), s, drawn, n_sources)
     place = place.withColumn("bucket", F.floor(F.col("k") / F.col("width")))
     index = sent(drawn, drawn.count(), DRAWS_TO_SEND)
     rows = place.join(index, (place["rank"] == drawn["d_rank"]) & (place["bucket"] == drawn["d_bucket"]) & (F.col("k") >= F.col("first")) & (F.col("k") < F.col("end")))
     begin = F.col("start") + F.col("from_word") - F.col("block") * BLOCK
-    rows = rows.select("source", "doc_id", "same", "part", "copy", "shard", "shard_slots", "block", begin.alias("begin"), "from_word", "words",
+    rows = rows.select("source", "doc_id", "same", "part", "copy", "copies", "shard", "shard_slots", "block", begin.alias("begin"), "from_word", "words",
                        (F.col("lead") + F.col("k")).alias("slot"), round_keys("3", "shard").alias("keys"))
     return with_permuted(rows, "slot", "shard_slots", "keys").drop("keys", "shard_slots")
 
@@ -274,10 +286,13 @@ def blocks(docs: DataFrame, cut: DataFrame) -> DataFrame:
     ``copy`` tells them apart, ``same`` (a hash of text and source) those of one id."""
     # a document's cuts are made by one task, so they are one row before they are shuffled
     each = F.struct("copy", "shard", F.col("slot").cast("int").alias("slot"), "block", F.col("begin").cast("int").alias("begin"), "from_word", F.col("words").cast("int").alias("words"))
-    lists = cut.groupBy("doc_id", "same", "part", "source").agg(F.collect_list(each).alias("cuts"))
-    texts = docs.select("doc_id", text_hash(), "text").groupBy("doc_id", "same").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    texts = texts.select(F.col("doc_id").alias("t_id"), F.col("same").alias("t_same"), "text",
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))).alias("t_part"))
+    lists = cut.groupBy(*id_key(), "same", "part", "doc_id", "source", "copies").agg(F.collect_list(each).alias("cuts"))
+    texts = docs.select(*text_key(), "text").groupBy(*TEXT_KEY).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    few, many = F.col("copies") <= COPIES, F.col("copies") > COPIES
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES)))
+    # the texts of many equal rows move again, to the parts of their copies
+    joined = lists.where(few).drop("copies").join(texts.where(few).drop("copies").hint("merge"), TEXT_KEY).unionByName(
+        lists.where(many).drop("copies").join(texts.where(many).withColumn("part", parts).drop("copies").hint("merge"), [*TEXT_KEY, "part"]))
 
     def sliced(words: Column) -> Column:
         return F.transform("cuts", lambda c: F.struct(
@@ -286,8 +301,7 @@ def blocks(docs: DataFrame, cut: DataFrame) -> DataFrame:
 
     # the array around the words has them split once for all cuts
     found = F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), sliced)[0]
-    on = lists["doc_id"].eqNullSafe(texts["t_id"]) & (lists["same"] == texts["t_same"]) & (lists["part"] == texts["t_part"])
-    rows = lists.join(texts.hint("merge"), on).select("source", "doc_id", "same", F.explode(found).alias("c")).select("source", "doc_id", "same", "c.*")
+    rows = joined.select("source", "doc_id", "same", F.explode(found).alias("c")).select("source", "doc_id", "same", "c.*")
     rows = rows.withColumn("run", F.floor(F.col("slot") / RUN_SLOTS).cast("int")).repartition("shard", "run")
     part = F.struct("begin", "doc_id", "same", "copy", "from_word", "words", "text")
     rows = rows.groupBy("shard", "run", "slot").agg(F.first("source").alias("source"), F.first("block").alias("block"),
@@ -316,8 +330,7 @@ def mixed(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFram
     found = found.join(took.hint("merge"), on, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     facts = sent(s.select(F.col("source").alias("s_source"), "source_size", "target"), s.count(), SOURCES_TO_SEND)
     found = found.join(facts, found["source"].eqNullSafe(facts["s_source"]))
-    keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("no_id")]
-    return out, found.select("doc_id", "source", "size", "source_size", "target", "taken", *keys, "same")
+    return out, found.select("doc_id", "source", "size", "source_size", "target", "taken", *id_key(), "same")
 
 
 def query(docs: DataFrame) -> DataFrame:
