@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire import constants as C
-from quire.functions.text import normalize_ws
+from quire.functions.text import WS_CHARS, normalize_ws, normalize_ws_text
 
 
 def let(value: Column, body) -> Column:
@@ -73,51 +73,94 @@ def truthy(v: Column) -> Column:
         .otherwise(F.try_variant_get(x, "$", "double") != 0), F.lit(False))))
 
 
-def clean_value(v: Column) -> Column:
-    """``clean_text`` of a JSON value: a list is joined with ", " (falsy members dropped),
-    anything else is taken as text; whitespace collapsed; NULL when empty."""
-    return let(v, lambda x: F.when(
-        vtype(x) == "ARRAY",
-        normalize_ws(F.array_join(F.transform(F.filter(F.try_variant_get(x, "$", "array<variant>"), truthy),
-                                              as_string), ", ")))
-        .when(truthy(x), normalize_ws(as_string(x))))
-
-
 def first_present(bs: Column, f) -> Column:
     """First non-NULL ``f(block)`` over the blocks (the ``if not field:`` merge)."""
     return F.try_element_at(F.filter(F.transform(bs, f), lambda x: x.isNotNull()), F.lit(1))
 
 
-def author(block: Column, allow_list: bool = True) -> Column:
-    """Author string / object name / list of strings and named objects joined by ", "."""
-    def from_value(a: Column) -> Column:
-        t = vtype(a)
-        names = F.filter(F.transform(F.try_variant_get(a, "$", "array<variant>"), lambda e: F.when(
-            vtype(e) == "STRING", as_string(e)).when(is_object(e) & truthy(get(e, "name")), as_string(get(e, "name")))),
-            lambda n: n.isNotNull())
-        out = F.when(t == "STRING", normalize_ws(as_string(a))).when(t == "OBJECT", clean_value(get(a, "name")))
-        if allow_list:
-            out = out.when((t == "ARRAY") & (F.size(names) > 0), normalize_ws(F.array_join(names, ", ")))
-        return out
-    return let(get(block, "author"), lambda a: F.when(truthy(a), from_value(a)))
+PY_TYPE = {"BIGINT": "int", "INT": "int", "SMALLINT": "int", "TINYINT": "int", "DECIMAL": "float",
+           "DOUBLE": "float", "FLOAT": "float", "BOOLEAN": "bool", "ARRAY": "list", "OBJECT": "dict"}
 
 
-def keywords(block: Column) -> Column:
-    """Keywords → tags (string split on ","; list members stringified and stripped)."""
-    from quire.functions.text import py_strip, split_keywords
-    return let(get(block, "keywords"), lambda k: F.when(~truthy(k), F.lit(None).cast("array<string>"))
-               .when(vtype(k) == "STRING", split_keywords(as_string(k)))
-               .when(vtype(k) == "ARRAY", F.transform(F.filter(F.try_variant_get(k, "$", "array<variant>"), truthy),
-                                                      lambda e: py_strip(as_string(e)))))
+# ------------------------------------------------ the same as text, for whole blocks at once
+#
+# A block's fields are some hundred function calls. As text they are parsed at once; put together
+# from Columns they take seconds.
 
 
-PY_TYPE = {"BIGINT": "int", "INT": "int", "SMALLINT": "int", "TINYINT": "int", "DECIMAL": "float",
-           "DOUBLE": "float", "FLOAT": "float", "BOOLEAN": "bool", "ARRAY": "list", "OBJECT": "dict"}
+def type_text(v: str) -> str:
+    return f"regexp_extract(schema_of_variant({v}), '^([A-Z_]+)', 1)"
+
+
+def get_text(v: str, key: str) -> str:
+    return f"try_variant_get({v}, '$[\"{key}\"]', 'variant')"
+
+
+def string_text(v: str) -> str:
+    return f"try_variant_get({v}, '$', 'string')"
+
+
+def array_text(v: str) -> str:
+    return f"try_variant_get({v}, '$', 'array<variant>')"
+
+
+def let_in(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def truthy_text(v: str) -> str:
+    return let_in(v, "x", let_in(type_text("x"), "t", (
+        f"coalesce(CASE t WHEN 'STRING' THEN length({string_text('x')}) > 0 WHEN 'ARRAY' THEN size({array_text('x')}) > 0"
+        " WHEN 'OBJECT' THEN size(try_variant_get(x, '$', 'map<string,variant>')) > 0"
+        " WHEN 'BOOLEAN' THEN try_variant_get(x, '$', 'boolean') WHEN 'NULL' THEN false"
+        " ELSE try_variant_get(x, '$', 'double') != 0 END, false)")))
+
+
+def clean_text(v: str) -> str:
+    joined = f"array_join(transform(filter({array_text('c')}, e -> {truthy_text('e')}), e -> {string_text('e')}), ', ')"
+    return let_in(v, "c", f"CASE WHEN {type_text('c')} = 'ARRAY' THEN {normalize_ws_text(joined)}"
+                          f" WHEN {truthy_text('c')} THEN {normalize_ws_text(string_text('c'))} END")
+
+
+def author_text(block: str, allow_list: bool = True) -> str:
+    name = get_text("e", "name")
+    named = (f"CASE WHEN {type_text('e')} = 'STRING' THEN {string_text('e')} WHEN try_variant_get(e, '$', 'map<string,variant>') IS NOT NULL"
+             f" AND {truthy_text(name)} THEN {string_text(name)} END")
+    names = f"filter(transform({array_text('a')}, e -> {named}), n -> n IS NOT NULL)"
+    joined = "array_join(names, ', ')"
+    listed = let_in(names, "names", f"CASE WHEN size(names) > 0 THEN {normalize_ws_text(joined)} END")
+    lists = f" WHEN 'ARRAY' THEN {listed}" if allow_list else ""
+    return let_in(get_text(block, "author"), "a", (
+        f"CASE WHEN {truthy_text('a')} THEN CASE {type_text('a')} WHEN 'STRING' THEN {normalize_ws_text(string_text('a'))}"
+        f" WHEN 'OBJECT' THEN {clean_text(get_text('a', 'name'))}{lists} END END"))
+
+
+def keywords_text(block: str) -> str:
+    strip = lambda v: f"btrim({v}, '{WS_CHARS}')"
+    split_up = f"filter(transform(split({string_text('k')}, ','), p -> {strip('p')}), p -> p != '')"
+    return let_in(get_text(block, "keywords"), "k", (
+        f"CASE WHEN NOT {truthy_text('k')} THEN CAST(NULL AS array<string>) WHEN {type_text('k')} = 'STRING' THEN {split_up}"
+        f" WHEN {type_text('k')} = 'ARRAY' THEN transform(filter({array_text('k')}, e -> {truthy_text('e')}), e -> {strip(string_text('e'))}) END"))
+
 
+def date_text(block: str, key: str, parsed) -> str:
+    """(ts, err) of a date field: what ``parsed`` makes of its stripped text, or why it cannot be one."""
+    names = "map(" + ", ".join(f"'{k}', '{t}'" for k, t in PY_TYPE.items()) + ")"
+    wrong = f"format_string(\"'%s' object has no attribute 'strip'\", coalesce(try_element_at({names}, {type_text('v')}), 'object'))"
+    text = f"btrim({string_text('v')}, '{WS_CHARS}')"
+    is_text = f"{type_text('v')} = 'STRING'"
+    return let_in(get_text(block, key), "v", (
+        f"CASE WHEN {truthy_text('v')} THEN named_struct('ts', CASE WHEN {is_text} THEN {let_in(text, 's', parsed('s'))} END,"
+        f" 'err', CASE WHEN NOT ({is_text}) THEN {wrong} END) END"))
 
-def not_string_error(v: Column) -> Column:
-    """The message a non-string date value raises in the reference behaviour."""
-    names = F.create_map(*[x for k, t in PY_TYPE.items() for x in (F.lit(k), F.lit(t))])
-    return F.format_string("'%s' object has no attribute 'strip'",
-                           F.coalesce(F.try_element_at(names, vtype(v)), F.lit("object")))
 
+def article_fields_text(b: str, parsed_date) -> str:
+    """Every field that rule sets read from one block, as text."""
+    kind = get_text(b, "@type")
+    parts = {
+        "type": f"CASE WHEN {type_text(kind)} = 'STRING' THEN {string_text(kind)} END", "headline": clean_text(get_text(b, "headline")),
+        "author": author_text(b), "author_simple": author_text(b, False), "section": clean_text(get_text(b, "articleSection")),
+        "tags": keywords_text(b), "has_body": truthy_text(get_text(b, "articleBody")), "body": clean_text(get_text(b, "articleBody")),
+        "pub": date_text(b, "datePublished", parsed_date), "mod": date_text(b, "dateModified", parsed_date),
+    }
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"

@@ -34,6 +34,11 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def let_text(value: Column, name: str, body: str) -> Column:
+    """As ``bind``, with the body as text, in which the value has a name."""
+    return F.call_function("element_at", F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}")), F.lit(1))
+
+
 def py_strip(c) -> Column:
     """Strip leading and trailing Unicode whitespace (``btrim`` over the whitespace set)."""
     return F.btrim(_col(c), F.lit(WS_CHARS))
@@ -45,6 +50,12 @@ def normalize_ws(c) -> Column:
     return bind(F.trim(F.regexp_replace(spaced, ASCII_WS_RUN, " ")), lambda x: F.nullif(x, F.lit("")))
 
 
+def normalize_ws_text(s: str) -> str:
+    """``normalize_ws`` of an expression given as text."""
+    spaced = f"translate({s}, '{UNICODE_WS}', '{' ' * len(UNICODE_WS)}')"
+    return f"element_at(transform(array(trim(regexp_replace({spaced}, r'{ASCII_WS_RUN}', ' '))), w -> nullif(w, '')), 1)"
+
+
 def normalize_paragraphs(paragraphs) -> Column:
     """Strip each paragraph, drop blanks, join with a blank line."""
     kept = F.filter(F.transform(_col(paragraphs), py_strip), lambda p: p != "")

@@ -1,8 +1,7 @@
 """Page classification and article extraction (F11-F20, P4-P24) as staged projections.
 
-Input: routed pages with ``nodes`` (HTML step) and ``rule_set``. The job is narrow end to
-end (no shuffle): stage 1 computes the selector slots a page's rule set reads (a slot other
-rule sets need is not evaluated: ``CASE`` branches are lazy), stage 2 the page verdict,
+Input: routed pages with ``html`` and ``rule_set``. The job is narrow end to end (no shuffle): stage 1
+reads the slots of a page's rule set while the page is parsed (``quire.operators.slots``), stage 2 the page verdict,
 stage 3 the extracted fields, stage 4 score/method/errors, stage 5 the article row.
 
 What differs between outlets is registered data (``quire.operators.rule_sets``).
@@ -16,10 +15,11 @@ from pyspark.sql import functions as F
 from quire import constants as C
 from quire.functions import jsonld as J
 from quire.functions import selectors as S
-from quire.functions.dates import meta_datetime, utc_string
+from quire.functions.dates import meta_datetime, meta_datetime_text, utc_string
 from quire.functions.text import (content_gate, content_length, fingerprint, low_quality_to_null, normalize_paragraphs,
                                   normalize_ws, py_strip, add_summary, truncated_summary)
 from quire.functions.urls import article_path_rule, url_rule
+from quire.operators.slots import add_slots as read_slots
 from quire.operators.rule_sets import SITE_SETS, RuleSet, common_fields, named, nonempty as _nonempty, truthy as _truthy  # noqa: F401
 
 _MEMO: dict = {}
@@ -62,67 +62,64 @@ def _limit(rules: list[RuleSet], name: str, default: int) -> Column | int:
 # ----------------------------------------------------------------------- stage 1: slots
 
 
+def common_slots() -> dict[str, S.Selector]:
+    """What every rule set reads."""
+    return {
+        "ld_scripts": S.ld_scripts(),
+        "h1": S.first(S.tag_texts("h1")),
+        "og_type": S.meta_content("property", "og:type"),
+        "og_title": S.meta_content("property", "og:title"),
+        "meta_author": S.meta_content("name", "author"),
+        "meta_pub": S.meta_content("property", "article:published_time"),
+        "time_dt": S.first_attr(S.tag_is("time"), "datetime"),
+        "has_article": S.exists_element(S.tag_is("article")),
+        "p_article": S.tag_texts("p", "article"),
+        "base_href": S.first_attr(S.tag_is("base"), "href"),
+        "hrefs": S.hrefs(),
+    }
+
+
+def own_slots(rule: RuleSet | None) -> dict[str, S.Selector]:
+    """What a rule set reads beyond that; None is the generic one."""
+    if rule is None:
+        boxes = [S.both(S.tag_is("div"), S.attr_contains("class", c)) for c in C.ARTICLE_BODY_CLASSES]
+        return {"p_all": S.tag_texts("p"), "has_body_class": S.exists_element(S.either(*boxes, S.attr_contains("itemtype", "Article"))),
+                "meta_article_author": S.meta_content("property", "article:author"), "meta_byl": S.meta_content("name", "byl")}
+    out = {} if rule.name in SITE_SETS and rule.name != "cnn" else {"p_all": S.tag_texts("p")}
+    for slot, build in (("p_site", rule.paragraphs), ("dom_author", rule.author)):
+        if build is not None:
+            out[slot] = build()
+            if not isinstance(out[slot], S.Selector):
+                raise ValueError(f"the rule set {rule.name} gives no Selector for its slot {slot}")
+    if rule.body_attr:
+        out["body_attr"] = S.first_attr(S.tag_is("body"), rule.body_attr)
+    return out
+
+
+#: Slots that only some rule sets have, with their types.
+OWN_SLOTS = {"p_all": "array<string>", "p_site": "array<string>", "dom_author": "string", "body_attr": "string",
+             "has_body_class": "boolean", "meta_article_author": "string", "meta_byl": "string"}
+
+
 def add_slots(df: DataFrame, rule_sets=None) -> DataFrame:
-    """Selector results the rule sets read. Requires ``nodes``, ``rule_set``, ``url``."""
-    rules = named(rule_sets)
-    return df.select("*", *_memo(("slots", *rules), lambda: _slot_columns(rules)))
-
-
-def _slot_columns(rules: list[RuleSet]) -> list[Column]:
-    rs = F.col("rule_set")
-    art = S.tag_is("article")
-    p_site = _case(rules, lambda r: r.paragraphs).cast("array<string>")
-    dom_author = _case(rules, lambda r: r.author).cast("string")
-    body_attr = _case(rules, lambda r: r.body_attr and S.first_attr(S.tag_is("body"), r.body_attr)).cast("string")
-    return [
-        J.blocks(S.ld_scripts()).alias("ld"),
-        S.first(S.tag_texts("h1")).alias("h1"),
-        S.meta_content("property", "og:type").alias("og_type"),
-        S.meta_content("property", "og:title").alias("og_title"),
-        S.meta_content("name", "author").alias("meta_author"),
-        S.meta_content("property", "article:published_time").alias("meta_pub"),
-        S.first_attr(S.tag_is("time"), "datetime").alias("time_dt"),
-        S.exists_element(art).alias("has_article"),
-        S.tag_texts("p", "article").alias("p_article"),
-        F.when(~rs.isin(*[s for s in SITE_SETS if s != "cnn"]), S.tag_texts("p")).alias("p_all"),
-        p_site.alias("p_site"),
-        dom_author.alias("dom_author"),
-        body_attr.alias("body_attr"),
-        F.when(rs == "generic", S.exists_element(lambda e: (
-            (e["tag"] == "div") & F.exists(F.array(*[F.lit(c) for c in C.ARTICLE_BODY_CLASSES]),
-                                           lambda c: F.coalesce(S.attr(e, "class").contains(c), F.lit(False))))
-            | F.coalesce(S.attr(e, "itemtype").contains("Article"), F.lit(False)))).alias("has_body_class"),
-        F.when(rs == "generic", S.meta_content("property", "article:author")).alias("meta_article_author"),
-        F.when(rs == "generic", S.meta_content("name", "byl")).alias("meta_byl"),
-    ]
-
-
-def _ld_block(b: Column) -> Column:
-    """Every field the rule sets read from one JSON-LD block, computed once."""
-    def date(key: str) -> Column:
-        return J.let(J.get(b, key), lambda v: F.when(J.truthy(v), F.struct(
-            F.when(J.vtype(v) == "STRING", meta_datetime(J.as_string(v))).alias("ts"),
-            F.when(J.vtype(v) != "STRING", J.not_string_error(v)).alias("err"))))
-    return F.struct(
-        F.when(J.vtype(J.get(b, "@type")) == "STRING", J.as_string(J.get(b, "@type"))).alias("type"),
-        J.clean_value(J.get(b, "headline")).alias("headline"),
-        J.author(b).alias("author"),
-        J.author(b, allow_list=False).alias("author_simple"),
-        J.clean_value(J.get(b, "articleSection")).alias("section"),
-        J.keywords(b).alias("tags"),
-        J.truthy(J.get(b, "articleBody")).alias("has_body"),
-        J.clean_value(J.get(b, "articleBody")).alias("body"),
-        date("datePublished").alias("pub"),
-        date("dateModified").alias("mod"),
-    )
+    """The HTML column replaced by what the row's rule set reads from the page, and ``parse_error``. Requires
+    ``html``, ``rule_set``, ``url``."""
+    sets = {r.name: {**common_slots(), **own_slots(r)} for r in named(rule_sets)} | {"generic": {**common_slots(), **own_slots(None)}}
+    kept = [c for c in df.columns if c != "html"]
+    df = read_slots(df, sets)
+    there = set().union(*sets.values())
+    own = [F.col(f"slots.{c}") if c in there else F.lit(None).cast(t).alias(c) for c, t in OWN_SLOTS.items()]
+    return df.select(*kept, "parse_error", *[f"slots.{c}" for c in common_slots()], *own,
+                     _memo("ld", lambda: J.blocks(F.col("slots.ld_scripts"))).alias("ld"))
 
 
 def add_ld_fields(df: DataFrame) -> DataFrame:
     """P4-P7 once per page: ``ldx`` = fields of the Article/NewsArticle blocks, ``ldap`` =
     fields of the first NewsArticle block; plus parsed meta/time dates (X7)."""
-    ld = F.col("ld")
-    ld_all = _memo("ld_all", lambda: F.when(
-        F.size(ld) > 0, F.transform(F.filter(ld, lambda b: J.type_is(b, C.LD_ARTICLE_TYPES)), _ld_block)))
+    types = ", ".join(f"'{t}'" for t in C.LD_ARTICLE_TYPES)
+    kind = J.get_text("b", "@type")
+    wanted = f"coalesce({J.type_text(kind)} = 'STRING' AND {J.string_text(kind)} IN ({types}), false)"
+    ld_all = F.expr(f"CASE WHEN size(ld) > 0 THEN transform(filter(ld, b -> {wanted}), b -> {J.article_fields_text('b', meta_datetime_text)}) END")
     df = df.select(
         "*",
         ld_all.alias("ld_all"),
@@ -130,7 +127,7 @@ def add_ld_fields(df: DataFrame) -> DataFrame:
         F.when(_truthy(F.col("time_dt")), meta_datetime(F.col("time_dt"))).alias("time_ts"),
     )
     return df.select("*", F.col("ld_all").alias("ldx"),
-                     S.first(F.filter(F.col("ld_all"), lambda x: x["type"] == "NewsArticle")).alias("ldap"))
+                     F.try_element_at(F.filter(F.col("ld_all"), lambda x: x["type"] == "NewsArticle"), F.lit(1)).alias("ldap"))
 
 
 # ----------------------------------------------------------------------- stage 2: page test
@@ -168,7 +165,7 @@ def add_page_flag(df: DataFrame, path_col: str = "url_path", rule_sets=None) ->
         .otherwise(False)
     )
     # a page that cannot be parsed is an article page if its URL is one's: its failure row is kept
-    return df.withColumn("is_article_page", F.when(F.col("nodes").isNull(), F.col("url_is_article"))
+    return df.withColumn("is_article_page", F.when(F.col("parse_error").isNotNull(), F.col("url_is_article"))
                          .otherwise(site | generic))
 
 
@@ -304,7 +301,7 @@ def _generic_prepare(df: DataFrame) -> DataFrame:
     df = df.select("*", content_gate(c("g_title_raw"), c("g_text_raw")).alias("g_gate"),
                    normalize_ws(c("g_title_raw")).alias("g_title"),
                    low_quality_to_null(normalize_ws(c("g_text_raw"))).alias("g_text"),
-                   F.when(gen, J.first_present(J.top_objects(S.ld_scripts()), _generic_ld_author)).alias("g_ld_author"))
+                   F.when(gen, J.first_present(J.top_objects(F.col("ld_scripts")), _generic_ld_author)).alias("g_ld_author"))
     # A summary that came with the page counts if it is long enough, and is not cut to sentences
     given = F.when(gen, py_strip(c("feed_summary"))) if "feed_summary" in df.columns else F.lit(None).cast("string")
     given = F.when(F.length(given) >= C.SUMMARY_FALLBACK_MIN, normalize_ws(given))

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire import constants as C
-from quire.functions import selectors as S
 from quire.functions.text import bind
 from quire.functions.urls import Elements, add_resolved_url, add_url_parts, is_valid_url, host_of
 from quire.operators.dedup import anti_join
@@ -29,10 +28,9 @@ from quire.sources.registry import same_domain
 
 def page_hrefs(classified: DataFrame) -> DataFrame:
     """One row per discovery page with ``hrefs`` (array, document order) and what link tests need."""
-    base = S.first_attr(S.tag_is("base"), "href")
-    df = classified.where(~F.col("is_article_page") & F.col("nodes").isNotNull()).select(
+    df = classified.where(~F.col("is_article_page") & F.col("parse_error").isNull()).select(
         "page_id", "url", "source_name", "source", "rule_set", "allowed_domains",
-        base.alias("base_href"), S.hrefs().alias("hrefs"))
+        "base_href", "hrefs")
     # the page's <base href> (itself resolved against the page URL) replaces the page URL
     df = add_resolved_url(df, "url", "base_href", "base_url")
     return df.withColumn("base_url", F.when(F.col("base_href").isNull(), F.col("url")).otherwise(F.col("base_url")))

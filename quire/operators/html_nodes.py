@@ -141,13 +141,16 @@ class _TreeBuilder(HTMLParser):
             self._pop_to("p")
         if tag in SIBLING_CLOSERS:
             self._close_siblings(*SIBLING_CLOSERS[tag])
+        self._enter(tag, attrs, push and tag not in VOID)
+
+    def _enter(self, tag: str, attrs, push: bool) -> None:
         kept: dict[str, str] = {}
         for k, v in attrs:
             if k in self.kept_attrs and k not in kept:
                 kept[k] = "" if v is None else v
         parent, above = (self.stack[-1][1], self.stack[-1][4]) if self.stack else (0, 0)
         self.nodes.append({"t": False, "tag": tag, "attrs": list(kept.items()), "text": None, "parent": parent, "above": above})
-        if push and tag not in VOID:
+        if push:
             self.stack.append((tag, len(self.nodes), kept, above, above | _rule_bits(tag, kept, self.rules)))
 
     def handle_starttag(self, tag, attrs):

@@ -6,8 +6,9 @@ ones are registered below; ``register`` adds an outlet's own without a change to
 ``Source`` of the registry names it. Fallback steps trigger on *raw absence* (an empty selector
 result), not on failed cleaning.
 
-The callables build Columns over the slots of ``quire.operators.extract.add_slots`` (``h1``,
-``og_type``, ``p_article``, ``p_site``, ``ldx`` ...) and run when a plan is built."""
+``paragraphs`` and ``author`` give selectors, which the page reader runs; the other callables build
+Columns over the slots of ``quire.operators.extract.add_slots`` (``h1``, ``og_type``, ``p_article``,
+``p_site``, ``ldx`` ...). All run when a plan is built."""
 
 from __future__ import annotations
 
@@ -23,6 +24,7 @@ from quire.functions import selectors as S
 from quire.functions.text import bind, fox_promo_keep, nbc_promo_keep, normalize_paragraphs, normalize_ws
 
 Build = Callable[[], Column]
+Select = Callable[[], S.Selector]
 
 
 def truthy(s: Column) -> Column:
@@ -47,8 +49,8 @@ class RuleSet:
     ladder: tuple
     method: Build
     errors: tuple[tuple[str, str], ...] = ()
-    paragraphs: Build | None = None      # slot p_site
-    author: Build | None = None          # slot dom_author
+    paragraphs: Select | None = None     # slot p_site
+    author: Select | None = None         # slot dom_author
     body_attr: str | None = None         # slot body_attr: this attribute of the body element
     ancestors: dict[str, tuple] = field(default_factory=dict)
     attrs: tuple[str, ...] = ()

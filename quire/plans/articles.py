@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from quire.functions.urls import add_url_hash, add_url_parts, host_of
 from quire.operators.extract import add_page_flag, add_slots, add_url_flag, article_rows
-from quire.operators.html_nodes import add_nodes
 from quire.sources import tables
 from quire.sources.registry import EMBED_DOMAINS, Source, default_registry, route, route_by_join
 
@@ -40,9 +39,8 @@ def rule_sets_of(registry: list[Source]) -> tuple[str, ...]:
 
 
 def classify_pages(routed: DataFrame, rule_sets=None) -> DataFrame:
-    """P3 + F11-F20: node array, selector slots and the article-page verdict."""
-    df = add_nodes(routed)
-    df = add_url_flag(add_slots(df, rule_sets), rule_sets=rule_sets)
+    """P3 + F11-F20: the page's slots, read in one pass, and the article-page verdict."""
+    df = add_url_flag(add_slots(routed, rule_sets), rule_sets=rule_sets)
     return add_page_flag(df, rule_sets=rule_sets)
 
 

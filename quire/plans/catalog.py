@@ -65,7 +65,7 @@ def host_routing(spark, sf):
 def page_links(spark, sf):
     """P1 + P2: every a/@href of every page, in document order, resolved against the page."""
     df = add_nodes(tables.pages(spark, sf).select("page_id", "url", "html"))
-    df = df.select("page_id", "url", F.posexplode(S.hrefs()).alias("pos", "href"))
+    df = df.select("page_id", "url", F.posexplode(S.hrefs().column()).alias("pos", "href"))
     return add_resolved_url(df, "url", "href", "link_url").select("page_id", "pos", "href", "link_url")
 
 
@@ -325,8 +325,8 @@ def html_nodes(spark, sf):
 def jsonld_blocks(spark, sf):
     """JSON-LD scripts and blocks per page."""
     df = add_nodes(tables.pages(spark, sf).select("page_id", "url", "html"))
-    return df.select("page_id", F.size(S.ld_scripts()).alias("n_scripts"),
-                     F.size(J.blocks(S.ld_scripts())).alias("n_blocks"))
+    return df.select("page_id", F.size(S.ld_scripts().column()).alias("n_scripts"),
+                     F.size(J.blocks(S.ld_scripts().column())).alias("n_blocks"))
 
 
 def _page_site(rs):

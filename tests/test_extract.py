@@ -141,8 +141,8 @@ def test_jsonld_blocks(spark):
             '<script type="text/javascript">{"@type": "NewsArticle"}</script>'
             "</head></html>")
     df = add_nodes(page_df(spark, [("https://x.com/a", html)]).select("page_id", "url", "html"))
-    bs = J.blocks(S.ld_scripts())
-    r = df.select(F.size(S.ld_scripts()).alias("scripts"), F.size(bs).alias("blocks"),
+    bs = J.blocks(S.ld_scripts().column())
+    r = df.select(F.size(S.ld_scripts().column()).alias("scripts"), F.size(bs).alias("blocks"),
                   F.size(J.article_blocks(bs)).alias("articles")).first()
     # 4 ld+json scripts; blocks: 2 objects of the array + the @graph object + the list-typed one
     assert (r.scripts, r.blocks, r.articles) == (4, 4, 1)
