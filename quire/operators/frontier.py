@@ -23,6 +23,7 @@ from quire.functions.urls import Elements, add_resolved_url, add_url_parts, is_v
 from quire.operators.dedup import anti_join
 from quire.operators.extract import follow_limit, url_flag
 from quire.session import ensure_checkpoint_dir
+from quire.sources.keyed import KeyedTable
 from quire.sources.registry import same_domain
 
 
@@ -67,10 +68,17 @@ def followed_links(links: DataFrame, limit: int | None = None) -> DataFrame:
                        "x.url_hash", "x.first_on_page")
 
 
-def frontier(followed: DataFrame, visited: DataFrame) -> DataFrame:
+def visited_index(spark, path: str) -> KeyedTable:
+    """The url_hash of every page ever stored, with a membership index. ``insert`` adds those of new pages, so
+    a page's hash is computed once."""
+    return KeyedTable(spark, path, "url_hash")
+
+
+def frontier(followed: DataFrame, visited: DataFrame | KeyedTable) -> DataFrame:
     """Distinct followed URLs (by url_hash) not among the visited pages' url_hash.
 
-    ``visited`` needs a ``url_hash`` column. The kept URL of a key is the first one seen
+    ``visited`` is a table with a ``url_hash`` column, or a ``visited_index``: then the followed URLs are
+    stored once, and only those that the index cannot rule out meet stored hashes. The kept URL of a key is the first one seen
     (lowest page_id, then position)."""
     order = F.struct("page_id", "pos")
     dedup = followed.groupBy("url_hash").agg(
@@ -78,6 +86,9 @@ def frontier(followed: DataFrame, visited: DataFrame) -> DataFrame:
         F.min_by("source_name", order).alias("source_name"),
         F.count(F.lit(1)).alias("n_links"),
         F.count_if("first_on_page").alias("n_pages"))
+    if isinstance(visited, KeyedTable):
+        ensure_checkpoint_dir(followed.sparkSession)
+        return visited.absent(dedup.checkpoint())
     return anti_join(dedup, visited, "url_hash")
 
 

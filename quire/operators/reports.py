@@ -8,7 +8,9 @@ aggregate, never over rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quire import constants as C
@@ -25,8 +27,18 @@ def _pct(num, den):
 def quality(articles: DataFrame, by: list[str] | None = None) -> DataFrame:
     """A1: n, parse ok/fail, rows with title/author/text/date (empty = missing), average
     text length (missing = 0), each with its percentage of n."""
-    by = by or []
-    agg = articles.groupBy(*by).agg(
+    return _quality(articles.groupBy(*(by or [])))
+
+
+def quality_rollup(articles: DataFrame, by: list[str]) -> DataFrame:
+    """A1 with subtotals, in one pass: a row for each group of ``by``, of its beginnings, and for all rows.
+    ``level`` is the grouping_id: bits of the columns that a row sums over (a NULL there is no value)."""
+    return _quality(articles.rollup(*by), F.grouping_id().cast("long").alias("level"))
+
+
+def _quality(grouped, *more) -> DataFrame:
+    agg = grouped.agg(
+        *more,
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("parse_ok")).alias("parse_ok"),
         F.count_if(~F.col("parse_ok")).alias("parse_fail"),
@@ -84,6 +96,19 @@ def run_counters(requests: DataFrame, classified: DataFrame, articles: DataFrame
         F.min("ts").alias("first_scraped_at"), F.max("ts").alias("last_scraped_at"))
 
 
+def observed_run(requests: DataFrame, classified: DataFrame, items_of, path: str) -> dict:
+    """A3/A4 by the writes themselves: what ``run_counters`` says, from metrics that are collected while the
+    requests and the items (``items_of(classified)``) are written below ``path``. Nothing is read again."""
+    asked, seen, kept = (Observation(f"{n}-{uuid.uuid4().hex}") for n in ("requests", "responses", "items"))
+    requests.select("url_hash").distinct().observe(asked, F.count(F.lit(1)).alias("requests")).write.mode("overwrite").parquet(f"{path}/requests")
+    lost = F.col("parse_error").isNotNull() & ~F.col("is_article_page")
+    pages = classified.observe(seen, F.count(F.lit(1)).alias("responses"), F.count_if(lost).alias("errors"))
+    items = items_of(pages).observe(kept, F.count(F.lit(1)).alias("items"), F.count_if(~F.col("parse_ok")).alias("items_failed"),
+                                    F.min("scraped_at").alias("first_scraped_at"), F.max("scraped_at").alias("last_scraped_at"))
+    items.write.mode("overwrite").parquet(f"{path}/items")
+    return {**asked.get, **seen.get, **kept.get}
+
+
 def sample(articles: DataFrame, n: int = C.QUALITY_SAMPLE) -> DataFrame:
     """L1: the first ``n`` items in arrival order (scraped_at, then url) — a top-k."""
     return articles.orderBy("scraped_at", "url").limit(n)

@@ -7,6 +7,7 @@ sampled or capped except where the cap is the feature (the 100-link follow limit
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,9 @@ from quire.plans import articles as A
 from quire.plans import documents as D
 from quire.plans import event_site as ES
 from quire.plans import page_sites as PS
+from quire.session import scratch_path
 from quire.sources import tables
+from quire.sources.keyed import KeyedTable
 from quire.sources.registry import test_registry
 from quire.sources.sinks import kafka_messages
 
@@ -191,6 +194,12 @@ def quality_by_source(spark, sf):
     return reports.quality(D.generic_articles(spark, sf), ["source"])
 
 
+def quality_rollup(spark, sf):
+    """A1 with subtotals by source and method, over the generic and the NBC mapping of the documents."""
+    g = D.generic_articles(spark, sf)
+    return reports.quality_rollup(g.unionByName(D.site_articles(spark, sf, "nbc").select(*g.columns)), ["source", "extraction_method"])
+
+
 def method_report(spark, sf):
     """A2 over generic, NBC and Fox mappings of the documents."""
     cols = ["extraction_method"]
@@ -235,6 +244,22 @@ def insert_if_absent(spark, sf):
     return dedup.insert_if_absent(target, g.select(*cols).unionByName(n.select(*cols)), "url", ["extraction_method", "fingerprint"])
 
 
+def insert_keyed(spark, sf):
+    """K3/J4 as insert_if_absent, with a keyed table as the target."""
+    cols = ["url", "extraction_method", "parse_ok", "fingerprint"]
+    g = D.generic_articles(spark, sf).select(*cols)
+    target = KeyedTable(spark, scratch_path(spark, f"keyed-{uuid.uuid4().hex}"), "url")
+    target.insert(g.where(F.col("parse_ok")), ["fingerprint"])
+    return target.insert(g.unionByName(D.site_articles(spark, sf, "nbc").select(*cols)), ["extraction_method", "fingerprint"])
+
+
+def frontier_indexed(spark, sf):
+    """J3 with a stored index of the visited pages."""
+    visited = FR.visited_index(spark, scratch_path(spark, f"visited-{uuid.uuid4().hex}"))
+    visited.insert(add_url_hash(tables.pages(spark, sf, with_html=False).select("url"), "url", "url_hash").select("url_hash"))
+    return FR.frontier(FR.followed_links(FR.resolve_links(FR.page_hrefs(A.classified_pages(spark, sf, test_registry())))), visited)
+
+
 def kafka_payload(spark, sf):
     """K2: one JSON message per article (nulls kept), keyed by nothing."""
     return kafka_messages(D.generic_articles(spark, sf).drop("doc_id")).select("value")
@@ -363,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "dup_groups": dup_groups,
     "quality_report": quality_report,
     "quality_by_source": quality_by_source,
+    "quality_rollup": quality_rollup,
     "method_report": method_report,
     "failure_by_source": failure_by_source,
     "error_counts": error_counts,
@@ -373,6 +399,10 @@ QUERIES: dict[str, Query] = {
     "quality_sample": quality_sample,
     "gate_vs_labels": gate_vs_labels,
     "insert_if_absent": insert_if_absent,
+    "insert_keyed": insert_keyed,
+    "frontier_indexed": frontier_indexed,
+    "site_frontier_indexed": ES.site_frontier_indexed,
+    "run_observed": lambda spark, sf: ES.site_run_observed(spark, sf, RUN_TS),
     "kafka_payload": kafka_payload,
     "site_url_rules": site_url_rules,
     "parse_dates": parse_dates,

@@ -9,6 +9,8 @@ plain discovery page.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from quire.functions.urls import add_url_hash
 from quire.operators import frontier as FR, reports
 from quire.operators.extract import article_rows
 from quire.plans.articles import classify_pages, route_pages
+from quire.session import scratch_path
 from quire.sources import tables
 from quire.sources.registry import Source, seeds_df
 
@@ -76,6 +79,24 @@ def site_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FR.crawl_walk(pages, _seeds(spark)).select("page_id", "depth")
 
 
+def site_frontier_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 against a stored index of the visited pages."""
+    visited = FR.visited_index(spark, scratch_path(spark, f"visited-{uuid.uuid4().hex}"))
+    visited.insert(route_pages(site_pages(spark, sf_dir), REGISTRY).select("url_hash"))
+    return FR.frontier(_followed(_classified(spark, sf_dir)), visited)
+
+
+def site_run_observed(spark: SparkSession, sf_dir: str, run_ts: str) -> DataFrame:
+    """A3/A4 of one run over the site, collected by its writes."""
+    classified = _classified(spark, sf_dir)
+    requests = _seeds(spark).select("url_hash").unionByName(_followed(classified).select("url_hash"))
+    found = reports.observed_run(requests, classified, lambda pages: article_rows(pages.where("is_article_page"), run_ts, rule_sets=("generic",)),
+                                 scratch_path(spark, f"run-{uuid.uuid4().hex}"))
+    counters = ("requests", "responses", "items", "items_failed", "errors")
+    return spark.createDataFrame([tuple(found[c] for c in (*counters, "first_scraped_at", "last_scraped_at"))],
+                                 ", ".join(f"{c} long" for c in counters) + ", first_scraped_at string, last_scraped_at string")
+
+
 def site_run(spark: SparkSession, sf_dir: str, run_ts: str) -> DataFrame:
     """A3/A4 of one run over the site."""
     classified = _classified(spark, sf_dir)

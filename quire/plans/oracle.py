@@ -532,6 +532,14 @@ def build() -> dict[str, str]:
         "parse_dates": f"SELECT event_id, raw, {X5_SQL} AS iso_utc FROM ({event_dates()})",
         "meta_dates": f"SELECT event_id, raw, {X7_SQL} AS iso_utc FROM ({event_dates()})",
     }
+    # another way to the same rows
+    for name, same in (("insert_keyed", "insert_if_absent"), ("frontier_indexed", "frontier"), ("site_frontier_indexed", "site_frontier"),
+                       ("run_observed", "run_counters")):
+        sqls[name] = sqls[same]
+    both = f"SELECT * EXCLUDE (doc_id) FROM ({G}) UNION ALL BY NAME SELECT * EXCLUDE (doc_id, confidence) FROM ({doc_site('nbc')})"
+    dims = "source, extraction_method"
+    sqls["quality_rollup"] = (quality_sql(both, dims).replace("SELECT " + dims, f"SELECT {dims}, CAST(GROUPING({dims}) AS BIGINT) AS level")
+                              .replace(f"GROUP BY {dims}", f"GROUP BY ROLLUP ({dims})"))
     return sqls
 
 

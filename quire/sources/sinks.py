@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.dedup import insert_if_absent
 from quire.session import ensure_checkpoint_dir
+from quire.sources.keyed import KeyedTable
 
 
 def kafka_messages(articles: DataFrame) -> DataFrame:
@@ -51,6 +52,12 @@ def write_insert_if_absent(articles: DataFrame, path: str, key: str = "url", ord
     return new
 
 
+def write_keyed(articles: DataFrame, path: str, key: str = "url", order: list[str] | None = None) -> DataFrame:
+    """K3/J4 into a ``KeyedTable``: only buckets that may hold a key are read, and any number of writers
+    keep keys unique."""
+    return KeyedTable(articles.sparkSession, path, key).insert(articles, order)
+
+
 def write_jsonl(articles: DataFrame, path: str) -> None:
     """K4 (and K5, re-aimed: a JSON array file cannot be written in parallel)."""
     articles.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
@@ -70,6 +77,7 @@ WRITERS: dict[str, Callable[..., object]] = {
     "jsonl_per_source": write_jsonl_per_source,
     "kafka": write_kafka,
     "insert_if_absent": write_insert_if_absent,
+    "keyed": write_keyed,
     "jsonl": write_jsonl,
     "json": write_jsonl,
     "csv": write_csv,
