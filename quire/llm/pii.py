@@ -25,6 +25,7 @@ import datetime as dt
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
@@ -34,8 +35,9 @@ from pyspark.sql import types as T
 
 from quire.llm.common import fresh, map_column
 
-#: The key of the test tables. A job passes its own.
+#: The key of the test tables. A job passes its own, or names it in the setting KEY.
 DEMO_KEY = b"a key for the test tables only"
+KEY = "quire.pii.key"
 ROUNDS = 10
 #: Signs that are permuted together: half of their range stays well below the 512 bits of a round's word.
 AT_ONCE = 128
@@ -305,15 +307,21 @@ def finds(text: str, p) -> list[tuple[int, int, str, str]]:
         a, b = run.span()
         while a and text[a - 1] in "+(" and run.start() - a < 2:
             a -= 1
-        taken: list[tuple[int, int]] = []
+        # places taken by earlier kinds, in order; they do not overlap
+        starts: list[int] = []
+        ends: list[int] = []
         for kind, pattern, f in NUMBERS:
             for m in pattern.finditer(text, a, b):
                 x, y = m.span()
-                if y == b and text[y:y + 1].isalnum() and not (kind == "date" and CLOCK.match(text, y)) or any(x < v and u < y for u, v in taken):
+                if y == b and text[y:y + 1].isalnum() and not (kind == "date" and CLOCK.match(text, y)):
+                    continue
+                k = bisect_left(starts, y)
+                if k and ends[k - 1] > x:
                     continue
                 if new := f(p, m[0]):
                     found.append((x, y, kind, new))
-                    taken.append((x, y))
+                    starts.insert(k, x)
+                    ends.insert(k, y)
     out, last = [], 0
     for f in sorted(found, key=lambda f: (f[0], -f[1])):
         if f[0] >= last:
@@ -352,9 +360,15 @@ def replaced(docs: DataFrame, out: str, text: str = "text", key: bytes = DEMO_KE
     return map_column(docs, text, out, RESULT, make)
 
 
+def job_key(spark) -> bytes:
+    """The key of the setting KEY; without it, that of the test tables."""
+    said = spark.conf.get(KEY, None)
+    return said.encode() if said else DEMO_KEY
+
+
 def query(docs: DataFrame) -> DataFrame:
     """doc_id, text with pseudonyms, number of values replaced, their kinds and places."""
-    return replaced(docs.select("doc_id", "text"), "r").select(
+    return replaced(docs.select("doc_id", "text"), "r", key=job_key(docs.sparkSession)).select(
         "doc_id", "r.text", F.size("r.spans").cast("long").alias("n_found"), "r.spans")
 
 
@@ -363,7 +377,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     text changed."""
     out = fresh(docs, "__new")
     changed = F.size(F.col(out)["spans"]) > 0
-    rows = replaced(docs, out).withColumn("text", F.col(out)["text"])
+    rows = replaced(docs, out, key=job_key(spark)).withColumn("text", F.col(out)["text"])
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
