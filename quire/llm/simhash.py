@@ -1,15 +1,16 @@
 """SimHash near-duplicates by multi-index hashing.
 
-A fingerprint has 64 bits, cut into segments. Two fingerprints within ``bits`` differing bits have
-a fingerprint between them that is at most half as far from either, so it is enough to
-enumerate, segment by segment, the small Hamming ball of values around each fingerprint's own
-segment values: an index entry is the fingerprint with one ball member put in. Entries that meet
-are table matches; their complete distance is then counted.
-
-The textbook form keys its tables by the segment alone and compares all entries of a slot. A
-group of near copies shares segments, so that form emits all pairs of the group. Here the
-other segments stay part of the key: at most 65 different fingerprints meet at an entry (for
-2 bits), each is linked with the smallest only, and the components are the same.
+A fingerprint has 64 bits, cut into SEGMENTS segments; there is a table for each segment, keyed by its
+value. Two fingerprints within ``bits`` differing bits are within bits / SEGMENTS (rounded down) in
+some segment. So a fingerprint is stored under its own segment values, and asks each table for all values in
+the small Hamming ball around its own; what it meets there is a table match, and a link if the
+complete distance is within ``bits``. Only links leave the join.
+
+Near copies share segments, so a slot can be large. A slot that stores more than HOT fingerprints is split by
+the same idea once more: its other bits are cut into two halves, and with the bits that the ball
+has not used up, one half is within half of them (rounded down). Such a slot holds fingerprints that differ in
+a quarter of their bits at most, 65,536 of them. Hot slots are counted, and the list of them goes to
+all tasks up to HOT_TO_SEND, else by joins.
 
 Equal fingerprints are one node from the start, so exact copies cost nothing.
 
@@ -33,7 +34,9 @@ from quire.llm.common import as_bytes, beside_least, components, dealt, fresh, m
 
 SHINGLE_WORDS, MOST_BITS, SEED = 3, 2, 42
 #: Segments of the index; a ball is enumerated within each.
-SEGMENTS = 4
+SEGMENTS = 2
+#: Fingerprints that a slot may store before it is split; hot slots that are sent to all tasks.
+HOT, HOT_TO_SEND = 256, 100_000
 #: Shingles hashed before their bits are counted: bounds the memory a long text takes.
 PIECE = 1 << 16
 #: Fingerprints whose index entries one task makes.
@@ -70,32 +73,81 @@ def with_fingerprint(docs: DataFrame, out: str, text: str = "text", words: int =
     return map_column(docs, text, out, T.LongType(), make)
 
 
-def balls(radius: int, segments: int = SEGMENTS) -> list[int]:
-    """Masks that change at most ``radius`` bits, listed by the segments they fall in: none, then
-    one or more bits within each segment, then bits spread over several segments."""
-    width = 64 // segments
-    bits = [range(s * width, (s + 1) * width if s < segments - 1 else 64) for s in range(segments)]
-    masks = [0]
-    for r in range(1, radius + 1):
-        within = [m for seg in bits for m in combinations(seg, r)]
-        across = [m for m in combinations(range(64), r) if r > 1 and len({min(b // width, segments - 1) for b in m}) > 1]
-        masks += [sum(1 << b for b in m) for m in within + across]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
-
-
-def links(prints: DataFrame, bits: int = MOST_BITS, segments: int = SEGMENTS) -> DataFrame:
-    """(u, v): links that connect all different fingerprints ``fp`` within ``bits`` differing bits.
-
-    Every fingerprint enters the entries at half the distance (rounded up); an entry's smallest
-    fingerprint at half the distance (rounded down) is linked with all that meet there. Rows:
-    one for each fingerprint and ball member, however many fingerprints resemble each other."""
-    near = len(balls(bits // 2, segments))
-    masks = balls((bits + 1) // 2, segments)
-    entries = prints.select("fp", F.posexplode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("k", "mask"))
-    entries = entries.select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("entry"), (F.col("k") < near).alias("inner"))
-    met = entries.groupBy("entry").agg(F.min(F.when(F.col("inner"), F.col("fp"))).alias("v"), F.collect_list("fp").alias("us"))
-    return (met.where((F.size("us") > 1) & F.col("v").isNotNull()).select(F.explode("us").alias("u"), "v")
-            .where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= bits)).distinct())
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def ball(bits: range, radius: int) -> list[tuple[int, int]]:
+    """(mask, number of its bits) of all masks that change at most ``radius`` of the given bits."""
+    return [(signed(sum(1 << b for b in m)), r) for r in range(radius + 1) for m in combinations(bits, r)]
+
+
+def cut(bits: range, parts: int) -> list[range]:
+    """``bits`` in so many runs."""
+    size = len(bits) // parts
+    return [bits[k * size:(k + 1) * size if k < parts - 1 else len(bits)] for k in range(parts)]
+
+
+def _value(fp, bits: range):
+    """The fingerprint with only these bits left."""
+    return fp.bitwiseAND(F.lit(signed(sum(1 << b for b in bits))).cast("long"))
+
+
+def _struct(**columns):
+    return F.struct(*[c.alias(k) for k, c in columns.items()])
+
+
+def entries(prints: DataFrame, bits: int, segments: int = SEGMENTS) -> tuple[DataFrame, DataFrame]:
+    """(stored, asked): (seg, value, fp) of each segment's own value, and (seg, value, fp, used) of each member
+    of the ball around it, ``used`` bits away."""
+    cuts, radius = cut(range(64), segments), bits // segments
+    own, ask = [], []
+    for k, run in enumerate(cuts):
+        own.append(_struct(seg=F.lit(k), value=_value(F.col("fp"), run)))
+        ask += [_struct(seg=F.lit(k), value=_value(F.col("fp"), run).bitwiseXOR(F.lit(mask).cast("long")), used=F.lit(n)) for mask, n in ball(run, radius)]
+    exploded = lambda x: prints.select("fp", F.explode(F.array(*x)).alias("e")).select("e.*", "fp")
+    return exploded(own), exploded(ask)
+
+
+def split_slots(stored: DataFrame, asked: DataFrame, bits: int, segments: int = SEGMENTS) -> tuple[DataFrame, DataFrame]:
+    """Both sides of hot slots, keyed by half of the other bits too (``half``, ``rest``)."""
+    def halves(k: int) -> list[range]:
+        run = set(cut(range(64), segments)[k])
+        return [[b for b in range(64) if b not in run][s] for s in (slice(0, (64 - len(run)) // 2), slice((64 - len(run)) // 2, None))]
+
+    def keyed(rows: DataFrame, left_over) -> DataFrame:
+        """``left_over(k)``: masks and the condition for them, for the halves of segment k's slots."""
+        out = []
+        for k in range(segments):
+            for h, run in enumerate(halves(k)):
+                for mask, cond in left_over(run):
+                    rest = _value(F.col("fp"), run).bitwiseXOR(F.lit(mask).cast("long"))
+                    out.append(F.when((F.col("seg") == k) & cond, _struct(half=F.lit(h), rest=rest)))
+        rows = rows.withColumn("e", F.explode(F.array(*out))).where(F.col("e").isNotNull())
+        return rows.select("seg", "value", "e.half", "e.rest", "fp")
+
+    # what the ball has used is not left for the halves
+    ask = lambda run: [(mask, (bits - F.col("used")) >= 2 * n) for mask, n in ball(run, bits // 2)]
+    return keyed(stored, lambda run: [(0, F.lit(True))]), keyed(asked, ask)
+
+
+def links(prints: DataFrame, bits: int = MOST_BITS, segments: int = SEGMENTS, hot: int = HOT) -> DataFrame:
+    """(u, v), u > v: all pairs of different fingerprints ``fp`` within ``bits`` differing bits."""
+    stored_in, asked = entries(prints, bits, segments)
+    crowded = stored(stored_in.groupBy("seg", "value").count().where(F.col("count") > hot).select("seg", "value"))
+    n = crowded.count()
+    known = F.broadcast(crowded) if n <= HOT_TO_SEND else crowded
+
+    def matches(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
+        a, b = a.withColumnRenamed("fp", "u"), b.withColumnRenamed("fp", "v").hint("merge")
+        on = [a[c] == b[c] for c in key] + [a["u"] > b["v"], F.bit_count(a["u"].bitwiseXOR(b["v"])) <= bits]
+        return a.join(b, on).select("u", "v")
+
+    found = matches(asked.join(known, ["seg", "value"], "left_anti"), stored_in.join(known, ["seg", "value"], "left_anti"), ["seg", "value"])
+    if n:
+        own, ask = split_slots(*[x.join(known, ["seg", "value"], "left_semi") for x in (stored_in, asked)], bits, segments)
+        found = found.unionByName(matches(ask, own, ["seg", "value", "half", "rest"]))
+    return found.distinct()
 
 
 def groups(rows: DataFrame, bits: int = MOST_BITS) -> DataFrame:

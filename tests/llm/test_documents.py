@@ -151,6 +151,16 @@ def test_long_values_are_replaced_to_their_end(n):
     assert pii.secret(p, value + "a") != pii.secret(p, value + "b")
 
 
+def test_long_runs_of_numbers_take_linear_time():
+    import time
+    p = pii.permutations(b"k")
+    for text in ("+1 (555) 123-4567 " * 60_000, "1." * 80_000, "2024-01-02 " * 50_000):
+        began = time.process_time()
+        out, spans = pii.pseudonymise(text, p)
+        assert time.process_time() - began < 20 and len(out) > len(text) // 2
+    assert all(a["last"] <= b["first"] for a, b in zip(spans, spans[1:]))
+
+
 # 3 mixing ------------------------------------------------------------------------------------------
 
 
@@ -482,7 +492,7 @@ def test_xxhash64_of_spark_is_the_same(llm):
     assert llm.sql("select xxhash64('a bc def') as h").first()["h"] == np.uint64(xxhash.xxh64_intdigest(b"a bc def", 42)).astype(np.int64)
 
 
-@pytest.mark.parametrize("bits", [0, 1, 3])
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
 def test_links_at_other_distances(llm, bits):
     rng = random.Random(bits)
     prints = {rng.getrandbits(63) for _ in range(40)}
@@ -490,6 +500,11 @@ def test_links_at_other_distances(llm, bits):
     df = llm.createDataFrame([(p,) for p in prints], "fp long")
     pairs = [(r["u"], r["v"]) for r in simhash.links(df, bits).collect()]
     assert all((a ^ b).bit_count() <= bits for a, b in pairs)
+    # every link is found, whether slots are split or not, and however many segments there are
+    want = {(max(a, b), min(a, b)) for a, b in itertools.combinations(prints, 2) if (a ^ b).bit_count() <= bits}
+    assert set(pairs) == want and len(pairs) == len(want)
+    assert {(r["u"], r["v"]) for r in simhash.links(df, bits, hot=2).collect()} == want
+    assert {(r["u"], r["v"]) for r in simhash.links(df, bits, segments=4, hot=3).collect()} == want
 
     def groups(pairs):
         root = {p: p for p in prints}
