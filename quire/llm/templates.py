@@ -7,8 +7,11 @@ an article, the content is the article; for others, the page. So copies of an ar
 count once, whatever stands around them.
 
 Two things the count alone cannot tell are told by the markup. Elements that say what they are (nav,
-footer, form, class="ad", role="navigation", ...) are deleted on a host's only page too; a class or id
-says so by a whole word, and not of an article, of what holds one, or of most of the page's text. And
+footer, class="ad", role="navigation", ...) and hidden ones are deleted on a host's only page too. A form, a
+role, and a class or id that says so by a whole word does not count for an article, for what holds one, or for
+most of the page's text (whole pages are wrapped in forms); one that says so by the first or last part of
+a word (comments-area, site-footer) counts only for what holds less than half of the text. The header of an article
+is kept if it has a heading. And
 paragraphs, headings and lists of the article are never template: within an article only boxes (div,
 section, table, ...) can be, but not one that holds most of its text.
 
@@ -38,18 +41,27 @@ from quire.llm.linkgraph import host_of
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
 #: An element holds most of the text from this share of its characters on.
 MOST_SHARE = 0.7
+#: A compound name counts for an element with less of the text than this.
+LESS_SHARE = 0.5
 #: Template hashes (8 bytes each) sent to the tasks at once; more are sent in parts, by host.
 TEMPLATES_TO_SEND = 1_000_000
 
 #: Elements that say that they are not main text, or hold none.
 DROP_TAGS = frozenset(
-    "nav header footer aside form script style noscript template iframe object embed svg math canvas button select "
+    "nav header footer aside script style noscript template iframe object embed svg canvas button select "
     "option textarea input label dialog menu head title audio video map".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 DROP_NAMES = re.compile(
     r"(?:^|\s)(?:ads?|adverts?|advertisements?|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|nav|navbar|navigation|menu"
     r"|breadcrumbs?|sidebar|side-bar|footer|masthead|site-header|page-header|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe"
     r"|subscription|signup|sign-up|login|comments?|comment-list|disqus|replies|respond|social|share|sharing|related|recommended)(?:$|\s)", re.I)
+#: Parts that say so at either end of a compound name, unless the rest says that it is a state or a category.
+DROP_PARTS = frozenset("ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar "
+                       "footer masthead cookie cookies consent gdpr popup modal newsletter subscribe signup login comment comments disqus replies "
+                       "respond social share sharing related recommended".split())
+OTHER_FIRST = frozenset("has no not with without is layout category tag type status format post article entry".split())
+OTHER_LAST = frozenset("open closed enabled disabled on off none".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAINS = ("article", "main")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noframes noembed xmp".split())
@@ -66,6 +78,8 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"se
 BOXES = frozenset("div section table figure details center fieldset address aside".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>""", re.S)
+HIDDEN = re.compile(r"""\shidden(?=[\s=/]|$)|\sstyle\s*=\s*["']?[^"'>]*display\s*:\s*none""", re.I)
+QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
 ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 CONTENTS = T.ArrayType(T.StructType([T.StructField("inside", T.BooleanType()), T.StructField("content", T.LongType()),
@@ -74,23 +88,34 @@ _ARROW_CONTENTS = pa.list_(pa.struct([("inside", pa.bool_()), ("content", pa.int
 RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
 
+def compound(name: str) -> bool:
+    """Whether the first or last part of a name in several parts says that it names no main text."""
+    parts = [x for x in re.split("[-_]+", name) if x]
+    return (len(parts) > 1 and (parts[0] in DROP_PARTS or parts[-1] in DROP_PARTS)
+            and parts[0] not in OTHER_FIRST and parts[-1] not in OTHER_LAST)
+
+
 class Element:
-    """``parts``: strings and elements in page order. Known once it is closed: ``hash``, ``filled`` (has
-    text), ``chars`` (characters of text that is not in a dropped tag or role), ``holds`` (an article)."""
+    """``parts``: strings and elements in page order; ``named`` and ``hinted``: a whole name, or a part of one,
+    says that it is no main text. Known once it is closed: ``hash``, ``filled`` (has
+    text), ``chars`` (characters of text that is not in a dropped tag), ``holds`` (an article), ``headed`` (has a heading)."""
 
-    __slots__ = ("tag", "names", "drop", "named", "parts", "hash", "filled", "chars", "holds")
+    __slots__ = ("tag", "names", "drop", "named", "hinted", "parts", "hash", "filled", "chars", "holds", "headed")
 
     def __init__(self, tag: str, attrs: str):
         self.tag, self.names, self.parts, self.hash, self.filled = tag, "", [], 0, False
-        self.drop, self.named, self.chars, self.holds = tag in DROP_TAGS, False, 0, False
-        if attrs and not self.drop and "=" in attrs:
+        self.drop, self.named, self.hinted, self.chars, self.holds, self.headed = tag in DROP_TAGS, tag == "form", False, 0, False, tag in HEADINGS
+        if attrs and ("hidden" in attrs or "none" in attrs):
+            self.drop |= bool(HIDDEN.search(QUOTED.sub("=x", attrs)) or "none" in attrs and HIDDEN.search(attrs) and "display" in attrs)
+        if attrs and "=" in attrs and (tag == "header" or not self.drop):
             for m in ATTR.finditer(attrs):
                 value = m[2] or m[3] or m[4] or ""
                 self.names += f" {value}"
                 if m[1].lower() == "role":
-                    self.drop |= value.strip().lower() in DROP_ROLES
+                    self.named |= value.strip().lower() in DROP_ROLES
                 else:
                     self.named |= bool(DROP_NAMES.search(value))
+                    self.hinted |= ("-" in value or "_" in value) and any(map(compound, value.lower().split()))
 
     def close(self) -> None:
         h = xxhash.xxh64(f"{self.tag}|{self.names}".encode("utf-8", "replace"))
@@ -98,6 +123,7 @@ class Element:
             if isinstance(x, Element):
                 h.update(x.hash.to_bytes(8, "little"))
                 self.filled |= x.filled
+                self.headed |= x.headed
                 if not x.drop:
                     self.chars += x.chars
                     self.holds |= x.holds or x.tag in MAINS and x.filled
@@ -112,6 +138,7 @@ def parse(html: str) -> Element:
     root = Element("html", "")
     stack = [root]
     named: list[Element] = []
+    headers: list[Element] = []
     at = 0
     end = len(html)
 
@@ -153,8 +180,10 @@ def parse(html: str) -> Element:
             continue
         element = Element(tag, m[3])
         stack[-1].parts.append(element)
-        if element.named:
+        if element.named or element.hinted:
             named.append(element)
+        if tag == "header" and any(x.tag == "article" for x in stack):
+            headers.append(element)
         if tag in VOID:
             element.close()
             continue
@@ -168,8 +197,10 @@ def parse(html: str) -> Element:
         stack.append(element)
     text(at, end)
     pop(0)
+    for e in headers:
+        e.drop = not e.headed
     for e in named:
-        e.drop |= e.tag not in MAINS and not e.holds and not most(e, root)
+        e.drop |= e.tag not in MAINS and not e.holds and not (most(e, root) if e.named else e.chars >= LESS_SHARE * root.chars)
     return root
 
 
