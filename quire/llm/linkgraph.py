@@ -3,10 +3,10 @@
 A rule names a host and a path; it fits the host and all its subdomains where the path starts with
 the rule's; the longest fitting rule wins. Urls without a rule are judged by their host: hosts
 with allowed urls are trusted seeds, hosts with blocked urls are distrusted seeds. Trust is the
-personalised PageRank of the trusted seeds along links; distrust that of the distrusted seeds
-against links (who links to bad hosts is suspect). Both are shares of the random walk, measured
-against an even share. A host is blocked if its distrust reaches THRESHOLD even shares and
-exceeds its trust.
+personalised PageRank of the trusted seeds along links. Distrust goes against links, from the distrusted
+seeds: a host has, damped, the distrust of the hosts that it links to, by the share of its own links. That
+is what the host's own personalised PageRank leaves at the seeds, and it does not depend on
+how many others link there. A host is blocked if its distrust reaches THRESHOLD and exceeds its trust.
 
 Links are the absolute ``http(s)://`` or ``//`` targets of href attributes in the whole page.
 A link of a page counts once; an edge weighs its share of its host's links to other hosts.
@@ -35,7 +35,8 @@ RULES = [
 ]
 ALLOW, BLOCK = "allow", "block"
 DAMPING, ROUNDS = 0.85, 20
-#: Blocked: a distrust of half a wholly blocked seed's, and more than the trust.
+#: Blocked: a distrust of half a wholly blocked seed's, and more than the trust. (A host whose links all
+#: go to blocked hosts has DAMPING.)
 THRESHOLD = 0.5
 #: Host tables of up to so many rows go to all tasks.
 HOSTS_TO_SEND = 50_000
@@ -84,11 +85,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def walk(edges: DataFrame, seeds: DataFrame, forward: bool) -> DataFrame:
     """(host, p): the seeds' weights ``start`` and what reaches a host from them, each step times
-    DAMPING. It is personalised PageRank in units of a seed's own part. Without edges nothing moves."""
+    DAMPING. Along links it is personalised PageRank in units of a seed's own part; against links it
+    is what a walk from the host leaves at the seeds. Without edges nothing moves."""
     a, b = ("src", "dst") if forward else ("dst", "src")
-    if not forward:
-        into = edges.groupBy("dst").agg(F.sum("share").alias("all"))
-        edges = edges.join(into, "dst").select("src", "dst", (F.col("share") / F.col("all")).alias("share"))
     edges = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("host"), "share"))
     p = seeds.select("host", F.col("start").alias("p"))
     if not edges.take(1):
@@ -132,7 +131,27 @@ def query(pages: DataFrame) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", "said", F.lit(ALLOW)).alias("verdict"))
 
 
-def _oracle() -> str:
+#: Pages of linked hosts, one for each row of ``events``, in SQL that Spark and DuckDB read alike: hosts g*.com,
+#: which the rules allow, bad*.net, whose pages they block, and s0 to s59.org, of which the first twenty link to bad
+#: hosts only, the next twenty on every second page, the others among themselves.
+EVENT_HOST = ("CASE WHEN event_id % 10 = 0 THEN concat('bad', CAST(event_id % 3 AS STRING), '.net') WHEN event_id % 10 = 1 "
+              "THEN concat('g', CAST(event_id % 4 AS STRING), '.com') ELSE concat('s', CAST(event_id % 60 AS STRING), '.org') END")
+EVENT_LINK = ("CASE WHEN event_id % 10 < 2 THEN concat('s', CAST(event_id % 7 * 9 AS STRING), '.org') WHEN event_id % 60 < 20 OR event_id % 60 < 40 "
+              "AND CAST(floor(event_id / 60.0) AS BIGINT) % 2 = 0 THEN concat('bad', CAST(event_id % 3 AS STRING), '.net') "
+              "ELSE concat('S', CAST(event_id * 7 % 60 AS STRING), '.org') END")
+EVENT_PAGES = (f"SELECT event_id AS page_id, concat('https://', {EVENT_HOST}, CASE WHEN event_id % 10 = 0 THEN '/es/' ELSE '/p/' END, CAST(event_id AS STRING)) AS url, "
+               f"concat('<p>see <a class=x href=\"http://', {EVENT_LINK}, '/es/1\">this</a> and <a href=\"/own\">that</a></p>') AS html FROM events")
+
+
+def linked_events(events: DataFrame) -> DataFrame:
+    """The verdicts of the pages of EVENT_PAGES."""
+    host, link = F.expr(EVENT_HOST), F.expr(EVENT_LINK)
+    url = F.concat(F.lit("https://"), host, F.when(F.col("event_id") % 10 == 0, "/es/").otherwise("/p/"), F.col("event_id").cast("string"))
+    html = F.concat(F.lit('<p>see <a class=x href="http://'), link, F.lit('/es/1">this</a> and <a href="/own">that</a></p>'))
+    return query(events.select(F.col("event_id").alias("page_id"), url.alias("url"), html.alias("html")))
+
+
+def _oracle(pages: str = "pages") -> str:
     """The same in SQL; each round of the walk is a table of its own."""
     order = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
 
@@ -143,20 +162,19 @@ def _oracle() -> str:
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     link = r"""(?i)<[^<>]*?\shref\s*=\s*["'']?(?:https?:)?//([^/?#"''\s<>]+)"""
     walks = ""
-    for name, column, a, b, edges in (("t", "good", "src", "dst", "e"), ("u", "bad", "dst", "src", "back")):
+    for name, column, a, b, edges in (("t", "good", "src", "dst", "e"), ("u", "bad", "dst", "src", "e")):
         walks += f"{name}0 AS MATERIALIZED (SELECT host, {column} AS p FROM h WHERE {column} > 0),\n"
         for k in range(1, ROUNDS + 1):
             walks += (f"{name}{k} AS MATERIALIZED (SELECT host, sum(p) AS p FROM (SELECT * FROM {name}0 UNION ALL "
                       f"SELECT {b}, p * share * {DAMPING} FROM {edges} JOIN {name}{k - 1} w ON w.host = {edges}.{a}) GROUP BY host),\n")
     return f"""
 WITH p AS MATERIALIZED (SELECT page_id, html, {lower.format("coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')")} AS host,
-    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM {pages}),
 r AS MATERIALIZED (SELECT *, {case("host", "path", lambda r: r[1] + r[2])} AS rule, {case("host", "path", lambda r: r[0])} AS ruled FROM p),
 c AS (SELECT host AS src, dst, count(*) AS n FROM (
     SELECT host, unnest(list_distinct(list_transform(regexp_extract_all(html, '{link}', 1), lambda x: {lower.format("x")}))) AS dst FROM p)
   WHERE host <> '' AND host <> dst GROUP BY ALL),
 e AS MATERIALIZED (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS share FROM c),
-back AS MATERIALIZED (SELECT src, dst, share / sum(share) OVER (PARTITION BY dst) AS share FROM e),
 h0 AS (SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1 ELSE 0 END) AS good, avg(CASE WHEN ruled = 'block' THEN 1 ELSE 0 END) AS bad
   FROM r WHERE host <> '' GROUP BY host),
 h1 AS (SELECT host, {case("host", "'/'", lambda r: r[0])} AS ruled FROM (SELECT src AS host FROM e UNION SELECT dst FROM e)),
@@ -169,3 +187,4 @@ SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.ruled, v.said, 'allow') AS
 
 
 ORACLE_SQL = _oracle()
+LINKED_SQL = _oracle(f"({EVENT_PAGES})")

@@ -13,6 +13,7 @@ QUERIES = {
     "op5_decontamination": lambda spark, d: decontam.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op6_site_templates": lambda spark, d: templates.query(table(spark, d, "pages")),
     "op7_link_graph": lambda spark, d: linkgraph.query(table(spark, d, "pages")),
+    "linked_hosts": lambda spark, d: linkgraph.linked_events(table(spark, d, "events")),
     "op8_language_id": lambda spark, d: langid.query(table(spark, d, "documents")),
     "op9_simhash": lambda spark, d: simhash.query(table(spark, d, "documents")),
     "op10_toxicity": lambda spark, d: toxicity.query(table(spark, d, "documents"), table(spark, d, "labels")),
@@ -26,5 +27,6 @@ ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op5_decontamination": decontam.ORACLE_SQL,
     "op7_link_graph": linkgraph.ORACLE_SQL,
+    "linked_hosts": linkgraph.LINKED_SQL,
     "op11_fill_in_middle": fim.ORACLE_SQL,
 }

@@ -147,6 +147,28 @@ def test_copies_of_an_article_keep_its_text(llm):
         assert found[200 + k] == f"Page {k} {text}" and found[300 + k] == several
 
 
+PROSE = "<p>" + "A sentence of the main text. " * 12 + "</p>"
+
+
+@pytest.mark.parametrize("html", [
+    f'<form id="aspnetForm"><div>{PROSE}</div></form>', f"<form><article>{PROSE}</article></form>", f'<div role="form">{PROSE}</div>',
+    *[f'<article>{PROSE}<div class="{n}"><p>Not this</p></div></article>' for n in (
+        "comments-area", "comment-section", "user-comments", "cookie-banner", "ad-container", "ad-slot", "newsletter-signup", "share-buttons",
+        "related-posts", "sidebar-left", "site-footer", "x Site_Footer")],
+    f"<article>{PROSE}<p hidden>Not this</p><p style='color:red; display: none'>nor this</p></article>", f"<article>{PROSE}<form><p>Mail</p><input></form></article>",
+    f"<article>{PROSE}<header><span>by line</span></header></article>"])
+def test_what_wraps_the_text_stays_and_small_named_boxes_go(html):
+    assert templates.main_text(page(html), ()) == templates.main_text(page(PROSE), ()) != ""
+
+
+def test_an_articles_heading_mathematics_and_states_stay():
+    text = templates.main_text(page(PROSE), ())
+    assert templates.main_text(page(f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header>{PROSE}</article>"), ()) == f"Title {text}"
+    assert templates.main_text(page(f"<article>{PROSE}<p>so <math>x</math></p></article>"), ()) == f"{text} so x"
+    assert templates.main_text(page(f'<article>{PROSE}<div class="has-sidebar"><p>a</p></div><div class="comments-open"><p>b</p></div></article>'), ()) == f"{text} a b"
+    assert templates.main_text(page(f'<article>{PROSE}<p title="hidden none">kept</p></article>'), ()) == f"{text} kept"
+
+
 @pytest.mark.parametrize("names", ["content has-sidebar", "layout-no-sidebar", "article-body with-related", "post comments-open",
                                    "post type-post category-social hentry", "social"])
 def test_names_do_not_delete_the_main_text(names):
@@ -182,7 +204,7 @@ def test_distrust_flows_against_links(llm):
              (4, "http://good.com/", link("fine.org")), (5, "http://alone.org/", None), (6, "http://second.org/x", link("farm.org"))]
     df = llm.createDataFrame(pages, "page_id long, url string, html string")
     found = {r["page_id"]: r["verdict"] for r in linkgraph.query(df).collect()}
-    assert found == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: found[6]}
+    assert found == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block"}
     edges = linkgraph.host_edges(df).collect()
     out = {}
     for e in edges:
@@ -190,6 +212,17 @@ def test_distrust_flows_against_links(llm):
     assert out == {k: pytest.approx(1.0) for k in out} and ("bad.net", "bad.net") not in {(e["src"], e["dst"]) for e in edges}
 
 
+@pytest.mark.parametrize("n", [2, 20, 200])
+def test_hosts_that_link_to_a_blocked_host_are_blocked_however_many(llm, n):
+    link = lambda h: f'<a href="https://{h}/p">x</a>'
+    pages = [(0, "http://bad.net/es/1", None)] + [(k, f"http://farm{k}.org/", link("bad.net")) for k in range(1, n + 1)]
+    # one that links there with a third of its links, one that a trusted host backs
+    pages += [(1000, "http://mixed.org/", link("bad.net") + link("a.org") + link("b.org")), (1001, "http://backed.org/", link("bad.net")),
+              (1002, "http://good.com/", link("backed.org"))]
+    found = {r["page_id"]: r["verdict"] for r in linkgraph.query(llm.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert found == {k: "block" for k in range(n + 1)} | {1000: "allow", 1001: "allow", 1002: "allow"}
+
+
 def test_walk_against_power_series(llm):
     rng = random.Random(6)
     hosts = [f"h{k}" for k in range(12)]
@@ -205,7 +238,7 @@ def test_walk_against_power_series(llm):
             if forward:
                 m[hosts.index(b), hosts.index(a)] = s
             else:
-                m[hosts.index(a), hosts.index(b)] = s / sum(v for (_, d), v in share.items() if d == b)
+                m[hosts.index(a), hosts.index(b)] = s
         start = np.array([1.0 if h == "h0" else 0.5 if h == "h5" else 0.0 for h in hosts])
         want = start.copy()
         for _ in range(linkgraph.ROUNDS):
