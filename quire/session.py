@@ -74,12 +74,17 @@ def apply_job_conf(spark: SparkSession) -> None:
         spark.conf.set(k, JOB_CONF[k])
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` starts several)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     Called only where a job checkpoints or stores an intermediate table. On a cluster the
-    platform sets it to shared storage and we only read it. Only when it is unset (tests) do
-    we pick a private scratch folder.
+    platform sets it to shared storage and we only read it; if it is unset there, this is an error, because
+    a folder made here would be one machine's. In local mode (tests) we pick a private scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -87,6 +92,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.dedup import insert_if_absent
 from quire.session import ensure_checkpoint_dir
+from quire.sources.custom import SINKS, write_sink
 from quire.sources.keyed import KeyedTable
 
 
@@ -87,8 +88,11 @@ BY_SUFFIX = {".jsonl": "jsonl", ".json": "json", ".csv": "csv", ".xml": "xml"}
 
 
 def write_articles(articles: DataFrame, sink: str, **options) -> object:
-    """K8: dispatch by sink name, or by the output path's suffix when ``sink`` is a path."""
+    """K8: dispatch by sink name (built in, or registered with ``quire.sources.custom.register_sink``), or by the
+    output path's suffix when ``sink`` is a path."""
     name = sink
+    if sink in SINKS:
+        return write_sink(articles, sink, **options)
     if sink not in WRITERS:
         for suffix, n in BY_SUFFIX.items():
             if sink.endswith(suffix):
