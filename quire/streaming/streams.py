@@ -3,7 +3,7 @@
 The page jobs are map-only (route, parse, classify, extract), so the same plan runs on a
 stream. Output goes through ``foreachBatch`` to the batch writers (K1/K3): the insert-if-absent
 writer is idempotent per key, so a replayed micro-batch after a failure writes nothing twice.
-Dedup and per-hour failure rates are stateful and bounded by a watermark on ``fetched_at``.
+Dedup, first write wins (arbitrary state with timers) and per-hour failure rates are stateful and bounded by a watermark on ``fetched_at``.
 Checkpoints live under the shared folder named by ``spark.checkpoint.dir``.
 """
 
@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quire.operators.extract import article_rows
 from quire.plans.articles import classify_pages, route_pages
@@ -50,6 +51,56 @@ def dedup_stream(articles: DataFrame, delay: str = "1 hour") -> DataFrame:
     return articles.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["url_hash"])
 
 
+class FirstWrite(StatefulProcessor):
+    """Of the rows of a key, the first by (time, the other columns of ``order``): kept in state until the watermark
+    has passed the first row's time by ``wait_ms``, then given out. Afterwards only a mark is left, by
+    which replays and later rows are known."""
+
+    def __init__(self, schema: T.StructType, order: list[str], wait_ms: int, time: str):
+        self.schema, self.order, self.wait_ms, self.time = schema, order, wait_ms, time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", self.schema)
+        self.given = handle.getValueState("given", "at long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.given.exists():
+            return iter(())
+        held = self.best.exists()
+        best = Row(**dict(zip(self.schema.names, self.best.get()))) if held else None
+        rank = lambda r: tuple((r[c] is not None, r[c]) for c in (self.time, *self.order))
+        first = min(rows if best is None else [best, *rows], key=rank)
+        self.best.update(tuple(first[c] for c in self.schema.names))
+        if not held:
+            self.handle.registerTimer(first[self.time] + self.wait_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        best = Row(**dict(zip(self.schema.names, self.best.get())))
+        self.best.clear()
+        self.given.update((expiredTimerInfo.getExpiryTimeInMs(),))
+        yield best
+
+    def close(self) -> None:
+        pass
+
+
+#: State stores that arbitrary state needs.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def first_write_stream(articles: DataFrame, delay: str = "1 hour", wait_ms: int = 3_600_000, order: tuple[str, ...] = ("page_id",)) -> DataFrame:
+    """T2 with K3: exactly one article for each url_hash, the first by fetched_at and ``order``, also where rows come
+    late (within ``delay`` of the newest) or a stream is replayed: as the batch job's keep-first. Rows without
+    fetched_at are never given out. Needs the state store ROCKSDB (``spark.sql.streaming.stateStore.providerClass``)."""
+    ms = "__fetched_ms"
+    rows = articles.withColumn(ms, F.unix_millis("fetched_at")).where(F.col(ms).isNotNull()).withWatermark("fetched_at", delay)
+    plain = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    kept = rows.groupBy("url_hash").transformWithState(FirstWrite(plain, list(order), wait_ms, ms), plain, "Append", "EventTime")
+    return kept.drop(ms)
+
+
 def failure_rate_stream(articles: DataFrame, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """Failure rate per source and hourly window of fetch time (append mode: a window is
     emitted once the watermark passes its end)."""
