@@ -359,6 +359,11 @@ def _page_site(rs):
     return lambda spark, sf: PS.site_page_articles(spark, sf, rs, RUN_TS)
 
 
+def page_generic(spark, sf):
+    """F11, F12, P21-P24 on pages made from every document."""
+    return PS.generic_page_articles(spark, sf, RUN_TS)
+
+
 def page_extracted(spark, sf):
     """EXTRACTED table: all fields of a rule set, section, tags, confidence and errors included."""
     return PS.site_page_extracted(spark, sf, "ap")
@@ -412,5 +417,6 @@ QUERIES: dict[str, Query] = {
     "html_nodes": html_nodes,
     "jsonld_blocks": jsonld_blocks,
     "page_extracted": page_extracted,
+    "page_generic": page_generic,
     **{f"page_site_{rs}": _page_site(rs) for rs in SITE_SETS},
 }

@@ -308,6 +308,29 @@ def doc_generic() -> str:
             f"AS content_length_chars, doc_id FROM ({s1})")
 
 
+def page_generic() -> str:
+    """Article rows of the pages that page_sites.generic_pages makes, from the documents."""
+    url = "'https://' || source || '.example/articles/story-' || CAST(doc_id AS VARCHAR)"
+    base = (f"SELECT doc_id, source, doc_id % 12 AS k, {url} AS url, string_split(text, chr(10)) AS lines FROM documents "
+            f"WHERE doc_id % 12 NOT IN (0, 1)")
+    keyed = f"SELECT *, sha256(canon) AS url_hash FROM ({canonical_cte(f'({base})', 'url', 'canon')})"
+    s1 = f"SELECT *, lines[1] AS title_raw, {paragraphs('lines[2:]')} AS text_raw FROM ({keyed})"
+    given = "'A summary that came with the page, long enough to be kept as it is.'"
+    pub = ("CASE WHEN doc_id % 2 = 0 THEN '2026-02-03T02:05:06Z' WHEN doc_id % 3 = 0 THEN NULL ELSE '2026-02-03T00:00:00Z' END")
+    s2 = (f"SELECT *, {gate('title_raw', 'text_raw')} AS g, {norm('title_raw')} AS n_title, (CASE WHEN length({norm('text_raw')}) >= "
+          f"{C.LOW_QUALITY_TEXT_LENGTH} THEN {norm('text_raw')} END) AS n_text, {strip('text_raw')} AS sum_src, CAST({pub} AS VARCHAR) AS pub FROM ({s1})")
+    summ, trunc = summary_exprs("sum_src")
+    who = ("CASE WHEN k BETWEEN 3 AND 7 THEN 'Ann ' || source WHEN k = 8 THEN 'Ann ' || source || ', Bob' END")
+    whence = f"CASE WHEN k = 3 THEN {q(C.AUTHOR_FEED)} WHEN k BETWEEN 4 AND 8 THEN {q(C.AUTHOR_META)} ELSE {q(C.AUTHOR_MISSING)} END"
+    return (f"SELECT n_title AS title, CASE WHEN g THEN {who} END AS author, CASE WHEN g THEN n_text END AS text, "
+            f"CASE WHEN g THEN (CASE WHEN k = 9 THEN {given} ELSE {summ} END) END AS summary, url, source, pub AS published_at, {q(RUN_TS)} AS scraped_at, "
+            f"url_hash, CASE WHEN g THEN {fingerprint('n_title', 'n_text', 'pub', 'source')} ELSE {fingerprint('n_title', 'NULL', 'pub', 'source')} END "
+            f"AS fingerprint, CASE WHEN g THEN {whence} ELSE {q(C.AUTHOR_MISSING)} END AS author_source, {C.SUMMARY_MAX_CHARS} AS summary_max_chars, "
+            f"CASE WHEN g AND k <> 9 THEN {trunc} ELSE false END AS summary_truncated, g AS parse_ok, "
+            f"CASE WHEN NOT g THEN {q(C.GENERIC_GATE_FAILED)} END AS parse_error, {q(C.METHOD_GENERIC)} AS extraction_method, "
+            f"CAST(CASE WHEN g THEN coalesce(length(n_text), 0) ELSE 0 END AS INTEGER) AS content_length_chars, doc_id FROM ({s2})")
+
+
 def _ladder_sql(rs: str, ld: str = "false", author: str = "false") -> tuple[str, str]:
     has = {"ld": ld, "ldbody": "false", "title": "coalesce(length(x_title) > 0, false)",
            "author": author, "body": "coalesce(length(x_body) > 0, false)"}
@@ -532,6 +555,7 @@ def build() -> dict[str, str]:
         "parse_dates": f"SELECT event_id, raw, {X5_SQL} AS iso_utc FROM ({event_dates()})",
         "meta_dates": f"SELECT event_id, raw, {X7_SQL} AS iso_utc FROM ({event_dates()})",
     }
+    sqls["page_generic"] = page_generic()
     # another way to the same rows
     for name, same in (("insert_keyed", "insert_if_absent"), ("frontier_indexed", "frontier"), ("site_frontier_indexed", "site_frontier"),
                        ("run_observed", "run_counters")):

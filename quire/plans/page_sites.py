@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quire.operators.extract import ARTICLE_COLUMNS, article_rows, extracted_rows
 from quire.plans.articles import classify_pages, route_pages
 from quire.plans.documents import doc_pages
+from quire.sources import tables
 from quire.sources.registry import Source
 
 # where each rule set finds its paragraphs (FIXED VALUES of the test input)
@@ -50,6 +51,42 @@ def site_pages(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
     return route_pages(pages, [Source("example", "example", ("example",), (), rule_set)])
 
 
+def generic_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PAGES of the generic rule set, one for each document. By doc_id modulo 12: 0 is a feed, 1 has the URL of a
+    tag page, 2 no article element; then an author from the feed (3), a meta author (4), article:author (5),
+    byl (6), JSON-LD with a name (7) or a list (8), or nobody; a summary that came with the page (9, short in 10). Published: a
+    meta date with a zone (even ids), or a time element with a bad date (multiples of 3) or a good one."""
+    d = tables.documents(spark, sf_dir).select("doc_id", "source", "text")
+    kind, lines = F.col("doc_id") % 12, F.split(F.col("text"), "\n")
+    title = F.element_at(lines, 1)
+    paras = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda p: F.concat(F.lit("<p>"), _escaped(p), F.lit("</p>")))
+    person = F.concat(F.lit("Ann "), F.col("source"))
+    meta = lambda key, name, value: F.concat(F.lit(f'<meta {key}="{name}" content="'), value, F.lit('">'))
+    script = lambda author: F.concat(F.lit('<script type="application/ld+json">'), F.to_json(F.struct(F.lit("WebPage").alias("@type"), author.alias("author"))), F.lit("</script>"))
+    head = (F.when(kind == 4, meta("name", "author", F.concat(F.lit("  "), person, F.lit(" ")))).when(kind == 5, meta("property", "article:author", person))
+            .when(kind == 6, meta("name", "byl", F.concat(F.lit("By "), person))).when(kind == 7, script(F.struct(person.alias("name"))))
+            .when(kind == 8, script(F.array(F.struct(person.alias("name")), F.struct(F.lit("Bob").alias("name"))))).otherwise(F.lit("")))
+    when = (F.when(F.col("doc_id") % 2 == 0, meta("property", "article:published_time", F.lit("2026-02-03T04:05:06+0200")))
+            .when(F.col("doc_id") % 3 == 0, F.lit('<time datetime="2026-02-30">then</time>')).otherwise(F.lit('<time datetime="2026-02-03">then</time>')))
+    box = F.when(kind == 2, "div").otherwise("article")
+    html = F.concat(F.lit("<!DOCTYPE html><html><head>"), head, F.lit("</head><body><h1>"), _escaped(title), F.lit("</h1>"), when,
+                    F.lit("<"), box, F.lit(">"), F.array_join(paras, ""), F.lit("</"), box, F.lit("></body></html>"))
+    url = F.concat(F.lit("https://"), F.col("source"), F.when(kind == 1, F.lit(".example/tag/story-")).otherwise(F.lit(".example/articles/story-")), F.col("doc_id").cast("string"))
+    none = F.lit(None).cast("string")
+    summary = F.when(kind == 9, F.lit("  A summary  that came with the page, long enough to be kept as it is.")).when(kind == 10, F.lit("too short"))
+    pages = d.select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"), F.when(kind == 0, F.lit("application/RSS+xml")).otherwise(none).alias("content_type"),
+                     F.when(kind == 3, F.concat(F.lit(" "), person, F.lit("\n"))).alias("feed_author"), summary.alias("feed_summary"),
+                     F.lit(None).cast("timestamp").alias("fetched_at"), F.col("source").alias("doc_source"))
+    return route_pages(pages, [])
+
+
+def generic_page_articles(spark: SparkSession, sf_dir: str, run_ts: str) -> DataFrame:
+    """The article rows of these pages; feeds and tag pages have none."""
+    pages = classify_pages(generic_pages(spark, sf_dir).withColumn("source", F.col("doc_source")), ("generic",))
+    rows = article_rows(pages.where("is_article_page"), run_ts, extra=("page_id",), rule_sets=("generic",))
+    return rows.select(*ARTICLE_COLUMNS, F.col("page_id").alias("doc_id"))
+
+
 def _article_pages(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
     routed = site_pages(spark, sf_dir, rule_set).withColumn("source", F.col("doc_source"))
     return classify_pages(routed, (rule_set, "generic")).where(F.col("is_article_page"))
