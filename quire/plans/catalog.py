@@ -419,4 +419,5 @@ QUERIES: dict[str, Query] = {
     "page_extracted": page_extracted,
     "page_generic": page_generic,
     **{f"page_site_{rs}": _page_site(rs) for rs in SITE_SETS},
+    **{f"page_dates_{rs}": (lambda spark, sf, rs=rs: PS.page_dates(spark, sf, rs)) for rs in SITE_SETS},
 }

@@ -308,6 +308,26 @@ def doc_generic() -> str:
             f"AS content_length_chars, doc_id FROM ({s1})")
 
 
+# what a rule set reads of the pages that page_sites.dated_pages makes, written out: the date by doc_id modulo 6
+# (LD, meta, time, meta that is no date beside a time), whether its bylines count, whether an unmarked page is an article
+_LD, _META, _TIME = "2026-01-01T21:34:05Z", "2026-01-04T01:02:03Z", "2026-01-05T00:00:00Z"
+DATES_READ = {
+    "ap": ((_LD, _META, None, None), False, False), "bbc": ((None, _META, _TIME, _TIME), True, True),
+    "cbs": ((_LD, _META, _TIME, None), False, False), "cnn": ((_LD, _META, None, None), True, False),
+    "fox": ((_LD, _META, _TIME, None), True, False), "guardian": ((_LD, None, _TIME, _TIME), True, False),
+    "nbc": ((_LD, _META, None, None), False, True),
+}
+
+
+def page_dates(rs: str) -> str:
+    dates, byline, unmarked = DATES_READ[rs]
+    pub = "CASE doc_id % 6 " + " ".join(f"WHEN {k} THEN {q(v)}" for k, v in enumerate(dates) if v) + " END"
+    mod = "CASE WHEN doc_id % 6 = 0 THEN '2026-01-03T00:00:00Z' END" if dates[0] else "NULL::VARCHAR"
+    who = "CASE WHEN doc_id % 4 = 1 THEN 'Ann Example' END" if byline else "NULL::VARCHAR"
+    return (f"SELECT doc_id, {pub} AS published_at, {mod} AS modified_at, {who} AS author FROM documents"
+            + ("" if unmarked else " WHERE doc_id % 6 <> 5"))
+
+
 def page_generic() -> str:
     """Article rows of the pages that page_sites.generic_pages makes, from the documents."""
     url = "'https://' || source || '.example/articles/story-' || CAST(doc_id AS VARCHAR)"
@@ -556,6 +576,7 @@ def build() -> dict[str, str]:
         "meta_dates": f"SELECT event_id, raw, {X7_SQL} AS iso_utc FROM ({event_dates()})",
     }
     sqls["page_generic"] = page_generic()
+    sqls |= {f"page_dates_{rs}": page_dates(rs) for rs in SITE_SETS}
     # another way to the same rows
     for name, same in (("insert_keyed", "insert_if_absent"), ("frontier_indexed", "frontier"), ("site_frontier_indexed", "site_frontier"),
                        ("run_observed", "run_counters")):

@@ -51,6 +51,39 @@ def site_pages(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
     return route_pages(pages, [Source("example", "example", ("example",), (), rule_set)])
 
 
+# a byline where each rule set looks for one (FIXED VALUES of the test input)
+BYLINES = {"bbc": '<div class="x byline y">{}</div>', "cnn": '<span data-testid="byline">{}</span>', "fox": '<div class="author-byline">{}</div>',
+           "guardian": '<a rel="author" href="/p">{}</a>', "ap": '<p class="byline">{}</p>', "cbs": '<span class="author">{}</span>', "nbc": '<span class="byline">{}</span>'}
+
+
+def dated_pages(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
+    """PAGES whose dates stand in JSON-LD, a meta element or a time element, by doc_id modulo 6: 0 JSON-LD (published and
+    modified, with zones), 1 meta, 2 time, 3 a meta that is no date and a time, 4 none, 5 none on a page that does not
+    say that it is an article. Every fourth page has a byline."""
+    d = doc_pages(spark, sf_dir)
+    kind = F.col("doc_id") % 6
+    block = ('<script type="application/ld+json">[{"@type": "Person"}, {"@type": "NewsArticle", "datePublished": "2026-01-02T03:04:05+05:30",'
+             ' "dateModified": " 2026-01-03T00:00:00Z "}]</script>')
+    meta = '<meta property="article:published_time" content="{}">'
+    head = F.when(kind == 0, block).when(kind == 1, meta.format("2026-01-04T01:02:03.5Z")).when(kind == 3, meta.format("soon")).otherwise("")
+    time = F.when(kind.isin(2, 3), '<time datetime="2026-01-05">x</time>').otherwise("")
+    byline = F.when(F.col("doc_id") % 4 == 1, BYLINES[rule_set].format(" Ann  Example ")).otherwise("")
+    says = F.when(kind == 5, "</head><body>").otherwise('<meta property="og:type" content="article"></head><body class="fn article-single" data-page-type="article">')
+    before, after = CONTAINERS[rule_set]
+    html = F.concat(F.lit("<html><head>"), head, says, F.lit("<h1>Title</h1>"), time, byline, F.lit(before + "<p>Text.</p>" + after + "</body></html>"))
+    none = F.lit(None).cast("string")
+    pages = d.select(F.col("doc_id").alias("page_id"), "url", html.alias("html"), none.alias("content_type"), none.alias("feed_author"),
+                     none.alias("feed_summary"), F.lit(None).cast("timestamp").alias("fetched_at"))
+    return route_pages(pages, [Source("example", "example", ("example",), (), rule_set)])
+
+
+def page_dates(spark: SparkSession, sf_dir: str, rule_set: str) -> DataFrame:
+    """published_at, modified_at and author of the pages above that are article pages."""
+    pages = classify_pages(dated_pages(spark, sf_dir, rule_set), (rule_set, "generic")).where(F.col("is_article_page"))
+    rows = extracted_rows(pages, ("page_id",), (rule_set,))
+    return rows.select(F.col("page_id").alias("doc_id"), "published_at", "modified_at", "author")
+
+
 def generic_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PAGES of the generic rule set, one for each document. By doc_id modulo 12: 0 is a feed, 1 has the URL of a
     tag page, 2 no article element; then an author from the feed (3), a meta author (4), article:author (5),
