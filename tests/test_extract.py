@@ -38,26 +38,44 @@ def test_node_tree_rules():
     assert not any(n["t"] and n["tag"] == "script" for n in nodes)
 
 
+#: One page for each branch of the page tests: (URL, head and body, is it an article page).
+BRANCHES = [
+    # generic: the URL must be an article's, and the page or the path must say so
+    ("https://gazette.example/harbour/ferry-to-the-islands-runs-again", ('<meta property="og:type" content="article">', "<p>Ferry</p>"), True),
+    ("https://gazette.example/harbour/lighthouse-keeper-for-one-summer", ('<meta property="og:type" content="website">', "<p>Keeper</p>"), False),
+    ("https://gazette.example/harbour/the-last-salt-boat-of-the-coast", ("", "<article>Salt</article>"), True),
+    ("https://gazette.example/harbour/nets-drying-in-the-morning-sun", ("", '<div class="x article-body">Nets</div>'), True),
+    ("https://gazette.example/harbour/nets-drying-in-the-evening-sun", ("", '<span class="article-body">Nets</span>'), False),
+    ("https://gazette.example/harbour/a-chart-of-every-known-reef", ("", '<section itemtype="https://schema.org/NewsArticle">Reefs</section>'), True),
+    ("https://gazette.example/harbour/two-pilots-and-one-tide", (ld([{"@type": "Person"}, {"@type": "Article"}]), ""), True),
+    ("https://gazette.example/harbour/two-pilots-and-no-tide-at-all", (ld({"@type": "Event"}), ""), False),
+    ("https://gazette.example/articles/mooring", ("", "<p>Mooring</p>"), True),
+    ("https://gazette.example/2025/07/14/regatta", ("", "<p>Regatta</p>"), True),
+    ("https://gazette.example/tag/regatta", ('<meta property="og:type" content="article">', "<article>All of them</article>"), False),
+    # outlets: their own mark is enough, whatever the URL
+    ("https://apnews.com/hub/harbours", ('<meta property="og:type" content="article">', ""), True),
+    ("https://apnews.com/article/harbours-0a1b2c", ("", ""), True),
+    ("https://apnews.com/hub/islands", ("", "<article>Islands</article>"), False),
+    ("https://www.bbc.com/harbours", ("", "<article>Harbours</article>"), True),
+    ("https://www.bbc.com/islands", ("", "<section>Islands</section>"), False),
+    ("https://www.cnn.com/harbours", ("", None, 'data-page-type="article_leaf"'), True),
+    ("https://www.cnn.com/islands", ('<meta property="og:type" content="article">', None, 'data-page-type="section"'), False),
+    ("https://www.foxnews.com/harbours", ("", None, 'class="fn article-single wide"'), True),
+    ("https://www.foxnews.com/islands", ("", None, 'class="fn category"'), False),
+]
+
+
 def test_page_tests(spark):
-    pages = [
-        ("https://example.com/news/2026/01/29/test-article", '<html><head><meta property="og:type" content="article"></head><body>x</body></html>'),
-        ("https://example.com/news", "<html><body><ul><li>list</li></ul></body></html>"),
-        ("https://example.com/section/page", "<html><body><p>nothing</p></body></html>"),
-        ("https://www.cnn.com/test-article", '<html><body data-page-type="article">x</body></html>'),
-        ("https://www.cnn.com", '<html><body data-page-type="homepage">x</body></html>'),
-        ("https://www.bbc.com/news/test-article", '<html><head><meta property="og:type" content="article"></head></html>'),
-        ("https://www.bbc.com/news/test-article2", "<html><body><article>x</article></body></html>"),
-        ("https://www.bbc.com/news", "<html><body><ul><li>list</li></ul></body></html>"),
-        ("https://example.com/articles/a-b-c", '<html><body>' + ld({"@type": "NewsArticle"}) + "</body></html>"),
-    ]
+    pages = []
+    for url, (head, body, *attrs), _ in BRANCHES:
+        pages.append((url, f"<html><head>{head}</head><body {attrs[0] if attrs else ''}>{body or 'Some text'}</body></html>"))
     got = {r.url: r.is_article_page for r in classify(spark, pages).collect()}
-    assert got == {pages[0][0]: True, pages[1][0]: False, pages[2][0]: False, pages[3][0]: True, pages[4][0]: False,
-                   pages[5][0]: True, pages[6][0]: True, pages[7][0]: False, pages[8][0]: True}
+    assert got == {url: want for url, _, want in BRANCHES}
 
 
 def test_content_type_reject_and_confidence_check(spark, monkeypatch):
-    url = "https://example.com/news/2026/01/29/test-article"
-    html = '<html><head><meta property="og:type" content="article"></head></html>'
+    url, (head, _), _ = BRANCHES[0]
+    html = f"<html><head>{head}</head></html>"
     df = route_pages(page_df(spark, [(url, html)]).withColumn("content_type", F.lit("application/xhtml+xml")),
                      default_registry())
     assert classify_pages(df).first().is_article_page is False
@@ -70,24 +88,24 @@ def test_content_type_reject_and_confidence_check(spark, monkeypatch):
 
 
 def test_site_extractions(spark):
-    ap = ("https://apnews.com/article/test-article",
+    ap = ("https://apnews.com/article/harbour-masters-meet-77aa",
           "<html><head>" + ld([{"@type": "NewsArticle", "headline": " AP  Head ", "author": [{"name": "A One"}, "B Two"],
                                 "datePublished": "2026-01-29T12:00:00-05:00", "keywords": "x, y,,z"}]) +
           f'</head><body><div class="RichTextStoryBody"><p>{BODY}</p><p>  </p></div></body></html>')
-    bbc = ("https://www.bbc.com/news/world-12345678",
+    bbc = ("https://www.bbc.com/news/world-70010203",
            f'<html><body><h1>BBC title</h1><time datetime="2026-01-02">x</time><div class="byline-x">By Z</div>'
            f'<article><p>{BODY}</p></article></body></html>')
-    cbs = ("https://www.cbsnews.com/news/test-article/",
+    cbs = ("https://www.cbsnews.com/news/harbour-masters-meet/",
            "<html><head>" + ld({"@type": "Article", "headline": "CBS", "articleBody": "  full   body text  "}) + "</head></html>")
-    cnn = ("https://www.cnn.com/2026/02/09/test-article/index.html",
+    cnn = ("https://www.cnn.com/2025/07/14/harbour-masters-meet/index.html",
            f'<html><body><h1>CNN</h1><span data-testid="byline">Reporter</span><p>{BODY}</p></body></html>')
-    fox = ("https://www.foxnews.com/politics/test-article",
+    fox = ("https://www.foxnews.com/politics/harbour-masters-meet-again",
            f'<html><body class="fn article-single"><h1>Fox</h1><div class="article-body"><p>WATCH: promo</p>'
            f'<p>SHORT</p><p>{BODY}</p></div></body></html>')
-    guardian = ("https://www.theguardian.com/world/2026/feb/09/test-article",
+    guardian = ("https://www.theguardian.com/world/2025/jul/14/harbour-masters-meet",
                 f'<html><head><meta property="og:type" content="article"></head><body><h1>G</h1>'
                 f'<a rel="author">Writer</a><div itemprop="articleBody"><p>{BODY}</p></div></body></html>')
-    nbc = ("https://www.nbcnews.com/news/test-article",
+    nbc = ("https://www.nbcnews.com/news/harbour-masters-meet-rcna70010",
            '<html><body><article><h1>NBC</h1><p>Sign up for the newsletter please now</p><p>tiny</p></article></body></html>')
     out = articles(spark, [ap, bbc, cbs, cnn, fox, guardian, nbc])
     a = out[ap[0]]
@@ -111,7 +129,7 @@ def test_site_extractions(spark):
 
 
 def test_failure_row_for_non_string_date(spark):
-    cnn = ("https://www.cnn.com/2026/02/09/x/index.html",
+    cnn = ("https://www.cnn.com/2025/07/14/tide/index.html",
            "<html><body data-page-type='article'>" + ld({"@type": "NewsArticle", "headline": "H", "datePublished": 20260101})
            + f"<p>{BODY}</p></body></html>")
     r = articles(spark, [cnn])[cnn[0]]

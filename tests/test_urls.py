@@ -98,7 +98,7 @@ URL_RULES = [
     ("guardian", "https://www.theguardian.com/world/live/2026/feb/09/x", False),
     ("nbc", "https://www.nbcnews.com/news/x-rcna1234", True), ("nbc", "https://www.nbcnews.com/news/x-n123456", True),
     ("nbc", "https://www.nbcnews.com/politics/", False), ("nbc", "https://www.nbcnews.com/now/x-rcna1234", False),
-    ("generic", "https://example.com/news/2026/01/29/test-article", True), ("generic", "https://example.com/news", False),
+    ("generic", "https://example.com/news/2025/07/14/regatta-day", True), ("generic", "https://example.com/news", False),
     ("generic", "https://example.com/section/page", False), ("generic", "https://example.com/a/story-123456", True),
     ("generic", "https://example.com/this-is-a-long-article-headline", True), ("generic", "https://example.com/short", False),
     ("generic", "https://example.com/some/fairly/long/path", True), ("generic", "https://example.com/tag/x", False),
