@@ -347,13 +347,22 @@ def html_nodes(spark, sf):
                      F.size(F.filter(n, lambda x: ~x["t"])).alias("n_elements"), "parse_error")
 
 
-def jsonld_blocks(spark, sf):
-    """JSON-LD scripts and blocks per page."""
-    df = add_nodes(tables.pages(spark, sf).select("page_id", "url", "html"))
+def _jsonld(pages):
+    df = add_nodes(pages.select("page_id", "url", "html"))
     return df.select("page_id", F.size(S.ld_scripts().column()).alias("n_scripts"),
                      F.size(J.blocks(S.ld_scripts().column())).alias("n_blocks"))
 
 
+def jsonld_blocks(spark, sf):
+    """JSON-LD scripts and blocks per page."""
+    return _jsonld(tables.pages(spark, sf))
+
+
+def page_jsonld(spark, sf):
+    """P4 on pages made from documents, of which every sixth has an array of two objects."""
+    return _jsonld(PS.dated_pages(spark, sf, "ap"))
+
+
 def _page_site(rs):
     """P3-P20 and the page tests of a site rule set, on pages made from every document."""
     return lambda spark, sf: PS.site_page_articles(spark, sf, rs, RUN_TS)
@@ -418,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "jsonld_blocks": jsonld_blocks,
     "page_extracted": page_extracted,
     "page_generic": page_generic,
+    "page_jsonld": page_jsonld,
     **{f"page_site_{rs}": _page_site(rs) for rs in SITE_SETS},
     **{f"page_dates_{rs}": (lambda spark, sf, rs=rs: PS.page_dates(spark, sf, rs)) for rs in SITE_SETS},
 }

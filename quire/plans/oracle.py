@@ -367,15 +367,51 @@ def _ladder_sql(rs: str, ld: str = "false", author: str = "false") -> tuple[str,
     return conf, low
 
 
-def doc_site(rs: str, page: bool = False, extracted: bool = False) -> str:
+def page_texts(rule_set: str) -> str:
+    """doc_id (the page's), source, url, url_hash, title_raw and paras of the stored article pages of a rule set. Their HTML is
+    regular: one h1, and each paragraph begins with its text, or has no text of its own."""
+    plain = "html"
+    for name, c in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("#x27", "''"), ("nbsp", "\u00a0"), ("amp", "&")):
+        plain = f"replace({plain}, '&{name};', '{c}')"
+    plain = plain.replace("replace(html,", "replace(x,")
+    texts = lambda rx: f"list_transform(regexp_extract_all(html, '{rx}', 1), lambda x: {plain})"
+    source = f"coalesce({route_expr('host', 'source')}, host)"
+    base = (f"SELECT page_id AS doc_id, rule_set, coalesce(source_name, host) AS source_name, {source} AS source, url, {texts('<h1>([^<]+)')}[1] AS title_raw, "
+            f"list_filter({texts('<p>([^<]*)')}, lambda x: x <> '') AS paras FROM ({classified_pages()}) WHERE is_article_page AND rule_set = '{rule_set}'")
+    return f"SELECT *, sha256(canon) AS url_hash FROM ({canonical_cte(f'({base})', 'url', 'canon')})"
+
+
+def page_articles() -> str:
+    """The article rows of the stored pages under the test registry (BBC, Guardian and generic rules)."""
+    parts = [f"SELECT * EXCLUDE (doc_id), doc_id AS page_id, '{rs}' AS rule_set FROM ({doc_site(rs, rows=page_texts(rs))})" for rs in ("bbc", "guardian")]
+    parts.append(f"SELECT * EXCLUDE (doc_id), doc_id AS page_id, 'generic' AS rule_set FROM ({generic_rows(page_texts('generic'))})")
+    names = " UNION ALL BY NAME ".join(f"SELECT doc_id AS page_id, source_name FROM ({page_texts(rs)})" for rs in ("bbc", "guardian", "generic"))
+    return f"SELECT a.*, n.source_name FROM ({' UNION ALL BY NAME '.join(parts)}) a JOIN ({names}) n USING (page_id)"
+
+
+def generic_rows(pages: str) -> str:
+    """Article rows of the generic rules for pages without author, date or summary."""
+    s1 = f"SELECT *, {paragraphs('paras')} AS text_raw FROM ({pages})"
+    s2 = (f"SELECT *, {gate('title_raw', 'text_raw')} AS g, {norm('title_raw')} AS n_title, (CASE WHEN length({norm('text_raw')}) >= "
+          f"{C.LOW_QUALITY_TEXT_LENGTH} THEN {norm('text_raw')} END) AS n_text, {strip('text_raw')} AS sum_src FROM ({s1})")
+    summ, trunc = summary_exprs("sum_src")
+    return (f"SELECT n_title AS title, NULL::VARCHAR AS author, CASE WHEN g THEN n_text END AS text, CASE WHEN g THEN {summ} END AS summary, url, source, "
+            f"NULL::VARCHAR AS published_at, {q(RUN_TS)} AS scraped_at, url_hash, CASE WHEN g THEN {fingerprint('n_title', 'n_text', 'NULL', 'source')} "
+            f"ELSE {fingerprint('n_title', 'NULL', 'NULL', 'source')} END AS fingerprint, {q(C.AUTHOR_MISSING)} AS author_source, "
+            f"{C.SUMMARY_MAX_CHARS} AS summary_max_chars, CASE WHEN g THEN {trunc} ELSE false END AS summary_truncated, g AS parse_ok, "
+            f"CASE WHEN NOT g THEN {q(C.GENERIC_GATE_FAILED)} END AS parse_error, {q(C.METHOD_GENERIC)} AS extraction_method, "
+            f"CAST(CASE WHEN g THEN coalesce(length(n_text), 0) ELSE 0 END AS INTEGER) AS content_length_chars, doc_id FROM ({s2})")
+
+
+def doc_site(rs: str, page: bool = False, extracted: bool = False, rows: str | None = None) -> str:
     """Article rows of a site rule set (``extracted``: EXTRACTED rows). ``page``: of the pages that page_sites makes, where an empty
-    line is no paragraph, and an author and a JSON-LD block come by doc_id modulo 3."""
+    line is no paragraph, and an author and a JSON-LD block come by doc_id modulo 3. ``rows``: of ``page_texts``."""
     ld, author = ("doc_id % 3 = 2", "doc_id % 3 > 0 AND length(source) > 0") if page else ("false", "false")
     url = "'https://' || source || '.example/doc/' || CAST(doc_id AS VARCHAR)"
     base = (f"SELECT doc_id, source, text, {url} AS url, string_split(text, chr(10)) AS lines FROM documents")
     keyed = f"SELECT *, sha256(canon) AS url_hash FROM ({canonical_cte(f'({base})', 'url', 'canon')})"
     paras = "list_filter(lines[2:], lambda l: l <> '')" if page else "lines[2:]"
-    s1 = f"SELECT *, lines[1] AS title_raw, {paras} AS paras FROM ({keyed})"
+    s1 = rows or f"SELECT *, lines[1] AS title_raw, {paras} AS paras FROM ({keyed})"
     if rs in ("fox", "nbc"):
         kept = fox_keep("paras") if rs == "fox" else nbc_keep("paras")
         body = f"CASE WHEN len({kept}) > 0 THEN {paragraphs(kept)} WHEN len(paras) > 0 THEN {paragraphs('paras')} END"
@@ -419,7 +455,7 @@ def doc_site(rs: str, page: bool = False, extracted: bool = False) -> str:
             f"{fingerprint('x_title', 'a_text', 'NULL', 'source')} AS fingerprint, {whence} AS author_source, "
             f"{C.SUMMARY_MAX_CHARS} AS summary_max_chars, a_trunc AS summary_truncated, {ok} AS parse_ok, "
             f"{err} AS parse_error, {method} AS extraction_method, CAST({n} AS INTEGER) AS content_length_chars, "
-            f"doc_id{'' if page else ', confidence'} FROM ({s3})")
+            f"doc_id{'' if page or rows else ', confidence'} FROM ({s3})")
 
 
 def quality_sql(src: str, by: str | None) -> str:
@@ -575,6 +611,12 @@ def build() -> dict[str, str]:
         "parse_dates": f"SELECT event_id, raw, {X5_SQL} AS iso_utc FROM ({event_dates()})",
         "meta_dates": f"SELECT event_id, raw, {X7_SQL} AS iso_utc FROM ({event_dates()})",
     }
+    sqls["page_articles"] = page_articles()
+    sqls["page_quality"] = quality_sql(page_articles(), "source")
+    scripts = "CAST(len(regexp_extract_all(html, '(?i)<script[^>]*application/ld.json')) AS INTEGER)"
+    sqls["jsonld_blocks"] = f"SELECT page_id, {scripts} AS n_scripts, {scripts} AS n_blocks FROM pages"
+    sqls["page_jsonld"] = ("SELECT doc_id AS page_id, CAST(doc_id % 6 = 0 AS INTEGER) AS n_scripts, CAST(CASE WHEN doc_id % 6 = 0 THEN 2 ELSE 0 END AS INTEGER) "
+                           "AS n_blocks FROM documents")
     sqls["page_generic"] = page_generic()
     sqls |= {f"page_dates_{rs}": page_dates(rs) for rs in SITE_SETS}
     # another way to the same rows
