@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import as_bytes, fresh, map_column, table
+from quire.llm.common import as_bytes, fresh, map_column, stored, table
 
 WINDOW_WORDS = 13
 #: Windows searched for in one pass; they take about 300 bytes each in a task.
@@ -161,9 +161,12 @@ def parts(items: DataFrame, item_id: str = "item_id", text: str = "text", at_onc
 
 
 def search(docs: DataFrame, items: DataFrame, out: str, text: str = "text", at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
-    """``docs`` with ``out``: struct(n_words, spans of hit words, items). No shuffle."""
+    """``docs`` with ``out``: struct(n_words, spans of hit words, items). No shuffle. Where the benchmark has
+    several parts, the rows are stored between them, so a task holds one part's matcher at a time."""
     found = []
     for part in parts(items, at_once=at_once):
+        if found:
+            docs = stored(docs)
         sent = docs.sparkSession.sparkContext.broadcast(part)
 
         def make(sent=sent):

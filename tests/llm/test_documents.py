@@ -405,6 +405,7 @@ def test_decontamination_in_parts(sf, llm):
     docs, items = sf("documents"), sf("benchmark")
     whole = sorted(map(str, got(decontam.query(docs, items))))
     found = decontam.search(docs.select("doc_id", "text"), items, "f", at_once=2000)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     parts = found.select("doc_id", decontam.n_hit("f").alias("h"), F.size("f.items").alias("i")).collect()
     assert sorted((r["doc_id"], r["h"], r["i"]) for r in parts) == sorted(
         (r["doc_id"], r["n_hit"], r["n_items"]) for r in decontam.query(docs, items).collect())
