@@ -3,6 +3,7 @@ prefix sum, and distributed connected components."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -95,6 +96,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that nothing refers to any more: it does so when the driver
+    collects its garbage, which a driver with little to do seldom does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def dealt(df: DataFrame, rows: int, rows_a_task: int) -> DataFrame:
     """Small rows that a step turns into many are dealt to enough tasks for that."""
     return df.repartition(max(1, rows // rows_a_task))

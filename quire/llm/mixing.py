@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import PREFIX_PIECES, dealt, fresh, prefix_sum, stored
+from quire.llm.common import PREFIX_PIECES, dealt, fresh, prefix_sum, release, stored
 from quire.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -321,8 +321,10 @@ def mixed(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFram
     packs = stored(packed(rows))
     path = path or scratch_path(spark, f"mix-{uuid.uuid4().hex}")
     out = blocks(docs, cuts(packs, s))
+    schema = out.schema
     out.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", MIX_LEVEL).parquet(path)
-    out = spark.read.schema(out.schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    release(spark)
     took = (out.select(F.explode("spans").alias("x"))
             .groupBy(F.col("x.doc_id").alias("t_id"), F.col("x.same").alias("t_same"), F.col("x.copy").alias("t_copy")).agg(F.sum("x.words").alias("taken")))
     found = copied(packs)
