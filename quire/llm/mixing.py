@@ -17,7 +17,9 @@ Rounds are columns of their own, so that they are compiled.
 
 ``mixed`` makes the mix itself: for every slot the words of its block, cut out of the documents that
 they stand in, with the places they were cut from. ``taken`` is added up from these places, as they
-were written. A text moves once to its cuts, and cut words once to their shard.
+were written. A text moves once to its cuts, and cut words once to their shard. In between the cut words are
+written, compressed, to the scratch folder, so that the shuffle files of the first move go before the second, which is
+made in PASSES passes over the shards: what lies on disk at once is one move's files or a pass's, not both moves'.
 
 A source's stream is numbered piece by piece, an id's documents by size, and documents of one id and size
 in parts; equal rows are one row with a number of copies until they are cut, and their text
@@ -64,8 +66,10 @@ RUN_SLOTS = 256
 TEXT_KEY = ["id", "no_id", "same"]
 #: Folder for the mix of the pipeline; without it, one in the scratch folder.
 MIX_PATH = "quire.mix.path"
-#: How hard the mix is compressed (zstd).
-MIX_LEVEL = 6
+#: How hard the mix and the cut words before it are compressed (zstd).
+MIX_LEVEL, CUT_LEVEL = 6, 3
+#: Passes over the output shards in which the cut words move.
+PASSES = 2
 
 
 def stirred(x: str) -> str:
@@ -280,10 +284,9 @@ def cuts(packs: DataFrame, s: DataFrame) -> DataFrame:
     return with_permuted(rows, "slot", "shard_slots", "keys").drop("keys", "shard_slots")
 
 
-def blocks(docs: DataFrame, cut: DataFrame) -> DataFrame:
-    """The mix: (shard, slot, source, block, text, spans), the words of a slot and where they were cut
-    from. Neighbouring slots are in order in a task. Documents alike in id, source and text have one text;
-    ``copy`` tells them apart, ``same`` (a hash of text and source) those of one id."""
+def cut_words(docs: DataFrame, cut: DataFrame) -> DataFrame:
+    """The rows of ``cuts`` with their words, cut out of the documents. Documents alike in id, source and text have
+    one text; ``copy`` tells them apart, ``same`` (a hash of text and source) those of one id."""
     # a document's cuts are made by one task, so they are one row before they are shuffled
     each = F.struct("copy", "shard", F.col("slot").cast("int").alias("slot"), "block", F.col("begin").cast("int").alias("begin"), "from_word", F.col("words").cast("int").alias("words"))
     lists = cut.groupBy(*id_key(), "same", "part", "doc_id", "source", "copies").agg(F.collect_list(each).alias("cuts"))
@@ -301,7 +304,12 @@ def blocks(docs: DataFrame, cut: DataFrame) -> DataFrame:
 
     # the array around the words has them split once for all cuts
     found = F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), sliced)[0]
-    rows = joined.select("source", "doc_id", "same", F.explode(found).alias("c")).select("source", "doc_id", "same", "c.*")
+    return joined.select("source", "doc_id", "same", F.explode(found).alias("c")).select("source", "doc_id", "same", "c.*")
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """The mix of the rows of ``cut_words``: (shard, slot, source, block, text, spans), the words of a slot and
+    where they were cut from. Neighbouring slots are in order in a task."""
     rows = rows.withColumn("run", F.floor(F.col("slot") / RUN_SLOTS).cast("int")).repartition("shard", "run")
     part = F.struct("begin", "doc_id", "same", "copy", "from_word", "words", "text")
     rows = rows.groupBy("shard", "run", "slot").agg(F.first("source").alias("source"), F.first("block").alias("block"),
@@ -312,6 +320,13 @@ def blocks(docs: DataFrame, cut: DataFrame) -> DataFrame:
                     F.transform("parts", span).alias("spans")))
 
 
+def written(rows: DataFrame, path: str, level: int, mode: str = "error") -> DataFrame:
+    """``rows`` as written to ``path`` (with what is there, if ``mode`` is append)."""
+    schema = rows.schema
+    rows.write.mode(mode).option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
 def mixed(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Writes the mix, the ``blocks`` of all shards, as Parquet to ``path`` (or the scratch folder).
     Returns it, and every row of ``sized`` with source_size, target and taken."""
@@ -320,10 +335,10 @@ def mixed(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFram
     s = stored(sources(rows))
     packs = stored(packed(rows))
     path = path or scratch_path(spark, f"mix-{uuid.uuid4().hex}")
-    out = blocks(docs, cuts(packs, s))
-    schema = out.schema
-    out.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", MIX_LEVEL).parquet(path)
-    out = spark.read.schema(schema).parquet(path)
+    words = written(cut_words(docs, cuts(packs, s)), scratch_path(spark, f"cuts-{uuid.uuid4().hex}"), CUT_LEVEL)
+    for k in range(PASSES):
+        release(spark)
+        out = written(blocks(words.where(F.col("shard") % PASSES == k)), path, MIX_LEVEL, "append" if k else "error")
     release(spark)
     took = (out.select(F.explode("spans").alias("x"))
             .groupBy(F.col("x.doc_id").alias("t_id"), F.col("x.same").alias("t_same"), F.col("x.copy").alias("t_copy")).agg(F.sum("x.words").alias("taken")))

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quire.llm import decontam, langid, mixing, ngramlm, pii, simhash, toxicity
-from quire.llm.common import components, crc_mod, fresh, prefix_sum
+from quire.llm.common import components, crc_mod, fresh, prefix_sum, release
 
 LONG = "word " * 30_000
 EDGES = [(1, None, "en", "a"), (2, "", "en", None), (3, "   \n\t ", None, "a"), (4, LONG, "en", "b"), (5, "12 34 !?", "en", "b"),
@@ -283,6 +283,27 @@ def test_numbering_of_null_ids_and_repeated_rows(documents, llm):
     assert found.where("taken > 3 * size").count() == 0
 
 
+def test_mix_moves_in_passes(documents, llm, tmp_path, monkeypatch):
+    def shuffle_files():
+        files = llm.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {x for x in files.split(" ") if "/shuffle_" in x}
+
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 4)
+    rows = documents([(i, " ".join(f"w{i}x{k}" for k in range(200)), "en", f"s{i % 3}") for i in range(30)])
+    monkeypatch.setattr(mixing, "PASSES", 1)
+    want, _ = mixing.mixed(rows, str(tmp_path / "one"))
+    want = sorted(map(str, got(want)))
+    release(llm)
+    held, left = shuffle_files(), []
+    monkeypatch.setattr(mixing, "PASSES", 3)
+    monkeypatch.setattr(mixing, "release", lambda spark: (release(spark), left.append(shuffle_files() - held)))
+    out, found = mixing.mixed(rows, str(tmp_path / "three"))
+    assert sorted(map(str, got(out))) == want and len(want) > 30
+    assert found.agg(F.sum("taken")).first()[0] == sum(len(r["text"].split()) for r in got(out))
+    # before every pass and at the end, no files of the moves before are left
+    assert left == [set()] * 4
+
+
 # 4 language model ----------------------------------------------------------------------------------
 
 
