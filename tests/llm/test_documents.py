@@ -392,6 +392,104 @@ def test_lm_edges(edges, empty, documents):
     assert got(ngramlm.scores(documents([(1, "a b", "en", "s")]), F.lit(False)))[0]["train_tokens"] == 0
 
 
+def brute_three(tokens, train, frequent):
+    """p(w | u v) as a function, from lists of words."""
+    count, pairs, triples = Counter(), defaultdict(Counter), defaultdict(Counter)
+    for w, y in zip(tokens, train):
+        if y:
+            u, v = None, "START"
+            for x in [*w, "END"]:
+                count[x] += 1
+                pairs[v][x] += 1
+                if u:
+                    triples[u, v][x] += 1
+                u, v = v, x
+    n, d = sum(count.values()), ngramlm.DISCOUNT
+    least = max(1, math.ceil(frequent * n))
+
+    def one(w):
+        return (count[w] + 1) / (n + len(count) + 1)
+
+    def two(v, w):
+        followers = pairs.get(v)
+        if not followers:
+            return one(w)
+        if w in followers:
+            return (followers[w] - d) / followers.total()
+        covered = sum(one(x) for x in followers if count[x] >= least)
+        return one(w) * min(1.0, d * len(followers) / followers.total() / max(1 - covered, 1e-9))
+
+    def three(u, v, w):
+        followers = triples.get((u, v))
+        if not followers:
+            return two(v, w)
+        if w in followers:
+            return (followers[w] - d) / followers.total()
+        return two(v, w) * d * len(followers) / followers.total() / (1 - sum(two(v, x) for x in followers))
+
+    return three
+
+
+def zipf_texts(n, words=60):
+    r = random.Random(4)
+    names = [f"w{i}" for i in range(words)]
+    weights = [1 / (i + 1) for i in range(words)]
+    return [" ".join(r.choices(names, weights, k=r.choice([1, 2, 3, 30, 60]))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("chunk,shard", [(2_000_000, 2_000_000), (300, 700)])
+def test_three_words_against_brute_force(documents, chunk, shard, monkeypatch):
+    monkeypatch.setattr(ngramlm, "FREQUENT", 0.01)
+    texts = [*zipf_texts(300), None, "", "w0", "w0", "new w1 w0 other", "w0 w0 w0 w0 w0", "end start w3 end"]
+    docs = documents([(i, t, "en", "s") for i, t in enumerate(texts)])
+    train = [zlib.crc32(str(i).encode()) % 7 != 2 for i in range(len(texts))]
+    tokens = [(t or "").split() for t in texts]
+    p = brute_three(tokens, train, 0.01)
+    found = ngramlm.scores(docs, F.coalesce(crc_mod("doc_id", 7) != 2, F.lit(False)), chunk_tokens=chunk, shard_tokens=shard, order=3).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        w = [None, "START", *tokens[r["doc_id"]], "END"]
+        want = sum(math.log10(p(*w[i - 2:i + 1])) for i in range(2, len(w)))
+        assert r["n_tokens"] == len(w) - 2 and abs(r["score"] - want) <= r["n_tokens"] * ngramlm.STEP
+
+
+def test_the_query_scores_three_words(documents):
+    """After "a b" always c, after "x b" always d: two words do not tell them apart."""
+    train = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2][:40]
+    held = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows = [(i, ("a b c", "x b d")[k % 2], "en", "s") for k, i in enumerate(train)]
+    by_id = {r["doc_id"]: r["score"] for r in got(ngramlm.query(documents([*rows, (held[0], "a b c", "en", "s"), (held[1], "a b d", "en", "s")])))}
+    # a 0.5, b after it 1, c after "a b" 1 but for the discounts, the end likewise
+    assert by_id[held[0]] == pytest.approx(math.log10(19.25 / 40 * (19.25 / 20) ** 3), abs=4 * ngramlm.STEP)
+    assert by_id[held[1]] < by_id[held[0]] - 1
+
+
+def test_third_words_are_named_by_their_place_among_followers():
+    """Of 1,000 words each has two followers, so the names on level 3 are 0 and 1, on level 2 up to 999."""
+    n = 1000
+    words = np.arange(10, 10 + n).astype(np.uint64)
+    pairs = np.sort(np.concatenate([np.arange(n) * n + (np.arange(n) * 7 + k) % n for k in (0, 500)]))
+    first, second = pairs // n, pairs % n
+    parent = np.repeat(np.arange(len(pairs)), 2)
+    child = np.stack([np.searchsorted(first, second), np.searchsorted(first, second) + 1], axis=1).ravel()
+    keep = np.arange(len(parent)) % 3 > 0
+    trie = ngramlm.Trie(words, np.zeros(n), pairs, np.full(len(pairs), -1.0), np.zeros(len(pairs)), np.array([parent[keep], child[keep]]), np.full(keep.sum(), -2.0))
+    try:
+        number = trie.words.find(words)
+        assert (number == np.arange(n)).all() and trie.words.find(np.array([9], np.uint64)) == -1
+        assert (trie.find_pairs(first, second) == np.arange(len(pairs))).all()
+        assert (trie.find_pairs(first, (second + 1) % n) == -1).all()
+        at = trie.find_triples(parent, child, second[parent])
+        assert ((at >= 0) == keep).all() and (at[keep] == np.arange(keep.sum())).all()
+        names, starts = trie.triples.names, trie.triples.starts[np.arange(len(pairs) + 1)].astype(int)
+        values = names[np.arange(names.n)].astype(int)
+        base = np.where(starts[:-1] > 0, values[np.maximum(starts[:-1] - 1, 0)], 0)
+        assert set((values - np.repeat(base, np.diff(starts))).tolist()) == {0, 1}
+        assert values[-1] <= keep.sum() and (trie.score(3, at[keep]) == -2).all()
+    finally:
+        trie.close()
+
+
 # 5 decontamination ---------------------------------------------------------------------------------
 
 
